@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assaylake.llm import lang_id, packing
+from assaylake.llm import chat_format, lang_id, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,13 +24,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.sql("SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    return chat_format.digest(chat_format.format_conversations(rows.unionByName(tricky)))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op10_language_id": op10_language_id}
+    return {"op2_packing": op2_packing, "op4_chat_format": op4_chat_format, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_format": chat_format.ORACLE}
