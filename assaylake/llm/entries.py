@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assaylake.llm import chat_format, lang_id, packing
+from assaylake.llm import chat_format, lang_id, packing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,12 +30,16 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(rows.unionByName(tricky)))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op4_chat_format": op4_chat_format, "op10_language_id": op10_language_id}
+    return {"op2_packing": op2_packing, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
