@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import chat_format, lang_id, line_dedup, packing, pii, simhash, topk
+from assaylake.llm import chat_format, embed_dedup, lang_id, line_dedup, packing, pii, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,13 +49,17 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), query_every=50, k=5, scale=256)
 
 
+def op9_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op8_topk": op8_topk, "op10_language_id": op10_language_id}
+    return {"op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE}
+    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE}
