@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import chat_format, embed_dedup, lang_id, line_dedup, packing, pii, simhash, topk
+from assaylake.llm import chat_format, embed_dedup, lang_id, line_dedup, lm_score, packing, pii, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.score(docs, lm_score.fit(docs, good))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), query_every=50, k=5, scale=256)
 
@@ -58,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id}
+    return {"op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
