@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import chat_format, embed_dedup, lang_id, line_dedup, lm_score, packing, pii, simhash, topk
+from assaylake.llm import chat_format, embed_dedup, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -64,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id}
+    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
