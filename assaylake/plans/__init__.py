@@ -1,0 +1 @@
+"""Queries over the test tables, by family."""
