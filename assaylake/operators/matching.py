@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,26 +129,64 @@ def boxes_holding(tokens: DataFrame, boxes: DataFrame, page: str = "page", cell:
     return placed.join(grid, [page, "_cx", "_cy"]).where("x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1").drop("_cx", "_cy")
 
 
-def located_quotes(quotes: DataFrame, blocks: DataFrame, quote_id: str, quote: str, block_id: str, text: str, block_key: str | None = None) -> DataFrame:
-    """(quote_id, block_id, tier, position): where a quote stands in the texts; tier 1 literally, tier 2 without white space and hyphens.
-
-    Only blocks that share the quote's rarest five-letter grams are searched: grams of both sides meet in an equi-join, and the text is verified afterwards.
-    """
-    plain_q, plain_b = (F.regexp_replace(F.lower(c), r"[\s\-]+", "") for c in (quote, text))
-    q = quotes.select(F.col(quote_id).alias("_q"), F.col(quote).alias("_quote"), plain_q.alias("_pq")).where(F.length("_pq") > 0)
-    head = q.withColumn("_gram", F.substr(F.col("_pq"), F.lit(1), F.lit(24)))
-    sizes = [r["n"] for r in head.select(F.length("_gram").alias("n")).distinct().collect()]  # at most 24 numbers
-    b = blocks.select(F.col(block_id).alias("_b"), F.col(text).alias("_text"), plain_b.alias("_pb"))
+#: Bytes of quotes that are broadcast as one automaton; beyond, grams of both sides meet in an equi-join.
+MAX_QUOTE_BYTES = 32 << 20
+GRAM = 24
+
+
+def located_quotes(quotes: DataFrame, blocks: DataFrame, quote_id: str, quote: str, block_id: str, text: str) -> DataFrame:
+    """(quote_id, block_id, tier, position): the first place of a quote in each text; tier 1 literally, tier 2 without white space and hyphens."""
+    plain = lambda c: F.regexp_replace(F.lower(c), r"[\s\-]+", "")
+    q = quotes.select(F.col(quote_id).alias("q"), F.col(quote).alias("quote"), plain(quote).alias("pq")).where("length(pq) > 0")
+    b = blocks.select(F.col(block_id).alias("b"), F.col(text).alias("text"), plain(text).alias("pb"))
+    size = q.agg(F.coalesce(F.sum(F.octet_length("quote") + F.octet_length("pq")), F.lit(0)).alias("n")).first()["n"]
+    found = _by_automaton(q, b) if size <= MAX_QUOTE_BYTES else _by_grams(q, b)
+    return found.select(F.col("q").alias(quote_id), F.col("b").alias(block_id), F.when(F.col("at") > 0, 1).otherwise(2).alias("tier"), F.when(F.col("at") > 0, F.col("at")).otherwise(F.col("loose")).alias("position"))
+
+
+def _by_automaton(q: DataFrame, b: DataFrame) -> DataFrame:
+    shared = q.sparkSession.sparkContext.broadcast([tuple(r) for r in q.collect()])  # MAX_QUOTE_BYTES at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        machine, by_plain = ahocorasick.Automaton(), {}
+        for place, (_, _, plain) in enumerate(shared.value):
+            by_plain.setdefault(plain, []).append(place)
+        for plain, places in by_plain.items():
+            machine.add_word(plain, (len(plain), places))
+        if by_plain:
+            machine.make_automaton()
+        for batch in batches:
+            rows = []
+            for i, (text, plain) in enumerate(zip(batch.column("text").to_pylist(), batch.column("pb").to_pylist(), strict=True)):
+                first: dict[int, int] = {}
+                for end, (n, places) in machine.iter(plain) if by_plain and plain else ():
+                    for place in places:
+                        first.setdefault(place, end - n + 2)
+                rows += [(i, place, text.find(shared.value[place][1]) + 1, at) for place, at in first.items()]
+            if rows:
+                i, place, at, loose = zip(*rows, strict=True)
+                ids = pa.array([shared.value[x][0] for x in place])
+                yield pa.RecordBatch.from_arrays([ids, batch.column("b").take(pa.array(i)), pa.array(at, pa.int64()), pa.array(loose, pa.int64())], names=["q", "b", "at", "loose"])
+
+    kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for df, c in ((q, "q"), (b, "b"))]
+    return b.mapInArrow(run, ", ".join([*kinds, "at long", "loose long"]))
+
+
+def _by_grams(q: DataFrame, b: DataFrame) -> DataFrame:
+    head = q.withColumn("gram", F.substr(F.col("pq"), F.lit(1), F.lit(GRAM)))
     found = None
-    for n in sorted(sizes):
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_pb") - (n - 1), F.lit(1))), lambda i, n=n: F.substr(F.col("_pb"), i, F.lit(n))))
-        part = b.select("_b", F.explode(grams).alias("_gram")).join(head.where(F.length("_gram") == n), "_gram")
+    for row in head.select(F.length("gram").alias("n")).distinct().collect():  # GRAM numbers at most
+        part = b.select("b", F.explode(_grams(F.col("pb"), row["n"])).alias("gram")).join(head.where(F.length("gram") == row["n"]), "gram").select("b", "q", "quote", "pq")
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        return quotes.limit(0).select(F.col(quote_id)).withColumns({block_id: F.lit(None).cast(blocks.schema[block_id].dataType), "tier": F.lit(0), "position": F.lit(0)})
-    met = found.select("_b", "_q", "_quote", "_pq").join(b, "_b")
-    at, loose = F.instr(F.col("_text"), F.col("_quote")), F.instr(F.col("_pb"), F.col("_pq"))
-    return met.withColumns({"_at": at, "_loose": loose}).where("_loose > 0").select(F.col("_q").alias(quote_id), F.col("_b").alias(block_id), F.when(F.col("_at") > 0, 1).otherwise(2).alias("tier"), F.when(F.col("_at") > 0, F.col("_at")).otherwise(F.col("_loose")).alias("position"))
+    met = found.join(b, "b")
+    return met.withColumns({"at": F.instr(F.col("text"), F.col("quote")).cast("long"), "loose": F.instr(F.col("pb"), F.col("pq")).cast("long")}).where("loose > 0")
+
+
+def _grams(text: Column, n: int) -> Column:
+    """Distinct pieces of n characters."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substr(text, i, F.lit(n))))
 
 
 def greedy_pairs(cells: DataFrame, headers: DataFrame, row: str, cell: str, header: str, at: str, max_distance: float) -> DataFrame:
