@@ -125,9 +125,10 @@ def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
             own = used[a : a + (1 << 17)]
             yield pa.RecordBatch.from_pydict({"at": pa.array(own.astype(np.int32)), "t": pa.array(sums[0, own]), "b": pa.array(sums[1, own])})
 
-    got = marked.mapInArrow(count, "at int, t long, b long").groupBy("at").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toPandas()  # 2^bits + V + 2 rows at most
+    got = marked.mapInArrow(count, "at int, t long, b long").groupBy("at").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()  # 2^bits + V + 2 rows at most, as columns
     sums = np.zeros((2, n + v + 1), dtype=np.float64)
-    sums[0, got["at"]], sums[1, got["at"]] = got["t"], got["b"]
+    at = got["at"].to_numpy()
+    sums[0, at], sums[1, at] = got["t"].to_numpy(), got["b"].to_numpy()
     return Pair(words, sums[:, n : n + v], sums[:, n + v], sums[:, :n].astype(np.float32), weight, alpha)
 
 
