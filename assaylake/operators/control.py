@@ -17,28 +17,31 @@ def new_jobs(queue: DataFrame, jobs: DataFrame, key: str) -> DataFrame:
     return jobs.dropDuplicates([key]).join(queue.select(key), key, "left_anti")
 
 
-def fold_leases(events: Iterable[tuple[str, float, str]], lease: float = 60.0, max_attempts: int = 3) -> dict:
-    """State after a key's (event, time, owner) in time order.
+START = {"status": "queued", "owner": None, "expires": 0.0, "attempts": 0, "refused": 0}
+
+
+def lease_step(state: dict, event: str, at: float, owner: str, lease: float, max_attempts: int) -> dict:
+    """State after one event: LEASE is granted where nobody holds an unexpired lease and attempts are left; COMPLETE and FAIL count only from the holder."""
+    held = state["status"] == "leased" and at < state["expires"]
+    if event == "LEASE":
+        if state["status"] in ("succeeded", "dead_letter") or held:
+            return state | {"refused": state["refused"] + 1}
+        if state["attempts"] >= max_attempts:
+            return state | {"status": "dead_letter"}
+        return state | {"status": "leased", "owner": owner, "expires": at + lease, "attempts": state["attempts"] + 1}
+    if event in ("COMPLETE", "FAIL"):
+        if not held or state["owner"] != owner:
+            return state | {"refused": state["refused"] + 1}
+        again = "dead_letter" if state["attempts"] >= max_attempts else "retryable"
+        return state | {"status": "succeeded" if event == "COMPLETE" else again, "owner": None}
+    return state
 
-    LEASE is granted where nobody holds an unexpired lease and attempts are left, COMPLETE and FAIL count only from the holder.
-    """
-    state = {"status": "queued", "owner": None, "expires": 0.0, "attempts": 0, "refused": 0}
+
+def fold_leases(events: Iterable[tuple[str, float, str]], lease: float = 60.0, max_attempts: int = 3) -> dict:
+    """State after a key's (event, time, owner) in time order."""
+    state = dict(START)
     for event, at, owner in events:
-        held = state["status"] == "leased" and at < state["expires"]
-        if event == "LEASE":
-            if state["status"] in ("succeeded", "dead_letter") or held:
-                state["refused"] += 1
-            elif state["attempts"] >= max_attempts:
-                state["status"] = "dead_letter"
-            else:
-                state |= {"status": "leased", "owner": owner, "expires": at + lease, "attempts": state["attempts"] + 1}
-        elif event in ("COMPLETE", "FAIL"):
-            if not held or state["owner"] != owner:
-                state["refused"] += 1
-            elif event == "COMPLETE":
-                state |= {"status": "succeeded", "owner": None}
-            else:
-                state |= {"status": "dead_letter" if state["attempts"] >= max_attempts else "retryable", "owner": None}
+        state = lease_step(state, event, at, owner, lease, max_attempts)
     return state
 
 

@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def either_key(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], value: str) -> DataFrame:
@@ -146,6 +147,7 @@ def located_quotes(quotes: DataFrame, blocks: DataFrame, quote_id: str, quote: s
 
 def _by_automaton(q: DataFrame, b: DataFrame) -> DataFrame:
     shared = q.sparkSession.sparkContext.broadcast([tuple(r) for r in q.collect()])  # MAX_QUOTE_BYTES at most
+    id_type = to_arrow_type(q.schema["q"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
@@ -167,7 +169,7 @@ def _by_automaton(q: DataFrame, b: DataFrame) -> DataFrame:
                 rows += [(i, place, text.find(shared.value[place][1]) + 1, at) for place, at in first.items()]
             if rows:
                 i, place, at, loose = zip(*rows, strict=True)
-                ids = pa.array([shared.value[x][0] for x in place])
+                ids = pa.array([shared.value[x][0] for x in place], id_type)
                 yield pa.RecordBatch.from_arrays([ids, batch.column("b").take(pa.array(i)), pa.array(at, pa.int64()), pa.array(loose, pa.int64())], names=["q", "b", "at", "loose"])
 
     kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for df, c in ((q, "q"), (b, "b"))]
