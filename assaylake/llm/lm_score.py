@@ -21,14 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaylake.llm._common import quoted, raw_text, slices
+from assaylake.llm._common import quoted, raw_text, slices, written
 
 #: Distinct words that a task holds before it hands its counts on.
 HELD_WORDS = 1 << 19
+#: Levels of frequency for each doubling, and how many times the vocabulary may be candidates.
+LEVELS, SLACK = 16, 8
 #: Target ids that are broadcast at most; beyond, documents and targets meet in a shuffle.
 MAX_BROADCAST_IDS = 4_000_000
 
@@ -75,6 +77,8 @@ def buckets(ids: np.ndarray, vocab: int, n: int) -> tuple[np.ndarray, np.ndarray
 
 
 def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
+    """The `size` most frequent words by rank. Levels of frequency tell which words can be among them, so at most SLACK * size words go to the driver."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
 
@@ -91,7 +95,19 @@ def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
         if seen:
             yield told()
 
-    got = rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
+    level = F.floor(F.log2("n") * LEVELS).cast("int")
+    counts = written(rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).withColumn("level", level))
+    sizes = {r["level"]: r["words"] for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("words")).collect()}  # 64 * LEVELS at most
+    above, least = 0, 0
+    for least in sorted(sizes, reverse=True):
+        above += sizes[least]
+        if above >= size:
+            break
+    able = counts.where(F.col("level") >= least)
+    if above > SLACK * size:  # many words as rare as the last one: the first of each of a few groups, still all that can be among the first
+        order = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(SLACK))).orderBy(F.desc("n"), "word")
+        able = able.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    got = able.orderBy(F.desc("n"), "word").limit(size).select("word").collect()
     return {bytes(r["word"]): i for i, r in enumerate(got)}
 
 
