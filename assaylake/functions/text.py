@@ -120,7 +120,7 @@ def truncated_snippet(text: Column, size: int = 240) -> Column:
 
 def sentences(text: Column) -> Column:
     """Distinct sentences in order of first appearance."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+"), F.trim), lambda s: s != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+"), lambda s: F.trim(s)), lambda s: s != ""))
 
 
 def section_heading(text: Column, known: tuple[str, ...] = ("abstract", "introduction", "methods", "results", "conclusions", "references")) -> Column:
@@ -133,3 +133,15 @@ def section_heading(text: Column, known: tuple[str, ...] = ("abstract", "introdu
 def utc_time(text: Column) -> Column:
     """Time of an RFC 3339 text; null where it has no zone."""
     return F.when(text.rlike(r"(?i)(Z|[+-][0-9]{2}:?[0-9]{2})$"), F.try_to_timestamp(text))
+
+
+def oxide_label(header: Column) -> Column:
+    """A component header without spaces and subscripts; marked losses on ignition become LOI."""
+    plain = F.translate(F.regexp_replace(header, r"\s+", ""), "₀₁₂₃₄₅₆₇₈₉", "0123456789")
+    return F.when(plain.rlike(r"^LOI[a-z*†‡]$"), "LOI").otherwise(plain)
+
+
+def is_component(header: Column) -> Column:
+    """Whether a header names an oxide, a sum of oxides, LOI or the rest."""
+    oxide = r"[A-Z][a-z]?[0-9]*O[0-9]*"
+    return oxide_label(header).rlike(rf"^({oxide}(\+{oxide})*|LOI|Others?)$")

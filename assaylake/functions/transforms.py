@@ -62,3 +62,18 @@ def bar_value(top: Column, baseline: Column, axis_zero: Column, slope: Column, l
     """Height of a bar on a calibrated axis; null if it doesn't stand on the axis or leaves the ticks by more than one."""
     value = (axis_zero - top) * slope
     return F.when((F.abs(baseline - axis_zero) <= tolerance) & value.between(low - tick, high + tick), value)
+
+
+def tick_defect(ticks: Column, log: Column, tolerance: Column) -> Column:
+    """What is wrong with an axis' ticks (array<struct(px, value)>), null if they agree with the line through the first and the last."""
+    t = F.array_sort(ticks)
+    v = F.when(log, F.transform(t, lambda x: F.log10(x.value))).otherwise(F.transform(t, lambda x: x.value))
+    n = F.size(t)
+    steps = F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.struct((F.get(t, i + 1)["px"] - F.get(t, i)["px"]).alias("p"), (F.get(v, i + 1) - F.get(v, i)).alias("v")))
+    first, last = F.get(t, 0), F.get(t, n - 1)
+    line = F.transform(v, lambda x: linear(x, F.get(v, 0), first["px"], F.get(v, n - 1), last["px"]))
+    worst = F.array_max(F.zip_with(line, t, lambda p, x: F.abs(p - x.px)))
+    return (
+        F.when(n < 3, "TOO_FEW_TICKS").when(F.exists(steps, lambda s: s.p <= 0), "DUPLICATE_PIXEL").when(log & F.exists(t, lambda x: x.value <= 0), "NON_POSITIVE_LOG_TICK")
+        .when(~(F.forall(steps, lambda s: s.v > 0) | F.forall(steps, lambda s: s.v < 0)), "NOT_MONOTONIC").when(worst > tolerance, "RESIDUAL")
+    )

@@ -19,9 +19,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The application's own part of the shared folder."""
+    return f"{shared_dir(spark)}/assaylake/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes the application's written tables; for the end of a job, when no frame that reads them is left."""
+    jvm, path = spark.sparkContext._jvm, own_dir(spark)
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df` as a Parquet table in the shared folder: lost executors re-read files."""
-    path = f"{shared_dir(df.sparkSession)}/assaylake/{uuid.uuid4().hex}"
+    path = f"{own_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

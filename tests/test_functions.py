@@ -43,7 +43,7 @@ def test_coded_composition(spark):
 
 
 def test_sentences_and_snippet(spark):
-    assert apply(spark, text.sentences, ["One. Two! One. Three"]) == [["One.", "Two!", "Three"]]
+    assert apply(spark, text.sentences, ["One.  Two! \n One. Three"]) == [["One.", "Two!", "Three"]]
     (found,) = apply(spark, text.truncated_snippet, ["x" * 300])
     assert len(found["snippet"]) == 240 and len(found["sha256"]) == 64
 
