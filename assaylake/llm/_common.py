@@ -1,45 +1,22 @@
-"""Shared plumbing of the training-data operators: written tables, checkpoints, Arrow batches."""
+"""Shared plumbing of the training-data operators: Arrow batches, names, and the library's written tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assaylake.plans.storage import cut, shared_dir, written
+
+__all__ = ["cut", "quoted", "raw_text", "shared_dir", "slices", "written"]
+
 #: Rows of one slice handed to a Python kernel; long texts make slices smaller, see `slices`.
 SLICE_ROWS = 2048
 #: Bytes of one slice.
 SLICE_BYTES = 16 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="assaylake-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def written(df: DataFrame) -> DataFrame:
-    """`df` as a Parquet table in the shared folder: lineage ends there, lost executors re-read files."""
-    path = f"{shared_dir(df.sparkSession)}/assaylake/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """`df` behind a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str | None = None) -> Iterator[pa.RecordBatch]:
     """Batches cut so that one slice holds few rows and, for `column`, about SLICE_BYTES at most (one row at least)."""
     for batch in batches:
