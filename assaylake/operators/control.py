@@ -94,3 +94,38 @@ def levels(edges: DataFrame, nodes: DataFrame, node: str, parent: str, child: st
             return new
         now = new
     raise ValueError("the task graph has a cycle or is too deep")
+
+
+def resume(members: DataFrame, done: DataFrame, config: str) -> DataFrame:
+    """`members` (member, content) with what to do: REUSE where the same content was finished under the same configuration, REDO where either changed, RUN for new ones.
+
+    done: member, content, config, status.
+    """
+    old = done.where("status = 'DONE'").select("member", F.col("content").alias("_c"), F.col("config").alias("_f"))
+    met = members.join(old, "member", "left")
+    return met.select("member", "content", F.when(F.col("_c").isNull(), "RUN").when((F.col("_c") == F.col("content")) & (F.col("_f") == config), "REUSE").otherwise("REDO").alias("action"))
+
+
+def ready_tasks(tasks: DataFrame, edges: DataFrame, results: DataFrame) -> DataFrame:
+    """`tasks` (task, cache_key) with state: CACHED, READY where all parents have a result, BLOCKED where one failed, else WAITING.
+
+    edges: parent, child; results: cache_key, status (DONE or FAILED).
+    """
+    r = results.groupBy("cache_key").agg(F.min("status").alias("_s"))
+    known = tasks.join(r, "cache_key", "left")
+    parents = edges.join(known.select(F.col("task").alias("parent"), F.col("_s").alias("_ps")), "parent")
+    gathered = parents.groupBy(F.col("child").alias("task")).agg(F.count_if(F.col("_ps") == "FAILED").alias("_bad"), F.count_if(F.col("_ps").isNull()).alias("_open"))
+    met = known.join(gathered, "task", "left")
+    state = F.when(F.col("_s") == "DONE", "CACHED").when(F.coalesce("_bad", F.lit(0)) > 0, "BLOCKED").when(F.coalesce("_open", F.lit(0)) > 0, "WAITING").otherwise("READY")
+    return met.select(*tasks.columns, state.alias("state"))
+
+
+def replace_run(claims: DataFrame, path: str) -> None:
+    """Replaces the partitions of the runs in `claims` and no others: one commit."""
+    claims.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def sealed(members: DataFrame, group: str, order: str, digest: str) -> DataFrame:
+    """(group, seal, n): hash over the members' hashes in order; a packet is valid while its seal comes out again."""
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, digest))), lambda m: m[digest]), "")
+    return members.groupBy(group).agg(F.sha2(joined.cast("binary"), 256).alias("seal"), F.count(F.lit(1)).alias("n"))

@@ -105,3 +105,37 @@ def pie_share(votes: DataFrame, image: str, angle: str, series: str) -> DataFram
     sole = tally.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(image, angle))).where("_k = 1")
     angles = votes.groupBy(image).agg(F.count_distinct(angle).alias("_all"))
     return sole.groupBy(image, series).agg(F.count(F.lit(1)).alias("_c")).join(angles, image).select(image, series, (F.col("_c") / F.col("_all")).alias("share"))
+
+
+def stroke_curve(segments: DataFrame, rgb: tuple[float, float, float], box: tuple[float, float, float, float], least: int = 15, share: float = 0.85, tolerance: float = 0.005) -> DataFrame:
+    """(page, n_segments, coverage, status) of vector segments (page, x0, y0, x1, y1, r, g, b) of one colour inside a box: enough segments over enough of its width."""
+    bx0, by0, bx1, by1 = box
+    near = (F.abs(F.col("r") - rgb[0]) <= tolerance) & (F.abs(F.col("g") - rgb[1]) <= tolerance) & (F.abs(F.col("b") - rgb[2]) <= tolerance)
+    inside = F.col("x0").between(bx0, bx1) & F.col("x1").between(bx0, bx1) & F.col("y0").between(by0, by1) & F.col("y1").between(by0, by1)
+    own = segments.where(near & inside).select("page", "x0", "y0", "x1", "y1").distinct()
+    got = own.groupBy("page").agg(F.count(F.lit(1)).alias("n_segments"), ((F.max(F.greatest("x0", "x1")) - F.min(F.least("x0", "x1"))) / (bx1 - bx0)).alias("coverage"))
+    return got.withColumn("status", F.when((F.col("n_segments") >= least) & (F.col("coverage") >= share), "CANDIDATE").otherwise("QUARANTINED"))
+
+
+def chained_fragments(ends: DataFrame, reach: float) -> DataFrame:
+    """(image, left_id, right_id): fragments whose end and start are each other's nearest within reach; mutual choice, so no fragment is used twice.
+
+    ends: image, fragment, x_start, y_start, x_end, y_end. Fragments meet by a grid of the reach, not in all pairs.
+    """
+    cell = lambda c: F.floor(F.col(c) / reach)
+    right = ends.select("image", F.col("fragment").alias("right_id"), F.col("x_start").alias("_xs"), F.col("y_start").alias("_ys"), cell("x_start").alias("_cx"), cell("y_start").alias("_cy"))
+    around = F.array(*[F.struct((cell("x_end") + dx).alias("_cx"), (cell("y_end") + dy).alias("_cy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    left = ends.select("image", F.col("fragment").alias("left_id"), "x_end", "y_end", F.explode(around).alias("_c")).select("image", "left_id", "x_end", "y_end", "_c.*")
+    met = left.join(right, ["image", "_cx", "_cy"]).where("left_id != right_id AND _xs >= x_end").withColumn("_d", F.sqrt(F.pow(F.col("_xs") - F.col("x_end"), 2) + F.pow(F.col("_ys") - F.col("y_end"), 2))).where(F.col("_d") <= reach)
+    first = lambda side, *ties: F.row_number().over(Window.partitionBy("image", side).orderBy("_d", *ties)) == 1
+    return met.withColumns({"_l": first("left_id", "right_id"), "_r": first("right_id", "left_id")}).where("_l AND _r").select("image", "left_id", "right_id")
+
+
+def assembled(tracks: DataFrame, axes: DataFrame) -> DataFrame:
+    """`tracks` (panel, curve, x, y) with axis values of their panel; axes: panel, px0, vx0, px1, vx1, py0, vy0, py1, vy1, log_x."""
+    from assaylake.functions.transforms import axis_value
+
+    met = tracks.join(axes, "panel")
+    c = [F.col(n) for n in ("px0", "vx0", "px1", "vx1")]
+    x = F.when(F.col("log_x"), axis_value(F.col("x"), *c, log=True)).otherwise(axis_value(F.col("x"), *c))
+    return met.select("panel", "curve", "x", "y", x.alias("value_x"), axis_value(F.col("y"), *[F.col(n) for n in ("py0", "vy0", "py1", "vy1")]).alias("value_y"))

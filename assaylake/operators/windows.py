@@ -193,3 +193,38 @@ def stroke_segments(pixels: DataFrame, group: str, x: str, max_gap: int = 2, max
 
     return pixels.groupBy(group).applyInPandas(run, f"{group} {pixels.schema[group].dataType.simpleString()}, x_start long, x_end long")
 
+
+
+def raster_percentile(points: DataFrame, curve: str, target: float, target_low: float, target_high: float, max_gap: float, pad: float = 2.0) -> DataFrame:
+    """(curve, x, x_low, x_high, status, reason) where a pixel curve (x, y, y growing downwards) passes a target row.
+
+    One falling crossing a.y >= target > b.y within the gap is a candidate if the displaced targets (lowest less pad, highest plus pad) have one each too;
+    the interval spans all their brackets and the pad.
+    """
+    order = Window.partitionBy(curve).orderBy("ordinal")
+    rows = points.withColumns({"_x1": F.lead("x").over(order), "_y1": F.lead("y").over(order)})
+    aims = {"c": target, "l": target_low - pad, "h": target_high + pad}
+    cuts = {k: (F.col("y") >= v) & (F.lit(v) > F.col("_y1")) for k, v in aims.items()}
+    read = F.col("x") + (F.lit(target) - F.col("y")) / (F.col("_y1") - F.col("y")) * (F.col("_x1") - F.col("x"))
+    got = rows.groupBy(curve).agg(
+        *[F.count_if(c).alias(f"_n{k}") for k, c in cuts.items()], *[F.max(F.when(c, F.col("_x1") - F.col("x"))).alias(f"_g{k}") for k, c in cuts.items()], *[F.min(F.when(c, F.least("x", "_x1"))).alias(f"_a{k}") for k, c in cuts.items()],
+        *[F.max(F.when(c, F.greatest("x", "_x1"))).alias(f"_b{k}") for k, c in cuts.items()], F.max(F.when(cuts["c"], read)).alias("_x"),
+    )
+    bounded = (F.col("_nl") == 1) & (F.col("_nh") == 1) & (F.col("_gl") <= max_gap) & (F.col("_gh") <= max_gap)
+    reason = F.when(F.col("_nc") != 1, "NON_UNIQUE_OR_MISSING_CROSSING").when(F.col("_gc") > max_gap, "DASH_GAP_EXCEEDS_LIMIT").when(~bounded, "UNCERTAINTY_CROSSING_NOT_BOUNDED")
+    good = reason.isNull()
+    return got.select(
+        curve, F.when(good, F.col("_x")).alias("x"), F.when(good, F.least("_ac", "_al", "_ah") - pad).alias("x_low"), F.when(good, F.greatest("_bc", "_bl", "_bh") + pad).alias("x_high"), F.when(good, "CANDIDATE").otherwise("QUARANTINED").alias("status"), reason.alias("reason")
+    )
+
+
+def outline_section(items: DataFrame, curve: str, target: float) -> DataFrame:
+    """(curve, x, status): the middle between the two places where the one closed outline is cut by a row.
+
+    items: curve, fragment, closed, ax, ay, bx, by. Curves whose outlines the row misses are left out.
+    """
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+    hits = items.where(F.col("closed") & (low <= target) & (F.lit(target) < high)).withColumn("_x", F.col("ax") + (F.lit(target) - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay")))
+    got = hits.groupBy(curve).agg(F.count_distinct("fragment").alias("_f"), F.count(F.lit(1)).alias("_n"), F.avg("_x").alias("_m"))
+    one = (F.col("_f") == 1) & (F.col("_n") == 2)
+    return got.select(curve, F.when(one, F.col("_m")).alias("x"), F.when(one, "CANDIDATE").otherwise("QUARANTINED").alias("status"))

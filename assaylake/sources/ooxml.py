@@ -219,3 +219,41 @@ class WorkbookSource(DataSource):
 
         paths = json.loads(self.options["paths"]) if "paths" in self.options else [self.options["path"]]
         return WorkbookReader(paths)
+
+
+CHART = "{http://schemas.openxmlformats.org/drawingml/2006/chart}"
+
+
+def chart_points(content: bytes) -> Iterator[tuple[str, int, str | None, float | None, float | None, float | None]]:
+    """(series, place, category, value, minus, plus) of the cached values of a native chart part."""
+    for series in ElementTree.fromstring(content).iter(f"{CHART}ser"):
+        name = "".join(v.text or "" for v in series.iterfind(f"{CHART}tx//{CHART}v"))
+
+        def cached(tag: str, series: ElementTree.Element = series) -> dict[int, str]:
+            node = series.find(tag)
+            return {} if node is None else {int(p.get("idx", "0")): v.text or "" for p in node.iter(f"{CHART}pt") for v in p.iterfind(f"{CHART}v")}
+
+        category = cached(f"{CHART}cat") or cached(f"{CHART}xVal")
+        value = cached(f"{CHART}val") or cached(f"{CHART}yVal")
+        minus, plus = cached(f"{CHART}errBars/{CHART}minus"), cached(f"{CHART}errBars/{CHART}plus")
+        number = lambda d, i: float(d[i]) if d.get(i) else None
+        for i in sorted(value):
+            yield name, i, category.get(i), number(value, i), number(minus, i), number(plus, i)
+
+
+def native_charts(files: DataFrame) -> DataFrame:
+    """(path, part, series, place, category, value, minus, plus, issue) of all chart parts of Word and Excel files."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple] = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        for part in sorted(n for n in z.namelist() if "/charts/chart" in n and n.endswith(".xml")):
+                            rows += [(path, part, *p, None) for p in chart_points(z.read(part))]
+                except Exception as error:  # noqa: BLE001
+                    rows.append((path, None, None, None, None, None, None, None, f"UNREADABLE:{type(error).__name__}"))
+            yield pd.DataFrame(rows, columns=["path", "part", "series", "place", "category", "value", "minus", "plus", "issue"]).astype(object)
+
+    return files.select("path", "content").mapInPandas(run, "path string, part string, series string, place long, category string, value double, minus double, plus double, issue string")
