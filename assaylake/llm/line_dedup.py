@@ -37,6 +37,8 @@ from assaylake.llm.cuckoo import CuckooFilter, Shards
 SPACE = b" \t\n\r\x0b\x0c"
 SHARD_KEYS = 1 << 16
 MAX_FILTER_BYTES = 64 << 20
+#: Droppable keys (24 bytes each) that are broadcast at most; beyond, postings and keys meet in a shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
 #: Bytes of a filter for each key, at most: two bytes a slot, half-filled tables after doubling.
 KEY_BYTES = 5
 
@@ -141,7 +143,7 @@ def apply_counts(docs: DataFrame, posts: DataFrame, counts: DataFrame, id_col: s
         open_docs = touched(base, text_col, min_chars, shards, wanted=True)
     else:
         open_docs = base
-    doomed = posts.join(droppable, ["hi", "lo"]).where("id != last").distinct().groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("hi", "lo")).alias("__doomed"))
+    doomed = posts.join(F.broadcast(droppable) if n <= MAX_BROADCAST_KEYS else droppable, ["hi", "lo"]).where("id != last").distinct().groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("hi", "lo")).alias("__doomed"))
     met = open_docs.join(doomed, open_docs[quoted(id_col)] == doomed["__id"], "left").drop("__id")
     names = base.columns
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
