@@ -145,3 +145,25 @@ def is_component(header: Column) -> Column:
     """Whether a header names an oxide, a sum of oxides, LOI or the rest."""
     oxide = r"[A-Z][a-z]?[0-9]*O[0-9]*"
     return oxide_label(header).rlike(rf"^({oxide}(\+{oxide})*|LOI|Others?)$")
+
+
+#: "A and B had d50 of 12 and 15 um, respectively": two names, two values, one unit.
+RESPECTIVE = rf"\b([A-Za-z][\w-]*) and ([A-Za-z][\w-]*) (?:was|were|is|are|has|have|had|showed|with)\b[^.;]*?({NUMBER})\s*([A-Za-zµμ%/0-9]+)? and ({NUMBER})\s*([A-Za-zµμ%/0-9]+),? respectively"
+
+
+def respective_pairs(text: Column) -> Column:
+    """array<struct(name, value, unit)> of a sentence that pairs two names with two values; empty for equal names, longer lists and other sentences."""
+    part = lambda n: F.regexp_extract(text, RESPECTIVE, n)
+    longer = text.rlike(rf",\s*[A-Za-z][\w-]*,? and [A-Za-z][\w-]* (?:was|were|is|are|has|have|had|showed|with)\b[^.;]*respectively")
+    good = text.rlike(RESPECTIVE) & ~longer & (part(1) != part(2))
+    one = lambda name, value: F.struct(part(name).alias("name"), part(value).cast("double").alias("value"), part(6).alias("unit"))
+    return F.when(good, F.array(one(1, 3), one(2, 5))).otherwise(F.array().cast("array<struct<name: string, value: double, unit: string>>"))
+
+
+def phase_shares(text: Column, tolerance: float = 0.11) -> Column:
+    """struct(shares, total, complete): phases with their percentages and whether these add up to 100; a repeated phase makes the map null."""
+    pattern = r"([A-Z][a-z]+(?: phase)?)\s*[(:=]?\s*([0-9]+(?:\.[0-9]+)?)\s*(?:wt\.?\s*)?%"
+    names, values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).cast("array<double>")
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    distinct = F.size(F.array_distinct(names)) == F.size(names)
+    return F.struct(F.when(distinct, F.map_from_arrays(names, values)).alias("shares"), total.alias("total"), (distinct & (F.abs(total - 100) <= tolerance)).alias("complete"))

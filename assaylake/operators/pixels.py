@@ -139,3 +139,47 @@ def assembled(tracks: DataFrame, axes: DataFrame) -> DataFrame:
     c = [F.col(n) for n in ("px0", "vx0", "px1", "vx1")]
     x = F.when(F.col("log_x"), axis_value(F.col("x"), *c, log=True)).otherwise(axis_value(F.col("x"), *c))
     return met.select("panel", "curve", "x", "y", x.alias("value_x"), axis_value(F.col("y"), *[F.col(n) for n in ("py0", "vy0", "py1", "vy1")]).alias("value_y"))
+
+
+def bars(pixels: DataFrame, rgb: tuple[int, int, int], distance: float, baseline: float, tolerance: float = 3.0, least_width: int = 3) -> DataFrame:
+    """(image, bar, x0, x1, top, bottom, status): filled areas of a colour from left to right; those that don't stand on the baseline are DETACHED."""
+    parts = components(pixels.where(color_distance(*rgb) <= distance).select("image", "x", "y"))
+    box = parts.groupBy("image", "component").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("top"), F.max("y").alias("bottom")).where(F.col("x1") - F.col("x0") + 1 >= least_width)
+    place = F.row_number().over(Window.partitionBy("image").orderBy("x0", "top"))
+    return box.select("image", place.alias("bar"), "x0", "x1", "top", "bottom", F.when(F.abs(F.col("bottom") - baseline) <= tolerance, "STANDING").otherwise("DETACHED").alias("status"))
+
+
+def stacked(boxes: DataFrame, gap: float = 1.0) -> DataFrame:
+    """`boxes` (image, x0, x1, top, bottom) with their layer in a column of areas, counted from below; a gap between two of them makes the column's layers null."""
+    column = Window.partitionBy("image", "x0")
+    up = column.orderBy(F.desc("bottom"))
+    below = F.lag("top").over(up)
+    told = boxes.withColumns({"layer": F.row_number().over(up), "_apart": (below.isNotNull() & (F.abs(below - F.col("bottom")) > gap + 1)).cast("int")})
+    return told.withColumn("layer", F.when(F.max("_apart").over(column) == 0, F.col("layer"))).drop("_apart")
+
+
+def dot_centroids(pixels: DataFrame, rgb: tuple[int, int, int], distance: float, most: int = 400) -> DataFrame:
+    """(image, component, x, y, n): centres of the separate spots of a colour; larger areas are no dots."""
+    hit = pixels.where(color_distance(*rgb) <= distance).select("image", "x", "y")
+    return components(hit).groupBy("image", "component").agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count(F.lit(1)).alias("n")).where(F.col("n") <= most)
+
+
+def colour_mixture(pixels: DataFrame, a: tuple[int, int, int], b: tuple[int, int, int], residual: float) -> DataFrame:
+    """`pixels` on the line between two colours with their share of the second: least squares per pixel, clipped to 0..1; others are left out."""
+    d = [y - x for x, y in zip(a, b, strict=True)]
+    norm = float(sum(x * x for x in d))
+    share = sum(((F.col(c) - a[i]) * d[i] for i, c in enumerate("rgb")), F.lit(0.0)) / norm
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+    off = F.sqrt(sum((F.pow(F.col(c) - a[i] - F.col("share") * d[i], 2) for i, c in enumerate("rgb")), F.lit(0.0)))
+    return pixels.withColumn("share", clipped).where(off <= residual)
+
+
+def translated_copies(markers: DataFrame) -> DataFrame:
+    """(shape, n, x, y, page, marker): markers whose points are the same up to a shift share a shape.
+
+    markers: page, marker, points array<struct(x, y)>; the shape is a hash of the points relative to their corner, so copies meet by an equi-join.
+    """
+    x0, y0 = F.array_min(F.transform("points", lambda p: p.x)), F.array_min(F.transform("points", lambda p: p.y))
+    relative = F.array_join(F.transform(F.array_sort(F.transform("points", lambda p: F.struct(F.round(p.x - x0, 3).alias("x"), F.round(p.y - y0, 3).alias("y")))), lambda p: F.concat_ws(":", p.x.cast("string"), p.y.cast("string"))), ";")
+    shaped = markers.select("page", "marker", x0.alias("x"), y0.alias("y"), F.substr(F.sha2(relative.cast("binary"), 256), F.lit(1), F.lit(16)).alias("shape"))
+    return shaped.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("shape")))

@@ -112,3 +112,28 @@ def test_native_charts(spark):
         z.writestr("xl/charts/chart1.xml", part)
     row = ooxml.native_charts(spark.createDataFrame([("f", bytearray(out.getvalue()))], "path string, content binary")).first()
     assert (row["series"], row["category"], row["value"], row["minus"], row["plus"]) == ("S", "A", 3.0, None, 0.5)
+
+
+def test_bars_dots_and_copies(spark):
+    area = lambda xs, ys, rgb: [("i", x, y, *rgb) for x in xs for y in ys]
+    rows = area(range(0, 5), range(10, 21), (255, 0, 0)) + area(range(10, 15), range(5, 21), (255, 0, 0)) + area(range(20, 25), range(2, 8), (255, 0, 0)) + area([30], [3], (0, 0, 255)) + area(range(0, 5), range(4, 10), (0, 255, 0))
+    px = spark.createDataFrame(rows, "image string, x long, y long, r int, g int, b int")
+    got = [(r["bar"], r["x0"], r["top"], r["status"]) for r in pixels.bars(px, (255, 0, 0), 10.0, 20.0).orderBy("bar").collect()]
+    assert got == [(1, 0, 10, "STANDING"), (2, 10, 5, "STANDING"), (3, 20, 2, "DETACHED")]
+    boxes = spark.createDataFrame([("i", 0, 4, 10, 20), ("i", 0, 4, 4, 9), ("i", 10, 14, 10, 20), ("i", 10, 14, 0, 5)], "image string, x0 int, x1 int, top int, bottom int")
+    assert sorted((r["x0"], r["top"], r["layer"] or 0) for r in pixels.stacked(boxes).collect()) == [(0, 4, 2), (0, 10, 1), (10, 0, 0), (10, 10, 0)]
+    assert [(r["x"], r["y"], r["n"]) for r in pixels.dot_centroids(px, (0, 0, 255), 10.0).collect()] == [(30.0, 3.0, 1)]
+    mixed = spark.createDataFrame([("m", 0, 0, 128, 0, 127), ("m", 1, 0, 128, 90, 127)], "image string, x long, y long, r int, g int, b int")
+    assert [round(r["share"], 2) for r in pixels.colour_mixture(mixed, (255, 0, 0), (0, 0, 255), 5.0).collect()] == [0.5]
+    marks = spark.createDataFrame([(1, 1, [(0.0, 0.0), (1.0, 2.0)]), (1, 2, [(6.0, 7.0), (5.0, 5.0)]), (1, 3, [(0.0, 0.0), (2.0, 2.0)])], "page int, marker int, points array<struct<x: double, y: double>>")
+    assert {r["marker"]: r["n"] for r in pixels.translated_copies(marks).collect()} == {1: 2, 2: 2, 3: 1}
+
+
+def test_respective_pairs_and_phases(spark):
+    from assaylake.functions import text
+
+    rows = spark.createDataFrame([(1, "FA and GGBS had d50 of 12.5 um and 15 um, respectively."), (2, "A, B and C had d50 of 1 um and 2 um, respectively"), (3, "FA and FA were 1 um and 2 um respectively"), (4, "plain")], "i int, t string")
+    got = {r["i"]: [tuple(p) for p in r["p"]] for r in rows.select("i", text.respective_pairs(F.col("t")).alias("p")).collect()}
+    assert got == {1: [("FA", 12.5, "um"), ("GGBS", 15.0, "um")], 2: [], 3: [], 4: []}
+    row = spark.range(1).select(text.phase_shares(F.lit("Quartz 20.5 %, Mullite (9.5 wt.%) and Amorphous 70%"))).first()[0]
+    assert row["shares"] == {"Quartz": 20.5, "Mullite": 9.5, "Amorphous": 70.0} and row["complete"]
