@@ -33,8 +33,8 @@ BLOCKS, BLOCK_BITS = 4, 16
 CLASSES = (BLOCK_BITS + 1) ** BLOCKS
 #: Fingerprints of a tile, at most by expectation: a class beyond it is dealt to several tiles by a hash.
 TILE = 1 << 14
-#: Compared pairs held at once.
-CELLS = 1 << 20
+#: Compared pairs held at once, and the longer side of their block.
+CELLS, WIDE = 1 << 16, 1 << 12
 #: Shingles whose bits are unpacked at once.
 UNPACKED = 1 << 15
 
@@ -105,19 +105,30 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
+def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs that differ by `radius` bits at most, block by block; a block fits a core's cache."""
+    wide = max(1, min(len(b), WIDE))
+    tall = max(1, CELLS // wide)
+    both, count = np.empty((tall, wide), dtype=np.uint64), np.empty((tall, wide), dtype=np.uint8)
+    for j in range(0, len(b), wide):
+        right = b[None, j : j + wide]
+        for i in range(0, len(a), tall):
+            left = a[i : i + tall, None]
+            x, n = both[: len(left), : right.shape[1]], count[: len(left), : right.shape[1]]
+            np.bitwise_xor(left, right, out=x)
+            np.bitwise_count(x, out=n)
+            hit = np.flatnonzero(n <= radius)
+            if len(hit):
+                yield i + hit // right.shape[1], j + hit % right.shape[1]
+
+
 def compare(stored: np.ndarray, probes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links between two arrays of fingerprints; equal ones are no link."""
     us, vs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    wide = max(1, min(len(probes), 4096))
-    tall = max(1, CELLS // wide)
-    for i in range(0, len(stored), tall):
-        own = stored[i : i + tall, None]
-        for j in range(0, len(probes), wide):
-            x, y = np.nonzero(np.bitwise_count(own ^ probes[None, j : j + wide]) <= radius)
-            if len(x):
-                u, v = forest(own[x, 0], probes[j + y])
-                us.append(u)
-                vs.append(v)
+    for x, y in close_pairs(stored, probes, radius):
+        u, v = forest(stored[x], probes[y])
+        us.append(u)
+        vs.append(v)
     u, v = np.concatenate(us), np.concatenate(vs)
     return forest(u, v) if len(u) else (u, v)
 
