@@ -27,13 +27,12 @@ from pyspark.sql import types as T
 
 from assaylake.llm._common import cut, quoted, raw_text, slices, written
 from assaylake.operators.graph import connected_components
-from assaylake.llm.simhash import fingerprint, forest, shingle_hashes
+from assaylake.llm.simhash import close_pairs, fingerprint, forest, shingle_hashes
 
 WORDS = 4
 NAMES = [f"w{k}" for k in range(WORDS)]
 #: Fingerprints of a tile at most, and of one row that carries part of a tile.
 TILE, PART = 1 << 18, 4096
-CELLS = 1 << 20
 #: Documents of a tile of a candidate group.
 GROUP_TILE = 512
 #: Rows of ids that are broadcast at most; beyond, both sides are shuffled.
@@ -91,21 +90,15 @@ def candidate_links(reps: DataFrame, near: int, far: int) -> DataFrame:
         vs: list[np.ndarray] = []
 
         def compare(a_ids, a, b_ids, b, same: bool) -> None:
-            wide = min(len(b_ids), 4096)
-            tall = max(1, CELLS // max(1, wide))
-            for s in range(0, len(b_ids), max(1, wide)):
-                for r in range(0, len(a_ids), tall):
-                    x, y = np.nonzero(np.bitwise_count(a[0, r : r + tall, None] ^ b[0, None, s : s + wide]) <= near)
-                    x, y = x + r, y + s
-                    if same:
-                        keep = a_ids[x] < b_ids[y]
-                        x, y = x[keep], y[keep]
-                    if len(x):
-                        close = np.bitwise_count(a[:, x] ^ b[:, y]).sum(axis=0, dtype=np.int64) <= far
-                        if close.any():
-                            u, v = forest(a_ids[x[close]], b_ids[y[close]])
-                            us.append(u)
-                            vs.append(v)
+            for x, y in close_pairs(a[0], b[0], near):
+                if same:
+                    keep = a_ids[x] < b_ids[y]
+                    x, y = x[keep], y[keep]
+                close = np.bitwise_count(a[:, x] ^ b[:, y]).sum(axis=0, dtype=np.int64) <= far
+                if close.any():
+                    u, v = forest(a_ids[x[close]], b_ids[y[close]])
+                    us.append(u)
+                    vs.append(v)
 
         for batch in batches:
             column = batch.column("own")
