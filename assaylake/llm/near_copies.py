@@ -33,8 +33,8 @@ WORDS = 4
 NAMES = [f"w{k}" for k in range(WORDS)]
 #: Fingerprints of a tile at most, and of one row that carries part of a tile.
 TILE, PART = 1 << 18, 4096
-#: Documents of a tile of a candidate group.
-GROUP_TILE = 512
+#: Documents of a tile of a candidate group; every pair of tiles is a task's key of its own.
+GROUP_TILE = 256
 #: Rows of ids that are broadcast at most; beyond, both sides are shuffled.
 MAX_BROADCAST_IDS = 1_000_000
 #: Standard deviations by which the radius lies above the distance to expect at the threshold.
@@ -138,7 +138,9 @@ def verified_links(docs: DataFrame, groups: DataFrame, similarity: float, id_col
 
     made = rows.select("node", "text", "root", "tiles").mapInArrow(sets, "root long, tiles int, node long, own array<long>")
     home = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    spread = made.withColumn("home", home).select("root", F.explode(F.sequence("home", F.col("tiles") - 1)).alias("tile"), "home", "node", "own").withColumn("role", (F.col("tile") != F.col("home")).cast("int"))
+    other = F.sequence(F.lit(0), F.col("tiles") - 1)
+    pairs = F.transform(other, lambda o: F.struct(F.least(o, F.col("home")).alias("i"), F.greatest(o, F.col("home")).alias("j"), F.when(F.col("home") <= o, 0).otherwise(1).alias("role")))
+    spread = made.withColumn("home", home).select("root", F.explode(pairs).alias("p"), "node", "own").select("root", "p.i", "p.j", "p.role", "node", "own")
 
     class Tile:
         """Documents with their hashes in one sorted array."""
@@ -179,42 +181,37 @@ def verified_links(docs: DataFrame, groups: DataFrame, similarity: float, id_col
             us.append(np.full(len(others), node))
             vs.append(others)
 
-        def inside() -> None:
-            for node, own in zip(tile.nodes, tile.sets, strict=True):
-                link(node, tile.similar(own))
+        def close() -> None:
+            """A tile that meets itself does so when all of it is there."""
+            if key is not None and key[1] == key[2]:
+                for node, own in zip(tile.nodes, tile.sets, strict=True):
+                    link(node, tile.similar(own))
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if us and len(u := np.concatenate(us)):
+                u, v = forest(u, np.concatenate(vs))
+                yield pa.RecordBatch.from_pydict({"u": pa.array(u), "v": pa.array(v)})
+            us.clear(), vs.clear()
 
-        closed = True
         for batch in batches:
             column = batch.column("own")
             offsets, values = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
-            for row, (root, at, role, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "tile", "role", "node")), strict=True)):
+            for row, (root, i, j, role, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "role", "node")), strict=True)):
                 own = values[offsets[row] : offsets[row + 1]].copy()
-                if (root, at) != key:
-                    if not closed:
-                        inside()
-                    key, tile, closed = (root, at), Tile(), False
+                if (root, i, j) != key:
+                    close()
+                    key, tile = (root, i, j), Tile()
                 if role == 0:
                     tile.add(node, own)
-                    continue
-                if not closed:
-                    inside()
-                    closed = True
-                if tile.nodes:
+                elif tile.nodes:
                     link(node, tile.similar(own))
-                if sum(map(len, us[-1:])) and len(us) > 512:
-                    u, v = forest(np.concatenate(us), np.concatenate(vs))
-                    us[:], vs[:] = [u], [v]
-            if us and len(u := np.concatenate(us)):
-                u, v = forest(u, np.concatenate(vs))
-                us.clear(), vs.clear()
-                yield pa.RecordBatch.from_pydict({"u": pa.array(u), "v": pa.array(v)})
-        if not closed:
-            inside()
-        if us and len(u := np.concatenate(us)):
-            u, v = forest(u, np.concatenate(vs))
-            yield pa.RecordBatch.from_pydict({"u": pa.array(u), "v": pa.array(v)})
+                if len(us) > 512:
+                    yield from told()
+            yield from told()
+        close()
+        yield from told()
 
-    return spread.select("root", "tile", "role", "node", "own").repartition("root", "tile").sortWithinPartitions("root", "tile", "role").mapInArrow(meet, "u long, v long")
+    return spread.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "role").mapInArrow(meet, "u long, v long")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -297,7 +297,7 @@ def test_simhash_edges(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("tile", [3, 512])
+@pytest.mark.parametrize("tile", [3, 256])
 def test_near_dedup_equals_brute_force(spark, monkeypatch, tile):
     monkeypatch.setattr(near_copies, "GROUP_TILE", tile)
     r = random.Random(9)
