@@ -133,6 +133,7 @@ def apply_counts(docs: DataFrame, posts: DataFrame, counts: DataFrame, id_col: s
     droppable = cut(counts.where(F.col("n_docs") >= min_docs).select("hi", "lo", "last"))
     n = droppable.count()
     base = docs.drop("n_lines", "n_dropped")
+    own_id, own_keys = (next(x for i in range(len(base.columns) + 1) if (x := f"{n}{i}") not in base.columns) for n in ("doomed_id_", "doomed_keys_"))
     calm = None
     if n * KEY_BYTES <= MAX_FILTER_BYTES:
         bits = shard_bits(n)
@@ -143,14 +144,14 @@ def apply_counts(docs: DataFrame, posts: DataFrame, counts: DataFrame, id_col: s
         open_docs = touched(base, text_col, min_chars, shards, wanted=True)
     else:
         open_docs = base
-    doomed = posts.join(F.broadcast(droppable) if n <= MAX_BROADCAST_KEYS else droppable, ["hi", "lo"]).where("id != last").distinct().groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("hi", "lo")).alias("__doomed"))
-    met = open_docs.join(doomed, open_docs[quoted(id_col)] == doomed["__id"], "left").drop("__id")
+    doomed = posts.join(F.broadcast(droppable) if n <= MAX_BROADCAST_KEYS else droppable, ["hi", "lo"]).where("id != last").distinct().groupBy(F.col("id").alias(own_id)).agg(F.collect_list(F.struct("hi", "lo")).alias(own_keys))
+    met = open_docs.join(doomed, open_docs[quoted(id_col)] == doomed[own_id], "left").drop(own_id)
     names = base.columns
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            gone = batch.column("__doomed")
+            gone = batch.column(own_keys)
             offsets, bad = gone.offsets.to_numpy(), gone.is_null().to_numpy(zero_copy_only=False)
             pairs = np.stack([gone.values.field(k).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for k in ("hi", "lo")], axis=1).astype(">u8")
             texts, n_lines, n_dropped = [], [], []

@@ -83,7 +83,7 @@ def base_spans(text: str) -> list[Span]:
         else:
             at = text.find("@", at + 1)
     if DIGIT.search(text):
-        found += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        found += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(d := p.lstrip("0")) <= 3 and int(d or 0) <= 255 for p in m[0].split("."))]
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 13 <= len(digits) <= 19 and luhn(digits):

@@ -190,6 +190,7 @@ def test_base_spans(text):
 def test_long_runs_are_quick():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "@" * 50_000, "1." * 100_000, "+1" * 50_000, "(" * 100_000, ("a" * 200 + "@") * 1000):
         assert pii.base_spans(text) is not None and pii.loose_spans(text, []) is not None
+    assert pii.base_spans("0" * 6000 + "1.2.3.4") == [(1, 0, 6007)]
 
 
 def test_messages_are_exact_on_a_tree():
