@@ -84,8 +84,18 @@ def codes(unit: np.ndarray, tables: int, visits: int) -> np.ndarray:
     return out
 
 
-def unit_rows(column: pa.Array, length: int, rows: np.ndarray) -> np.ndarray:
-    x = column.values.to_numpy()[column.offsets.to_numpy()[rows][:, None] + np.arange(length)].astype(np.float64)
+def code_type(length: int) -> type:
+    """The smallest type that holds the buckets of vectors of this length."""
+    return np.int16 if (2 << max(0, length - 1).bit_length()) ** 2 <= 1 << 15 else np.int32
+
+
+def raw_rows(column: pa.Array, length: int, rows: np.ndarray) -> np.ndarray:
+    return column.values.to_numpy()[column.offsets.to_numpy()[rows][:, None] + np.arange(length)]
+
+
+def unit_rows(raw: np.ndarray) -> np.ndarray:
+    """Rows in double precision and of length one."""
+    x = raw.astype(np.float64)
     x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])  # by a power of two: exact, and no norm overflows
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
@@ -103,7 +113,7 @@ def classes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> tu
 
 
 def placed(reps: DataFrame, tables: int, visits: int) -> DataFrame:
-    """A row for each bucket that a class lives in (role 0) or visits (role 2), with its unit vector and codes."""
+    """A row for each bucket that a class lives in (role 0) or visits (role 2), with its vector, as it came, and codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -113,11 +123,11 @@ def placed(reps: DataFrame, tables: int, visits: int) -> DataFrame:
                 lengths = np.diff(column.offsets.to_numpy())
                 for length in np.unique(lengths).tolist():
                     own = np.flatnonzero(lengths == length)
-                    unit = unit_rows(column, length, own)
-                    code = codes(unit, tables, visits)
+                    raw = raw_rows(column, length, own)
+                    code = codes(unit_rows(raw), tables, visits)
                     n, each = len(own), tables * (1 + visits)
                     source = np.repeat(np.arange(n), each)
-                    vectors, marks = [x.tobytes() for x in unit], [x.tobytes() for x in code]
+                    vectors, marks = [x.tobytes() for x in raw], [x.tobytes() for x in code.astype(code_type(length))]
                     yield pa.RecordBatch.from_pydict({
                         "label": batch.column("label").take(pa.array(own[source])),
                         "length": pa.array(np.full(n * each, length, dtype=np.int32)),
@@ -150,7 +160,7 @@ def tiled(rows: DataFrame, reps: DataFrame, tables: int, visits: int) -> DataFra
     return spread.withColumn("role", F.when((F.col("role") == 0) & (F.col("tile") != F.col("own")), F.lit(1)).otherwise(F.col("role"))).drop("own", "tiles")
 
 
-def met(rows: DataFrame, threshold: float, tables: int, visits: int, rep_type: str) -> DataFrame:
+def met(rows: DataFrame, threshold: float, tables: int, visits: int, scalar: type) -> DataFrame:
     """(u, v) forest edges and (u, n) link counts found in the buckets."""
     width = 1 + visits
 
@@ -161,8 +171,8 @@ def met(rows: DataFrame, threshold: float, tables: int, visits: int, rep_type: s
     class Rows:
         def __init__(self, batch: pa.RecordBatch):
             self.rep, self.mult, self.role = (batch.column(c).to_numpy() for c in ("rep", "mult", "role"))
-            self.v = np.frombuffer(b"".join(batch.column("v").to_pylist()), dtype=np.float64).reshape(len(self.rep), -1)
-            self.codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), dtype=np.int32).reshape(len(self.rep), tables, width)
+            self.v = unit_rows(np.frombuffer(b"".join(batch.column("v").to_pylist()), dtype=scalar).reshape(len(self.rep), -1))
+            self.codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), dtype=code_type(self.v.shape[1])).reshape(len(self.rep), tables, width)
 
     def meet(stored: Rows, other: Rows, tab: int, found: list) -> None:
         same = stored is other
@@ -240,7 +250,7 @@ def near_duplicates(
         raise ValueError("visits must be 0 to 3")
     keyed, reps = classes(vectors, id_col, vec_col, label_col)
     rows = tiled(placed(reps, tables, visits), reps, tables, visits)
-    found = written(met(rows, threshold, tables, visits, reps.schema["rep"].dataType.simpleString()))
+    found = written(met(rows, threshold, tables, visits, np.float32 if reps.schema["v"].dataType.elementType.simpleString() == "float" else np.float64))
     counts = found.where("n IS NOT NULL").groupBy("u").agg(F.sum("n").alias("n"))
     roots = connected_components(found.where("v IS NOT NULL"), "u", "v")
     named = reps.join(counts, reps["rep"] == counts["u"], "left").join(roots, reps["rep"] == roots["node"], "left")
