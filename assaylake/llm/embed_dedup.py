@@ -169,10 +169,29 @@ def met(rows: DataFrame, threshold: float, tables: int, visits: int, scalar: typ
         return np.stack((a[:, :, 0] == b[:, :, 0], (a[:, :, 1:] == b[:, :, :1]).any(axis=2), (b[:, :, 1:] == a[:, :, :1]).any(axis=2)), axis=2).reshape(len(a), tables * 3)
 
     class Rows:
-        def __init__(self, batch: pa.RecordBatch):
-            self.rep, self.mult, self.role = (batch.column(c).to_numpy() for c in ("rep", "mult", "role"))
-            self.v = unit_rows(np.frombuffer(b"".join(batch.column("v").to_pylist()), dtype=scalar).reshape(len(self.rep), -1))
-            self.codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), dtype=code_type(self.v.shape[1])).reshape(len(self.rep), tables, width)
+        """Rows of one length as arrays."""
+
+        parts = ("rep", "mult", "role", "v", "codes")
+
+        @classmethod
+        def of(cls, batch: pa.RecordBatch) -> Rows:
+            own = cls()
+            own.rep, own.mult, own.role = (batch.column(c).to_numpy() for c in ("rep", "mult", "role"))
+            own.v = unit_rows(np.frombuffer(b"".join(batch.column("v").to_pylist()), dtype=scalar).reshape(len(own.rep), -1))
+            own.codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), dtype=code_type(own.v.shape[1])).reshape(len(own.rep), tables, width)
+            return own
+
+        def cut(self, a: int, b: int) -> Rows:
+            own = Rows()
+            for k in self.parts:
+                setattr(own, k, getattr(self, k)[a:b])
+            return own
+
+        def after(self, first: Rows) -> Rows:
+            own = Rows()
+            for k in self.parts:
+                setattr(own, k, np.concatenate((getattr(first, k), getattr(self, k))))
+            return own
 
     def meet(stored: Rows, other: Rows, tab: int, found: list) -> None:
         same = stored is other
@@ -216,22 +235,26 @@ def met(rows: DataFrame, threshold: float, tables: int, visits: int, scalar: typ
             edge = np.ones(batch.num_rows, dtype=bool)
             edge[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
             starts = np.flatnonzero(edge)
+            turns = np.flatnonzero(np.concatenate(([True], columns[1][1:] != columns[1][:-1])))  # a length each
+            turn, whole = -1, None
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+                if (t := int(np.searchsorted(turns, a, "right")) - 1) != turn:
+                    turn, base = t, int(turns[t])
+                    whole = Rows.of(batch.slice(base, (int(turns[t + 1]) if t + 1 < len(turns) else batch.num_rows) - base))
                 now = tuple(c[a] for c in columns)
                 if now != key:
                     key, stored = now, None
                 tab, homes = int(columns[2][a]), a + int(np.searchsorted(role[a:b], 1))
                 if homes > a:
-                    own = Rows(batch.slice(a, homes - a))
+                    own = whole.cut(a - base, homes - base)
                     if homes - a > 1:
                         meet(own, own, tab, found)
                     if stored is not None:  # residents that came in the batch before
                         meet(stored, own, tab, found)
-                        for k in ("rep", "mult", "role", "v", "codes"):
-                            setattr(own, k, np.concatenate((getattr(stored, k), getattr(own, k))))
+                        own = own.after(stored)
                     stored = own
                 if b > homes and stored is not None:
-                    meet(stored, Rows(batch.slice(homes, b - homes)), tab, found)
+                    meet(stored, whole.cut(homes - base, b - base), tab, found)
                 links = sum(len(f[0]) for f in found[-1:]) + links
                 if links > 1 << 18:
                     yield from told(found)
