@@ -10,7 +10,8 @@ of thousands of copies never become lists of pairs. The number of compared finge
 grows with the square of the number of different documents; see the README for what that costs.
 
 Defined cases: null and empty texts are copies of each other; texts of fewer words than a shingle are
-one shingle; equal fingerprints are copies; the smallest id of a group stays; repeated rows of an id
+one shingle; equal sets of shingles are copies, equal fingerprints of different sets only candidates;
+the smallest id of a group stays; repeated rows of an id
 stay or go together; rows with a null id stay; an empty table gives no rows; all columns pass through.
 """
 
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,8 @@ from assaylake.llm.simhash import close_pairs, fingerprint, forest, shingle_hash
 
 WORDS = 4
 NAMES = [f"w{k}" for k in range(WORDS)]
+#: 128 bits over the sorted distinct shingles: what Jaccard similarity sees of a text.
+CONTENT = ["c0", "c1"]
 #: Fingerprints of a tile at most, and of one row that carries part of a tile.
 TILE, PART = 1 << 18, 4096
 #: Documents of a tile of a candidate group; every pair of tiles is a task's key of its own.
@@ -58,6 +62,11 @@ def words_of(hashes: np.ndarray) -> list[int]:
     return out
 
 
+def content(own: np.ndarray) -> np.ndarray:
+    """CONTENT of a sorted set of hashes."""
+    return np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), dtype=np.int64)
+
+
 def small(df: DataFrame) -> DataFrame:
     """`df` of ids, marked for a broadcast if it is known to be small enough."""
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_IDS else df
@@ -68,10 +77,14 @@ def prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = np.array([words_of(shingle_hashes(x, shingle)) for x in batch.column("text").to_pylist()], dtype=np.uint64).reshape(-1, WORDS).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(found[:, k].copy()) for k in range(WORDS))], names=["id", *NAMES])
+            found = np.zeros((batch.num_rows, WORDS + len(CONTENT)), dtype=np.int64)
+            for i, x in enumerate(batch.column("text").to_pylist()):
+                hashes = shingle_hashes(x, shingle)
+                found[i, :WORDS] = np.array(words_of(hashes), dtype=np.uint64).view(np.int64)
+                found[i, WORDS:] = content(np.unique(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(found[:, k].copy()) for k in range(found.shape[1]))], names=["id", *NAMES, *CONTENT])
 
-    return rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in NAMES))
+    return rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in [*NAMES, *CONTENT]))
 
 
 def candidate_links(reps: DataFrame, near: int, far: int) -> DataFrame:
@@ -215,10 +228,10 @@ def verified_links(docs: DataFrame, groups: DataFrame, similarity: float, id_col
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(rep, root): the smallest id of each distinct fingerprint and the smallest id of its group."""
+    """(rep, root): the smallest id of each distinct set of shingles and the smallest id of its group."""
     found = prints(docs, id_col, text_col, shingle)
-    reps = written(found.groupBy(*NAMES).agg(F.min("id").alias("rep")))
-    maybe = cut(connected_components(candidate_links(reps, *radii(similarity)), "u", "v"))
+    reps = written(found.groupBy(*CONTENT).agg(F.min("id").alias("rep"), *[F.first(n).alias(n) for n in NAMES]))
+    maybe = cut(connected_components(candidate_links(reps.select("rep", *NAMES), *radii(similarity)), "u", "v"))
     roots = connected_components(verified_links(docs, maybe, similarity, id_col, text_col, shingle), "u", "v")
     return cut(reps.select("rep").join(roots, reps["rep"] == roots["node"], "left").select("rep", F.coalesce("root", "rep").alias("root")))
 

@@ -322,6 +322,13 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, tile):
     assert sorted(r["doc_id"] for r in near_copies.near_dedup(rows).collect()) == [i for i, x in enumerate(root) if i == x]
 
 
+def test_a_dominant_run_makes_no_copies(spark):
+    texts = [" ".join(["0"] * 300 + [f"d{d}w{k}" for k in range(60)]) for d in range(6)] + ["- " * 400 + "one end of it", "- " * 400 + "quite another end here"]
+    twice = [*texts, "0 " * 40 + texts[2]]  # the same set of shingles
+    rows = spark.createDataFrame(list(enumerate(twice)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.near_dedup(rows).collect()) == list(range(len(texts)))
+
+
 def test_near_dedup_edges(spark):
     got = near_copies.near_dedup(odd(spark))
     assert got.columns == odd(spark).columns and sorted((r["doc_id"] for r in got.collect()), key=str) == [1, 4, 4, 5, 7, 8, None]
