@@ -329,6 +329,24 @@ def test_a_dominant_run_makes_no_copies(spark):
     assert sorted(r["doc_id"] for r in near_copies.near_dedup(rows).collect()) == list(range(len(texts)))
 
 
+def test_repeats_do_not_hide_near_copies(spark):
+    texts = []
+    for g in range(5):
+        base = " ".join(f"g{g}w{k}" for k in range(200))
+        texts += [base, base + f" one phrase of five {g}" * 300]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.near_dedup(rows).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_no_short_near_copy_is_missed(spark):
+    texts = []
+    for g in range(300):  # 4 of 5 shingles, 8 of 10 and 12 of 15: exactly 0.8, and below it
+        a, n = [f"g{g}w{k}" for k in range(40)], (4, 5, 8, 10, 12, 15, 3, 4)[g % 4 * 2 :][:2]
+        texts += [" ".join(a[: n[0] + 4]), " ".join(a[: n[1] + 4])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.near_dedup(rows).collect()) == [i for i in range(600) if i % 2 == 0 or i // 2 % 4 == 3]
+
+
 def test_near_dedup_edges(spark):
     got = near_copies.near_dedup(odd(spark))
     assert got.columns == odd(spark).columns and sorted((r["doc_id"] for r in got.collect()), key=str) == [1, 4, 4, 5, 7, 8, None]
