@@ -1,10 +1,11 @@
 """Cross-entropy difference: bigram models of a target and of all documents, over one vocabulary.
 
-Words are runs of other bytes than ASCII white space, A-Z lower-cased. All words of all documents are
-counted; the `vocab_size` most frequent ones (ties in byte order) are the vocabulary of both models,
-every other word is one unknown word. Both models count unigrams and bigrams of whole texts, bigrams
-in the same 2^`bits` hash buckets, so what goes to the driver and out to the tasks has a fixed bound
-while what is gathered from the corpus grows with it. P(w|h) = weight * c(h,w) / c(h) +
+Words are runs of other bytes than ASCII white space, A-Z lower-cased. Both models count unigrams and
+bigrams of whole texts. All words and bigrams of all documents have counts of their own, in a
+distributed table that grows with the corpus; they are told apart by 64-bit hashes. The losses of the
+FREQUENT most frequent bigrams at most go out to the tasks, all others are joined. With `vocab_size`
+given, the model is a small one of fixed size instead: the most frequent words (ties in byte order),
+one unknown word, and bigrams in 2^`bits` hash buckets. P(w|h) = weight * c(h,w) / c(h) +
 (1 - weight) * (c(w) + alpha) / (N + alpha * V); the score of a document is the mean over its words of
 the target's loss less the background's loss, in nats: the lower, the more like the target.
 
@@ -21,12 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaylake.llm._common import quoted, raw_text, slices, written
 
+#: Bigrams whose losses are broadcast at most.
+FREQUENT = 1 << 20
+#: In place of the context: of a text's first word, and of a unigram's count.
+START, UNIGRAM = 1, 0
 #: Distinct words that a task holds before it hands its counts on.
 HELD_WORDS = 1 << 19
 #: Levels of frequency for each doubling, and how many times the vocabulary may be candidates.
@@ -76,6 +82,71 @@ def buckets(ids: np.ndarray, vocab: int, n: int) -> tuple[np.ndarray, np.ndarray
     return (mixed >> np.uint64(64 - (n.bit_length() - 1))).astype(np.int64), before
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Both models over all words: a table (k, p, w, t, b) of bigrams and, with p = UNIGRAM, of words and first words."""
+
+    docs: DataFrame
+    table: DataFrame
+    weight: float
+    alpha: float
+
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    words = (text or b"").lower().split()
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def contexts(hashes: np.ndarray) -> np.ndarray:
+    return np.concatenate((np.array([START], np.uint64), hashes[:-1]))[: len(hashes)]
+
+
+def pair_keys(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    x = before * np.uint64(0x9E3779B97F4A7C15)
+    x = ((x ^ (x >> np.uint64(32))) + own) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def counted(marked: DataFrame) -> DataFrame:
+    """(k, p, w, t, b) counts of slices of (text, target, known); where not known, the counts are zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [word_hashes(x) for x in batch.column("text").to_pylist()]
+            sizes = np.array([len(x) for x in found])
+            flags = np.array([batch.column(c).to_numpy(zero_copy_only=False) for c in ("target", "known")], dtype=bool)
+            own, some = np.concatenate(found), np.flatnonzero(sizes)
+            before = np.concatenate([contexts(x) for x in found])
+            none = np.full(len(own), UNIGRAM, np.uint64)
+            for a, b, flag in ((before, own, np.repeat(flags, sizes, axis=1)), (none, own, np.repeat(flags, sizes, axis=1)), (none[: len(some)], np.full(len(some), START, np.uint64), flags[:, some])):
+                k, first, at = np.unique(pair_keys(a, b), return_index=True, return_inverse=True)
+                t, n = (np.bincount(at, weights=x, minlength=len(k)).astype(np.int64) for x in flag)
+                yield pa.RecordBatch.from_pydict({"k": pa.array(k), "p": pa.array(a[first].view(np.int64)), "w": pa.array(b[first].view(np.int64)), "t": pa.array(t), "b": pa.array(n)})
+
+    return marked.mapInArrow(run, "k long, p long, w long, t long, b long")
+
+
+def summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("k").agg(F.first("p").alias("p"), F.first("w").alias("w"), F.sum("t").alias("t"), F.sum("b").alias("b"))
+
+
+def pair_losses(model: Counts, table: DataFrame) -> DataFrame:
+    """(k, b, lt, lb): count and both losses of every bigram of the table."""
+    uni = table.where(F.col("p") == UNIGRAM).select("w", "t", "b")
+    of_words = uni.where(F.col("w") != START)
+    total = of_words.agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.count_if(F.col("b") > 0).alias("v")).first()
+    context = uni.select(F.col("w").alias("p"), F.col("t").alias("ct"), F.col("b").alias("cb"))
+    word = of_words.select("w", F.col("t").alias("ut"), F.col("b").alias("ub"))
+
+    def loss(m: str):
+        plain = (F.col(f"u{m}") + model.alpha) / ((total[m] or 0) + model.alpha * (total["v"] + 1))
+        return -F.log(F.when(F.col(f"c{m}") > 0, model.weight * F.col(m) / F.col(f"c{m}") + (1 - model.weight) * plain).otherwise(plain))
+
+    met = table.where(F.col("p") != UNIGRAM).join(word, "w").join(context, "p")
+    return met.select("k", "b", loss("t").alias("lt"), loss("b").alias("lb"))
+
+
 def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
     """The `size` most frequent words by rank. Levels of frequency tell which words can be among them, so at most SLACK * size words go to the driver."""
 
@@ -111,17 +182,20 @@ def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
     return {bytes(r["word"]): i for i, r in enumerate(got)}
 
 
-def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab_size: int = 1 << 15, bits: int = 20, weight: float = 0.6, alpha: float = 0.1) -> Pair:
+def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab_size: int | None = None, bits: int = 20, weight: float = 0.6, alpha: float = 0.1) -> Counts | Pair:
     """Both models; `targets` holds the ids of the target documents in its column `id_col`."""
     spark = docs.sparkSession
     rows = docs.select(F.col(quoted(id_col)).alias("id"), raw_text(quoted(text_col)).alias("text"))
-    words = vocabulary(rows, vocab_size)
-    v, n = len(words) + 1, 1 << bits
-    shared = spark.sparkContext.broadcast(words)
     wanted = targets.select(F.col(quoted(id_col)).alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
     few = wanted.count() <= MAX_BROADCAST_IDS
     marked = rows.join(F.broadcast(wanted) if few else wanted, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
 
+    if vocab_size is None:
+        return Counts(docs, written(summed(counted(marked.withColumn("known", F.lit(True))))), weight, alpha)
+    words = vocabulary(rows, vocab_size)
+    v, n = len(words) + 1, 1 << bits
+    shared = spark.sparkContext.broadcast(words)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         sums = np.zeros((2, n + v + 1), dtype=np.int64)  # bigram buckets, unigrams, first words
@@ -148,8 +222,64 @@ def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     return Pair(words, sums[:, n : n + v], sums[:, n + v], sums[:, :n].astype(np.float32), weight, alpha)
 
 
-def score(docs: DataFrame, model: Pair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_all(docs: DataFrame, model: Counts, id_col: str, text_col: str) -> DataFrame:
+    """The scores by the distributed counts: losses of frequent bigrams are looked up, those of all others joined and summed for each text."""
+    text = raw_text(quoted(text_col))
+    rows = docs.select(F.col(quoted(id_col)).alias(id_col), text.alias("text"), F.xxhash64(text).alias("__d"))
+    table = model.table
+    if not docs.sameSemantics(model.docs):  # bigrams that the models have not seen
+        table = summed(table.unionByName(counted(rows.select("text", F.lit(False).alias("target"), F.lit(False).alias("known")))))
+    losses = written(pair_losses(model, table).withColumn("level", F.coalesce(F.floor(F.log2("b") * LEVELS), F.lit(-1)).cast("int")))
+    sizes = {r["level"]: r["n"] for r in losses.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}  # 64 * LEVELS at most
+    held, least = 0, 1 << 30
+    for level in sorted(sizes, reverse=True):
+        held += sizes[level]
+        if held > FREQUENT:
+            break
+        least = level
+    top = losses.where(F.col("level") >= least).select("k", "lt", "lb").toArrow().sort_by("k")  # FREQUENT rows at most
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("k", "lt", "lb")))
+
+    def looked_up(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of a text's bigrams, their places among the frequent ones, and which are there."""
+        known = shared.value[0]
+        own = word_hashes(text)
+        keys = pair_keys(contexts(own), own)
+        at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+        return keys, at, known[at] == keys if len(known) else np.zeros(len(keys), bool)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [keys[~hit] for keys, _, hit in map(looked_up, batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_pydict({"d": pa.array(np.repeat(batch.column("__d").to_numpy(), [len(x) for x in found])), "k": pa.array(np.concatenate(found))})
+
+    met = rows.select("text", "__d").mapInArrow(rare, "d long, k long").join(losses.where(F.col("level") < least).select("k", "lt", "lb"), "k")
+    sums = written(met.groupBy("d").agg(F.sum("lt").alias("__lt"), F.sum("lb").alias("__lb"), F.count(F.lit(1)).alias("__n")))
+    few = sums.count() <= MAX_BROADCAST_IDS
+    joined = rows.join(F.broadcast(sums) if few else sums, rows["__d"] == sums["d"], "left").select(id_col, "text", "__lt", "__lb", "__n")
+    names = [id_col, "n_tokens", "target_loss", "background_loss", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            n, means = [], []
+            for x, *others in zip(*(batch.column(c).to_pylist() for c in ("text", "__lt", "__lb", "__n")), strict=True):
+                keys, at, hit = looked_up(x)
+                n.append(len(keys))
+                share = (len(keys) - hit.sum()) / others[2] if others[2] else 0.0  # repeated texts are summed together
+                means.append([float((c[at[hit]].sum() + share * (o or 0.0)) / len(keys)) if len(keys) else None for c, o in zip(shared.value[1:], others, strict=False)])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(id_col), pa.array(n, pa.int64()), pa.array([m[0] for m in means], pa.float64()), pa.array([m[1] for m in means], pa.float64()),
+                pa.array([None if m[0] is None else m[0] - m[1] for m in means], pa.float64()),
+            ], names=names)
+
+    double = T.DoubleType()
+    return joined.mapInArrow(run, T.StructType([T.StructField(id_col, rows.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), *(T.StructField(c, double) for c in names[2:])]))
+
+
+def score(docs: DataFrame, model: Counts | Pair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, target_loss, background_loss and score of every row."""
+    if isinstance(model, Counts):
+        return score_all(docs, model, id_col, text_col)
     rows = docs.select(F.col(quoted(id_col)).alias(id_col), raw_text(quoted(text_col)).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [id_col, "n_tokens", "target_loss", "background_loss", "score"]

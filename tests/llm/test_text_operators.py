@@ -457,6 +457,35 @@ def test_scores_equal_plain_counting(spark):
     assert got[4]["score"] is None and got[5]["n_tokens"] == 0
 
 
+@pytest.mark.parametrize("frequent", [0, 40, 1 << 20])
+def test_all_words_and_bigrams_have_counts(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+    r = random.Random(4)
+    docs = [(i, " ".join(f"w{r.randrange(40) if r.random() < 0.3 else r.randrange(200_000)}" for _ in range(1500))) for i in range(50)] + [(50, None), (51, " ")]
+    docs.append((52, docs[7][1]))  # repeated text
+    rows, asked = spark.createDataFrame(docs, "doc_id long, text string"), [*docs, (60, "w1 never seen w2 w1")]
+    model = lm_score.fit(rows, spark.createDataFrame([(i,) for i in range(0, 50, 3)], "doc_id long"))
+    assert model.table.where(F.col("p") == lm_score.UNIGRAM).count() == len({w for _, t in docs for w in (t or "").split()}) + 1 > (1 << 15)
+    for given in (docs, asked):
+        frame = rows if given is docs else spark.createDataFrame(given, "doc_id long, text string")
+        got = {x["doc_id"]: x for x in lm_score.score(frame, model).collect()}
+        assert len(got) == len(given) and got[50]["score"] is None and got[51]["n_tokens"] == 0
+        for m, own in (("target_loss", [t for i, t in docs if i < 50 and i % 3 == 0]), ("background_loss", [t for _, t in docs])):
+            uni, bi = Counter(), Counter()
+            for t in own:
+                words = (t or "").split()
+                uni.update(words)
+                bi.update(zip(["^", *words], words))
+            total, v, starts = sum(uni.values()), len({w for _, t in docs for w in (t or "").split()}) + 1, sum(1 for t in own if (t or "").split())
+            for i, t in given:
+                words = (t or "").split()
+                if words:
+                    plain = [(uni[w] + 0.1) / (total + 0.1 * v) for w in words]
+                    h = [starts if a == "^" else uni[a] for a in ["^", *words[:-1]]]
+                    want = np.mean([-np.log(0.6 * bi[a, b] / n + 0.4 * p if n else p) for a, b, n, p in zip(["^", *words], words, h, plain)])
+                    assert got[i][m] == pytest.approx(want)
+
+
 def test_vocabulary(spark):
     rows = documents(spark).select(F.col("text").cast("binary").alias("text"))
     seen = Counter(w for r in rows.collect() for w in bytes(r["text"]).lower().split())
