@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,17 +32,44 @@ def longest_prefix(paths: DataFrame, prefixes: DataFrame, path: str, prefix: str
     return paths.join(best, path, "left")
 
 
+def _nearest_of_key(targets: DataFrame, anchors: DataFrame, scope: str, target: str, anchor: str, key: str, at: str | None) -> DataFrame:
+    """(scope, target, _at, _a, _d): of the anchors with the target's scope and key the nearest one; ties go to the smaller place, then the smaller anchor. An anchor without a place comes first."""
+    place = lambda: F.col(at) if at else F.lit(0)
+    own = anchors.where(F.col(scope).isNotNull() & F.col(key).isNotNull()).groupBy(scope, F.col(key).alias("_k"), place().alias("_at")).agg(F.min(anchor).alias("_a"))
+    asked = targets.where(F.col(scope).isNotNull() & F.col(key).isNotNull()).select(scope, F.col(key).alias("_k"), place().alias("_at"), F.col(target).alias("_t"), F.lit(True).alias("_asked"))
+    rows = asked.unionByName(own.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
+    order = Window.partitionBy(scope, "_k").orderBy("_at", "_asked")
+    held = F.when(~F.col("_asked") & F.col("_at").isNotNull(), F.struct("_at", "_a"))
+    lost = F.when(~F.col("_asked") & F.col("_at").isNull(), F.struct("_at", "_a"))
+    rows = rows.withColumns({
+        "_b": F.last(held, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        "_f": F.first(held, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)),
+        "_n": F.first(lost, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+    }).where("_asked")
+    nearer = F.when(F.col("_b").isNull(), F.col("_f")).when(F.col("_f").isNull() | (F.col("_at") - F.col("_b._at") <= F.col("_f._at") - F.col("_at")), F.col("_b")).otherwise(F.col("_f"))
+    best = rows.withColumn("_best", F.coalesce("_n", nearer)).where("_best IS NOT NULL")
+    return best.select(scope, F.col("_t").alias(target), F.col("_best._at").alias("_at"), F.col("_best._a").alias("_a"), F.abs(F.col("_at") - F.col("_best._at")).alias("_d"))
+
+
 def nearest_anchor(targets: DataFrame, anchors: DataFrame, scope: str, target: str, anchor: str, keys: list[str], row: tuple[str, str] | None = None) -> DataFrame:
     """(scope, target, anchor, tier): anchors ranked by the first key of `keys` on which both agree, then by distance row, column, anchor.
 
-    `row` names the row and column numbers on both sides; equal names on both sides are expected.
+    `row` names the row and column numbers on both sides; equal names on both sides are expected. With one
+    number or none, each tier is an ordered scan of both sides, as in `nearest_before_and_after`; with two, no
+    order of rows tells the nearest, and the anchors of a scope that agree on a key meet its targets.
     """
+    order = lambda: Window.partitionBy(scope, target).orderBy("tier", "_d", *[f"_{c}" for c in row or ()], "_a")
+    if len(row or ()) < 2:
+        found = [_nearest_of_key(targets, anchors, scope, target, anchor, k, row[0] if row else None).withColumn("tier", F.lit(i + 1)) for i, k in enumerate(keys)]
+        met = functools.reduce(DataFrame.unionByName, found)
+        if row:
+            met = met.withColumnRenamed("_at", f"_{row[0]}")
+        return met.withColumn("_r", F.row_number().over(order())).where("_r = 1").select(scope, target, F.col("_a").alias("anchor"), "tier", F.col("_d").alias("distance"))
     a = anchors.select(scope, F.col(anchor).alias("_a"), *[F.col(k).alias(f"_{k}") for k in [*keys, *(row or ())]])
     tier = F.coalesce(*[F.when(F.col(k) == F.col(f"_{k}"), F.lit(i + 1)) for i, k in enumerate(keys)])
-    distance = sum((F.abs(F.col(c) - F.col(f"_{c}")) for c in row), F.lit(0)) if row else F.lit(0)
+    distance = sum((F.abs(F.col(c) - F.col(f"_{c}")) for c in row), F.lit(0))
     met = targets.join(a, scope).withColumn("tier", tier).where("tier IS NOT NULL").withColumn("_d", distance)
-    order = Window.partitionBy(scope, target).orderBy("tier", "_d", *[f"_{c}" for c in row or ()], "_a")
-    return met.withColumn("_r", F.row_number().over(order)).where("_r = 1").select(scope, target, F.col("_a").alias("anchor"), "tier", F.col("_d").alias("distance"))
+    return met.withColumn("_r", F.row_number().over(order())).where("_r = 1").select(scope, target, F.col("_a").alias("anchor"), "tier", F.col("_d").alias("distance"))
 
 
 def nearest_before_and_after(left: DataFrame, right: DataFrame, scope: str, at: str, name: str, ties: tuple[str, ...] = ()) -> DataFrame:

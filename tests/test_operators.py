@@ -198,3 +198,26 @@ def test_scores_and_gates(spark):
     facts = spark.createDataFrame([("m", "a"), ("m", "b")], "mix string, s string")
     out = projection.specimen_variants(spark.createDataFrame([("m",)], "mix string"), facts, "mix", "s")
     assert out.select("variant_key").distinct().count() == 2
+
+
+@pytest.mark.parametrize("row", [("place",), None])
+def test_nearest_anchor_meets_no_pairs(spark, row):
+    r = random.Random(3)
+    some = lambda n: [(i, r.choice([0, 0, 0, 1, None]), r.choice([1, 2, 3, None]), r.choice("abc"), r.choice([*range(12), None])) for i in range(n)]
+    schema = "id int, scope int, k int, kind string, place int"
+    left, right = some(150), some(60)
+    got = matching.nearest_anchor(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), "scope", "id", "id", ["k", "kind"], row=row)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = []
+    for i, scope, k, kind, at in left:
+        met = []
+        for j, other, k2, kind2, at2 in right:
+            tier = 1 if k is not None and k == k2 else 2 if kind == kind2 else None
+            if scope is not None and scope == other and tier:
+                d = 0 if row is None else None if at is None or at2 is None else abs(at - at2)
+                place = 0 if row is None else -1 if at2 is None else at2
+                met.append((tier, -1 if d is None else d, place, j, d))
+        if met:
+            best = min(met)
+            want.append((scope, i, best[3], best[0], best[4]))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
