@@ -202,7 +202,13 @@ class LineIndex:
         self.tables |= {k: self.spark.read.schema(self.schemas[k]).parquet(f"{at}/{k}") for k in tables}
 
     def _maybe(self, keys: DataFrame) -> DataFrame:
-        """Distinct (hi, lo) keys with `maybe`: whether their shard's filter may hold them."""
+        """Distinct (hi, lo) keys with `maybe`: whether their shard's filter may hold them.
+
+        A batch that is large beside the index is dealt to several groups of a shard, each with its filter.
+        """
+        if self.tables["filters"].isEmpty():
+            return keys.withColumn("maybe", F.lit(False))
+        parts = 1 << max(0, shard_bits(keys.count()) - self.bits)
 
         def look(own: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
             hit = np.zeros(len(own), dtype=bool)
@@ -210,8 +216,9 @@ class LineIndex:
                 hit = CuckooFilter.from_bytes(bytes(filters["filter"].iloc[0])).contains(own["hi"].to_numpy().view(np.uint64), own["lo"].to_numpy().view(np.uint64))
             return own[["hi", "lo"]].assign(maybe=hit)
 
-        own = keys.select(shard_of(self.bits).alias("shard"), "hi", "lo").groupBy("shard")
-        return own.cogroup(self.tables["filters"].groupBy("shard")).applyInPandas(look, "hi long, lo long, maybe boolean")
+        own = keys.select(shard_of(self.bits).alias("shard"), F.pmod(F.xxhash64("hi", "lo"), F.lit(parts)).cast("int").alias("part"), "hi", "lo").groupBy("shard", "part")
+        filters = self.tables["filters"].withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).groupBy("shard", "part")
+        return own.cogroup(filters).applyInPandas(look, "hi long, lo long, maybe boolean")
 
     def _filters(self, counts: DataFrame) -> DataFrame:
         self.bits = shard_bits(counts.count())
@@ -220,7 +227,7 @@ class LineIndex:
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Adds documents; an id that is there already gets the new keys besides its old ones."""
         new = written(postings(docs, id_col, text_col, self.min_chars).distinct())
-        marked = written(self._maybe(new.select("hi", "lo").distinct()))
+        marked = written(self._maybe(written(new.select("hi", "lo").distinct())))
         known = new.join(marked.where("maybe"), ["hi", "lo"], "left_semi").join(self.tables["postings"], ["hi", "lo", "id"], "left_anti")
         fresh = known.unionByName(new.join(marked.where("NOT maybe"), ["hi", "lo"], "left_semi"))
         added = written(reference_counts(fresh).withColumnsRenamed({"n_docs": "more", "last": "newest"}))

@@ -391,6 +391,23 @@ def test_line_dedup_edges(spark):
     assert got.count() == 10 and line_dedup.dedup(empty(spark)).count() == 0 and got.where("n_dropped > 0").count() == 0
 
 
+def test_line_index_takes_batches_larger_than_itself(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 16)
+    index = line_dedup.LineIndex(spark, str(tmp_path / "i"), min_chars=20)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    table = lambda a, b: spark.createDataFrame([(i, f"A line of text with number {i} of them") for i in range(a, b)], "doc_id long, text string")
+    keys = lambda df: line_dedup.postings(df, "doc_id", "text", 20).select("hi", "lo").distinct()
+    assert "CoGroups" not in plan(index._maybe(keys(table(0, 300))))
+    index.insert(table(0, 10))
+    assert index.bits == 0
+    asked = index._maybe(keys(table(0, 300)))
+    assert "part" in plan(asked) and "pmod(xxhash64" in plan(asked) and ", 32)" in plan(asked)
+    got = {(r["hi"], r["lo"]): r["maybe"] for r in asked.collect()}
+    assert len(got) == 300 and all(got[r["hi"], r["lo"]] for r in keys(table(0, 10)).collect())
+    index.insert(table(5, 300))
+    assert index.tables["counts"].where("n_docs = 1").count() == 300
+
+
 def test_line_index_is_reversible(spark, tmp_path):
     docs = shared_lines(40)
     table = lambda part: spark.createDataFrame(part, "doc_id long, text string")
