@@ -7,15 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of sessions without a setting, by application.
+LOCAL: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where it is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """spark.checkpoint.dir; where it is unset, a temporary folder for a session of one machine, and an error on a cluster."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or LOCAL.get(context.applicationId)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="assaylake-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="assaylake-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
 
 
