@@ -56,7 +56,7 @@ def parse(formatted: Column) -> Column:
 
 
 def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", trained_role: str = "assistant") -> DataFrame:
-    """One row per conversation: formatted text, turns read back from it, and the loss mask as (start, end) code points in it."""
+    """One row per conversation: formatted text, turns read back from it, and the loss mask: for each turn the (start, end) code points in it that are trained on, an empty part where the turn isn't."""
     empty = F.lit("")
     turns = rows.select(F.col(quoted(conv_col)).alias(conv_col), F.col(quoted(turn_col)).alias("turn"), F.coalesce(F.col(quoted(role_col)), empty).alias("role"), F.coalesce(F.col(quoted(text_col)), empty).alias("text"))
     raw = render(F.col("role"), F.col("text"))
@@ -70,16 +70,28 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
         conv_col,
         F.array_join(F.transform("own", lambda x: x.rendered), "").alias("formatted"),
         F.transform("own", lambda x: F.struct(x.role.alias("role"), x.text.alias("text"))).alias("source"),
-        F.transform(F.filter("own", lambda x: x.role == trained_role), lambda x: F.struct((x.end - F.length(x.rendered) + len(CLOSE) + F.instr(x.rendered, MID) - 1 + len(MID)).alias("start"), x.end.alias("end"))).alias("loss_mask"),
+        F.transform("own", lambda x: x.end).alias("ends"),
+        F.transform("own", lambda x: F.struct(F.when(x.role == trained_role, x.end - F.length(x.rendered) + len(CLOSE) + F.instr(x.rendered, MID) - 1 + len(MID)).otherwise(x.end).alias("start"), x.end.alias("end"))).alias("loss_mask"),
     )
+    # The mask's places are proven against the formatted text: turns must end where its control strings stand.
+    before = F.concat(F.array(F.lit(-len(CLOSE)).cast("long")), F.slice("ends", F.lit(1), F.size("ends") - 1))
+    lengths = F.zip_with("ends", before, lambda now, last: (now - last - len(CLOSE)).cast("int"))
+    bodies = F.split("formatted", re.escape(CLOSE), -1)
+    proven = F.transform(F.slice(bodies, F.lit(1), F.size(bodies) - 1), F.length) == lengths
     checked = formatted.withColumn("turns", parse(F.col("formatted")))
-    return checked.select(conv_col, "formatted", F.when(F.col("turns") == F.col("source"), F.col("turns")).otherwise(F.raise_error(F.lit("a formatted conversation does not parse back"))).alias("turns"), "loss_mask")
+    return checked.select(conv_col, "formatted", F.when((F.col("turns") == F.col("source")) & proven, F.col("turns")).otherwise(F.raise_error(F.lit("a formatted conversation does not parse back"))).alias("turns"), "loss_mask")
 
 
-def digest(formatted: DataFrame, conv_col: str = "conv_id", trained_role: str = "assistant") -> DataFrame:
-    """Counts and hashes of what the parser reads back."""
+def masked(formatted: Column, loss_mask: Column) -> Column:
+    """All text of `formatted` under the mask, unescaped. A part of the mask ends with its turn's body, so it is cut from that body's end: linear in the text."""
+    bodies = F.split(formatted, re.escape(CLOSE), -1)
+    return F.array_join(F.zip_with(F.slice(bodies, F.lit(1), F.size(bodies) - 1), loss_mask, lambda body, m: unescape(F.right(body, (m.end - m.start).cast("int")))), "")
+
+
+def digest(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
+    """Counts and hashes of what the parser reads back, and of the formatted text under the loss mask."""
     spoken = F.array_join(F.transform("turns", lambda x: F.concat(x.role, F.lit("\n"), x.text, F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda x: x.role == trained_role), lambda x: x.text), "")
+    loss = masked(F.col("formatted"), F.col("loss_mask"))
     return formatted.select(
         conv_col,
         F.size("turns").cast("long").alias("n_turns"),
