@@ -57,8 +57,17 @@ def test_top_k_edges(spark):
     got = sorted(map(tuple, topk.top_k(strange(spark)).collect()))
     assert {r[0] for r in got} == {0, 50} and {r[2] for r in got if r[0] == 0} == {50, 8, 5, 7, 4} and [r[1] for r in got if r[0] == 0] == [1, 2, 3, 4, 5]
     assert topk.top_k(strange(spark).limit(0)).count() == 0
-    with pytest.raises(Exception, match="beyond"):
-        topk.top_k(frame(spark, [(0, [1e30], 1), (1, [1.0], 1)])).collect()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_large_components(spark, monkeypatch, limit):
+    monkeypatch.setattr(topk, "MAX_QUERY_BYTES", max(limit, 1))
+    rows = spark.createDataFrame([(0, [1e30, 2.0]), (1, [1e30, 1.0]), (2, [1e30, 5.0]), (3, [-1e30, 1.0]), (4, [-1e30, 3.0]), (5, [1.7e308, 0.0]), (6, [0.0, 2.0**40]), (7, [0.0, 3.0]), (8, [0.0, 3.0])], "vec_id long, embedding array<double>")
+    got = topk.top_k(rows, k=8).orderBy("rank").collect()
+    grid = {r["vec_id"]: [int(c) * 256 for c in r["embedding"]] for r in rows.collect()}
+    want = sorted((-sum(a * b for a, b in zip(grid[0], v)), i) for i, v in grid.items() if i)
+    most = (1 << 63) - 1
+    assert [(r["vec_id"], r["score"]) for r in got] == [(i, max(~most, min(most, -s))) for s, i in want]
 
 
 def grouped(ids, x, labels, limit):
