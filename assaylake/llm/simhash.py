@@ -141,9 +141,9 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     tiles_of = np.zeros(CLASSES, dtype=np.int32)
     for row in sizes.collect():
         tiles_of[row["class"]] = row["tiles"]
-    split = {int(c): int(tiles_of[c]) for c in np.flatnonzero(tiles_of > 1)}
-    k = F.coalesce(F.create_map(*[F.lit(x) for kv in split.items() for x in kv])[F.col("class")], F.lit(1)) if split else F.lit(1)
-    tiles = classed.groupBy("class", F.pmod(F.xxhash64("fp"), k).cast("int").alias("tile")).agg(F.collect_list("fp").alias("fps"))
+    many = spark.createDataFrame([(int(c), int(tiles_of[c])) for c in np.flatnonzero(tiles_of > 1)], "class int, tiles int")  # at most CLASSES rows
+    tile = F.pmod(F.xxhash64("fp"), F.coalesce("tiles", F.lit(1))).cast("int").alias("tile")
+    tiles = classed.join(F.broadcast(many), "class", "left").groupBy("class", tile).agg(F.collect_list("fp").alias("fps"))
     shared = spark.sparkContext.broadcast((tiles_of, neighbours(radius)))
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
