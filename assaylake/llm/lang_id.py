@@ -3,7 +3,9 @@
 Fit: documents are drawn by a hash of their id until about `max_docs_per_lang` of each language are
 used (a documented bound of the labelled sample); n-gram counts are summed by Spark as (language,
 bucket, count) rows and become one log-probability matrix of `buckets` x languages float32, whose
-size is checked before it is broadcast. Scoring reads whole texts, in pieces of `PIECE` code points.
+size is checked before it is broadcast. Scoring reads whole texts, many at a time: a batch of about
+`PIECE` code points gathers the matrix rows of all its n-grams and sums them by text; longer texts are
+read in pieces of that length.
 
 Defined cases: null text or text without a letter gives `und` with score 0; no labelled row gives
 `und` for all; repeated rows are predicted alike; equal scores go to the language first in
@@ -12,8 +14,10 @@ alphabetical order; a null id is never held out; other columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,33 +32,68 @@ MAX_MODEL_BYTES = 256 << 20
 UNDETERMINED = "und"
 
 
-def letter_codes(text: str) -> np.ndarray:
-    """Lower-case code points; every run of other characters than letters and marks is one space, also at both ends."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    ascii_letter = (codes >= 97) & (codes <= 122)
-    codes = np.where(ascii_letter | (codes >= 0xAA), codes, 32).astype(np.uint32)
-    codes = np.concatenate((np.uint32([32]), codes, np.uint32([32])))
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """For each code point whether it is a letter or a mark."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)), dtype=bool, count=0x110000)
+
+
+def letter_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case code points of all texts in one array, and where each text ends in it.
+
+    Every run of other characters than letters and marks is one space, also at both ends of a text.
+    """
+    lower = [x.lower() for x in texts]
+    codes = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    codes = np.where(letters()[codes], codes, 32).astype(np.uint32)
+    ends = np.cumsum([len(x) for x in lower])
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    codes = np.insert(codes, np.stack((starts, ends), axis=1).reshape(-1), np.uint32(32))
+    ends = ends + 2 * np.arange(1, len(texts) + 1)
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
-    return codes[keep]
+    keep[ends[:-1]] = True  # the first space of the next text
+    return codes[keep], np.cumsum(keep)[ends - 1]
 
 
-def gram_buckets(text: str, orders: tuple[int, ...], buckets: int) -> Iterator[np.ndarray]:
-    """Bucket numbers of all n-grams of the text, piece by piece; pieces overlap so that no n-gram is lost."""
-    codes, longest = letter_codes(text), max(orders)
-    if len(codes) < 3:
-        return
+def gram_buckets(codes: np.ndarray, left: np.ndarray, orders: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order the places at which an n-gram begins, and its bucket; `left` is the number of code points from a place to its text's end."""
     shift = np.uint32(32 - (buckets.bit_length() - 1))
-    for at in range(0, max(1, len(codes) - longest + 1), PIECE):
-        piece = codes[at : at + PIECE + longest - 1]
-        last = at + PIECE + longest - 1 >= len(codes)
-        out, h = [], np.zeros(len(piece), dtype=np.uint32)
-        for n in range(1, longest + 1):
-            h = (h[: len(piece) - n + 1] * np.uint32(0x01000193)) ^ (piece[n - 1 :] * np.uint32(0x9E3779B1))
-            if n in orders and len(h):
-                own = h if last else h[:PIECE]
-                out.append(((own ^ np.uint32(n)) * np.uint32(0x85EBCA6B)) >> shift)
-        yield np.concatenate(out)
+    h = np.zeros(len(codes), dtype=np.uint32)
+    for n in range(1, max(orders) + 1):
+        h = (h[: len(codes) - n + 1] * np.uint32(0x01000193)) ^ (codes[n - 1 :] * np.uint32(0x9E3779B1))
+        if n in orders and len(h):
+            at = np.flatnonzero(left[: len(h)] >= n)
+            yield at, ((h[at] ^ np.uint32(n)) * np.uint32(0x85EBCA6B)) >> shift
+
+
+def grams(texts: list[str], orders: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of the text, bucket) of all n-grams, PIECE code points at a time; pieces overlap so that no n-gram is lost."""
+    codes, ends = letter_codes(texts)
+    longest = max(orders)
+    sizes = np.diff(ends, prepend=0)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(codes))
+    left[sizes[text] < 3] = 0  # nothing but a space
+    for at in range(0, len(codes), PIECE):
+        own = slice(at, at + PIECE + longest - 1)
+        for places, found in gram_buckets(codes[own], left[own], orders, buckets):
+            first = np.searchsorted(places, PIECE)
+            yield text[at + places[:first]], found[:first]
+
+
+def batches_of(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about PIECE code points, one text at least."""
+    held: list[str | None] = []
+    size = 0
+    for x in texts:
+        held.append(x)
+        size += len(x or "")
+        if size >= PIECE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 @dataclass(frozen=True)
@@ -68,15 +107,19 @@ class LangModel:
     def nbytes(self) -> int:
         return self.log_prob.nbytes
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and its posterior probability."""
-        if not text or not self.langs or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0
-        total = self.log_prior.copy()
-        for grams in gram_buckets(text, self.orders, len(self.log_prob)):
-            total += self.log_prob[grams].sum(axis=0, dtype=np.float64)
-        best = int(np.argmax(total))
-        return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and its posterior probability of each text: rows of the matrix for all n-grams of a batch at once, summed by text."""
+        able = [i for i, x in enumerate(texts) if x and self.langs and any(map(str.isalpha, x))]
+        langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        total = np.tile(self.log_prior, (len(able), 1))
+        for text, found in grams([texts[i] for i in able], self.orders, len(self.log_prob)):
+            starts = np.flatnonzero(np.diff(text, prepend=-1))
+            if len(starts):
+                total[text[starts]] += np.add.reduceat(self.log_prob[found], starts, axis=0, dtype=np.float64)
+        for i, row in zip(able, total, strict=True):
+            best = int(np.argmax(row))
+            langs[i], scores[i] = self.langs[best], float(1.0 / np.exp(row - row[best]).sum())
+        return langs, scores
 
 
 def fit(
@@ -107,10 +150,14 @@ def fit(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text"):
+            by_lang: dict[str, list[str]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                by_lang.setdefault(lang, []).append(text)
+            for lang, texts in by_lang.items():
                 own = sums.setdefault(lang, np.zeros(buckets, dtype=np.int64))
-                for grams in gram_buckets(text, orders, buckets):
-                    own += np.bincount(grams, minlength=buckets)
+                for few in batches_of(texts):
+                    for _, found in grams(few, orders, buckets):
+                        own += np.bincount(found, minlength=buckets)
         for lang, own in sums.items():
             used = np.flatnonzero(own)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(used), pa.string()), "bucket": pa.array(used.astype(np.int32)), "n": pa.array(own[used])})
@@ -133,8 +180,13 @@ def predict(docs: DataFrame, model: LangModel, text_col: str = "text", pred_col:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in slices(batches, text_col):
-            found = [own.predict(x) for x in batch.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, pred_col, score_col])
+            langs: list[str] = []
+            scores: list[float] = []
+            for few in batches_of(batch.column(text_col).to_pylist()):
+                more = own.predict(few)
+                langs += more[0]
+                scores += more[1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, pred_col, score_col])
 
     schema = T.StructType([*base.schema.fields, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
     return base.mapInArrow(score, schema)
