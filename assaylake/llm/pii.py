@@ -1,18 +1,20 @@
 """Personal data by base patterns and a skip-chain conditional random field.
 
 Base spans come from fixed patterns (see `base_spans`) and always stay. The field adds spans that the
-patterns miss. Its nodes are a document's mentions: base spans, clamped to their kind, and loose
-mentions (number runs of 7 to 19 digits, words around an @) outside them; all other words are no
-personal data by definition. Its edges are the chain of neighbouring mentions and skip edges between
-distant mentions with the same digits or address ("same") or the same last seven digits or local part
-("similar"). Sum-product messages run over the loops until they settle, and a loose mention becomes a
-span where a kind has the largest marginal, at least `min_marginal`, and skip edges lead to a base span of
-that kind: repeated look-alikes alone are no evidence.
-
-Fit, piecewise: node weights by softmax regression over shape and context features of a drawn sample
-of documents with mentions (about `max_train_docs`, a documented bound), chain potentials from
-label pairs of neighbours, the skip potential from the agreement of mentions with the same key.
-Loose mentions are unlabelled rather than clean, so they count as none by `UNLABELLED` only.
+patterns miss, such as a card that a pattern swallowed together with the number before it, or a known
+number where it stands without its marks. It labels tokens (runs without white space) with a kind or
+none. Tokens without a digit or an @ are none by definition, so the nodes are the others, however long;
+tokens that a base span touches are clamped to its kind. Edges are the chain of neighbouring tokens
+(the fixed neighbours enter as they are) and skip edges to the last token before with the same text
+("same"), and to the last number (a run of number tokens, however it is spaced) with the same last seven
+digits or the last address with the same local part ("similar"). Sum-product messages run over
+the loops until they settle, and a free token becomes part of a span where a kind has the largest
+marginal, at least `min_marginal`. Pieces that follow each other under one label are one span.
+
+Fit, piecewise, on a drawn sample of documents with a digit or an @ (about `max_train_docs`, a documented
+bound): node weights by softmax regression over shape and context features, chain potentials from
+the labels of neighbours, skip potentials from how often linked tokens agree, where one of them is
+known. Free tokens are unlabelled rather than clean, so they count as none by `UNLABELLED` only.
 
 Defined cases: null and empty texts have no spans; repeated rows are treated alike; a null id stays
 null; an empty table gives no rows and a field without evidence adds nothing; other columns are
@@ -44,17 +46,23 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-NUMBER = re.compile(r"[0-9][0-9().\x20-]*")
-AROUND_AT = re.compile(r"[^\s@]{0,128}@[^\s@]{1,128}")
+MARK = re.compile(r"[0-9@]")
+MARK_OR_WORD = re.compile(r"\w")
+SPACE = re.compile(r"\s")
+CORE = re.compile(r"[A-Za-z0-9+(@](?:.*[A-Za-z0-9)])?")
 WORD_BEFORE = re.compile(r"(\S{1,32})\s*$")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 CONTEXTS = 32
-FEATURES = 24 + CONTEXTS
-#: Weight of "none" in the training target of a loose mention; the rest is spread over the kinds.
-UNLABELLED = 0.8
-#: Agreements of same mentions that are taken for granted before any is counted.
-AGREEMENTS = 50.0
+SHAPES = 26
+FEATURES = SHAPES + CONTEXTS
+#: Weight of "none" in the training target of a free token; the rest is spread over the kinds.
+UNLABELLED = 0.9
+#: Digits from which a number is told from others by its text; shorter ones repeat by chance and have no skip edges.
+TELLING = 5
+#: Digits of a card and of a phone at most: pieces that follow each other under one label are one span up to that.
+MOST = {3: 19, 4: 15}
+MIN_MARGINAL = 0.9
 SWEEPS, SETTLED, DAMPING = 30, 1e-4, 0.3
 
 Span = tuple[int, int, int]  # kind's number in KINDS, start, end
@@ -93,41 +101,40 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def loose_spans(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Mentions that no base span touches, in text order."""
-    found = []
-    if DIGIT.search(text):
-        for m in NUMBER.finditer(text):
-            own = m[0].rstrip("(). -")
-            if 7 <= len(own) <= 64 and 7 <= len(NOT_DIGIT.sub("", own)) <= 19:
-                found.append((m.start(), m.start() + len(own)))
-    if "@" in text:
-        found += [(m.start(), m.start() + len(m[0].rstrip(".,;:!?)"))) for m in AROUND_AT.finditer(text)]
-    if not found:
-        return found
-    blocked = sorted((a, b) for _, a, b in taken)
-    out, i, end = [], 0, 0
-    for a, b in sorted(found):
-        while i < len(blocked) and blocked[i][1] <= a:
-            i += 1
-        if a >= end and (i == len(blocked) or blocked[i][0] >= b):
-            out.append((a, b))
-            end = b
+def tokens(text: str) -> list[tuple[int, int]]:
+    """Places of the tokens with a digit or an @, without marks around them, in text order."""
+    out, end = [], 0
+    while m := MARK.search(text, end):
+        start = m.start()
+        while start > end and not text[start - 1].isspace():
+            start -= 1
+        stop = SPACE.search(text, m.end())
+        end = stop.start() if stop else len(text)
+        if own := CORE.search(text, start, end):
+            out.append(own.span())
     return out
 
 
+def dotted(own: str) -> bool:
+    parts = own.split(".")
+    return len(parts) == 4 and all(p.isdecimal() and p.isascii() and len(p) <= 3 and int(p) <= 255 for p in parts)
+
+
 def features(text: str, start: int, end: int) -> np.ndarray:
-    """Shape and left context of a mention, without anything of the base patterns' verdict."""
+    """Shape and left context of a token."""
     own = text[start:end]
-    digits = len(NOT_DIGIT.sub("", own))
+    digits = NOT_DIGIT.sub("", own)
     x = np.zeros(FEATURES)
     x[0] = 1
-    x[1 + int(np.searchsorted((1, 4, 7, 9, 12, 13, 16, 20), digits, side="right"))] = 1
-    x[10], x[11], x[12] = "@" in own, own.count(".") == 3, "." in own
-    x[13], x[14], x[15] = "-" in own, " " in own, "(" in own
-    x[16], x[17] = own[:1] == "+" or text[max(0, start - 1) : start] == "+", any(map(str.isalpha, own))
+    x[1 + int(np.searchsorted((1, 3, 5, 7, 9, 13, 16, 17, 20), len(digits), side="right"))] = 1
+    x[11], x[12], x[13] = "@" in own, "." in own.rpartition("@")[2], dotted(own)
+    x[14], x[15], x[16] = "-" in own, "(" in own, own[:1] == "+"
+    x[17], x[18] = any(map(str.isalpha, own)), own.isalnum() and not own.isdecimal() and len(own) >= 16
+    x[19] = 13 <= len(digits) <= 19 and len(digits) == len(own) and luhn(digits)
     if before := WORD_BEFORE.search(text, max(0, start - 40), start):
-        x[24 + zlib.crc32(before[1].lower().encode("utf-8", "replace")) % CONTEXTS] = 1
+        word = before[1].lower()
+        x[20], x[21], x[22] = word[-1] in ":=", word[0] == "+", word[-1].isdecimal()
+        x[SHAPES + zlib.crc32(word.encode("utf-8", "replace")) % CONTEXTS] = 1
     return x
 
 
@@ -140,57 +147,66 @@ class Field:
 
 
 class Graph:
-    """Mentions of several documents as one graph without edges between documents."""
+    """Tokens of several documents as one graph without edges between documents."""
 
     def __init__(self):
         self.x: list[np.ndarray] = []
-        self.label: list[int] = []  # of base spans; -1 for loose mentions
+        self.label: list[int] = []  # of tokens in base spans; -1 for free ones
         self.where: list[tuple[int, int, int]] = []  # document, start, end
+        self.alone: list[tuple[bool, bool]] = []  # whether the neighbour on the left, on the right is none by definition
         self.edges: dict[str, list[tuple[int, int]]] = {"chain": [], "same": [], "similar": []}
 
-    def add(self, doc: int, text: str, base: list[Span], loose: list[tuple[int, int]]) -> None:
-        mentions = sorted([(a, b, k + 1) for k, a, b in base] + [(a, b, -1) for a, b in loose])
+    def add(self, doc: int, text: str, base: list[Span]) -> None:
+        taken = sorted((a, b, k + 1) for k, a, b in base)
         seen: dict[str, dict[str, int]] = defaultdict(dict)
-        for i, (a, b, label) in enumerate(mentions):
+        at, reach, last, run = 0, [], None, []
+
+        def link(kind: str, key: str, nodes: list[int]) -> None:
+            before = seen[kind].get(key)
+            seen[kind][key] = nodes[-1]
+            if before is not None:
+                self.edges[kind] += [(before, node) for node in nodes]
+
+        def close() -> None:
+            """A run of number tokens is one number, however it is spaced."""
+            digits = "".join(NOT_DIGIT.sub("", text[self.where[node][1] : self.where[node][2]]) for node in run)
+            if len(digits) >= TELLING:
+                link("similar", digits[-7:], run)
+            run.clear()
+
+        for a, b in tokens(text):
+            while at < len(taken) and taken[at][0] < b:
+                reach.append(taken[at])
+                at += 1
+            reach = [r for r in reach if r[1] > a]
             node, own = len(self.label), text[a:b]
             self.x.append(features(text, a, b))
-            self.label.append(label)
+            self.label.append(reach[0][2] if reach else -1)
             self.where.append((doc, a, b))
-            if i:
+            beside = last is not None and not MARK_OR_WORD.search(text, last, a)
+            self.alone.append((not beside, True))
+            if beside:
+                self.alone[node - 1] = (self.alone[node - 1][0], False)
                 self.edges["chain"].append((node - 1, node))
-            digits = NOT_DIGIT.sub("", own)
-            keys = {"same": own.lower(), "similar": "@" + own.lower().partition("@")[0]} if "@" in own else {"same": digits, "similar": digits[-7:]}
-            joined = -1
-            for kind, key in keys.items():
-                before = seen[kind].get(key)
-                if before is not None and before != joined:
-                    self.edges[kind].append((before, node))
-                    joined = before
-                seen[kind][key] = node
-
-    def evidence(self) -> list[set[int]]:
-        """For each node the kinds of the base spans that its skip edges lead to, over any number of steps."""
-        root = list(range(len(self.label)))
-
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for kind in ("same", "similar"):
-            for a, b in self.edges[kind]:
-                root[top(a)] = top(b)
-        kinds: dict[int, set[int]] = defaultdict(set)
-        for i, label in enumerate(self.label):
-            if label > 0:
-                kinds[top(i)].add(label)
-        return [kinds[top(i)] for i in range(len(root))]
+            last = b
+            number = "@" not in own and not any(map(str.isalpha, own))
+            if run and not (beside and number and (own[0] != "+")):
+                close()
+            if number:
+                run.append(node)
+            elif "@" in own:
+                link("similar", "@" + own.lower().partition("@")[0], [node])
+            if "@" in own or len(NOT_DIGIT.sub("", own)) >= TELLING:
+                link("same", own.lower(), [node])
+        if run:
+            close()
 
     def marginals(self, field: Field) -> np.ndarray:
         """Loopy sum-product in log space."""
         n, k = len(self.label), len(LABELS)
         unary = np.array(self.x).reshape(n, FEATURES) @ field.weights
+        alone = np.array(self.alone, dtype=float).reshape(n, 2)
+        unary = unary + alone[:, :1] * field.chain[0] + alone[:, 1:] * field.chain[:, 0]
         label = np.array(self.label)
         known = np.flatnonzero(label >= 0)
         unary[known] = -50.0
@@ -233,15 +249,19 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_tra
         for batch in slices(batches, "text"):
             graph = Graph()
             for i, text in enumerate(batch.column("text").to_pylist()):
-                base = base_spans(text)
-                graph.add(i, text, base, loose_spans(text, base))
+                graph.add(i, text, base_spans(text))
             for x, label in zip(graph.x, graph.label, strict=True):
                 seen[b"x" + np.packbits(x > 0).tobytes(), label] += 1
+            own = [max(0, y) for y in graph.label]
             for a, b in graph.edges["chain"]:
-                seen[b"c", max(0, graph.label[a]) * len(LABELS) + max(0, graph.label[b])] += 1
-            for a, b in graph.edges["same"]:
-                if min(graph.label[a], graph.label[b]) > 0:
-                    seen[b"s", int(graph.label[a] == graph.label[b])] += 1
+                seen[b"c", own[a] * len(LABELS) + own[b]] += 1
+            for y, (left, right) in zip(own, graph.alone, strict=True):
+                seen[b"c", y] += left
+                seen[b"c", y * len(LABELS)] += right
+            for kind in ("same", "similar"):
+                for a, b in graph.edges[kind]:
+                    if own[a] or own[b]:
+                        seen[kind[:2].encode(), int(own[a] == own[b])] += 1
         if seen:
             yield pa.RecordBatch.from_pydict({"what": pa.array([k[0] for k in seen], pa.binary()), "label": pa.array([k[1] for k in seen], pa.int32()), "n": pa.array(list(seen.values()), pa.int64())})
 
@@ -249,50 +269,52 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_tra
     return solve([(bytes(r["what"]), r["label"], r["n"]) for r in got])
 
 
-def solve(sums: list[tuple[bytes, int, int]], rounds: int = 300, rate: float = 0.5, decay: float = 1e-3) -> Field:
+def solve(sums: list[tuple[bytes, int, int]], rounds: int = 300, rate: float = 0.5, doubt: float = 5.0) -> Field:
+    """A field from the sample's sums; `doubt` is the number of tokens that the prior, which says none, weighs as much as."""
     k = len(LABELS)
     nodes = [(np.unpackbits(np.frombuffer(w[1:], np.uint8))[:FEATURES], y, n) for w, y, n in sorted(sums) if w[:1] == b"x"]
     weights = np.zeros((FEATURES, k))
-    weights[0, 0] = np.log(UNLABELLED / (1 - UNLABELLED))
+    weights[0, 0] = np.log((k - 1) * UNLABELLED / (1 - UNLABELLED))
+    prior = weights.copy()
     if nodes:
         x = np.array([v[0] for v in nodes], dtype=float)
         target = np.array([np.eye(k)[y] if y > 0 else np.array([UNLABELLED, *[(1 - UNLABELLED) / (k - 1)] * (k - 1)]) for _, y, _ in nodes])
         mass = np.array([v[2] for v in nodes], dtype=float)
-        # A label's share must not decide what a shape says: the labels weigh alike.
-        group = np.array([max(0, y) for _, y, _ in nodes])
-        mass /= np.bincount(group, mass, minlength=k)[group]
         step = np.zeros_like(weights)
         for _ in range(rounds):
             p = x @ weights
             p = np.exp(p - p.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            step = 0.9 * step + rate * (x.T @ ((target - p) * mass[:, None]) / mass.sum() - decay * weights)
+            step = 0.9 * step + rate * (x.T @ ((target - p) * mass[:, None]) / mass.sum() - doubt / mass.sum() * (weights - prior))
             weights = weights + step
-    pairs = np.full((k, k), 1.0)
-    agreed = np.array([1.0, AGREEMENTS])
+    pairs, agreed = np.full((k, k), 1.0), {b"sa": np.ones(2), b"si": np.ones(2)}
     for w, y, n in sums:
         if w == b"c":
             pairs[y // k, y % k] += n
-        elif w == b"s":
-            agreed[y] += n
+        elif w in agreed:
+            agreed[w][y] += n
     chain = np.log(pairs * pairs.sum()) - np.log(pairs.sum(axis=1, keepdims=True) * pairs.sum(axis=0, keepdims=True))
-    same = float(np.log(agreed[1] / agreed[0]))
-    return Field(weights, 0.1 * np.clip(chain, -3, 3), same, same / 2)
+    same, similar = (float(np.log(agreed[w][1] / agreed[w][0])) for w in (b"sa", b"si"))
+    return Field(weights, np.clip(chain, -3, 3), same, similar)
 
 
 def added_spans(texts: list[str], bases: list[list[Span]], field: Field, min_marginal: float) -> list[list[Span]]:
     """What the field adds to each document."""
     graph, out = Graph(), [[] for _ in texts]
     for i, (text, base) in enumerate(zip(texts, bases, strict=True)):
-        if base and (loose := loose_spans(text, base)):  # without a known mention nothing can be consistent with it
-            graph.add(i, text, base, loose)
-    if graph.label:
+        graph.add(i, text, base)
+    if -1 in graph.label:
         p = graph.marginals(field)
         best = p.argmax(axis=1)
-        evidence = graph.evidence()
         for node, (i, a, b) in enumerate(graph.where):
-            if graph.label[node] < 0 and best[node] in evidence[node] and p[node, best[node]] >= min_marginal:
-                out[i].append((int(best[node]) - 1, a, b))
+            kind = int(best[node])
+            if graph.label[node] >= 0 or not kind or p[node, kind] < min_marginal:
+                continue
+            before = out[i][-1] if out[i] and not graph.alone[node][0] and graph.where[node - 1][2] == out[i][-1][2] else None
+            if before and before[0] == kind - 1 and kind in MOST and len(NOT_DIGIT.sub("", texts[i][before[1] : b])) <= MOST[kind]:
+                out[i][-1] = (kind - 1, before[1], b)
+            else:
+                out[i].append((kind - 1, a, b))
     return out
 
 
@@ -300,7 +322,7 @@ def said(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
-def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", min_marginal: float = 0.5) -> DataFrame:
+def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", min_marginal: float = MIN_MARGINAL) -> DataFrame:
     """id, base counts, hash of the base spans, and all spans of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     rows = docs.select(F.col(quoted(id_col)).alias(id_col), F.col(quoted(text_col)).alias("text"))
@@ -329,7 +351,7 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def redact(docs: DataFrame, field: Field, text_col: str = "text", min_marginal: float = 0.5) -> DataFrame:
+def redact(docs: DataFrame, field: Field, text_col: str = "text", min_marginal: float = MIN_MARGINAL) -> DataFrame:
     """`docs` with every span replaced; null texts stay null."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
