@@ -6,12 +6,15 @@ documents and the largest document id. Keys of `min_chars` code points or more t
 documents hold lose their lines everywhere but in that largest document.
 
 Filters stand before the exact tables and never decide: sharded cuckoo filters over the droppable
-keys tell, while the text is read, which documents can lose a line at all (the others never enter a
-shuffle) and which postings need the exact join. They are broadcast while their size, known from the
-exact counts, is within `MAX_FILTER_BYTES`; beyond it every posting and document takes the exact way.
+keys tell which postings need an exact look. While their size, known from the exact counts, is within
+`MAX_FILTER_BYTES`, they are broadcast; then they also tell, while the text is read, which documents can
+lose a line at all, and the others never enter a shuffle. Beyond it, filters, droppable keys and postings
+meet by shard, each shard in PARTS tasks.
 
-`LineIndex` keeps postings, counts and filters as tables: documents can be inserted and deleted, and
-a deletion restores the state before the insertion.
+`LineIndex` keeps postings, counts and filters as tables under a path: documents can be inserted and
+deleted, and a deletion restores the state before the insertion. A change is written beside the old
+state and counts from the moment that its last table, the commit, is there; opening the path again takes
+the last commit. One writer at a time.
 
 Defined cases: null and empty texts are one empty line; repeated rows of one id count as one document
 and lose the same lines; rows with a null id are never counted and keep all lines; an empty table
@@ -20,7 +23,6 @@ gives no rows; other columns pass through `dedup`, which replaces n_lines and n_
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,8 @@ SHARD_KEYS = 1 << 16
 MAX_FILTER_BYTES = 64 << 20
 #: Droppable keys (24 bytes each) that are broadcast at most; beyond, postings and keys meet in a shuffle.
 MAX_BROADCAST_KEYS = 1_000_000
+#: Tasks that share a shard's postings where filters are too large for a broadcast.
+PARTS = 16
 #: Bytes of a filter for each key, at most: two bytes a slot, half-filled tables after doubling.
 KEY_BYTES = 5
 
@@ -108,6 +112,42 @@ def probe(posts: DataFrame, shards) -> DataFrame:
     return posts.mapInArrow(run, posts.schema)
 
 
+def probe_by_shard(posts: DataFrame, droppable: DataFrame, filters: DataFrame, bits: int) -> DataFrame:
+    """(hi, lo, id) of the postings whose key is droppable, but for its last document: a shard's filter first, its exact keys for what passes."""
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    kind = posts.schema["id"].dataType
+    each = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    own = shard_of(bits).alias("shard")
+    rows = (
+        filters.select("shard", each, F.lit(0).alias("role"), none("hi", "long"), none("lo", "long"), none("id", kind), "filter")
+        .unionByName(droppable.select(own, each, F.lit(1).alias("role"), "hi", "lo", F.col("last").alias("id"), none("filter", "binary")))
+        .unionByName(posts.select(own, F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int").alias("part"), F.lit(2).alias("role"), "hi", "lo", "id", none("filter", "binary")))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, shard, last = None, None, {}
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("shard", "part", "role")]
+            edges = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])))).tolist() if batch.num_rows else []
+            for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True) if edges else ():
+                now, role, part = (columns[0][a], columns[1][a]), columns[2][a], batch.slice(a, b - a)
+                if now != key:
+                    key, shard, last = now, None, {}
+                if role == 0:
+                    shard = CuckooFilter.from_bytes(part.column("filter")[0].as_py())
+                    continue
+                hi, lo = (part.column(c).to_numpy() for c in ("hi", "lo"))
+                if role == 1:
+                    last |= zip(zip(hi.tolist(), lo.tolist(), strict=True), part.column("id").to_pylist(), strict=True)
+                elif shard is not None:
+                    maybe = np.flatnonzero(shard.contains(hi.view(np.uint64), lo.view(np.uint64)))
+                    ids = part.column("id").take(pa.array(maybe)).to_pylist()
+                    keep = [at for at, x, y, i in zip(maybe.tolist(), hi[maybe].tolist(), lo[maybe].tolist(), ids, strict=True) if last.get((x, y), i) != i]
+                    yield part.take(pa.array(keep, pa.int64())).select(["hi", "lo", "id"])
+
+    return rows.repartition("shard", "part").sortWithinPartitions("shard", "part", "role").mapInArrow(run, posts.select("hi", "lo", "id").schema)
+
+
 def touched(docs: DataFrame, text_col: str, min_chars: int, shards, wanted: bool) -> DataFrame:
     """The rows of which some line's key a filter may hold (wanted), or the others."""
 
@@ -134,17 +174,18 @@ def apply_counts(docs: DataFrame, posts: DataFrame, counts: DataFrame, id_col: s
     n = droppable.count()
     base = docs.drop("n_lines", "n_dropped")
     own_id, own_keys = (next(x for i in range(len(base.columns) + 1) if (x := f"{n}{i}") not in base.columns) for n in ("doomed_id_", "doomed_keys_"))
-    calm = None
+    calm, open_docs = None, base
+    bits = shard_bits(n)
+    filters = build_filters(droppable, bits)
     if n * KEY_BYTES <= MAX_FILTER_BYTES:
-        bits = shard_bits(n)
-        rows = build_filters(droppable, bits).collect()  # n * KEY_BYTES at most
+        rows = filters.collect()  # n * KEY_BYTES at most
         shards = spark.sparkContext.broadcast(Shards(bits, {r["shard"]: CuckooFilter.from_bytes(bytes(r["filter"])) for r in rows}))
-        posts = probe(posts, shards)
         calm = touched(base, text_col, min_chars, shards, wanted=False)
         open_docs = touched(base, text_col, min_chars, shards, wanted=True)
+        lost = probe(posts, shards).join(F.broadcast(droppable) if n <= MAX_BROADCAST_KEYS else droppable, ["hi", "lo"]).where("id != last")
     else:
-        open_docs = base
-    doomed = posts.join(F.broadcast(droppable) if n <= MAX_BROADCAST_KEYS else droppable, ["hi", "lo"]).where("id != last").distinct().groupBy(F.col("id").alias(own_id)).agg(F.collect_list(F.struct("hi", "lo")).alias(own_keys))
+        lost = probe_by_shard(posts, droppable, cut(filters), bits)
+    doomed = lost.select("hi", "lo", "id").distinct().groupBy(F.col("id").alias(own_id)).agg(F.collect_list(F.struct("hi", "lo")).alias(own_keys))
     met = open_docs.join(doomed, open_docs[quoted(id_col)] == doomed[own_id], "left").drop(own_id)
     names = base.columns
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
@@ -183,30 +224,58 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_c
 
 
 class LineIndex:
-    """Reversible state under `path`: postings, counts and filters; every change writes a new generation.
+    """Reversible state under `path`: postings, counts and filters; see above for what a commit is.
 
     A batch's keys first meet the filter of their shard; only those it may hold are joined with the
-    exact tables, the others are new for certain.
+    exact tables, the others are new for certain. An insertion adds its postings as a table of their own,
+    and to each filter the keys that are new; only a filter that has no room is built again, from the
+    counts of its shard. The number of shards is set for `expected_keys` and grows fourfold beyond it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", min_chars: int = 40):
+    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", min_chars: int = 40, expected_keys: int = 0):
         self.spark, self.path, self.min_chars = spark, path, min_chars
         self.schemas = {"postings": f"hi long, lo long, id {id_type}", "counts": f"hi long, lo long, n_docs long, last {id_type}", "filters": "shard long, filter binary"}
-        self.tables = {k: spark.createDataFrame([], s) for k, s in self.schemas.items()}
-        self.bits = 0
-
-    def _commit(self, **tables: DataFrame) -> None:
-        at = f"{self.path}/{uuid.uuid4().hex}"
+        self.generation, self.bits, self.places = 0, shard_bits(expected_keys), {k: [] for k in self.schemas}
+        if commits := self._commits():
+            self.generation = max(commits)
+            last = spark.read.parquet(self._at(self.generation, "commit")).first()
+            if (last["id_type"], last["min_chars"]) != (id_type, min_chars):
+                raise ValueError(f"the index was made for ids of type {last['id_type']} and lines of {last['min_chars']} characters")
+            self.bits, self.places = last["bits"], {k: list(last[k]) for k in self.schemas}
+
+    def _at(self, generation: int, name: str) -> str:
+        return f"{self.path}/{generation:012d}/{name}"
+
+    def _commits(self) -> list[int]:
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/*/commit/_SUCCESS")
+        found = where.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(where)
+        return [int(x.getPath().getParent().getParent().getName()) for x in found or ()]
+
+    def table(self, name: str) -> DataFrame:
+        places = self.places[name]
+        return self.spark.read.schema(self.schemas[name]).parquet(*places) if places else self.spark.createDataFrame([], self.schemas[name])
+
+    def _commit(self, added: DataFrame | None = None, **tables: DataFrame) -> None:
+        """Writes tables in place of the old ones, and `added` to the postings."""
+        now, at = dict(self.places), self.generation + 1
         for name, df in tables.items():
-            df.write.parquet(f"{at}/{name}")
-        self.tables |= {k: self.spark.read.schema(self.schemas[k]).parquet(f"{at}/{k}") for k in tables}
+            df.write.mode("overwrite").parquet(self._at(at, name))  # what is there was never committed
+            now[name] = [self._at(at, name)]
+        if added is not None:
+            added.write.mode("overwrite").parquet(self._at(at, "postings"))
+            now["postings"] = [*now["postings"], self._at(at, "postings")]
+        id_type = self.schemas["postings"].rpartition(" ")[2]
+        row = (self.bits, self.min_chars, id_type, *(now[k] for k in self.schemas))
+        self.spark.createDataFrame([row], "bits int, min_chars int, id_type string, " + ", ".join(f"{k} array<string>" for k in self.schemas)).coalesce(1).write.mode("overwrite").parquet(self._at(at, "commit"))
+        self.generation, self.places = at, now
 
     def _maybe(self, keys: DataFrame) -> DataFrame:
         """Distinct (hi, lo) keys with `maybe`: whether their shard's filter may hold them.
 
         A batch that is large beside the index is dealt to several groups of a shard, each with its filter.
         """
-        if self.tables["filters"].isEmpty():
+        if not self.places["filters"]:
             return keys.withColumn("maybe", F.lit(False))
         parts = 1 << max(0, shard_bits(keys.count()) - self.bits)
 
@@ -217,32 +286,57 @@ class LineIndex:
             return own[["hi", "lo"]].assign(maybe=hit)
 
         own = keys.select(shard_of(self.bits).alias("shard"), F.pmod(F.xxhash64("hi", "lo"), F.lit(parts)).cast("int").alias("part"), "hi", "lo").groupBy("shard", "part")
-        filters = self.tables["filters"].withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).groupBy("shard", "part")
+        filters = self.table("filters").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).groupBy("shard", "part")
         return own.cogroup(filters).applyInPandas(look, "hi long, lo long, maybe boolean")
 
-    def _filters(self, counts: DataFrame) -> DataFrame:
-        self.bits = shard_bits(counts.count())
-        return build_filters(counts, self.bits)
+    def _filters(self, counts: DataFrame, new: DataFrame) -> DataFrame:
+        """The filters of all counted keys, of which `new` are not in the filters yet."""
+        n = counts.count()
+        if n > 4 * SHARD_KEYS << self.bits or not self.places["filters"]:
+            self.bits = max(self.bits, shard_bits(n))
+            return build_filters(counts, self.bits)
+
+        def grow(filters: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            if not len(own):
+                return filters[["shard", "filter"]]
+            hi, lo = (own[c].to_numpy().view(np.uint64) for c in ("hi", "lo"))
+            made = None
+            if len(filters):
+                made = CuckooFilter.from_bytes(bytes(filters["filter"].iloc[0]))
+                try:
+                    made.insert(hi, lo)
+                except OverflowError:
+                    return pd.DataFrame({"shard": [own["shard"].iloc[0]], "filter": [None]})
+            made = made or CuckooFilter.of(hi, lo, len(hi))
+            return pd.DataFrame({"shard": [own["shard"].iloc[0]], "filter": [made.to_bytes()]})
+
+        fresh = new.select(shard_of(self.bits).alias("shard"), "hi", "lo").groupBy("shard")
+        grown = written(self.table("filters").groupBy("shard").cogroup(fresh).applyInPandas(grow, self.schemas["filters"]))
+        full = grown.where("filter IS NULL").select(F.col("shard").alias("full"))
+        again = counts.join(F.broadcast(full), shard_of(self.bits) == F.col("full"), "left_semi")  # as many rows as there are shards at most
+        return grown.where("filter IS NOT NULL").unionByName(build_filters(again, self.bits, SHARD_KEYS // 2))
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-        """Adds documents; an id that is there already gets the new keys besides its old ones."""
+        """Adds documents; an id that is there already gets the new keys besides its old ones, and nothing twice."""
         new = written(postings(docs, id_col, text_col, self.min_chars).distinct())
         marked = written(self._maybe(written(new.select("hi", "lo").distinct())))
-        known = new.join(marked.where("maybe"), ["hi", "lo"], "left_semi").join(self.tables["postings"], ["hi", "lo", "id"], "left_anti")
-        fresh = known.unionByName(new.join(marked.where("NOT maybe"), ["hi", "lo"], "left_semi"))
+        known = new.join(marked.where("maybe"), ["hi", "lo"], "left_semi").join(self.table("postings"), ["hi", "lo", "id"], "left_anti")
+        fresh = written(known.unionByName(new.join(marked.where("NOT maybe"), ["hi", "lo"], "left_semi")))
         added = written(reference_counts(fresh).withColumnsRenamed({"n_docs": "more", "last": "newest"}))
-        counts = self.tables["counts"].join(added, ["hi", "lo"], "full").select("hi", "lo", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last", "newest").alias("last"))
-        self._commit(postings=self.tables["postings"].unionByName(fresh), counts=counts)
-        self._commit(filters=self._filters(self.tables["counts"]))
+        old = self.table("counts")
+        counts = written(old.join(added, ["hi", "lo"], "full").select("hi", "lo", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last", "newest").alias("last")))
+        unseen = added.select("hi", "lo").join(old, ["hi", "lo"], "left_anti")
+        self._commit(added=fresh, counts=counts, filters=self._filters(counts, unseen))
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> None:
         """Takes documents out; counts of their keys are taken anew from the postings that stay."""
-        gone = written(self.tables["postings"].join(ids.select(F.col(quoted(id_col)).alias("id")).distinct(), "id", "left_semi").select("hi", "lo", "id"))
-        left = written(self.tables["postings"].join(gone, ["hi", "lo", "id"], "left_anti"))
+        all_posts = self.table("postings")
+        gone = written(all_posts.join(ids.select(F.col(quoted(id_col)).alias("id")).distinct(), "id", "left_semi").select("hi", "lo", "id"))
+        left = written(all_posts.join(gone, ["hi", "lo", "id"], "left_anti"))
         keys = gone.select("hi", "lo").distinct()
         anew = reference_counts(left.join(keys, ["hi", "lo"], "left_semi"))
         dead = written(keys.join(anew, ["hi", "lo"], "left_anti"))
-        counts = self.tables["counts"].join(keys, ["hi", "lo"], "left_anti").unionByName(anew)
+        counts = self.table("counts").join(keys, ["hi", "lo"], "left_anti").unionByName(anew)
 
         def strike(filters: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             out = CuckooFilter.from_bytes(bytes(filters["filter"].iloc[0]))
@@ -250,13 +344,13 @@ class LineIndex:
             return filters.assign(filter=[out.to_bytes()])
 
         shards = dead.select(shard_of(self.bits).alias("shard"), "hi", "lo").groupBy("shard")
-        filters = self.tables["filters"].groupBy("shard").cogroup(shards).applyInPandas(strike, self.schemas["filters"])
+        filters = self.table("filters").groupBy("shard").cogroup(shards).applyInPandas(strike, self.schemas["filters"])
         self._commit(postings=left, counts=counts, filters=filters)
 
     def apply(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 5) -> DataFrame:
         """`docs`, all of them inserted before, without the lines that the index condemns."""
-        own = self.tables["postings"].join(docs.select(F.col(quoted(id_col)).alias("id")).distinct(), "id", "left_semi").select("hi", "lo", "id")
-        return apply_counts(docs, own, self.tables["counts"], id_col, text_col, self.min_chars, min_docs)
+        own = self.table("postings").join(docs.select(F.col(quoted(id_col)).alias("id")).distinct(), "id", "left_semi").select("hi", "lo", "id")
+        return apply_counts(docs, own, self.table("counts"), id_col, text_col, self.min_chars, min_docs)
 
 
 ORACLE = r"""
