@@ -69,6 +69,8 @@ def gram_buckets(codes: np.ndarray, left: np.ndarray, orders: tuple[int, ...], b
 
 def grams(texts: list[str], orders: tuple[int, ...], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(number of the text, bucket) of all n-grams, PIECE code points at a time; pieces overlap so that no n-gram is lost."""
+    if not texts:
+        return
     codes, ends = letter_codes(texts)
     longest = max(orders)
     sizes = np.diff(ends, prepend=0)
