@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding: an Aho-Corasick automaton drives a single-pass Viterbi search.
 
-The automaton is built over all pieces of a model; reading a text once, its output links give at each
-position every piece that ends there, longest first, and each relaxes the best score of that
-position. A character that no piece covers alone costs the smallest score less ten and falls back to
+The automaton is built over all pieces of a model; while it reads a text once, its output links give
+at each position every piece that ends there, longest first, and each at once relaxes the best score
+of that position. A character that no piece covers alone costs the smallest score less ten and falls back to
 its bytes, or to the unknown id where the model has no byte pieces. The result is the best-scoring
 segmentation under the model's piece scores: what unigram models define; models whose scores are
 merge ranks get the segmentation of the best rank sum, which can differ from merging.
@@ -12,7 +12,8 @@ line breaks and tabs that no piece holds), so a text is searched unit by unit an
 worker are remembered in a bounded table. Texts are whole; the memory is that of one unit's search.
 
 Defined cases: null and empty texts have no ids and decode to an empty text; the escape character
-U+2581 of a text counts as a space, so such texts come back with spaces; repeated rows are encoded
+U+2581 of a text counts as a space, as in the library, so such texts come back with spaces and have
+round_trip false; repeated rows are encoded
 alike; a null id stays null; an empty table gives no rows; other columns are ignored. Only models
 with the identity normaliser are taken; others are an error.
 """
@@ -79,21 +80,21 @@ class Pieces:
 
     def viterbi(self, unit: str) -> list[int]:
         """Ids of the best path through one unit."""
-        n = len(unit)
-        ends: list[list] = [[] for _ in range(n)]
-        if len(self.automaton):
-            for end, hit in self.automaton.iter(unit):
-                ends[end].append(hit)
-        best, back = [0.0] * (n + 1), [(0, -1)] * (n + 1)
-        for e in range(n):
-            top, way = -float("inf"), (1, -1)
-            for length, score, i in ends[e]:
-                reached = best[e + 1 - length] + score
-                if reached > top:
-                    top, way = reached, (length, i)
-            if unit[e] not in self.single and best[e] + self.unknown_score > top:
-                top, way = best[e] + self.unknown_score, (1, -1)
-            best[e + 1], back[e + 1] = top, way
+        n, single, unknown = len(unit), self.single, self.unknown_score
+        best, back = [0.0] + [-float("inf")] * n, [(1, -1)] * (n + 1)
+        done = 0  # positions up to here have their final score
+        for end, (length, score, i) in self.automaton.iter(unit) if len(self.automaton) else ():
+            while done < end:
+                done += 1
+                if unit[done - 1] not in single and best[done - 1] + unknown > best[done]:
+                    best[done], back[done] = best[done - 1] + unknown, (1, -1)
+            reached = best[end + 1 - length] + score
+            if reached > best[end + 1]:
+                best[end + 1], back[end + 1] = reached, (length, i)
+        while done < n:
+            done += 1
+            if unit[done - 1] not in single and best[done - 1] + unknown > best[done]:
+                best[done], back[done] = best[done - 1] + unknown, (1, -1)
         out: list[int] = []
         at = n
         while at:
@@ -162,7 +163,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             found = [own.encode(x) for x in texts]
             columns = [
                 batch.column(id_col), pa.array([len(x) for x in found], pa.int64()), pa.array([zlib.crc32(x) for x in found], pa.int64()), pa.array([int(is_byte[x].sum()) for x in found], pa.int64()),
-                pa.array([own.decode(x) == t.replace(SPACE, " ") for x, t in zip(found, texts, strict=True)]),
+                pa.array([own.decode(x) == t for x, t in zip(found, texts, strict=True)]),
             ]
             yield pa.RecordBatch.from_arrays(columns + [pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))] * with_ids, names=names)
 
