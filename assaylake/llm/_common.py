@@ -17,12 +17,12 @@ SLICE_ROWS = 2048
 SLICE_BYTES = 16 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str | None = None) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that one slice holds few rows and, for `column`, about SLICE_BYTES at most (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str | None = None, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that one slice holds few rows and, for `column`, about `most` bytes at most (one row at least)."""
     for batch in batches:
         step, n, at = SLICE_ROWS, batch.num_rows, 0
         size = batch.column(column).nbytes if column and n else 0
-        step = max(1, min(step, n, int(n * SLICE_BYTES / size) if size > SLICE_BYTES else step))
+        step = max(1, min(step, n, int(n * most / size) if size > most else step))
         while at < n:
             yield batch.slice(at, step)
             at += step

@@ -52,7 +52,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_score.score(docs, lm_score.fit(docs, good))
+    return lm_score.score(docs, lm_score.fit(docs, good, singles=False))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
