@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,22 +88,57 @@ def foaming_agent(identity: Column) -> Column:
     return only_class(plain, {n: rf"(?<![\w]){n}(?![\w])" for n in FOAMING_AGENTS}, "foaming_agent")
 
 
+#: Units that a header may print in brackets, the shares that brackets may name, and durations that a token may print.
+HEADER_UNITS = ("kg/m3", "g/cm3", "g/L", "kg/L", "mol/L", "M", "g", "kg", "mg", "mL", "L")
+SHARES = {"vol": "volume", "vol.": "volume", "volume": "volume", "wt": "mass", "wt.": "mass", "weight": "mass", "mass": "mass"}
+DURATIONS = ("s", "min", "h", "d", "hours", "days")
+
+
+def _ascii_forms() -> dict[str, str]:
+    """Characters whose compatibility form (NFKC) is ASCII, from the Unicode tables."""
+    forms = ((chr(c), unicodedata.normalize("NFKC", chr(c))) for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000)
+    return {c: form for c, form in forms if form.isascii()}
+
+
+def plain_form(text: Column) -> Column:
+    """A text with every character that stands for ASCII ones written in these: brackets and digits of full width, superscripts, squared units."""
+    forms = _ascii_forms()
+    single = {c: f for c, f in forms.items() if len(f) == 1}
+    out = F.translate(text, "".join(single), "".join(single.values()))
+    for c, form in forms.items():
+        if len(form) > 1 and (form in HEADER_UNITS or form in SHARES or "/" in form or form in ("m2", "m3", "cm2", "cm3", "mm2", "mm3")):
+            out = F.replace(out, F.lit(c), F.lit(form))
+    return out
+
+
 def header_unit(header: Column, fallback: Column) -> Column:
-    """Unit that a table header prints; a unit in brackets goes before percentages and ratios."""
-    compact = F.regexp_replace(header, r"\s+", "")
-    units = "kg/m3|g/cm3|g/L|kg/L|mol/L|M|g|kg|mg|mL|L"
-    found = F.array_distinct(F.regexp_extract_all(compact, F.lit(rf"[(\[]({units})[)\]]"), F.lit(1)))
-    return (
-        F.when(F.size(found) == 1, found[0])
-        .when(header.rlike(r"(?i)(vol\.?|volume).*%|%.*(vol\.?|volume)"), "vol.%")
-        .when(header.rlike(r"(?i)(wt\.?|weight|mass)\s*%"), "wt.%")
-        .when(F.contains(header, F.lit("%")), "%")
-        .when(header.rlike(r"(?i)\((vol\.?|volume)\)"), "volume ratio")
-        .when(header.rlike(r"(?i)\((wt\.?|weight|mass)\)|mass\s+ratio"), "mass ratio")
-        .when(header.rlike(r"(?i)molar\s+ratio"), "molar ratio")
-        .when(header.rlike(r"(?i)\bratio\b"), "ratio")
-        .otherwise(fallback)
-    )
+    """Unit that a table header prints.
+
+    What the brackets hold is read first: one printed unit decides. Otherwise the header prints a percentage
+    (of volume, of mass or of neither) or a ratio (of what its brackets or words name), or else the fallback holds.
+    """
+    plain = plain_form(header)
+    low = F.lower(plain)
+    held = F.regexp_extract_all(F.regexp_replace(plain, r"\s+", ""), F.lit(r"[(\[]([^()\[\]]*)[)\]]"), F.lit(1))
+    units = F.array_intersect(held, F.array(*map(F.lit, HEADER_UNITS)))
+    share_of = F.create_map(*[F.lit(x) for kv in SHARES.items() for x in kv])
+    named = F.transform(F.regexp_extract_all(low, F.lit(r"\(([^()]*)\)"), F.lit(1)), lambda x: share_of[x])
+    percentage = F.when(F.contains(low, F.lit("vol")), "vol.%").when(low.rlike(r"(wt\.?|weight|mass)\s*%"), "wt.%").otherwise("%")
+    word = F.regexp_extract(low, r"(mass|molar)\s+ratio", 1)
+    of = F.when(F.array_contains(named, "volume"), "volume ").when(F.array_contains(named, "mass") | low.rlike(r"mass\s+ratio"), "mass ").when(word != "", F.concat(word, F.lit(" "))).when(low.rlike(r"\bratio\b"), "")
+    return F.when(F.size(units) == 1, units[0]).when(F.contains(plain, F.lit("%")), percentage).otherwise(F.coalesce(F.concat(of, F.lit("ratio")), fallback))
+
+
+def time_unit(value: Column, unit: Column, token: Column) -> Column:
+    """The unit that a token such as "24 h" prints beside this very value; otherwise the given one."""
+    printed = rf"^\s*([+-]?[0-9]+(?:\.[0-9]+)?)\s*({'|'.join(DURATIONS)})\s*$"
+    same = F.regexp_extract(token, printed, 1).try_cast("double") == value
+    return F.when(F.coalesce(token.rlike(printed) & same, F.lit(False)), F.regexp_extract(token, printed, 2)).otherwise(unit)
+
+
+def specimen_key(identity: Column) -> Column:
+    """A specimen's identity as printed, without white space around it; null for none."""
+    return F.nullif(F.regexp_replace(identity, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def coded_composition(identity: Column) -> Column:

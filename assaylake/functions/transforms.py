@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,10 +12,6 @@ COMPONENT, PIXEL, DURATIONS = "ratio_component", "linear_pixel_y", "duration_seq
 KINDS = (SCALE, COMPLEMENT, FRACTION, LINEAR, LOG, COMPONENT, PIXEL, DURATIONS)
 
 
-def close(a: Column, b: Column, tolerance: Column) -> Column:
-    return F.coalesce(F.abs(a - b) <= tolerance, F.lit(False))
-
-
 def linear(p: Column, p0: Column, v0: Column, p1: Column, v1: Column) -> Column:
     """Value at position p of an axis through (p0, v0) and (p1, v1); null for a degenerate axis."""
     return v0 + F.try_divide(p - p0, p1 - p0) * (v1 - v0)
@@ -29,33 +27,87 @@ def axis_position(v: Column, p0: Column, v0: Column, p1: Column, v1: Column, log
     return linear(F.log10(v), F.log10(v0), p0, F.log10(v1), p1) if log else linear(v, v0, p0, v1, p1)
 
 
-def forward(kind: Column, value: Column, a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Output that a receipt's inputs give; a to d are scale, total, the ratio's second part or the axis anchors (p0, v0, p1, v1)."""
+#: A receipt: what went in, what came out, and both recomputations as they were written down. Axes keep their anchors' positions and values (logarithms for LOG).
+RECEIPT = (
+    "struct<formal: boolean, formula: string, kind: string,"
+    " inputs: struct<value: double, scale: double, component_count: int, total: double, components: array<double>, token: string, positions: array<double>, values: array<double>, steps: array<struct<value: double, scale: double>>>,"
+    " output: struct<value: double, values: array<double>, component: int>,"
+    " forward: struct<computed: double, recorded: double, recorded_list: array<double>, tolerance: double>,"
+    " reverse: struct<computed: double, recorded: double, recorded_list: array<double>, computed_token: string, recorded_token: string, tolerance: double>>"
+)
+
+
+def same(a: Column, b: Column, tolerance: Column) -> Column:
+    """Whether two numbers agree; two unknown ones do."""
+    return F.coalesce(F.abs(a - b) <= F.coalesce(tolerance, F.lit(0.0)), a.isNull() & b.isNull())
+
+
+def same_lists(a: Column, b: Column, tolerance: Column) -> Column:
+    return F.coalesce((F.size(a) == F.size(b)) & F.forall(F.zip_with(a, b, lambda x, y: same(x, y, tolerance)), lambda x: x), F.lit(False))
+
+
+def finite(*values: Column) -> Column:
+    return F.coalesce(reduce(lambda a, x: a & ~F.isnan(x) & (F.abs(x) < float("inf")), values, F.lit(True)), F.lit(False))
+
+
+def forward(r: Column) -> Column:
+    """array of the outputs that a receipt's inputs give; null for an unknown kind."""
+    i, kind = r["inputs"], r["kind"]
+    p, v = i["positions"], i["values"]
+    axis = linear(i["value"], p[0], v[0], p[1], v[1])
+    return (
+        F.when(kind == SCALE, F.array(i["value"] * i["scale"])).when(kind == COMPLEMENT, F.array(i["total"] - i["value"])).when(kind == COMPONENT, F.array(F.get(i["components"], r["output"]["component"])))
+        .when(kind == FRACTION, F.array(F.try_divide(i["components"][0], i["components"][0] + i["components"][1]) * 100.0)).when(kind == LINEAR, F.array(axis))
+        .when(kind == PIXEL, F.array(F.round(linear(i["value"], p[1], v[0], p[0], v[1]), 3))).when(kind == LOG, F.array(F.pow(F.lit(10.0), axis))).when(kind == DURATIONS, F.transform(i["steps"], lambda x: x.value * x.scale))
+    )
+
+
+def backward(r: Column) -> Column:
+    """array of the inputs that a receipt's outputs give back; for a fraction the ratio of its parts, for a component nothing."""
+    i, o, kind = r["inputs"], r["output"], r["kind"]
+    p, v = i["positions"], i["values"]
     return (
-        F.when(kind == SCALE, value * a).when(kind == COMPLEMENT, a - value).when(kind == FRACTION, F.try_divide(value, value + a) * 100.0)
-        .when(kind.isin(LINEAR, DURATIONS), F.when(kind == DURATIONS, value * a).otherwise(linear(value, a, b, c, d))).when(kind == COMPONENT, F.when(a == 0, value).otherwise(b))
-        .when(kind == PIXEL, F.round(b + F.try_divide(c - value, c - a) * (d - b), 3)).when(kind == LOG, F.pow(F.lit(10.0), linear(value, a, b, c, d)))
+        F.when(kind == SCALE, F.array(F.try_divide(o["value"], i["scale"]))).when(kind == COMPLEMENT, F.array(i["total"] - o["value"])).when(kind == FRACTION, F.array(F.try_divide(o["value"], 100.0 - o["value"])))
+        .when(kind == LINEAR, F.array(linear(o["value"], v[0], p[0], v[1], p[1]))).when(kind == PIXEL, F.array(linear(o["value"], v[0], p[1], v[1], p[0])))
+        .when(kind == LOG, F.array(linear(F.log10(o["value"]), v[0], p[0], v[1], p[1]))).when(kind == DURATIONS, F.zip_with(o["values"], i["steps"], lambda x, s: F.try_divide(x, s.scale)))
     )
 
 
-def backward(kind: Column, output: Column, a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Input that the output gives back."""
+def invalid_inputs(r: Column) -> Column:
+    """The name of what makes a receipt's numbers no case of its kind; null if they are one."""
+    i, kind = r["inputs"], r["kind"]
+    p, v, parts, share = i["positions"], i["values"], i["components"], r["output"]["value"]
+    mass = (i["component_count"] == 2) & (i["total"] == 100) & finite(i["value"]) & i["value"].between(0, 100)
+    ratio = (F.size(parts) == 2) & F.forall(parts, lambda x: finite(x) & (x > 0))
+    axis = finite(i["value"], p[0], p[1], v[0], v[1]) & (p[0] != p[1]) & (v[0] != v[1])
+    broken = lambda name, good: (kind == name) & ~F.coalesce(good, F.lit(False))
     return (
-        F.when(kind.isin(SCALE, DURATIONS), F.try_divide(output, a)).when(kind == COMPLEMENT, a - output).when(kind == FRACTION, F.try_divide(output, 100.0 - output) * a)
-        .when(kind == LINEAR, linear(output, b, a, d, c)).when(kind == COMPONENT, output).when(kind == PIXEL, c - F.try_divide(output - b, d - b) * (c - a)).when(kind == LOG, linear(F.log10(output), b, a, d, c))
+        F.when(broken(COMPLEMENT, mass), "INVALID_BINARY_MASS_BASIS").when(broken(FRACTION, ratio), "INVALID_STANDARD_RATIO").when(broken(FRACTION, finite(share) & (share > 0) & (share < 100)), "INVALID_STANDARD_FRACTION")
+        .when(broken(LINEAR, axis), "INVALID_LINEAR_AXIS")
     )
 
 
-def defects(kind: Column, value: Column, output: Column, actual: Column, tolerance: Column, a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Sorted names of what is wrong with a receipt; empty for a sound one."""
-    known = kind.isin(*KINDS)
-    names = F.array(
-        F.when(~known | kind.isNull(), F.concat(F.lit("UNKNOWN_TRANSFORM_KIND:"), F.coalesce(kind, F.lit("")))),
-        F.when(known & ~close(forward(kind, value, a, b, c, d), output, tolerance), "FORWARD_RECOMPUTE_FAILED"),
-        F.when(known & ~close(backward(kind, output, a, b, c, d), value, tolerance), "REVERSE_RECOMPUTE_FAILED"),
-        F.when(known & ~close(actual, output, tolerance), "TRANSFORM_OUTPUT_RECORD_DRIFT"),
+def receipt_defects(r: Column, actual: Column, actual_list: Column | None = None) -> Column:
+    """Sorted names of what is wrong with a receipt (see RECEIPT) for the value or values that the record holds; empty for a sound one."""
+    kind, i, o, there, back = r["kind"], r["inputs"], r["output"], r["forward"], r["reverse"]
+    many, single_part = kind == DURATIONS, kind == COMPONENT
+    held = F.when(many, actual_list if actual_list is not None else F.lit(None).cast("array<double>")).otherwise(F.array(actual))
+    out, source = F.when(many, o["values"]).otherwise(F.array(o["value"])), F.when(many, F.transform(i["steps"], lambda x: x.value)).when(kind == FRACTION, F.array(back["recorded"])).otherwise(F.array(i["value"]))
+    told, tolerance, back_tolerance = kind.isin(COMPLEMENT, LINEAR), there["tolerance"], back["tolerance"]
+    known, made, again = kind.isin(*KINDS), forward(r), backward(r)
+    tokens = F.coalesce((back["computed_token"] == i["token"]) & (back["recorded_token"] == i["token"]), F.lit(False))
+    recorded = F.when(there["recorded_list"].isNotNull(), same_lists(there["recorded_list"], F.coalesce(o["values"], F.array().cast("array<double>")), tolerance)).otherwise(there["recorded"].isNull() | same(there["recorded"], o["value"], tolerance))
+    found = F.array(
+        F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit("UNKNOWN_TRANSFORM_KIND:"), F.coalesce(kind, F.lit("None")))),
+        F.when(known & ~same_lists(made, out, tolerance), "FORWARD_RECOMPUTE_FAILED"),
+        F.when(known & F.when(single_part, ~tokens).otherwise(~same_lists(again, source, back_tolerance)), "REVERSE_RECOMPUTE_FAILED"),
+        F.when(known & ~same_lists(held, out, tolerance), "TRANSFORM_OUTPUT_RECORD_DRIFT"),
+        F.when(F.when(F.coalesce(single_part, F.lit(False)), there["recorded"].isNull() | ~same(there["computed"], there["recorded"], tolerance)).otherwise(~recorded | (F.coalesce(told, F.lit(False)) & ~same(there["computed"], made[0], tolerance))), "FORWARD_RECEIPT_DRIFT"),
+        F.when((told & (~same(back["computed"], again[0], back_tolerance) | ~same(back["recorded"], source[0], back_tolerance))) | ((kind == FRACTION) & ~same(back["computed"], again[0], back_tolerance)), "REVERSE_RECEIPT_DRIFT"),
+        F.when(~F.coalesce(single_part, F.lit(False)) & back["recorded"].isNull() & back["recorded_list"].isNull(), "REVERSE_RECEIPT_MISSING"),
     )
-    return F.array_sort(F.filter(names, lambda x: x.isNotNull()))
+    early = F.when(~F.coalesce(r["formal"] & (r["formula"] != ""), F.lit(False)), "TRANSFORM_NOT_FORMAL_OR_FORMULA_MISSING").when(i.isNull() | o.isNull() | there.isNull() | back.isNull(), "TRANSFORM_RECEIPT_INCOMPLETE").otherwise(invalid_inputs(r))
+    return F.when(r.isNull(), F.array(F.lit("FORMAL_TRANSFORM_RECEIPT_MISSING"))).when(early.isNotNull(), F.array(early)).otherwise(F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))))
 
 
 def bar_value(top: Column, baseline: Column, axis_zero: Column, slope: Column, low: Column, high: Column, tick: Column, tolerance: float = 3.0) -> Column:

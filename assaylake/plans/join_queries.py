@@ -88,14 +88,15 @@ def longest_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 10 = 0),
-a AS (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 10 = 1),
-m AS (SELECT t.event_id, a.event_id AS anchor, CASE WHEN t.k = a.k THEN 1 WHEN t.event_type = a.event_type THEN 2 END AS tier, abs(t.event_id - a.event_id) AS distance FROM t JOIN a ON t.user_id = a.user_id)
+WITH e AS (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(ts AS DATE) AS day FROM events),
+m AS (SELECT t.event_id, a.event_id AS anchor, CASE WHEN t.k = a.k THEN 1 WHEN t.day = a.day THEN 2 WHEN t.k // 10 = a.k // 10 THEN 3 END AS tier, abs(t.event_id - a.event_id) AS distance FROM e t JOIN e a ON t.user_id = a.user_id AND t.event_type <> 'purchase' AND a.event_type = 'purchase')
 SELECT event_id, anchor, tier, distance FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY tier, distance, anchor) AS r FROM m WHERE tier IS NOT NULL) WHERE r = 1
 """)
 def nearest_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"), F.col("event_id").alias("place"))
-    got = matching.nearest_anchor(rows.where("event_id % 10 = 0"), rows.where("event_id % 10 = 1"), "user_id", "event_id", "event_id", ["k", "event_type"], row=("place",))
+    """Each event that is no purchase with the user's purchase that anchors it: the same key, else the same day, else the same tens of the key."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", k.alias("k"), F.col("ts").cast("timestamp").cast("date").alias("day"), F.floor(k / 10).alias("tens"), F.col("event_id").alias("place"))
+    got = matching.nearest_anchor(rows.where("event_type != 'purchase'"), rows.where("event_type = 'purchase'"), "user_id", "event_id", "event_id", ["k", "day", "tens"], row=("place",))
     return got.select("event_id", "anchor", "tier", "distance")
 
 
@@ -159,8 +160,8 @@ def tiered_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MULTISET = """
-WITH l AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS id, l_partkey, l_quantity FROM lineitem WHERE l_linenumber = 1 AND l_partkey % 5 = 0),
-r AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS id, l_partkey, l_quantity FROM lineitem WHERE l_linenumber = 2 AND l_partkey % 5 = 0),
+WITH l AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS id, l_partkey, l_quantity FROM lineitem WHERE l_linenumber = 1),
+r AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS id, l_partkey, l_quantity FROM lineitem WHERE l_linenumber = 2),
 ln AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_quantity ORDER BY id) AS n FROM l), rn AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_quantity ORDER BY id) AS n FROM r),
 e AS (SELECT ln.id AS left_id, rn.id AS right_id FROM ln JOIN rn USING (l_partkey, l_quantity, n)),
 l2 AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY id) AS n FROM l WHERE id NOT IN (SELECT left_id FROM e)), r2 AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY id) AS n FROM r WHERE id NOT IN (SELECT right_id FROM e)),
@@ -171,7 +172,7 @@ SELECT outcome, count(*) AS n FROM (SELECT 'exact' AS outcome FROM e UNION ALL S
 
 @query(MULTISET)
 def multiset_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").where("l_partkey % 5 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     row_id = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     key = F.concat_ws("|", *[F.col(f"id.{f}").cast("string") for f in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")])
     sides = [rows.where(f"l_linenumber = {n}").select(row_id.alias("id"), "l_partkey", "l_quantity").withColumn("id", key) for n in (1, 2)]

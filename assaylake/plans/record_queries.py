@@ -123,9 +123,9 @@ def body_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.body_free(rows, ["page_id"], ["size"])
 
 
-@query("SELECT page_id FROM pages WHERE regexp_matches(url, '(?i)https?://|\\b10\\.[0-9]{4,9}/') AND page_id % 2 = 0")
+@query("SELECT page_id FROM pages WHERE regexp_matches(url, '(?i)https?://|\\b10\\.[0-9]{4,9}/')")
 def leak_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.leaks(table(spark, sf_dir, "pages").where("page_id % 2 = 0").select("page_id", "url")).select("page_id")
+    return pages.leaks(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id")
 
 
 @query("""
@@ -142,24 +142,30 @@ def cached_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH e AS (SELECT user_id AS c, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS o, value AS y FROM events), n AS (SELECT c, CAST(o AS DOUBLE) AS x, y, lead(CAST(o AS DOUBLE)) OVER w AS x1, lead(y) OVER w AS y1 FROM e WINDOW w AS (PARTITION BY c ORDER BY o)),
-g AS (SELECT c, count(*) FILTER (WHERE y >= 98 AND 98 > y1) AS nc, count(*) FILTER (WHERE y >= 96 AND 96 > y1) AS nl, count(*) FILTER (WHERE y >= 100 AND 100 > y1) AS nh, max(CASE WHEN y >= 98 AND 98 > y1 THEN x + (98 - y) / (y1 - y) * (x1 - x) END) AS x FROM n GROUP BY c)
-SELECT c AS user_id, CASE WHEN nc = 1 AND nl = 1 AND nh = 1 THEN round(x, 6) END AS x, CASE WHEN nc <> 1 THEN 'NON_UNIQUE_OR_MISSING_CROSSING' WHEN nl <> 1 OR nh <> 1 THEN 'UNCERTAINTY_CROSSING_NOT_BOUNDED' END AS reason FROM g
+t AS (SELECT c, x, y, x1, y1, y >= 90 AND 90 > y1 AS hc, y >= 83 AND 83 > y1 AS hl, y >= 97 AND 97 > y1 AS hh FROM n),
+g AS (SELECT c, count(*) FILTER (WHERE hc) AS nc, count(*) FILTER (WHERE hl) AS nl, count(*) FILTER (WHERE hh) AS nh, max(CASE WHEN hc THEN x + (90 - y) / (y1 - y) * (x1 - x) END) AS x, min(CASE WHEN hc OR hl OR hh THEN x END) AS a, max(CASE WHEN hc OR hl OR hh THEN x1 END) AS b FROM t GROUP BY c),
+r AS (SELECT *, CASE WHEN nc <> 1 THEN 'NON_UNIQUE_OR_MISSING_CROSSING' WHEN nl <> 1 OR nh <> 1 THEN 'UNCERTAINTY_CROSSING_NOT_BOUNDED' END AS reason FROM g)
+SELECT c AS user_id, CASE WHEN reason IS NULL THEN round(x, 6) END AS x, CASE WHEN reason IS NULL THEN a - 2 END AS x_low, CASE WHEN reason IS NULL THEN b + 2 END AS x_high, CASE WHEN reason IS NULL THEN 'CANDIDATE' ELSE 'QUARANTINED' END AS status, reason FROM r
 """)
 def raster_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     order = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     rows = table(spark, sf_dir, "events").select("user_id", order.alias("ordinal"), F.col("value").alias("y")).withColumn("x", F.col("ordinal").cast("double"))
-    got = windows.raster_percentile(rows, "user_id", 98.0, 98.0, 98.0, 10.0, 2.0)
-    return got.select("user_id", F.round("x", 6).alias("x"), "reason")
+    got = windows.raster_percentile(rows, "user_id", 90.0, 85.0, 95.0, 10.0, 2.0)
+    return got.select("user_id", F.round("x", 6).alias("x"), "x_low", "x_high", "status", "reason")
 
 
 @query("""
-SELECT doc_id, n, CAST(len(list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[.!?]\\s+'), lambda s: trim(s)), lambda s: s <> ''))) > 0 AS BOOLEAN) AS has_sentence
-FROM (SELECT doc_id, text, length(text) AS n FROM documents)
+WITH s AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[.!?]\\s+')) AS s, generate_subscripts(regexp_split_to_array(text, '[.!?]\\s+'), 1) AS place FROM documents WHERE text IS NOT NULL),
+ends AS (SELECT doc_id, unnest(regexp_extract_all(text, '([.!?])\\s+', 1)) AS e, generate_subscripts(regexp_extract_all(text, '([.!?])\\s+', 1), 1) AS place FROM documents WHERE text IS NOT NULL),
+w AS (SELECT s.doc_id, trim(s.s || coalesce(e.e, '')) AS s, s.place FROM s LEFT JOIN ends e ON s.doc_id = e.doc_id AND s.place = e.place),
+d AS (SELECT doc_id, s, min(place) AS place FROM w WHERE s <> '' GROUP BY doc_id, s)
+SELECT doc_id, count(*) AS n, sha256(string_agg(s, chr(10) ORDER BY place)) AS sentences_sha256 FROM d GROUP BY doc_id
 """)
 def method_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("long").alias("n"), (F.size(text.sentences(F.col("text"))) > 0).alias("has_sentence"))
+    found = table(spark, sf_dir, "documents").select("doc_id", text.sentences(F.col("text")).alias("s")).where(F.size("s") > 0)
+    return found.select("doc_id", F.size("s").cast("long").alias("n"), F.sha2(F.array_join("s", "\n").cast("binary"), 256).alias("sentences_sha256"))
 
 
 @query("SELECT doc_id, substr(text, 1, 240) AS snippet, sha256(text) AS sha256 FROM documents")
@@ -168,12 +174,15 @@ def evidence_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE WHEN user_id % 2 = 0 THEN CASE WHEN (user_id * 1800) % 3600 = 0 THEN CAST(user_id * 1800 // 3600 AS VARCHAR) || ' h' ELSE CAST(user_id * 1800 AS VARCHAR) || ' s' END
-  ELSE CAST(user_id * 1800 AS VARCHAR) || ' s' END AS shown FROM events WHERE user_id > 0 AND user_id < 500
-""")
+SELECT event_id, CASE WHEN user_id = 0 THEN '0.0 h' WHEN user_id % 2 = 0 THEN CAST(user_id // 2 AS VARCHAR) || ' h' WHEN user_id * 1800 >= 1000000 THEN CAST(CAST(round(user_id * 1800 / 1000.0) * 1000 AS BIGINT) AS VARCHAR) || ' s' ELSE CAST(user_id * 1800 AS VARCHAR) || ' s' END AS shown,
+  CASE WHEN event_id % 3 = 0 THEN 'sealed, 20 °C, ' WHEN event_id % 3 = 1 THEN 'steam, ' ELSE '65.5 °C, 95 % RH, ' END || CAST(1 + user_id % 28 AS VARCHAR) || ' h' AS stage
+FROM events
+""".replace("round(user_id * 1800 / 1000.0) * 1000", "round(user_id * 1800 / pow(10, floor(log10(user_id * 1800)) - 5)) * pow(10, floor(log10(user_id * 1800)) - 5)"))
 def curing_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where("user_id > 0 AND user_id < 500")
-    return rows.select("event_id", display.duration((F.col("user_id") * 1800).cast("double")).alias("shown"))
+    third = F.col("event_id") % 3
+    method, warm, wet = F.when(third == 0, "sealed").when(third == 1, "steam"), F.when(third == 0, 20.0).when(third == 2, 65.5), F.when(third == 2, 95.0)
+    stage = display.curing(method, warm, wet, ((1 + F.col("user_id") % 28) * 3600).cast("double"))
+    return table(spark, sf_dir, "events").select("event_id", display.duration((F.col("user_id") * 1800).cast("double")).alias("shown"), stage.alias("stage"))
 
 
 @query("SELECT o_orderkey, substr(sha256('{\"contract\":\"v1\",\"customer\":' || o_custkey || ',\"note\":null}'), 1, 24) AS job_id FROM orders")
@@ -190,11 +199,11 @@ def new_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT coalesce(a.k, b.k) AS k, CASE WHEN NOT (a.v IS NOT NULL AND b.v IS NOT NULL AND a.v <> b.v) THEN coalesce(a.v, b.v) END AS v, CASE WHEN a.v <> b.v THEN 'CONFLICT' WHEN a.v IS NULL AND b.v IS NOT NULL THEN 'FILLED' ELSE 'KEPT' END AS status
-FROM (SELECT s_suppkey AS k, CASE WHEN s_nationkey % 3 <> 0 THEN s_nationkey END AS v FROM supplier) a FULL JOIN (SELECT c_custkey AS k, c_nationkey AS v FROM customer WHERE c_custkey < 200) b ON a.k = b.k
+FROM (SELECT s_suppkey AS k, CASE WHEN s_nationkey % 3 <> 0 THEN s_nationkey END AS v FROM supplier) a FULL JOIN (SELECT c_custkey AS k, c_nationkey AS v FROM customer) b ON a.k = b.k
 """)
 def null_filling_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.when(F.col("s_nationkey") % 3 != 0, F.col("s_nationkey")).alias("v"))
-    right = table(spark, sf_dir, "customer").where("c_custkey < 200").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("v"))
+    right = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("v"))
     return merging.fill_nulls(left, right, "k", "v")
 
 
@@ -233,11 +242,17 @@ def marker_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markers.materials(markers.lines(papers)).select("paper", "mat_key", "material_type", F.round("specific_surface_m2_kg", 6).alias("specific_surface_m2_kg"))
 
 
-@query("SELECT l_orderkey, CASE WHEN count(*) < 3 THEN 'TOO_FEW_TICKS' END AS defect FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY l_orderkey")
+@query("""
+SELECT o_orderkey, [NULL, 'TOO_FEW_TICKS', 'DUPLICATE_PIXEL', 'NON_POSITIVE_LOG_TICK', 'NOT_MONOTONIC', 'RESIDUAL', NULL][1 + o_orderkey % 7] AS defect FROM orders
+""")
 def tick_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ticks = F.array_sort(F.collect_set(F.struct(F.col("l_linenumber").cast("double").alias("px"), (F.col("l_linenumber") * 10.0).alias("value"))))
-    got = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(ticks.alias("t"))
-    return got.select("l_orderkey", transforms.tick_defect(F.col("t"), F.lit(False), F.lit(0.001)).alias("defect"))
+    """Axes around the orders' keys: sound linear and logarithmic ones and one for each defect."""
+    kind, k = (F.col("o_orderkey") % 7).cast("int"), (F.col("o_custkey") % 50).cast("double")
+    tick = lambda px, value: F.struct((k + px).alias("px"), F.lit(float(value)).alias("value"))
+    cases = ([(30, 30), (0, 0), (10, 10), (20, 20)], [(0, 0), (10, 10)], [(0, 0), (10, 10), (10, 15), (20, 20)], [(0, 0), (10, 1), (20, 10)], [(0, 0), (10, 10), (20, 5), (30, 30)], [(0, 0), (13, 10), (20, 20)], [(0, 1000), (10, 100), (20, 10), (30, 1)])
+    ticks = F.array(*[F.array(*[tick(*t) for t in c]) for c in cases])[kind]
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", ticks.alias("ticks"), kind.isin(3, 6).alias("log"))
+    return rows.select("o_orderkey", transforms.tick_defect(F.col("ticks"), F.col("log"), F.lit(0.5)).alias("defect"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'INCOMPLETE' WHEN o_totalprice > 100000 THEN 'PASS' ELSE 'FAIL' END AS outcome FROM orders")

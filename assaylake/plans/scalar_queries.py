@@ -81,33 +81,100 @@ def unit_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.convert(rows).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "name", "target_unit", F.round("converted", 4).alias("converted"), F.round("reverse", 4).alias("reverse"))
 
 
-@query("""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber = 1 THEN 'binary_mass_complement_percent' WHEN l_linenumber = 2 THEN 'unit_scale' WHEN l_linenumber = 3 THEN 'linear_axis_coordinate' ELSE 'folklore' END AS kind,
-  CASE WHEN l_linenumber > 3 THEN 'UNKNOWN_TRANSFORM_KIND:folklore' WHEN l_quantity > 40 THEN 'FORWARD_RECOMPUTE_FAILED,REVERSE_RECOMPUTE_FAILED' ELSE '' END AS defects
-FROM lineitem
-""")
+TRANSFORM = """
+WITH r AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 7 AS fault,
+    ['unit_scale', 'binary_mass_complement_percent', 'ratio_to_fraction_percent', 'linear_axis_coordinate', 'log_axis_percentile', 'ratio_component', 'linear_pixel_y', 'duration_sequence_to_seconds', 'folklore'][1 + l_orderkey % 9] AS kind
+  FROM lineitem
+)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, kind, CASE
+  WHEN fault = 5 THEN 'TRANSFORM_NOT_FORMAL_OR_FORMULA_MISSING'
+  WHEN fault = 6 AND kind = 'binary_mass_complement_percent' THEN 'INVALID_BINARY_MASS_BASIS'
+  WHEN fault = 6 AND kind = 'ratio_to_fraction_percent' THEN 'INVALID_STANDARD_RATIO'
+  WHEN fault = 6 AND kind = 'linear_axis_coordinate' THEN 'INVALID_LINEAR_AXIS'
+  WHEN kind = 'folklore' THEN CASE WHEN fault IN (1, 3) THEN 'FORWARD_RECEIPT_DRIFT,' WHEN fault = 4 THEN 'REVERSE_RECEIPT_MISSING,' ELSE '' END || 'UNKNOWN_TRANSFORM_KIND:folklore'
+  WHEN fault IN (0, 6) THEN ''
+  WHEN fault = 2 THEN 'TRANSFORM_OUTPUT_RECORD_DRIFT'
+  WHEN fault = 3 THEN 'FORWARD_RECEIPT_DRIFT'
+  WHEN kind = 'ratio_component' THEN CASE WHEN fault = 1 THEN 'FORWARD_RECOMPUTE_FAILED,TRANSFORM_OUTPUT_RECORD_DRIFT' ELSE 'REVERSE_RECOMPUTE_FAILED' END
+  WHEN fault = 1 THEN 'FORWARD_RECEIPT_DRIFT,FORWARD_RECOMPUTE_FAILED,' || CASE WHEN kind IN ('binary_mass_complement_percent', 'ratio_to_fraction_percent', 'linear_axis_coordinate') THEN 'REVERSE_RECEIPT_DRIFT,' ELSE '' END || 'REVERSE_RECOMPUTE_FAILED,TRANSFORM_OUTPUT_RECORD_DRIFT'
+  WHEN kind IN ('binary_mass_complement_percent', 'linear_axis_coordinate') THEN 'REVERSE_RECEIPT_DRIFT,REVERSE_RECEIPT_MISSING'
+  WHEN kind = 'ratio_to_fraction_percent' THEN 'REVERSE_RECEIPT_MISSING,REVERSE_RECOMPUTE_FAILED'
+  ELSE 'REVERSE_RECEIPT_MISSING' END AS defects
+FROM r
+"""
+
+
+@query(TRANSFORM)
 def transform_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.when(F.col("l_linenumber") == 1, transforms.COMPLEMENT).when(F.col("l_linenumber") == 2, transforms.SCALE).when(F.col("l_linenumber") == 3, transforms.LINEAR).otherwise("folklore")
-    value, drift = F.col("l_quantity"), F.when(F.col("l_quantity") > 40, 1.0).otherwise(0.0)
-    a = F.when(kind == transforms.COMPLEMENT, 100.0).when(kind == transforms.SCALE, 60.0).otherwise(0.0)
-    b, c, d = F.lit(10.0), F.lit(50.0), F.lit(60.0)
-    output = transforms.forward(kind, value, a, b, c, d) + drift
-    found = transforms.defects(kind, value, output, output, F.lit(1e-3), a, b, c, d)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", kind.alias("kind"), F.array_join(found, ",").alias("defects"))
+    """Receipts of every kind from the lines' quantities, sound or with one of six faults."""
+    kinds = F.array(*map(F.lit, (transforms.SCALE, transforms.COMPLEMENT, transforms.FRACTION, transforms.LINEAR, transforms.LOG, transforms.COMPONENT, transforms.PIXEL, transforms.DURATIONS, "folklore")))
+    kind, fault, v = kinds[(F.col("l_orderkey") % 9).cast("int")], F.col("l_linenumber") % 7, F.col("l_quantity").cast("double")
+    many, bad = kind == transforms.DURATIONS, fault == 6
+    doubles = lambda *x: F.array(*[c if hasattr(c, "cast") else F.lit(float(c)) for c in x])
+    positions = F.when(kind == transforms.PIXEL, doubles(0, 100)).otherwise(doubles(0, 50))
+    values = F.when(kind == transforms.PIXEL, doubles(0, 200)).when(kind == transforms.LOG, doubles(0, 2)).when(bad, doubles(10, 10)).otherwise(doubles(10, 60))
+    parts = F.when(kind == transforms.FRACTION, doubles(F.when(bad, -v).otherwise(v), 50)).otherwise(doubles(v, 2 * v))
+    true = (
+        F.when(kind == transforms.SCALE, v * 60).when(kind == transforms.COMPLEMENT, 100 - v).when(kind == transforms.FRACTION, v / (v + 50) * 100).when(kind == transforms.LINEAR, 10 + v)
+        .when(kind == transforms.LOG, F.pow(F.lit(10.0), v / 25)).when(kind == transforms.PIXEL, F.round((100 - v) / 100 * 200, 3)).otherwise(2 * v)
+    )
+    true_list = F.when(many, doubles(v * 3600, v * 120))
+    off = lambda n: F.when(fault == n, 1.0).otherwise(0.0)
+    shifted = lambda n: F.transform(true_list, lambda x: x + off(n))
+    back, lost = F.when(kind == transforms.FRACTION, v / 50).otherwise(v), fault == 4
+    receipt = F.struct(
+        (fault != 5).alias("formal"), F.lit("f").alias("formula"), kind.alias("kind"),
+        F.struct(v.alias("value"), F.lit(60.0).alias("scale"), F.when(bad, 3).otherwise(2).alias("component_count"), F.lit(100.0).alias("total"), parts.alias("components"), F.lit("a:b").alias("token"), positions.alias("positions"), values.alias("values"), F.array(F.struct(v.alias("value"), F.lit(3600.0).alias("scale")), F.struct((2 * v).alias("value"), F.lit(60.0).alias("scale"))).alias("steps")).alias("inputs"),
+        F.struct(F.when(~many, true + off(1)).alias("value"), shifted(1).alias("values"), F.lit(1).alias("component")).alias("output"),
+        F.struct(true.alias("computed"), F.when(~many, true + off(3)).alias("recorded"), shifted(3).alias("recorded_list"), F.lit(1e-6).alias("tolerance")).alias("forward"),
+        F.struct(back.alias("computed"), F.when(~many & ~lost, back).alias("recorded"), F.when(many & ~lost, doubles(v, 2 * v)).alias("recorded_list"), F.lit("a:b").alias("computed_token"), F.when(~lost, F.lit("a:b")).alias("recorded_token"), F.lit(1e-6).alias("tolerance")).alias("reverse"),
+    )
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = table(spark, sf_dir, "lineitem").select(*keys, kind.alias("kind"), receipt.cast(transforms.RECEIPT).alias("receipt"), F.when(~many, true + off(2)).alias("actual"), shifted(2).alias("actual_list"))
+    found = transforms.receipt_defects(F.col("receipt"), F.col("actual"), F.col("actual_list"))
+    return rows.select(*keys, "kind", F.array_join(found, ",").alias("defects"))
 
 
-PRINTED = ["~12.5", "3–5", "<= 7", "12 ± 0.4", "max", "−3", "1e3", "about 4", "abc", "≥ 2.5", " 7 to 9 ", "-.5"]
+HEADERS = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  ['kg/m3', 'vol.%', 'wt.%', '%', 'volume ratio', 'mass ratio', 'molar ratio', 'ratio', 'kg', 'mL', 'none', 'none'][1 + l_partkey % 12] AS unit,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'h' ELSE 'd' END AS time_unit
+FROM lineitem
+"""
 
 
-@query("""
-SELECT * FROM (VALUES
- ('~12.5', 12.5, 'approximate', NULL, NULL, NULL, NULL), ('3–5', NULL, 'range', 3.0, 5.0, NULL, NULL), ('<= 7', NULL, '<=', NULL, NULL, 7.0, NULL), ('12 ± 0.4', 12.0, 'plus_minus', NULL, NULL, NULL, 0.4),
- ('max', NULL, 'above_instrument_range', NULL, NULL, NULL, NULL), ('−3', -3.0, 'exact', NULL, NULL, NULL, NULL), ('1e3', 1000.0, 'exact', NULL, NULL, NULL, NULL), ('about 4', 4.0, 'approximate', NULL, NULL, NULL, NULL),
- ('abc', NULL, 'textual_quantity', NULL, NULL, NULL, NULL), ('≥ 2.5', NULL, '≥', NULL, NULL, 2.5, NULL), (' 7 to 9 ', NULL, 'range', 7.0, 9.0, NULL, NULL), ('-.5', -0.5, 'exact', NULL, NULL, NULL, NULL)
-) AS t(printed, value, relation, lower, upper, bound, tolerance)
-""".replace("NULL", "CAST(NULL AS DOUBLE)"))
+@query(HEADERS)
+def header_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers in twelve forms around the lines' numbers, and tokens that print a duration of the value beside them or of another."""
+    forms = ("NaOH {} M (kg/m³)", "Content {} by volume, %", "Share {} wt. %", "Ash {} % of all", "Binder {} （vol.）", "Sand {} (mass)", "SiO2 {} molar  ratio", "w/b Ratio {}", "Cement {} ［㎏］", "Water {} ( mL )", "Size {} (um)", "Two {} (g) (kg)")
+    n = F.col("l_suppkey").cast("string")
+    header = F.array(*[F.format_string(f.replace("%", "%%").replace("{}", "%s"), n) for f in forms])[(F.col("l_partkey") % 12).cast("int")]
+    token = F.format_string("%s h", (F.col("l_linenumber") + F.when(F.col("l_linenumber") % 2 == 0, 0).otherwise(1)).cast("string"))
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.header_unit(header, F.lit("none")).alias("unit"), text.time_unit(F.col("l_linenumber").cast("double"), F.lit("d"), token).alias("time_unit")
+    )
+
+
+QUANTITIES = """
+WITH q AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT) AS n, l_partkey % 8 AS form FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CAST(CASE form WHEN 0 THEN n + 0.5 WHEN 1 THEN n WHEN 4 THEN n WHEN 5 THEN -n END AS DOUBLE) AS value,
+  CASE form WHEN 0 THEN 'approximate' WHEN 1 THEN 'exact' WHEN 2 THEN 'range' WHEN 3 THEN CASE WHEN n % 2 = 0 THEN '<=' ELSE '≥' END WHEN 4 THEN 'plus_minus' WHEN 5 THEN 'exact' WHEN 6 THEN 'above_instrument_range' ELSE 'textual_quantity' END AS relation,
+  CAST(CASE WHEN form = 2 THEN n END AS DOUBLE) AS lower, CAST(CASE WHEN form = 2 THEN n + 2 END AS DOUBLE) AS upper, CAST(CASE WHEN form = 3 THEN n END AS DOUBLE) AS bound, CAST(CASE WHEN form = 4 THEN 0.25 END AS DOUBLE) AS tolerance
+FROM q
+"""
+
+
+@query(QUANTITIES)
 def qualified_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in PRINTED], "printed string").select("printed", text.quantity(F.col("printed")).alias("q")).select("printed", "q.*")
+    """The lines' quantities printed in eight forms, read back."""
+    n = F.col("l_quantity").cast("int")
+    even = n % 2 == 0
+    joined = lambda *x: F.concat(*[c.cast("string") if hasattr(c, "cast") else F.lit(c) for c in x])
+    forms = F.array(joined(F.when(even, "~").otherwise("about "), n, ".5"), joined(n, F.when(even, "").otherwise("e0")), joined(" ", n, F.when(even, "–").otherwise(" to "), n + 2, " "), joined(F.when(even, "<= ").otherwise("≥"), n), joined(n, " ± 0.25"), joined("−", n), F.when(even, "max").otherwise("MAX"), joined(n, " or so"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.quantity(forms[(F.col("l_partkey") % 8).cast("int")]).alias("q"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "q.*")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(10 + (l_quantity - 0) / 50 * 90, 6) AS coordinate, round(power(10, l_quantity / 50 * 2), 4) AS log_coordinate, round(l_quantity, 6) AS position FROM lineitem")

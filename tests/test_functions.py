@@ -1,5 +1,7 @@
 """Literal cases of the column functions."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,21 +72,53 @@ def test_units(spark):
     assert apply(spark, units.ratio, ["1/2", "3 | 4", "a/b", "1/0"]) == [0.5, 0.75, None, None]
 
 
+AXIS = {"value": 7.0, "positions": [0.0, 50.0], "values": [10.0, 60.0]}
+SOUND = {  # inputs, output, reverse
+    transforms.SCALE: ({"value": 7.0, "scale": 60.0}, 420.0, 7.0), transforms.COMPLEMENT: ({"value": 7.0, "total": 100.0, "component_count": 2}, 93.0, 7.0), transforms.FRACTION: ({"components": [3.0, 7.0]}, 30.0, 3 / 7), transforms.LINEAR: (AXIS, 17.0, 7.0),
+    transforms.LOG: (AXIS | {"values": [0.0, 2.0]}, 10**0.28, 7.0), transforms.PIXEL: ({"value": 7.0, "positions": [0.0, 50.0], "values": [10.0, 60.0]}, 53.0, 7.0), transforms.COMPONENT: ({"components": [3.0, 7.0], "token": "3:7"}, 7.0, None),
+}
+
+
+def receipt(kind, **changes):
+    if kind == transforms.DURATIONS:
+        own = {"inputs": {"steps": [{"value": 1.0, "scale": 86400.0}, {"value": 2.0, "scale": 3600.0}]}, "output": {"values": [86400.0, 7200.0]}, "forward": {"recorded_list": [86400.0, 7200.0]}, "reverse": {"recorded_list": [1.0, 2.0]}}
+    else:
+        inputs, out, back = SOUND[kind]
+        own = {"inputs": inputs, "output": {"value": out, "component": 1}, "forward": {"computed": out, "recorded": out}, "reverse": {"computed": back, "recorded": back, "computed_token": "3:7", "recorded_token": "3:7"}}
+    own["forward"]["tolerance"] = own["reverse"]["tolerance"] = 2e-3
+    return {"formal": True, "formula": "f", "kind": kind} | own | changes
+
+
+def told(spark, own, actual, actual_list=None):
+    rows = spark.createDataFrame([(None if own is None else json.dumps(own), actual, actual_list)], "r string, a double, l array<double>")
+    return rows.select(transforms.receipt_defects(F.from_json("r", transforms.RECEIPT.removeprefix("struct<").removesuffix(">")), F.col("a"), F.col("l"))).first()[0]
+
+
 @pytest.mark.parametrize("kind", transforms.KINDS)
 def test_receipts(spark, kind):
-    a, b, c, d = {transforms.SCALE: (60.0, 0, 0, 0), transforms.DURATIONS: (86400.0, 0, 0, 0), transforms.COMPLEMENT: (100.0, 0, 0, 0), transforms.FRACTION: (1.0, 0, 0, 0), transforms.LINEAR: (0.0, 10.0, 50.0, 60.0), transforms.PIXEL: (0.0, 10.0, 50.0, 60.0), transforms.LOG: (0.0, 0.5, 50.0, 2.0), transforms.COMPONENT: (0.0, 0, 0, 0)}[kind]
-    rows = spark.createDataFrame([(kind, 7.0, float(a), float(b), float(c), float(d))], "kind string, v double, a double, b double, c double, d double")
-    args = [F.col(x) for x in "abcd"]
-    out = rows.withColumn("o", transforms.forward(F.col("kind"), F.col("v"), *args))
-    tell = lambda o, actual: out.select(transforms.defects(F.col("kind"), F.col("v"), o, actual, F.lit(2e-3), *args)).first()[0]
-    assert tell(F.col("o"), F.col("o")) == []
-    assert tell(F.col("o"), F.col("o") + 1) == ["TRANSFORM_OUTPUT_RECORD_DRIFT"]
-    assert "FORWARD_RECOMPUTE_FAILED" in tell(F.col("o") + 1, F.col("o") + 1)
-
-
-def test_unknown_receipt(spark):
-    rows = spark.range(1).select(transforms.defects(F.lit("folklore"), *[F.lit(1.0)] * 8))
-    assert rows.first()[0] == ["UNKNOWN_TRANSFORM_KIND:folklore"]
+    out, many = (None, [86400.0, 7200.0]) if kind == transforms.DURATIONS else (SOUND[kind][1], None)
+    off = (out + 1, None) if many is None else (None, [86400.0, 7201.0])
+    assert told(spark, receipt(kind), out, many) == []
+    assert told(spark, receipt(kind), *off) == ["TRANSFORM_OUTPUT_RECORD_DRIFT"]
+    moved = receipt(kind)
+    moved["output"] = {"value": off[0], "values": off[1], "component": 1}
+    assert "FORWARD_RECOMPUTE_FAILED" in told(spark, moved, *off)
+    assert told(spark, receipt(kind, formal=None), out, many) == ["TRANSFORM_NOT_FORMAL_OR_FORMULA_MISSING"]
+    assert told(spark, receipt(kind, reverse=None), out, many) == ["TRANSFORM_RECEIPT_INCOMPLETE"]
+
+
+def test_receipts_that_are_no_case_of_their_kind(spark):
+    broken = {"INVALID_BINARY_MASS_BASIS": (transforms.COMPLEMENT, {"value": 101.0, "total": 100.0, "component_count": 2}), "INVALID_STANDARD_RATIO": (transforms.FRACTION, {"components": [3.0]}), "INVALID_LINEAR_AXIS": (transforms.LINEAR, AXIS | {"values": [1.0, 1.0]})}
+    assert [told(spark, receipt(kind, inputs=i), 1.0) for kind, i in broken.values()] == [[name] for name in broken]
+    assert told(spark, receipt(transforms.FRACTION, output={"value": 100.0}), 1.0) == ["INVALID_STANDARD_FRACTION"]
+    assert told(spark, receipt(transforms.SCALE, kind="folklore"), 420.0) == ["UNKNOWN_TRANSFORM_KIND:folklore"]
+    assert told(spark, None, 1.0) == ["FORMAL_TRANSFORM_RECEIPT_MISSING"]
+
+
+def test_header_units(spark):
+    headers = ["Cement (kg/m³)", "Cement （kg/m3）", "NaOH 10 M [mol/L]", "x (g) (kg) %", "vol. %", "fly ash % by volume", "wt%", "Slag (mass)", "SiO2/Na2O molar ratio", "w/b ratio", "Sand (Vol.)", "d50", None]
+    assert apply(spark, lambda c: text.header_unit(c, F.lit("?")), headers) == ["kg/m3", "kg/m3", "mol/L", "%", "vol.%", "vol.%", "wt.%", "mass ratio", "molar ratio", "ratio", "volume ratio", "?", "?"]
+    assert apply(spark, text.specimen_key, [" A1 \n", "", None]) == ["A1", None, None]
 
 
 def test_json(spark):
