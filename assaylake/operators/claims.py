@@ -22,27 +22,28 @@ def flatten(rows: DataFrame, key: str, collection: str, columns: list[str] | Non
     return out.withColumn("value_status", F.when(F.col("value").isNull(), "not_reported").otherwise("reported"))
 
 
-def flatten_json(rows: DataFrame, key: str, text: str, depth: int = 4) -> DataFrame:
-    """(record_key, field_path, value): leaves of JSON texts down to `depth` levels; empty containers and what lies deeper are leaves as they are.
+def flatten_json(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(record_key, field_path, value): all leaves of JSON texts; empty containers are leaves as they are.
 
-    Level by level: the objects and arrays of a level are opened, the others wait; no recursion and no driver loop over rows.
+    Level by level: the objects and arrays of a level are opened, the others wait, until nothing is left to open; a level ends
+    in a written table, so the plan does not grow with the depth.
     """
+    from assaylake.plans.storage import written
+
     now = rows.select(F.col(key).cast("string").alias("record_key"), F.lit("").alias("field_path"), F.col(text).alias("value"))
-    done = []
-    for _ in range(depth):
+    out = None
+    while True:
         kind = F.schema_of_variant(F.try_parse_json("value"))
         opened = now.withColumn("_k", kind)
         is_map = F.col("_k").startswith("OBJECT") & (F.size(F.json_object_keys("value")) > 0)
         is_list = F.col("_k").startswith("ARRAY") & (F.json_array_length("value") > 0)
-        done.append(opened.where(~F.coalesce(is_map | is_list, F.lit(False))).drop("_k"))
+        leaves = opened.where(~F.coalesce(is_map | is_list, F.lit(False))).drop("_k")
         maps = opened.where(is_map).select("record_key", "field_path", F.explode(F.from_json("value", "map<string,string>")).alias("_t", "value"))
         lists = opened.where(is_list).select("record_key", "field_path", F.posexplode(F.from_json("value", "array<string>")).alias("_t", "value")).withColumn("_t", F.col("_t").cast("string"))
-        now = maps.unionByName(lists).select("record_key", F.concat("field_path", F.lit("/"), escape_token(F.col("_t"))).alias("field_path"), "value")
-    done.append(now)
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        out = leaves if out is None else out.unionByName(leaves)
+        now = written(maps.unionByName(lists).select("record_key", F.concat("field_path", F.lit("/"), escape_token(F.col("_t"))).alias("field_path"), "value"))
+        if now.isEmpty():
+            return out
 
 
 def assemble(claims: DataFrame, fields: dict[str, str]) -> DataFrame:

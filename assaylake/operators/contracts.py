@@ -18,6 +18,11 @@ def reasons(*cases: tuple[Column, str]) -> Column:
     return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(r)) for c, r in cases]), lambda x: x.isNotNull())
 
 
+def small(rows: DataFrame, most: int = 10_000) -> DataFrame:
+    """`rows`, marked for a broadcast where it was counted to be small enough."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def unique_keys(rows: DataFrame, *keys: str) -> DataFrame:
     """`rows` with key_count and is_unique of their key."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))

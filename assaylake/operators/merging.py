@@ -116,6 +116,48 @@ def fill_nulls(left: DataFrame, right: DataFrame, key: str, value: str) -> DataF
     return met.select(key, F.when(~clash, F.coalesce("_a", "_b")).alias(value), F.when(clash, "CONFLICT").when(F.col("_a").isNull() & F.col("_b").isNotNull(), "FILLED").otherwise("KEPT").alias("status"))
 
 
+def fill_leaves(left: DataFrame, right: DataFrame, record: str, path: str, value: str, kind: str) -> DataFrame:
+    """(record, path, value, kind, status): the same merge over all leaves of nested records, whatever their depth.
+
+    Different values or types are a CONFLICT, also a leaf on one side where the other has leaves below it.
+    """
+    keys = [record, path]
+    a, b = (x.select(*keys, F.struct(F.col(value).alias("v"), F.col(kind).alias("t")).alias(n)) for x, n in ((left, "_a"), (right, "_b")))
+    known = lambda c: F.col(c).isNotNull() & F.col(f"{c}.v").isNotNull()
+    met = a.join(b, keys, "full")
+    differ = known("_a") & known("_b") & ~(F.col("_a.v").eqNullSafe(F.col("_b.v")) & F.col("_a.t").eqNullSafe(F.col("_b.t")))
+    parts = F.split(F.col(path), "/")
+    above = F.transform(F.sequence(F.lit(2), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    leaves = met.select(*keys, known("_a").alias("_in_a"), known("_b").alias("_in_b"))
+    below = leaves.where(F.size(parts) > 2).select(*keys, F.explode(above).alias("_up"), "_in_a", "_in_b")
+    over = leaves.select(record, F.col(path).alias("_up"), F.col("_in_a").alias("_up_a"), F.col("_in_b").alias("_up_b"))
+    pairs = below.join(over, [record, "_up"]).where("(_in_a AND _up_b) OR (_in_b AND _up_a)")
+    crossing = pairs.select(*keys).unionByName(pairs.select(record, F.col("_up").alias(path))).distinct().withColumn("_crossed", F.lit(True))
+    met = met.join(crossing, keys, "left")
+    crossed = F.coalesce(F.col("_crossed"), F.lit(False))
+    clash = differ | crossed
+    kept = F.when(known("_a"), F.col("_a")).otherwise(F.coalesce("_b", "_a"))
+    status = F.when(clash, "CONFLICT").when(~known("_a") & known("_b"), "FILLED").otherwise("KEPT")
+    return met.select(*keys, F.when(~clash, kept["v"]).alias(value), F.when(~clash, kept["t"]).alias(kind), status.alias("status"))
+
+
+def last_wins(rows: DataFrame, key: str, arrival: str, rank: dict[str, int], kind: str) -> DataFrame:
+    """The last row of each key, with its place by the kind's rank (unknown kinds last), then the key."""
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), arrival).alias("_l")).select(key, "_l.*")
+    places = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
+    return last.withColumn("rank", F.coalesce(places[F.col(kind)], F.lit(len(rank))))
+
+
+def staged_writes(table: DataFrame, writes: DataFrame, key: str, value: str, unit: str) -> tuple[DataFrame, DataFrame]:
+    """(table with the new keys, defects): an equal value and unit is no change; another value or another unit is a defect, and so are two writes of a key that differ."""
+    agreed = writes.groupBy(key).agg(F.count_distinct(F.struct(value, unit)).alias("_n"), F.first(F.struct(value, unit)).alias("_w"))
+    met = agreed.join(table.select(key, F.struct(value, unit).alias("_old")), key, "left")
+    why = F.when(F.col("_n") > 1, "WRITES_DIFFER").when(F.col("_old").isNotNull() & ~F.col(f"_old.{unit}").eqNullSafe(F.col(f"_w.{unit}")), "UNIT_CONFLICT").when(F.col("_old").isNotNull() & ~F.col(f"_old.{value}").eqNullSafe(F.col(f"_w.{value}")), "VALUE_CONFLICT")
+    told = met.withColumn("defect", why)
+    fresh = told.where("defect IS NULL AND _old IS NULL").select(key, "_w.*")
+    return table.select(key, value, unit).unionByName(fresh), told.where("defect IS NOT NULL").select(key, "defect")
+
+
 def insert_if_equal(table: DataFrame, rows: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
     """(table with the new keys, conflicts): writing an equal value again changes nothing, another one is a conflict."""
     met = rows.join(table.select(key, F.col(value).alias("_old")), key, "left")
@@ -137,7 +179,9 @@ def patch_region(points: DataFrame, patch: DataFrame, box: tuple[float, float, f
     return points.where(~inside).unionByName(patch.where(inside)).distinct()
 
 
-def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(side, n): rows of only one of the two, with multiplicity; empty for equal tables."""
+def same_rows(a: DataFrame, b: DataFrame, paths: dict[str, str] | None = None) -> DataFrame:
+    """(side, n): rows of only one of the two, with multiplicity; empty for equal tables. `paths` names columns that hold a place, each with the column of its content's hash, which is compared instead."""
+    for place, digest in (paths or {}).items():
+        a, b = (x.withColumn(place, F.col(digest)) for x in (a, b))
     left, right = a.exceptAll(b).withColumn("side", F.lit("left")), b.exceptAll(a).withColumn("side", F.lit("right"))
     return left.unionByName(right).groupBy("side").agg(F.count(F.lit(1)).alias("n"))

@@ -30,12 +30,18 @@ def spread_hosts(rows: DataFrame, host: str, order: list[str], k: int) -> DataFr
     return ranked(placed, ["turn", *order], k, name="pick")
 
 
-def spread_strata(rows: DataFrame, host: str, strata: str, order: list[str], k: int) -> DataFrame:
+def spread_strata(rows: DataFrame, host: str, strata: str, order: list[str], k: int, one: bool = False, short: str = "keep") -> DataFrame:
     """The greedy choice by least used host, then least used stratum, then order: sequential by definition.
 
-    Only the k first rows of each (host, strata) can ever be picked, so these are taken by a ranked limit and one task sees no more.
+    With `one`, a row counts for the least used of its strata only (the first by name), which is told as selected_stratum.
+    With short="error" a pool of fewer than k rows is an error when it is read. What can never be picked stays out of the one
+    task: of each (host, strata) all but the k first rows; and where there are k hosts or more, so that none is taken twice, all
+    but the first row of each (host, strata) and the k first hosts of each strata.
     """
-    able = rows.withColumn("_r", F.row_number().over(Window.partitionBy(host, strata).orderBy(*order))).where(F.col("_r") <= k).drop("_r")
+    able = rows.withColumn("_r", F.row_number().over(Window.partitionBy(host, strata).orderBy(*order))).where(F.col("_r") <= k)
+    if able.select(host).distinct().limit(k).count() == k:
+        able = able.where("_r = 1").withColumn("_r", F.row_number().over(Window.partitionBy(strata).orderBy(*order))).where(F.col("_r") <= k)
+    able = able.drop("_r")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf.sort_values(order, kind="stable").to_dict("records")
@@ -45,23 +51,45 @@ def spread_strata(rows: DataFrame, host: str, strata: str, order: list[str], k:
         hosts: dict[object, int] = {}
         seen: dict[object, int] = {}
         out = []
+        least = lambda q: min(((seen.get(s, 0), s) for s in q[1]), default=(0, None))
         while queues and len(out) < k:
-            chosen = min(queues, key=lambda q: (hosts.get(q[0], 0), min((seen.get(s, 0) for s in q[1]), default=0), queues[q][0]["_place"]))
+            chosen = min(queues, key=lambda q: (hosts.get(q[0], 0), least(q)[0], queues[q][0]["_place"]))
             row = queues[chosen].pop(0)
             if not queues[chosen]:
                 del queues[chosen]
             hosts[chosen[0]] = hosts.get(chosen[0], 0) + 1
-            for s in chosen[1]:
+            stratum = least(chosen)[1]
+            for s in [stratum] if one else chosen[1]:
                 seen[s] = seen.get(s, 0) + 1
             row.pop("_place")
-            out.append(row | {"pick": len(out) + 1})
-        return pd.DataFrame(out, columns=[*pdf.columns, "pick"])
+            out.append(row | {"selected_stratum": stratum, "pick": len(out) + 1})
+        return pd.DataFrame(out, columns=[*pdf.columns, *extra])
 
-    return able.groupBy().applyInPandas(run, f"{rows._jdf.schema().toDDL()}, pick long")
+    extra = ["selected_stratum", "pick"] if one else ["pick"]
+    picked = able.groupBy().applyInPandas(run, f"{rows._jdf.schema().toDDL()}, " + ("selected_stratum string, " if one else "") + "pick long")
+    if short == "error":
+        lacking = F.max("pick").over(Window.partitionBy()) < k  # k rows at most
+        picked = picked.withColumn("pick", F.when(lacking, F.raise_error(F.lit(f"INSUFFICIENT_POOL_COVERAGE: fewer than {k} rows")).cast("long")).otherwise(F.col("pick")))
+    return picked
+
+
+def recommended(ranked_rows: DataFrame, rank: str, is_open: Column) -> DataFrame:
+    """`ranked_rows` with recommended: the first open one, else the first."""
+    order = Window.partitionBy().orderBy(~F.coalesce(is_open, F.lit(False)), rank)  # rows of one limit
+    return ranked_rows.withColumn("recommended", F.row_number().over(order) == 1)
+
+
+def labelled_first(candidates: DataFrame, group: str, label: Column, key: str) -> DataFrame:
+    """(group, key): the candidate whose label is the asked one, else the first key."""
+    order = Window.partitionBy(group).orderBy(~F.coalesce(label, F.lit(False)), key)
+    return candidates.withColumn("_r", F.row_number().over(order)).where("_r = 1").drop("_r")
 
 
 def balanced_shards(items: DataFrame, item: str, weight: str, shards: int, group: str | None = None) -> DataFrame:
-    """(item, shard): heaviest first to the least loaded shard, ties to the smaller one; sequential within a group."""
+    """(item, shard): heaviest first to the least loaded shard, ties to the smaller one; sequential within a group.
+
+    The rule has no parallel form, so a group (all items where none is given) is one task: for plans of work, not for data.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         loads = [(0, s) for s in range(min(shards, max(1, len(pdf))))]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.functions.text import specimen_type
-from assaylake.operators.contracts import first_reason
+from assaylake.operators.contracts import first_reason, small
 
 #: Kinds of specimen that a recipe establishes by itself.
 GENERIC_SPECIMENS = ("paste", "mortar", "concrete", "powder", "solution")
@@ -20,7 +20,7 @@ def graph_defects(edges: DataFrame, nodes: DataFrame, rules: DataFrame) -> DataF
     left = nodes.select(F.col("node").alias("source"), F.col("node_type").alias("_st"))
     right = nodes.select(F.col("node").alias("target"), F.col("node_type").alias("_tt"))
     allowed = rules.select("kind", F.col("source_type").alias("_rs"), F.col("target_type").alias("_rt"))
-    met = edges.join(left, "source", "left").join(right, "target", "left").join(F.broadcast(allowed), "kind", "left")
+    met = edges.join(left, "source", "left").join(right, "target", "left").join(small(allowed), "kind", "left")
     scoped = Window.partitionBy("kind", "source", "scope")
     met = met.withColumn("_n", F.size(F.collect_set("target").over(scoped)))
     defect = first_reason((F.col("_rs").isNull(), "UNKNOWN_KIND"), (F.col("_st").isNull() | F.col("_tt").isNull(), "DANGLING_ENDPOINT"), ((F.col("_st") != F.col("_rs")) | (F.col("_tt") != F.col("_rt")), "ENDPOINT_TYPE"), (F.col("_n") > 1, "CONFLICTING_SCOPE"))

@@ -107,7 +107,11 @@ def stage_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.chain_defects(rows, "conv_id", "turn", "role", "after").select("conv_id", "turn", "broken")
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS n FROM events),
+r AS (SELECT event_id, user_id, n, value AS leader, CAST(1 AS BIGINT) AS band FROM e WHERE n = 1 UNION ALL SELECT e.event_id, e.user_id, e.n, CASE WHEN abs(e.value - r.leader) > 2 THEN e.value ELSE r.leader END, r.band + CASE WHEN abs(e.value - r.leader) > 2 THEN 1 ELSE 0 END FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+SELECT event_id, band FROM r
+""")
 def leader_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     return windows.leader_bands(rows, "user_id", ["value", "event_id"], "value", 2.0).select("event_id", "band")
@@ -133,14 +137,16 @@ def diverse_pool_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.spread_hosts(rows, "host", ["page_id"], 60).select("page_id", "host", "pick")
 
 
-@query()
-def diverse_pool_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    strata = F.array((F.col("page_id") % 3).cast("string"), (F.col("page_id") % 5).cast("string"))
-    rows = table(spark, sf_dir, "pages").select("page_id", urls.host(F.col("url")).alias("host"), strata.alias("strata"))
-    return ranking.spread_strata(rows, "host", "strata", ["page_id"], 30).select("page_id", "host", "pick")
-
-
-@query()
+@query("""
+WITH RECURSIVE d AS (SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS place, count(*) OVER (PARTITION BY source) AS n FROM documents),
+r AS (
+  SELECT source, CAST(0 AS BIGINT) AS place, CAST(-1 AS BIGINT) AS doc_id, list_transform(range(least(4, n)), lambda x: CAST(0 AS BIGINT)) AS loads, CAST(0 AS BIGINT) AS shard FROM d WHERE d.place = 1
+  UNION ALL
+  SELECT source, place, doc_id, list_concat(list_append(loads[1:shard], loads[shard + 1] + n_chars), loads[shard + 2:]), shard
+  FROM (SELECT r.source, d.place, d.doc_id, d.n_chars, r.loads, list_position(r.loads, list_min(r.loads)) - 1 AS shard FROM r JOIN d ON d.source IS NOT DISTINCT FROM r.source AND d.place = r.place + 1)
+)
+SELECT doc_id, CAST(shard AS BIGINT) AS shard FROM r WHERE place > 0
+""")
 def balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.balanced_shards(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), "doc_id", "n_chars", 4, "source")
 

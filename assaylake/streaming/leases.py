@@ -11,8 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from assaylake.operators.control import START, lease_step
 
-LEASE_STATE = "status string, owner string, expires double, attempts long, refused long"
-FIELDS = ("status", "owner", "expires", "attempts", "refused")
+LEASE_STATE = "status string, owner string, expires double, attempts long, refused long, hits long, stale boolean"
+FIELDS = ("status", "owner", "expires", "attempts", "refused", "hits", "stale")
 
 
 def lease_stream(events: DataFrame, key: str, event: str, at: str, owner: str, lease: float = 60.0, max_attempts: int = 3) -> DataFrame:

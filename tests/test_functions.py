@@ -79,19 +79,19 @@ SOUND = {  # inputs, output, reverse
 }
 
 
-def receipt(kind, **changes):
-    if kind == transforms.DURATIONS:
+def receipt(name, **changes):
+    if name == transforms.DURATIONS:
         own = {"inputs": {"steps": [{"value": 1.0, "scale": 86400.0}, {"value": 2.0, "scale": 3600.0}]}, "output": {"values": [86400.0, 7200.0]}, "forward": {"recorded_list": [86400.0, 7200.0]}, "reverse": {"recorded_list": [1.0, 2.0]}}
     else:
-        inputs, out, back = SOUND[kind]
+        inputs, out, back = SOUND[name]
         own = {"inputs": inputs, "output": {"value": out, "component": 1}, "forward": {"computed": out, "recorded": out}, "reverse": {"computed": back, "recorded": back, "computed_token": "3:7", "recorded_token": "3:7"}}
     own["forward"]["tolerance"] = own["reverse"]["tolerance"] = 2e-3
-    return {"formal": True, "formula": "f", "kind": kind} | own | changes
+    return {"formal": True, "formula": "f", "kind": name} | own | changes
 
 
 def told(spark, own, actual, actual_list=None):
     rows = spark.createDataFrame([(None if own is None else json.dumps(own), actual, actual_list)], "r string, a double, l array<double>")
-    return rows.select(transforms.receipt_defects(F.from_json("r", transforms.RECEIPT.removeprefix("struct<").removesuffix(">")), F.col("a"), F.col("l"))).first()[0]
+    return rows.select(transforms.receipt_defects(F.from_json("r", transforms.RECEIPT), F.col("a"), F.col("l"))).first()[0]
 
 
 @pytest.mark.parametrize("kind", transforms.KINDS)
