@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assaylake.functions import display, json_paths, text, transforms
 from assaylake.operators import cells, control, merging, projection, relations, scoring, windows
 from assaylake.plans.registry import query, table
-from assaylake.sources import markers, pages
+from assaylake.sources import fetch, markers, pages
 
 
 @query("""
@@ -258,3 +258,15 @@ def tick_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'INCOMPLETE' WHEN o_totalprice > 100000 THEN 'PASS' ELSE 'FAIL' END AS outcome FROM orders")
 def three_way_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", scoring.gate(F.col("o_orderstatus") != "P", F.col("o_totalprice") > 100000).alias("outcome"))
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id % 4 AS kind, ts >= TIMESTAMP '2024-01-15 00:00:00' AS fresh FROM events),
+s AS (SELECT event_id, CASE WHEN kind = 0 AND fresh THEN 'CACHE' WHEN kind = 1 THEN 'REPLAYED_FAILURE' WHEN kind = 2 THEN 'SEED' ELSE 'NETWORK' END AS source FROM e)
+SELECT event_id, CASE WHEN source = 'NETWORK' AND row_number() OVER (PARTITION BY source ORDER BY event_id) > 72 THEN 'OVER_BUDGET' ELSE source END AS source FROM s
+""")
+def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("place"), F.col("event_id").cast("string").alias("url_sha256"), F.lit("v1").alias("contract"), (F.col("user_id") % 4).alias("kind"), F.col("ts").cast("timestamp").alias("fetched_at"))
+    receipts = rows.where("kind < 2").withColumn("status", F.when(F.col("kind") == 0, "OK").otherwise("TERMINAL_FAILURE"))
+    got = fetch.request_plan(rows.select("place", "url_sha256", "contract"), receipts, rows.where("kind = 2"), F.lit("2024-02-14 00:00:00").cast("timestamp"), 72, 50 << 20, 1 << 10)
+    return got.select(F.col("place").alias("event_id"), "source")
