@@ -89,3 +89,51 @@ def repeated_defects(rejections: DataFrame, run: str, fingerprint: str, at: str,
     from pyspark.sql import Window
 
     return rejections.withColumn("stop", F.count(F.lit(1)).over(Window.partitionBy(run, fingerprint).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)) >= limit)
+
+
+#: How a component's assessment ends.
+CAPTURED, VALIDATED, PARTIAL, ABSENT, UNPLANNED = "CAPTURED", "VALIDATED", "PARTIALLY_VALIDATED", "MISSING", "UNPLANNED"
+
+
+def component_assessment(plan: DataFrame, values: DataFrame) -> DataFrame:
+    """(record, component, n_planned, n_captured, n_validated, assessment) per component of a record.
+
+    plan: record, component, item; values: record, component, item, validated. Captured items that nobody planned make a component UNPLANNED.
+    """
+    keys = ["record", "component", "item"]
+    wanted = plan.select(*keys).distinct().withColumn("_p", F.lit(True))
+    held = values.groupBy(*keys).agg(F.bool_or(F.coalesce("validated", F.lit(False))).alias("_v"))
+    met = wanted.join(held, keys, "full")
+    got = met.groupBy("record", "component").agg(F.count_if("_p").alias("n_planned"), F.count_if(F.col("_v").isNotNull() & F.col("_p")).alias("n_captured"), F.count_if(F.col("_v") & F.col("_p")).alias("n_validated"), F.count_if(F.col("_p").isNull()).alias("_more"))
+    n, seen, sound = F.col("n_planned"), F.col("n_captured"), F.col("n_validated")
+    assessment = F.when((n == 0) | (F.col("_more") > 0), UNPLANNED).when(seen == 0, ABSENT).when(sound == n, VALIDATED).when(sound > 0, PARTIAL).otherwise(CAPTURED)
+    return got.withColumn("assessment", assessment).drop("_more")
+
+
+def run_counters(claims: DataFrame, names: dict[str, tuple[str, str]]) -> DataFrame:
+    """One row of counters of a run's claims (collection, record_key, field_path, value): for each name the records of a collection, or its known values under a path."""
+    cells = []
+    for name, (collection, path) in names.items():
+        here = F.col("collection") == collection
+        under = here & F.startswith(F.col("field_path"), F.lit(path)) & F.col("value").isNotNull()
+        cells.append((F.count_if(under) if path else F.count_distinct(F.when(here, F.col("record_key")))).alias(name))
+    return claims.agg(*cells)
+
+
+def event_counters(events: DataFrame, group: list[str], kind: str, counters: dict[str, tuple[str, ...]], sums: dict[str, tuple[str, str]]) -> DataFrame:
+    """Counts of events of the named kinds and sums of a number over one kind, for each group: one aggregate over the log."""
+    cells = [F.count_if(F.col(kind).isin(*kinds)).alias(name) for name, kinds in counters.items()]
+    cells += [F.coalesce(F.sum(F.when(F.col(kind) == k, F.col(c))), F.lit(0)).alias(name) for name, (k, c) in sums.items()]
+    return events.groupBy(*group).agg(*cells)
+
+
+def review_queue(papers: DataFrame, cards: DataFrame, fields: DataFrame) -> DataFrame:
+    """One nested row per paper: its cards in order, each with its fields in order, and a hash of the whole, for `df.write.json`.
+
+    papers: paper, title; cards: paper, card, place, label; fields: card, place, label, value, status. A paper's queue is one value.
+    """
+    own = fields.groupBy("card").agg(F.array_sort(F.collect_list(F.struct("place", "label", "value", "status"))).alias("fields"))
+    shown = cards.join(own, "card", "left").select("paper", "place", "card", "label", F.coalesce("fields", F.array().cast(own.schema["fields"].dataType)).alias("fields"))
+    queue = shown.groupBy("paper").agg(F.array_sort(F.collect_list(F.struct("place", "card", "label", "fields"))).alias("cards"))
+    met = papers.join(queue, "paper", "left")
+    return met.withColumn("queue_sha256", F.sha2(F.to_json(F.struct("paper", "cards"), {"ignoreNullFields": "false"}).cast("binary"), 256))

@@ -49,3 +49,11 @@ def bounds(rows: DataFrame, group: str, value: str, half_step: Column) -> DataFr
         "upper": F.try_divide(100 * F.col("_hi"), F.col("_hi") + other_low),
     })
     return out.drop("_lo", "_hi", "_slo", "_shi", "_t")
+
+
+def masses(parts: DataFrame, recipe: str, share: str, density: Column, total: Column) -> DataFrame:
+    """`parts` with mass and volume of each component: its share of the recipe's total mass, and that by its density; null where a share, the total or a positive density is unknown."""
+    mass = F.when(F.col(share).between(0, 100) & (total > 0), F.col(share) / 100.0 * total)
+    out = parts.withColumn("mass", mass).withColumn("volume", F.when(density > 0, F.col("mass") / density))
+    whole = Window.partitionBy(recipe)
+    return out.withColumn("complete", F.coalesce(F.abs(F.sum(share).over(whole) - 100) <= 0.11, F.lit(False)) & (F.count_if(F.col("mass").isNull()).over(whole) == 0))

@@ -56,7 +56,7 @@ def nearest_anchor(targets: DataFrame, anchors: DataFrame, scope: str, target: s
 
     `row` names the row and column numbers on both sides; equal names on both sides are expected. With one
     number or none, each tier is an ordered scan of both sides, as in `nearest_before_and_after`; with two, no
-    order of rows tells the nearest, and the anchors of a scope that agree on a key meet its targets.
+    order of rows tells the nearest, and a tier is an equi-join on scope and key of the targets that no tier before has placed.
     """
     order = lambda: Window.partitionBy(scope, target).orderBy("tier", "_d", *[f"_{c}" for c in row or ()], "_a")
     if len(row or ()) < 2:
@@ -65,11 +65,16 @@ def nearest_anchor(targets: DataFrame, anchors: DataFrame, scope: str, target: s
         if row:
             met = met.withColumnRenamed("_at", f"_{row[0]}")
         return met.withColumn("_r", F.row_number().over(order())).where("_r = 1").select(scope, target, F.col("_a").alias("anchor"), "tier", F.col("_d").alias("distance"))
-    a = anchors.select(scope, F.col(anchor).alias("_a"), *[F.col(k).alias(f"_{k}") for k in [*keys, *(row or ())]])
-    tier = F.coalesce(*[F.when(F.col(k) == F.col(f"_{k}"), F.lit(i + 1)) for i, k in enumerate(keys)])
-    distance = sum((F.abs(F.col(c) - F.col(f"_{c}")) for c in row), F.lit(0))
-    met = targets.join(a, scope).withColumn("tier", tier).where("tier IS NOT NULL").withColumn("_d", distance)
-    return met.withColumn("_r", F.row_number().over(order())).where("_r = 1").select(scope, target, F.col("_a").alias("anchor"), "tier", F.col("_d").alias("distance"))
+    places = list(row)
+    distance = sum((F.abs(F.col(c) - F.col(f"_{c}")) for c in places), F.lit(0))
+    best, left = None, targets
+    for i, key in enumerate(keys):
+        a = anchors.where(F.col(key).isNotNull()).select(scope, F.col(anchor).alias("_a"), F.col(key), *[F.col(c).alias(f"_{c}") for c in places])
+        met = left.join(a, [scope, key]).withColumn("tier", F.lit(i + 1)).withColumn("_d", distance)
+        found = met.withColumn("_r", F.row_number().over(order())).where("_r = 1").select(scope, target, F.col("_a").alias("anchor"), "tier", F.col("_d").alias("distance"))
+        best = found if best is None else best.unionByName(found)
+        left = left.join(found.select(scope, target), [scope, target], "left_anti")
+    return best
 
 
 def nearest_before_and_after(left: DataFrame, right: DataFrame, scope: str, at: str, name: str, ties: tuple[str, ...] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,12 +141,13 @@ def signed_cells(cells: DataFrame, table: str = "table_id") -> DataFrame:
 
 def longest_non_increasing(y: list[float], tolerance: float) -> list[int]:
     """Places of the longest path whose values never rise by more than the tolerance over the one before; ties go to the first found."""
-    best, back = [1] * len(y), [-1] * len(y)
-    for i, v in enumerate(y):
-        for j in range(i):
-            if v <= y[j] + tolerance and best[j] >= best[i]:
-                best[i], back[i] = best[j] + 1, j
-    at = best.index(max(best)) if y else -1
+    values, best, back = np.asarray(y, dtype=float), np.ones(len(y), dtype=np.int64), np.full(len(y), -1)
+    for i in range(1, len(y)):
+        able = np.where(values[i] <= values[:i] + tolerance, best[:i], 0)
+        first = int(able.argmax())
+        if able[first]:
+            best[i], back[i] = able[first] + 1, first
+    at = int(best.argmax()) if len(y) else -1
     path = []
     while at >= 0:
         path.append(at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.operators import control, evidence, merging, ranking, review, run_checks, scoring
+from assaylake.operators import claims, composition, control, evidence, merging, ranking, review, run_checks, scoring
 from assaylake.plans.registry import query, table
 
 
@@ -293,3 +293,50 @@ def diverse_pool_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(GREEDY.replace("ADDED", "[c.stratum]").replace("CHOSEN", "stratum AS selected_stratum,"))
 def diverse_pool_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pool(spark, sf_dir, True).select("page_id", "host", "selected_stratum", "pick")
+
+
+@query("""
+WITH p AS (SELECT DISTINCT l_orderkey AS record, l_returnflag AS component, l_linenumber AS item FROM lineitem WHERE l_linenumber % 4 <> 0),
+v AS (SELECT l_orderkey AS record, l_returnflag AS component, l_linenumber AS item, bool_or(l_quantity > 25) AS ok FROM lineitem WHERE l_suppkey % 3 <> 0 GROUP BY 1, 2, 3),
+m AS (SELECT coalesce(p.record, v.record) AS record, coalesce(p.component, v.component) AS component, p.record IS NOT NULL AS planned, v.ok FROM p FULL JOIN v ON p.record = v.record AND p.component = v.component AND p.item = v.item),
+g AS (SELECT record, component, count(*) FILTER (WHERE planned) AS n_planned, count(*) FILTER (WHERE planned AND ok IS NOT NULL) AS n_captured, count(*) FILTER (WHERE planned AND ok) AS n_validated, count(*) FILTER (WHERE NOT planned) AS more FROM m GROUP BY 1, 2)
+SELECT record, component, n_planned, n_captured, n_validated, CASE WHEN n_planned = 0 OR more > 0 THEN 'UNPLANNED' WHEN n_captured = 0 THEN 'MISSING' WHEN n_validated = n_planned THEN 'VALIDATED' WHEN n_validated > 0 THEN 'PARTIALLY_VALIDATED' ELSE 'CAPTURED' END AS assessment FROM g
+""")
+def component_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record"), F.col("l_returnflag").alias("component"), F.col("l_linenumber").alias("item"), (F.col("l_quantity") > 25).alias("validated"), "l_suppkey")
+    return claims.component_assessment(rows.where("item % 4 != 0"), rows.where("l_suppkey % 3 != 0"))
+
+
+@query("SELECT (SELECT count(*) FROM customer) AS mixes, (SELECT count(*) FROM supplier) AS mats, (SELECT count(c_mktsegment) + count(c_name) FROM customer) AS table_values, (SELECT count(s_name) FROM supplier) AS mat_names")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = claims.flatten(table(spark, sf_dir, "customer"), "c_custkey", "mixes", ["c_name", "c_mktsegment"]).unionByName(claims.flatten(table(spark, sf_dir, "supplier"), "s_suppkey", "mats", ["s_name"]))
+    return claims.run_counters(leaves, {"mixes": ("mixes", ""), "mats": ("mats", ""), "table_values": ("mixes", "/c_"), "mat_names": ("mats", "/s_name")})
+
+
+@query("SELECT user_id, count(*) FILTER (WHERE event_type IN ('click', 'view')) AS seen, count(*) FILTER (WHERE event_type = 'error') AS errors, round(coalesce(sum(value) FILTER (WHERE event_type = 'purchase'), 0), 4) AS spent FROM events GROUP BY user_id")
+def event_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = claims.event_counters(table(spark, sf_dir, "events"), ["user_id"], "event_type", {"seen": ("click", "view"), "errors": ("error",)}, {"spent": ("purchase", "value")})
+    return got.withColumn("spent", F.round("spent", 4))
+
+
+@query("""
+WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DOUBLE) AS share FROM lineitem),
+t AS (SELECT *, sum(share) OVER (PARTITION BY l_orderkey) AS total FROM p)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(share / 100 * 2000, 6) AS mass, round(CASE WHEN l_linenumber % 3 <> 0 THEN share / 100 * 2000 / (l_linenumber % 3) END, 6) AS volume, abs(total - 100) <= 0.11 AS complete FROM t
+""")
+def recipe_masses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("double").alias("share"))
+    got = composition.masses(parts, "l_orderkey", "share", (F.col("l_linenumber") % 3).cast("double"), F.lit(2000.0))
+    return got.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round("mass", 6).alias("mass"), F.round("volume", 6).alias("volume"), "complete")
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations)
+SELECT conv_id AS paper, count(*) AS n_cards, sum(length(text)) AS n_chars, string_agg(role, ',' ORDER BY turn) AS roles FROM c GROUP BY conv_id
+""")
+def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("paper"), F.concat_ws("-", "conv_id", "turn").alias("card"), F.col("turn").alias("place"), F.col("role").alias("label"), F.coalesce("text", F.lit("")).alias("value"))
+    fields = rows.select("card", F.lit(0).alias("place"), F.lit("text").alias("label"), "value", F.lit("reported").alias("status"))
+    got = claims.review_queue(rows.select("paper", F.lit("t").alias("title")).distinct(), rows.select("paper", "card", "place", "label"), fields)
+    chars = F.aggregate("cards", F.lit(0), lambda s, c: s + F.length(c.fields[0]["value"]))
+    return got.select("paper", F.size("cards").cast("long").alias("n_cards"), chars.cast("long").alias("n_chars"), F.array_join(F.transform("cards", lambda c: c.label), ",").alias("roles"))

@@ -52,7 +52,18 @@ def vector_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("x_value", F.round("x_value", 4))
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (
+  SELECT user_id, n, [value] AS ys, [CAST(1 AS BIGINT)] AS best, [CAST(0 AS BIGINT)] AS back FROM e WHERE n = 1
+  UNION ALL
+  SELECT user_id, n, list_append(ys, value), list_append(best, 1 + list_max(f)), list_append(back, CASE WHEN list_max(f) = 0 THEN 0 ELSE CAST(list_position(f, list_max(f)) AS BIGINT) END)
+  FROM (SELECT e.user_id, e.n, r.ys, r.best, r.back, e.value, list_transform(range(1, len(r.ys) + 1), lambda j: CASE WHEN e.value <= r.ys[j] + 1.0 THEN r.best[j] ELSE 0 END) AS f FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+),
+w AS (SELECT user_id, best, back FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC) AS z FROM r) WHERE z = 1),
+p AS (SELECT user_id, back, CAST(list_position(best, list_max(best)) AS BIGINT) AS place FROM w UNION ALL SELECT user_id, back, back[place] FROM p WHERE back[place] > 0)
+SELECT e.event_id, e.user_id, p.place IS NOT NULL AS kept FROM e LEFT JOIN p ON p.user_id = e.user_id AND p.place = e.n
+""")
 def monotone_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     return windows.monotone_path(rows, "user_id", ["ts", "event_id"], "value", 1.0).select("event_id", "user_id", "kept")
