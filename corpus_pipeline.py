@@ -2,6 +2,13 @@
 
 Each stage works on everything its predecessor kept and returns the columns of `documents`, the last
 one the packed pieces. `run` writes each stage's rows to the shared folder and reads them again.
+
+Defined cases: a null text, and one without a letter, has no language and goes at the first stage; if no
+labelled row can be learned from, no document has a language and all go. Given to a later stage, a null
+text is one empty line, a copy of other empty texts, without personal data, and one separator when packed.
+Repeated rows are treated alike by every stage and stay or go together; a null id is never counted with the
+others, so that such a row keeps all lines and is no copy; ties go to the smallest id (copies) or the largest
+(lines). An empty table gives no rows. Other columns than those of `documents` are dropped by the first stage.
 """
 
 from __future__ import annotations
