@@ -116,6 +116,40 @@ def bar_value(top: Column, baseline: Column, axis_zero: Column, slope: Column, l
     return F.when((F.abs(baseline - axis_zero) <= tolerance) & value.between(low - tick, high + tick), value)
 
 
+def bar_measure(near: Column, far: Column, slope: Column, intercept: Column, ticks: Column, domain_low: Column, domain_high: Column, residual: Column, baseline_value: float = 0.0, endpoint: float = 2.0) -> Column:
+    """struct(value, error_scale, status) of a bar between two pixels on an axis value = slope * pixel + intercept with ticks (array of pixels).
+
+    A bar begins within 3 pixels of the baseline, ends within 2 of the plot, and goes at most one tick beyond the ticks; the error
+    scale is the endpoint's doubt and the axis' residual in the axis' unit, no statistical interval.
+    """
+    base = (baseline_value - intercept) / slope
+    starts_near = F.abs(near - base) <= F.abs(far - base)
+    start, end = F.when(starts_near, near).otherwise(far), F.when(starts_near, far).otherwise(near)
+    places = F.array_sort(ticks)
+    steps = F.zip_with(F.slice(places, F.lit(2), F.size(places) - 1), F.slice(places, F.lit(1), F.size(places) - 1), lambda b, a: b - a)
+    beyond = F.greatest(places[0] - end, end - F.element_at(places, -1), F.lit(0.0))
+    status = (
+        F.when(F.coalesce(near == far, F.lit(True)), "INVALID_BOX").when(F.abs(start - base) > 3, "NOT_ON_BASELINE").when((end < domain_low - 2) | (end > domain_high + 2), "OUTSIDE_PLOT")
+        .when(beyond > F.array_max(steps), "EXTRAPOLATED").otherwise("ESTIMATE")
+    )
+    good = status == "ESTIMATE"
+    return F.struct(F.when(good, F.round(slope * end + intercept, 1)).alias("value"), F.when(good, (endpoint + residual) * F.abs(slope)).alias("error_scale"), status.alias("status"))
+
+
+def target_bounds(value: Column, v0: float, p0: tuple[float, float], v1: float, p1: tuple[float, float], log: bool = False) -> Column:
+    """struct(low, high): the least and greatest position of a value when both anchors' positions are only known to lie in intervals."""
+    if not (p0[1] < p1[0] or p1[1] < p0[0]):
+        raise ValueError("the anchors' intervals overlap")
+    places = F.array(*[axis_position(value, F.lit(float(a)), F.lit(float(v0)), F.lit(float(b)), F.lit(float(v1)), log) for a in p0 for b in p1])
+    return F.struct(F.array_min(places).alias("low"), F.array_max(places).alias("high"))
+
+
+def value_bounds(low: Column, high: Column, v0: float, p0: tuple[float, float], v1: float, p1: tuple[float, float], log: bool = False) -> Column:
+    """struct(low, high): the least and greatest value between two positions for anchors in intervals."""
+    values = F.array(*[axis_value(p, F.lit(float(a)), F.lit(float(v0)), F.lit(float(b)), F.lit(float(v1)), log) for p in (low, high) for a in p0 for b in p1])
+    return F.struct(F.array_min(values).alias("low"), F.array_max(values).alias("high"))
+
+
 def tick_defect(ticks: Column, log: Column, tolerance: Column) -> Column:
     """What is wrong with an axis' ticks (array<struct(px, value)>), null if they agree with the line through the first and the last."""
     t = F.array_sort(ticks)

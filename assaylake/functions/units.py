@@ -57,3 +57,19 @@ def ratio(text: Column) -> Column:
     """Value of a printed ratio a/b or a|b; null for other texts and for a zero below."""
     pattern = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*[/|]\s*([0-9]+(?:\.[0-9]+)?)\s*$"
     return F.when(text.rlike(pattern), F.try_divide(F.regexp_extract(text, pattern, 1).cast("double"), F.regexp_extract(text, pattern, 2).cast("double")))
+
+
+#: Units of a curing stage and what they are in s or Pa.
+STAGE_UNITS = {"duration": {"s": 1.0, "h": 3600.0, "d": 86400.0, "min": 60.0}, "pressure": {"Pa": 1.0, "kPa": 1000.0, "MPa": 1000000.0}}
+STAGE_TARGETS = {"duration": "s", "pressure": "Pa"}
+
+
+def normalised_stages(stages: DataFrame, name: str, value: str, unit: str, uncertainty: str | None = None) -> DataFrame:
+    """`stages` with target_unit, normalised, scale, reverse and (if given) the normalised uncertainty; other names and units keep theirs, and a product that is not finite is an error."""
+    factors = F.create_map(*[x for n, units in STAGE_UNITS.items() for u, f in units.items() for x in (F.lit(f"{n}|{u}"), F.lit(f))])
+    targets = F.create_map(*[F.lit(x) for kv in STAGE_TARGETS.items() for x in kv])
+    scale = F.coalesce(factors[F.concat_ws("|", F.col(name), F.col(unit))], F.lit(1.0))
+    made = F.col(value) * scale
+    finite = F.when(made.isNull() | (~F.isnan(made) & (F.abs(made) < float("inf"))), made).otherwise(F.raise_error(F.lit("a normalised stage value overflows")).cast("double"))
+    out = stages.withColumns({"target_unit": F.coalesce(targets[F.col(name)], F.col(unit)), "normalised": finite, "scale": F.when(made.isNotNull(), scale)}).withColumn("reverse", F.col("normalised") / F.col("scale"))
+    return out.withColumn(f"{uncertainty}_normalised", F.col(uncertainty) * scale) if uncertainty else out

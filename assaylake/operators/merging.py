@@ -64,10 +64,11 @@ def alias_components(rows: DataFrame, item: str, aliases: list[str]) -> DataFram
 
 
 def resolve_entities(rows: DataFrame, item: str, aliases: list[str], doi: str) -> DataFrame:
-    """(item, entity): alias components in which contradicting DOIs never merge.
+    """(item, entity): the smallest item of the entity that each item belongs to.
 
-    Components with one DOI at most are entities as they are. In the others items join one by one, in item order, the first
-    entity that shares an alias and has no other DOI: sequential by definition, one component at a time.
+    Components of aliases with one DOI at most are entities as they are. In the others items come one by one, in item order:
+    an item joins, and so merges, all entities that its aliases lead to, but for those whose DOI contradicts its own; its aliases
+    then lead to its entity. Sequential by definition, one component at a time.
     """
     comp = alias_components(rows, item, aliases)
     met = rows.join(comp, item)
@@ -75,25 +76,46 @@ def resolve_entities(rows: DataFrame, item: str, aliases: list[str], doi: str) -
     simple = met.join(many, "root", "left_anti").select(item, F.col("root").alias("entity"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        held: dict[tuple[str, object], list[object]] = {}
+        into: dict[object, object] = {}
+        leads: dict[tuple[str, object], object] = {}
         known: dict[object, object] = {}
-        out = []
+
+        def top(e: object) -> object:
+            while into[e] != e:
+                e = into[e]
+            return e
+
         for row in pdf.sort_values(item).to_dict("records"):
-            own_doi = row[doi] if pd.notna(row[doi]) else None
+            me, own = row[item], row[doi] if pd.notna(row[doi]) else None
             keys = [(a, row[a]) for a in aliases if pd.notna(row[a])]
-            found = sorted({e for k in keys for e in held.get(k, ()) if own_doi is None or known.get(e) in (None, own_doi)})
-            entity = found[0] if found else row[item]
-            known[entity] = known.get(entity) or own_doi
-            for k in keys:
-                held.setdefault(k, []).append(entity)
-            out.append((row[item], entity))
-        return pd.DataFrame(out, columns=[item, "entity"])
+            found = sorted({top(leads[k]) for k in keys if k in leads})
+            found = [e for e in found if own is None or known[e] is None or known[e] == own]
+            into[me] = root = found[0] if found else me
+            for e in found:
+                into[e], own = root, known[e] or own  # what was there before goes first
+            known[root] = own
+            leads |= dict.fromkeys(keys, root)
+        return pd.DataFrame([(i, top(i)) for i in pdf[item]], columns=[item, "entity"])
 
     kind = rows.schema[item].dataType.simpleString()
     hard = met.join(many, "root").groupBy("root").applyInPandas(run, f"{item} {kind}, entity {kind}")
     return simple.unionByName(hard)
 
 
+def ranked_entities(rows: DataFrame, item: str, identity: str, aliases: list[str], doi: str, scalars: list[str], arrays: list[str], flags: list[str], score: Column, order: list[Column | str]) -> DataFrame:
+    """Entities in their total order: rows of one identity merged, entities resolved over the aliases and merged again, then scored anew and sorted.
+
+    `score` and `order` read the merged columns; entity is the smallest item of each.
+    """
+    keep = [c for c in dict.fromkeys([*scalars, *aliases, doi]) if c != identity]
+    first = merge_candidates(rows, identity, item, keep, arrays, flags).drop("n_merged").join(rows.groupBy(identity).agg(F.min(item).alias(item)), identity)
+    entities = resolve_entities(first, item, aliases, doi)
+    members = first.join(entities, item).withColumn("_entity", F.col("entity").cast("string"))
+    merged = merge_candidates(members, "_entity", item, [c for c in dict.fromkeys([*scalars, doi])], arrays, flags).withColumnRenamed("_entity", "entity")
+    scored = merged.withColumn("score", score)
+    return scored.orderBy(F.desc("score"), *order, "entity")
+
+
 def prefer_complete(rows: DataFrame, group: str, complete: Column) -> DataFrame:
     """Rows of each group, without the incomplete ones where the group has a complete one."""
     flagged = rows.withColumn("_c", F.coalesce(complete, F.lit(False)))

@@ -65,15 +65,16 @@ def curve_coverage(points: DataFrame, curve: str, x: str, y: str, log: bool = Fa
     return got.select(curve, "n_points", F.coalesce(good, F.lit(False)).alias("covered"))
 
 
-def vector_percentile(points: DataFrame, curve: str, x: str, y: str, p: float, max_gap_share: float = 0.08) -> DataFrame:
-    """(curve, p, x_value): the one bracket y <= p < next y whose width is a small share of the curve's."""
+def vector_percentile(points: DataFrame, curve: str, x: str, y: str, p: float, max_gap_share: float = 0.08, pad: float = 0.3) -> DataFrame:
+    """(curve, p, x_value, x_low, x_high): the one bracket y <= p < next y whose width is a small share of the curve's, and its ends less and plus `pad` (half a stroke, 0.3 at least)."""
     order, whole = Window.partitionBy(curve).orderBy(x, y), Window.partitionBy(curve)
     rows = points.withColumns({"_x1": F.lead(x).over(order), "_y1": F.lead(y).over(order), "_w": F.max(x).over(whole) - F.min(x).over(whole)})
     inside = (F.col(y) <= p) & (F.lit(p) < F.col("_y1"))
     read = F.col(x) + (F.lit(p) - F.col(y)) / (F.col("_y1") - F.col(y)) * (F.col("_x1") - F.col(x))
     narrow = (F.col("_x1") - F.col(x)) <= F.col("_w") * max_gap_share
-    got = rows.groupBy(curve).agg(F.count_if(inside).alias("_n"), F.max(F.when(inside & narrow, read)).alias("_v"))
-    return got.select(curve, F.lit(p).alias("p"), F.when(F.col("_n") == 1, F.col("_v")).alias("x_value"))
+    kept = lambda c: F.max(F.when(inside & narrow, c))
+    got = rows.groupBy(curve).agg(F.count_if(inside).alias("_n"), kept(read).alias("x_value"), kept(F.col(x) - max(pad, 0.3)).alias("x_low"), kept(F.col("_x1") + max(pad, 0.3)).alias("x_high"))
+    return got.select(curve, F.lit(p).alias("p"), *[F.when(F.col("_n") == 1, F.col(c)).alias(c) for c in ("x_value", "x_low", "x_high")])
 
 
 def band_clusters(boxes: DataFrame, group: str, top: str, bottom: str, gap: float, *ties: str) -> DataFrame:

@@ -227,3 +227,29 @@ def section_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(json_extract_string(props, '$.missing') AS VARCHAR) AS missing FROM events")
 def json_pointer_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", json_paths.read(F.col("props"), "/k", "bigint").alias("k"), json_paths.read(F.col("props"), "/missing").alias("missing"))
+
+
+@query("""
+WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ['duration', 'pressure', 'duration', 'temperature'][1 + l_linenumber % 4] AS name, ['h', 'kPa', 'd', '°C'][1 + l_linenumber % 4] AS unit, CAST(CASE WHEN l_partkey % 5 <> 0 THEN l_quantity END AS DOUBLE) AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ['s', 'Pa', 's', '°C'][1 + l_linenumber % 4] AS target_unit, round(v * [3600, 1000, 86400, 1][1 + l_linenumber % 4], 4) AS normalised, round(v, 4) AS reverse FROM s
+""")
+def stage_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = (F.col("l_linenumber") % 4).cast("int")
+    pick = lambda *x: F.array(*map(F.lit, x))[kind]
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = table(spark, sf_dir, "lineitem").select(*keys, pick("duration", "pressure", "duration", "temperature").alias("name"), pick("h", "kPa", "d", "°C").alias("unit"), F.when(F.col("l_partkey") % 5 != 0, F.col("l_quantity").cast("double")).alias("v"))
+    return units.normalised_stages(rows, "name", "v", "unit").select(*keys, "target_unit", F.round("normalised", 4).alias("normalised"), F.round("reverse", 4).alias("reverse"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN round((o_custkey % 80) + 10.0, 1) END AS value, CASE WHEN o_orderkey % 5 = 0 THEN 2.5 END AS error_scale, ['ESTIMATE', 'NOT_ON_BASELINE', 'OUTSIDE_PLOT', 'EXTRAPOLATED', 'INVALID_BOX'][1 + o_orderkey % 5] AS status FROM orders
+""")
+def bar_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as bars on an axis of 200 pixels from 200 (value 0) upwards: sound ones and one for each defect."""
+    case, high = F.col("o_orderkey") % 5, (F.col("o_custkey") % 80 + 10).cast("double")
+    top = F.when(case == 2, -30.0).when(case == 3, 40.0).otherwise(200 - high)
+    foot = F.when(case == 1, 190.0).when(case == 4, top).otherwise(201.0)
+    ticks = F.when(case == 3, F.array(*map(F.lit, (200.0, 180.0, 160.0)))).otherwise(F.array(*map(F.lit, (200.0, 150.0, 100.0, 50.0, 0.0))))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", top.alias("top"), foot.alias("foot"), ticks.alias("ticks"), case.alias("case"))
+    got = transforms.bar_measure(F.when(F.col("case") == 1, 170.0).otherwise(F.col("top")), F.col("foot"), F.lit(-1.0), F.lit(200.0), F.col("ticks"), F.lit(0.0), F.lit(200.0), F.lit(0.5))
+    return rows.select("o_orderkey", got.alias("m")).select("o_orderkey", "m.*")

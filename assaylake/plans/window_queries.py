@@ -45,11 +45,11 @@ def curve_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {CURVE}, n AS (SELECT *, lead(x) OVER w AS x1, lead(y) OVER w AS y1, max(x) OVER (PARTITION BY l_suppkey) - min(x) OVER (PARTITION BY l_suppkey) AS wd FROM c WINDOW w AS (PARTITION BY l_suppkey ORDER BY x, y))
-SELECT l_suppkey, CAST(50.0 AS DOUBLE) AS p, round(CASE WHEN count(*) FILTER (WHERE y <= 50 AND 50 < y1) = 1 THEN max(CASE WHEN y <= 50 AND 50 < y1 AND x1 - x <= 0.08 * wd THEN x + (50 - y) / (y1 - y) * (x1 - x) END) END, 4) AS x_value FROM n GROUP BY 1
+SELECT l_suppkey, CAST(50.0 AS DOUBLE) AS p, round(CASE WHEN count(*) FILTER (WHERE y <= 50 AND 50 < y1) = 1 THEN max(CASE WHEN y <= 50 AND 50 < y1 AND x1 - x <= 0.08 * wd THEN x + (50 - y) / (y1 - y) * (x1 - x) END) END, 4) AS x_value, round(CASE WHEN count(*) FILTER (WHERE y <= 50 AND 50 < y1) = 1 THEN max(CASE WHEN y <= 50 AND 50 < y1 AND x1 - x <= 0.08 * wd THEN x END) - 0.5 END, 4) AS x_low, round(CASE WHEN count(*) FILTER (WHERE y <= 50 AND 50 < y1) = 1 THEN max(CASE WHEN y <= 50 AND 50 < y1 AND x1 - x <= 0.08 * wd THEN x1 END) + 0.5 END, 4) AS x_high FROM n GROUP BY 1
 """)
 def vector_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = windows.vector_percentile(cumulative(spark, sf_dir), "l_suppkey", "x", "y", 50.0)
-    return got.withColumn("x_value", F.round("x_value", 4))
+    got = windows.vector_percentile(cumulative(spark, sf_dir), "l_suppkey", "x", "y", 50.0, pad=0.5)
+    return got.withColumns({c: F.round(c, 4) for c in ("x_value", "x_low", "x_high")})
 
 
 @query("""

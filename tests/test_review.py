@@ -1,8 +1,11 @@
 """Pairing, evidence, verdicts and states on literal cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from assaylake.functions import transforms
 from assaylake.operators import control, evidence, merging, ranking, review, scoring
 
 
@@ -85,3 +88,38 @@ def test_settled_classes_and_rebuilt_paths(spark):
     assert [tuple(r) for r in control.unsettled_classes(events, "f", ["kind", "severity"]).collect()] == [("f", "severity")]
     rows = lambda place: spark.createDataFrame([(place, "h1", 1)], "place string, digest string, v int")
     assert merging.same_rows(rows("/a/x"), rows("/b/x")).count() == 2 and merging.same_rows(rows("/a/x"), rows("/b/x"), {"place": "digest"}).count() == 0
+
+
+def naive_entities(rows):
+    """Groups as sets: each row takes in all groups that its aliases lead to and that have its DOI or none."""
+    groups, leads = [], {}
+    for item, doi, keys in rows:
+        near = sorted({id(leads[k]): leads[k] for k in keys if k in leads}.values(), key=lambda g: min(g["items"]))
+        near = [g for g in near if doi is None or g["doi"] in (None, doi)]
+        own = {"items": {item}, "doi": doi}
+        for g in near:
+            own = {"items": own["items"] | g["items"], "doi": g["doi"] or own["doi"]}
+            groups.remove(g)
+        groups.append(own)
+        leads = {k: own if any(v is g for g in near) else v for k, v in leads.items()} | dict.fromkeys(keys, own)
+    return {i: min(g["items"]) for g in groups for i in g["items"]}
+
+
+def test_entities_equal_a_naive_version(spark):
+    r = random.Random(5)
+    rows = [(i, r.choice([None, None, "d1", "d2", "d3"]), r.choice([None, *"abcdefgh"]), r.choice([None, *"uvwxyz"])) for i in range(120)]
+    got = merging.resolve_entities(spark.createDataFrame(rows, "item int, doi string, a string, b string"), "item", ["a", "b"], "doi")
+    assert {x["item"]: x["entity"] for x in got.collect()} == naive_entities([(i, d, [(n, v) for n, v in (("a", a), ("b", b)) if v]) for i, d, a, b in rows])
+
+
+def test_entities_are_merged_and_ranked(spark):
+    rows = spark.createDataFrame([(1, "k1", None, "t1", 5, ["x"], False), (2, "k1", "d1", "t9", None, ["y"], True), (3, "k2", "d1", "t1", 7, ["z"], False), (4, "k3", "d2", "t4", 9, [], False)], "item int, k string, doi string, t string, v int, tags array<string>, open boolean")
+    got = merging.ranked_entities(rows, "item", "k", ["t", "doi"], "doi", ["v", "t"], ["tags"], ["open"], F.col("v") + F.when(F.col("open"), 10).otherwise(0), [F.desc("v")])
+    assert [(r["entity"], r["score"], r["tags"], r["n_merged"]) for r in got.collect()] == [("1", 15, ["x", "y", "z"], 2), ("4", 9, [], 1)]
+
+
+def test_bounds_of_uncertain_axes(spark):
+    one = spark.range(1).select(transforms.target_bounds(F.lit(5.0), 0.0, (0.0, 1.0), 10.0, (99.0, 101.0)).alias("t"), transforms.value_bounds(F.lit(50.0), F.lit(51.0), 0.0, (0.0, 1.0), 10.0, (99.0, 101.0)).alias("v")).first()
+    assert (one["t"]["low"], one["t"]["high"]) == (49.5, 51.0) and one["v"]["low"] == pytest.approx(4.9) and one["v"]["high"] == pytest.approx(5.151515, abs=1e-5)
+    with pytest.raises(ValueError, match="overlap"):
+        transforms.target_bounds(F.lit(5.0), 0.0, (0.0, 60.0), 10.0, (50.0, 101.0))
