@@ -230,3 +230,37 @@ def reusable_responses(requests: DataFrame, cache: DataFrame) -> DataFrame:
     """`requests` (…, signature) with the response of a finished cache entry (signature, response, status) of the same signature; ambiguous entries are not used."""
     one = cache.where("status = 'DONE'").groupBy("signature").agg(F.count_distinct("response").alias("_n"), F.min("response").alias("_r"))
     return requests.join(one, "signature", "left").select(*requests.columns, F.when(F.col("_n") == 1, F.col("_r")).alias("response"), F.when(F.col("_n").isNull(), "RUN").when(F.col("_n") == 1, "REUSE").otherwise("AMBIGUOUS").alias("action"))
+
+
+def slot_states(slots: DataFrame, results: DataFrame) -> DataFrame:
+    """`slots` (parent, slot, needed) with state and result: FILLED by the one result of its children, OPEN without one, AMBIGUOUS with several different ones, and BLOCKED where all children failed and it is needed.
+
+    results: parent, slot, child, status (DONE or FAILED), result.
+    """
+    got = results.groupBy("parent", "slot").agg(F.count_distinct(F.when(F.col("status") == "DONE", F.col("result"))).alias("_n"), F.min(F.when(F.col("status") == "DONE", F.col("result"))).alias("_r"), F.count_if(F.col("status") == "FAILED").alias("_bad"))
+    met = slots.join(got, ["parent", "slot"], "left")
+    n = F.coalesce("_n", F.lit(0))
+    state = F.when(n == 1, "FILLED").when(n > 1, "AMBIGUOUS").when(F.coalesce("_bad", F.lit(0)) > 0, F.when(F.col("needed"), "BLOCKED").otherwise("SKIPPED")).otherwise("OPEN")
+    return met.select(*slots.columns, state.alias("state"), F.when(n == 1, F.col("_r")).alias("result"))
+
+
+#: What a batch member's work writes down, in order.
+POINTS = ("STARTED", "WRITTEN", "VERIFIED", "COMMITTED")
+
+
+def after_crash(members: DataFrame, journal: DataFrame, files: DataFrame, config: str) -> DataFrame:
+    """`members` (member, content) with the last point that holds and what to do after a crash.
+
+    journal: member, point, content, config, sha256; files: member, sha256. Points of another content or configuration count for nothing. A
+    point holds if all before it do and, from WRITTEN on, the file is there with the hash that was written down. COMMITTED is REUSE, VERIFIED is
+    COMMIT, WRITTEN is VERIFY; anything else is RUN.
+    """
+    mine = journal.join(members.select("member", F.col("content").alias("_c")), "member").where((F.col("content") == F.col("_c")) & (F.col("config") == config))
+    held = mine.groupBy("member").agg(F.collect_set("point").alias("_p"), F.max("sha256").alias("_s"), F.count_distinct("sha256").alias("_n"))
+    seen = files.groupBy("member").agg(F.max("sha256").alias("_f"))
+    met = members.join(held, "member", "left").join(seen, "member", "left")
+    sound = F.coalesce((F.col("_n") == 1) & (F.col("_f") == F.col("_s")), F.lit(False))
+    upto = lambda k: F.coalesce(F.size(F.array_intersect("_p", F.array(*map(F.lit, POINTS[:k])))) == k, F.lit(False))
+    last = F.when(upto(4) & sound, "COMMITTED").when(upto(3) & sound, "VERIFIED").when(upto(2) & sound, "WRITTEN").when(upto(1), "STARTED")
+    action = F.when(last == "COMMITTED", "REUSE").when(last == "VERIFIED", "COMMIT").when(last == "WRITTEN", "VERIFY").otherwise("RUN")
+    return met.select(*members.columns, last.alias("point"), action.alias("action"))

@@ -340,3 +340,27 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = claims.review_queue(rows.select("paper", F.lit("t").alias("title")).distinct(), rows.select("paper", "card", "place", "label"), fields)
     chars = F.aggregate("cards", F.lit(0), lambda s, c: s + F.length(c.fields[0]["value"]))
     return got.select("paper", F.size("cards").cast("long").alias("n_cards"), chars.cast("long").alias("n_chars"), F.array_join(F.transform("cards", lambda c: c.label), ",").alias("roles"))
+
+
+@query("""
+WITH r AS (SELECT l_orderkey AS parent, l_linenumber AS slot, count(DISTINCT CAST(l_shipdate AS DATE)) FILTER (WHERE l_returnflag <> 'A') AS n, min(CAST(CAST(l_shipdate AS DATE) AS VARCHAR)) FILTER (WHERE l_returnflag <> 'A') AS r, count(*) FILTER (WHERE l_returnflag = 'A') AS bad FROM lineitem WHERE l_suppkey % 4 <> 0 GROUP BY 1, 2),
+s AS (SELECT DISTINCT l_orderkey AS parent, l_linenumber AS slot FROM lineitem)
+SELECT s.parent, s.slot, CASE WHEN coalesce(n, 0) = 1 THEN 'FILLED' WHEN n > 1 THEN 'AMBIGUOUS' WHEN bad > 0 THEN CASE WHEN s.slot = 1 THEN 'BLOCKED' ELSE 'SKIPPED' END ELSE 'OPEN' END AS state, CASE WHEN n = 1 THEN r END AS result FROM s LEFT JOIN r ON s.parent = r.parent AND s.slot = r.slot
+""")
+def slot_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("slot"), F.col("l_suppkey").alias("child"), F.when(F.col("l_returnflag") == "A", "FAILED").otherwise("DONE").alias("status"), F.col("l_shipdate").cast("date").cast("string").alias("result"))
+    slots = rows.select("parent", "slot", (F.col("slot") == 1).alias("needed")).distinct()
+    return control.slot_states(slots, rows.where("child % 4 != 0")).select("parent", "slot", "state", "result")
+
+
+@query("""
+SELECT o_orderkey AS member, [NULL, 'STARTED', 'WRITTEN', 'VERIFIED', 'COMMITTED', 'STARTED', NULL, NULL][1 + o_orderkey % 8] AS point, ['RUN', 'RUN', 'VERIFY', 'COMMIT', 'REUSE', 'RUN', 'RUN', 'RUN'][1 + o_orderkey % 8] AS action FROM orders
+""")
+def crash_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as members that stopped at each point, with a lost file, another content, or another configuration."""
+    case = F.col("o_orderkey") % 8
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("member"), F.col("o_custkey").cast("string").alias("content"), case.alias("k"), F.sha2(F.col("o_orderkey").cast("string").cast("binary"), 256).alias("sha256"))
+    points = F.slice(F.array(*map(F.lit, control.POINTS)), F.lit(1), F.when(F.col("k") > 4, 4).otherwise(F.col("k")).cast("int"))
+    journal = rows.where("k > 0").select("member", F.explode(points).alias("point"), F.when(F.col("k") == 6, "old").otherwise(F.col("content")).alias("content"), F.when(F.col("k") == 7, "v0").otherwise("v1").alias("config"), "sha256")
+    files = rows.where("k >= 2 AND k != 5").select("member", "sha256")
+    return control.after_crash(rows.select("member", "content"), journal, files, "v1").select("member", "point", "action")
