@@ -1,20 +1,22 @@
 """SimHash near-dedup of documents by shingle similarity: one document of each group stays.
 
-Candidates: 256-bit fingerprints over distinct shingles, compared exactly in tiles. Every pair of tiles of the
-distinct fingerprints meets in one key; numpy compares the first word by exclusive-or and bit counts
-and the other three only where it is close enough. The radius is set so that a pair at the wanted
-similarity is missed about once in a thousand and unrelated pairs do not occur. That estimate does not
-hold for few shingles, so texts of SHORT distinct shingles or fewer also meet by an exact prefix join:
-of two sets that are similar enough, the rarest few shingles of both have one in common. Verification: the
-documents of a candidate group meet again in tiles with their whole sets of shingles, and only pairs
-whose Jaccard similarity reaches the threshold link. Both steps hand on spanning forests, so groups
-of thousands of copies never become lists of pairs. The number of compared fingerprint pairs still
-grows with the square of the number of different documents; see the README for what that costs.
+Candidates: 256-bit fingerprints over distinct shingles, compared exactly in tiles by numpy: the first
+word by exclusive-or and bit counts, the other three only where it is close enough. Tiles hold sets of
+about one size, and pairs of tiles whose sizes (the population counts of the sets as bit vectors) differ
+beyond what the similarity allows are skipped: a set of n shingles can only be similar to sets of
+similarity * n to n / similarity. The radius is set so that a pair at the wanted similarity is missed
+about once in a thousand and unrelated pairs do not occur. That estimate does not hold for few shingles,
+so texts of SHORT distinct shingles or fewer meet by an exact prefix join instead: of two sets that are
+similar enough, the rarest few shingles of both have one in common. Verification: the documents of a
+candidate group meet again in tiles with their whole sets of shingles, and only pairs whose Jaccard
+similarity reaches the threshold link. Both steps hand on spanning forests, so groups of thousands of
+copies never become lists of pairs. The number of compared fingerprint pairs still grows with the square
+of the number of different documents of one size; see the README for what that costs.
 
 Defined cases: null and empty texts are copies of each other; texts of fewer words than a shingle are
 one shingle; equal sets of shingles are copies, equal fingerprints of different sets only candidates;
-the smallest id of a group stays; repeated rows of an id
-stay or go together; rows with a null id stay; an empty table gives no rows; all columns pass through.
+the smallest id of a group stays (ids are whole numbers); repeated rows of an id stay or go together;
+rows with a null id stay; an empty table gives no rows; all columns pass through.
 """
 
 from __future__ import annotations
@@ -37,8 +39,10 @@ WORDS = 4
 NAMES = [f"w{k}" for k in range(WORDS)]
 #: 128 bits over the sorted distinct shingles: what Jaccard similarity sees of a text.
 CONTENT = ["c0", "c1"]
-#: Fingerprints of a tile at most, and of one row that carries part of a tile.
-TILE, PART = 1 << 18, 4096
+#: Fingerprints of a tile at most by expectation, and parts of a tile that travel as one row each.
+TILE, PARTS = 1 << 16, 16
+#: Classes of sizes for each step of the similarity: sets of classes further apart than this are never similar enough.
+FINE = 4
 #: Documents of a tile of a candidate group; every pair of tiles is a task's key of its own.
 GROUP_TILE = 256
 #: Rows of ids that are broadcast at most; beyond, both sides are shuffled.
@@ -92,14 +96,32 @@ def prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
     return rows.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in [*NAMES, *CONTENT, "n"]))
 
 
-def candidate_links(reps: DataFrame, near: int, far: int) -> DataFrame:
-    """Forest edges (u, v) between the ids of reps (rep, w0..) whose fingerprints differ by `far` bits at most."""
-    n = reps.count()
-    k = max(1, min(math.ceil(n / 1024), math.ceil(math.sqrt(16 * reps.sparkSession.sparkContext.defaultParallelism))), math.ceil(n / TILE))
-    parts = max(1, math.ceil(n / k / PART))
-    dealt = reps.withColumn("tile", F.pmod(F.xxhash64("rep"), F.lit(k)).cast("int")).withColumn("part", F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(parts)).cast("int"))
-    tiles = dealt.groupBy("tile", "part").agg(F.collect_list(F.struct("rep", *NAMES)).alias("own"))
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda o: F.struct(F.least(o, F.col("tile")).alias("i"), F.greatest(o, F.col("tile")).alias("j"), F.when(F.col("tile") <= o, 0).otherwise(1).alias("role")))
+def size_class(n, similarity: float):
+    """Number of the class of sets of n shingles."""
+    return F.floor(F.log(n) / (math.log(1 / similarity) * (1 + 1e-9) / FINE)).cast("int")
+
+
+def tiles_of_classes(sizes: dict[int, int]) -> list[tuple[int, int, int, int, int]]:
+    """(class, first tile, tiles, first and last tile that it meets) for the numbers of sets in each class; tiles are numbered by class."""
+    own, at = {}, 0
+    for c in sorted(sizes):
+        own[c] = (at, -(-sizes[c] // TILE))
+        at += own[c][1]
+    out = []
+    for c, (first, n) in own.items():
+        near = [own[x] for x in range(c - FINE, c + FINE + 1) if x in own]
+        out.append((c, first, n, near[0][0], near[-1][0] + near[-1][1] - 1))
+    return out
+
+
+def candidate_links(reps: DataFrame, near: int, far: int, similarity: float) -> DataFrame:
+    """Forest edges (u, v) between the ids of reps (rep, n, w0..) of sizes that can be similar and whose fingerprints differ by `far` bits at most."""
+    able = reps.where(F.col("n") > math.floor(SHORT * similarity)).select("rep", "n", *NAMES, size_class(F.col("n"), similarity).alias("class"))
+    sizes = {r["class"]: r["count"] for r in able.groupBy("class").count().collect()}  # a few hundred: the logarithm of the longest text
+    near_tiles = reps.sparkSession.createDataFrame(tiles_of_classes(sizes), "class int, first int, tiles int, low int, high int")
+    dealt = able.join(F.broadcast(near_tiles), "class").withColumn("tile", F.col("first") + F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).withColumn("part", F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(PARTS)).cast("int"))
+    tiles = dealt.groupBy("tile", "part", "low", "high").agg(F.collect_list(F.struct("rep", *NAMES)).alias("own"))
+    pairs = F.transform(F.sequence("low", "high"), lambda o: F.struct(F.least(o, F.col("tile")).alias("i"), F.greatest(o, F.col("tile")).alias("j"), F.when(F.col("tile") <= o, 0).otherwise(1).alias("role")))
     spread = tiles.select(F.explode(pairs).alias("p"), "own").select("p.i", "p.j", "p.role", "own")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +287,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """(rep, root): the smallest id of each distinct set of shingles and the smallest id of its group."""
     found = prints(docs, id_col, text_col, shingle)
     reps = written(found.groupBy(*CONTENT).agg(F.min("id").alias("rep"), *[F.first(n).alias(n) for n in [*NAMES, "n"]]))
-    links = candidate_links(reps.select("rep", *NAMES), *radii(similarity)).unionByName(short_links(docs, reps, similarity, id_col, text_col, shingle))
+    links = candidate_links(reps.select("rep", "n", *NAMES), *radii(similarity), similarity).unionByName(short_links(docs, reps, similarity, id_col, text_col, shingle))
     maybe = cut(connected_components(links, "u", "v"))
     roots = connected_components(verified_links(docs, maybe, similarity, id_col, text_col, shingle), "u", "v")
     return cut(reps.select("rep").join(roots, reps["rep"] == roots["node"], "left").select("rep", F.coalesce("root", "rep").alias("root")))
