@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from assaylake.llm import entries, pii
@@ -37,10 +38,27 @@ def test_near_copies_are_gone(stages):
     near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
     kept = list(after.items())
     assert not any(near(a, b) for i, (_, a) in enumerate(kept) for _, b in kept[i + 1 :])
+    assert all(any(near(a, b) for b in after.values()) or any(near(a, c) and i != j for j, c in before.items()) for i, a in before.items())
+    assert set(after) == set(kept_by_components(before))  # the smallest of each group and no other
     lonely = {i for i, a in before.items() if not any(near(a, b) for j, b in before.items() if j != i)}
     assert lonely <= set(after)
 
 
+def kept_by_components(sets):
+    root = {i: i for i in sets}
+    ids = sorted(sets)
+    changed = True
+    while changed:
+        changed = False
+        for i in ids:
+            for j in ids:
+                a, b = sets[i], sets[j]
+                if root[i] != root[j] and (len(a & b) >= 0.8 * len(a | b)):
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    return [i for i in ids if root[i] == i]
+
+
 def test_personal_data_is_gone(stages):
     assert any(pii.base_spans(r["text"]) for r in stages["simhash_near_dedup"].collect())
     assert not any(pii.base_spans(r["text"]) for r in stages["pii"].collect())
@@ -52,9 +70,11 @@ def test_run_gives_the_last_stage(spark, stages):
 
 
 def test_rejected_and_null_rows(spark):
-    rows = spark.createDataFrame([(1, None, "en", "s", 0), (2, "123 !!", "en", "s", 7), (3, "Words that are fine", None, None, 19), (4, "More words of this kind", "en", "s", 23)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = spark.createDataFrame([(1, None, "en", "s", 0), (2, "123 !!", "en", "s", 7), (3, "Words that are fine", None, None, 19), (8, "More words of this kind", "en", "s", 23)], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.language(spark, rows, SF)
-    assert sorted(r["doc_id"] for r in kept.collect()) in ([3, 4], [])  # without a learned language nothing is probable
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 8]
+    unlabelled = rows.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, unlabelled, SF).count() == 0  # without a learned language nothing is probable
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, rows, SF).count() > 0 and stage(spark, rows.limit(0), SF).count() == 0
 

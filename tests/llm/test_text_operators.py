@@ -73,7 +73,9 @@ def test_best_path_equals_brute_force():
     with open(PIECES, "rb") as f:
         own = sentencepieces.Pieces(f.read())
     held = {p: (s, i) for p, (_, s, i) in ((k, v) for k, v in own.automaton.items())}
-    for text in ("the", "nation", "zz日q", "tions"):
+    r = random.Random(8)
+    letters = ["▁", *"etaoinshrd", "日", "é", "\U0001d11e", "th", "ing", "▁the"]
+    for text in ("the", "nation", "zz日q", "tions", *("".join(r.choice(letters) for _ in range(r.randrange(1, 7)))[:9] for _ in range(150))):
         best = -float("inf")
         for mask in range(1 << (len(text) - 1)):
             cuts = [0, *[i + 1 for i in range(len(text) - 1) if mask >> i & 1], len(text)]
