@@ -43,8 +43,8 @@ from assaylake.llm._common import quoted, raw_text, slices, written
 #: Words and bigrams whose counts are broadcast at most (16 bytes each).
 FREQUENT = 1 << 20
 #: Bytes of text of a slice and of a bucket's share, and hashes that a task holds before it hands their counts on.
-SLICE_TEXT, BUCKET_TEXT, HELD = 32 << 20, 16 << 20, 1 << 22
-#: Bytes of text that are scored at once.
+SLICE_TEXT, BUCKET_TEXT, HELD = 32 << 20, 16 << 20, 1 << 21
+#: Bytes of text that are scored at once; twice as many are counted at once.
 WORKED = 4 << 20
 #: In place of the context: of a text's first word, and of a unigram's count.
 START, UNIGRAM = 1, 0
@@ -202,7 +202,7 @@ def tallied(marked: DataFrame, bits: int) -> DataFrame:
             rows = [(k, packed_keys(keys[x]), packed(t[x]), packed(b[x])) for k, x in by_bucket(keys, bits)]
             return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "keys", "t", "b"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * WORKED):
             texts = Texts.of(batch.column("text").to_pylist())
             target = np.array(batch.column("target").to_pylist(), dtype=bool)
             some = texts.sizes > 0
