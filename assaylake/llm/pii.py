@@ -62,7 +62,7 @@ UNLABELLED = 0.9
 TELLING = 5
 #: Digits of a card and of a phone at most: pieces that follow each other under one label are one span up to that.
 MOST = {3: 19, 4: 15}
-MIN_MARGINAL = 0.9
+MIN_MARGINAL = 0.5
 SWEEPS, SETTLED, DAMPING = 30, 1e-4, 0.3
 
 Span = tuple[int, int, int]  # kind's number in KINDS, start, end
