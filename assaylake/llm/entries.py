@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import chat_format, embed_dedup, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, topk
+from assaylake.llm import ball_clusters, chat_format, embed_dedup, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +67,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_ball_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id}
+    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id, "op11_ball_clusters": op11_ball_clusters}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE}
+    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE, "op11_ball_clusters": ball_clusters.ORACLE}
