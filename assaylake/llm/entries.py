@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import ball_clusters, chat_format, embed_dedup, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, topk
+from assaylake.llm import ball_clusters, chat_format, embed_dedup, hard_negatives, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,9 +71,14 @@ def op11_ball_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=moved, anchor_every=100, positives=5, negatives=5, scale=256)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id, "op11_ball_clusters": op11_ball_clusters}
+    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id, "op11_ball_clusters": op11_ball_clusters, "op12_hard_negatives": op12_hard_negatives}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE, "op11_ball_clusters": ball_clusters.ORACLE}
+    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE, "op11_ball_clusters": ball_clusters.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
