@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import ball_clusters, chat_format, embed_dedup, hard_negatives, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, topk
+from assaylake.llm import ball_clusters, chat_format, embed_dedup, hard_negatives, lang_id, line_dedup, lm_score, packing, pii, sentencepieces, simhash, suffix_leaks, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,9 +76,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=moved, anchor_every=100, positives=5, negatives=5, scale=256)
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_leaks.digest(suffix_leaks.overlaps(docs, table(spark, sf_dir, "benchmark"), window=10, keep_text=False))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id, "op11_ball_clusters": op11_ball_clusters, "op12_hard_negatives": op12_hard_negatives}
+    return {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_pii": op3_pii, "op4_chat_format": op4_chat_format, "op5_simhash": op5_simhash, "op6_line_dedup": op6_line_dedup, "op7_lm_score": op7_lm_score, "op8_topk": op8_topk, "op9_embed_dedup": op9_embed_dedup, "op10_language_id": op10_language_id, "op11_ball_clusters": op11_ball_clusters, "op12_hard_negatives": op12_hard_negatives, "op13_decontaminate": op13_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE, "op11_ball_clusters": ball_clusters.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
+    return {"op4_chat_format": chat_format.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE, "op9_embed_dedup": embed_dedup.ORACLE, "op11_ball_clusters": ball_clusters.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE, "op13_decontaminate": suffix_leaks.ORACLE}
