@@ -45,18 +45,19 @@ def members(v: Column) -> Column:
 def opened(rows: DataFrame) -> DataFrame:
     """`rows` with a variant `v`, its `path` and `kinds`: one row for each leaf, with its text `json` in place of v."""
     others = [c for c in rows.columns if c not in ("v", "path", "kinds")]
+    rows = rows.withColumn("json", F.lit(None).cast("string"))
     while True:
         for _ in range(LEVELS):
-            rows = rows.select(*others, "path", "kinds", "v", F.explode_outer(members(F.col("v"))).alias("m"))
-            inner = F.col("m").isNotNull()
+            inner, v = F.col("m").isNotNull(), F.col("v")
+            rows = rows.select(*others, "path", "kinds", "v", "json", F.explode_outer(members(v)).alias("m"))
             rows = rows.select(
                 *others, F.when(inner, F.concat("path", F.array("m.token"))).otherwise(F.col("path")).alias("path"), F.when(inner, F.concat("kinds", "m.kind")).otherwise(F.col("kinds")).alias("kinds"),
-                F.when(inner, F.col("m.v")).otherwise(F.col("v")).alias("v"),
+                F.when(inner, F.col("m.v")).alias("v"), F.when(~inner & v.isNotNull(), F.to_json("v")).otherwise(F.col("json")).alias("json"),
             )
-        rows = written(rows.select(*others, "path", "kinds", F.to_json("v").alias("json")))
+        rows = written(rows.select(*others, "path", "kinds", F.coalesce("json", F.to_json("v")).alias("json")))
         if rows.where(is_open("json")).isEmpty():
             return rows
-        rows = rows.withColumn("v", F.try_parse_json("json")).drop("json")
+        rows = rows.withColumn("v", F.when(is_open("json"), F.try_parse_json("json"))).withColumn("json", F.when(F.col("v").isNull(), F.col("json")))
 
 
 def is_open(json: str) -> Column:

@@ -141,18 +141,39 @@ def signed_cells(cells: DataFrame, table: str = "table_id") -> DataFrame:
 
 
 def longest_non_increasing(y: list[float], tolerance: float) -> list[int]:
-    """Places of the longest path whose values never rise by more than the tolerance over the one before; ties go to the first found."""
-    values, best, back = np.asarray(y, dtype=float), np.ones(len(y), dtype=np.int64), np.full(len(y), -1)
-    for i in range(1, len(y)):
-        able = np.where(values[i] <= values[:i] + tolerance, best[:i], 0)
-        first = int(able.argmax())
-        if able[first]:
-            best[i], back[i] = able[first] + 1, first
-    at = int(best.argmax()) if len(y) else -1
+    """Places of the longest path whose values never rise by more than the tolerance over the one before; ties go to the first found.
+
+    A tree of prefix maxima over the values in falling order holds, for each place passed, its length and how early it came; one lookup finds the best
+    place before, so a group costs n log n. Values that are no numbers are on no path.
+    """
+    values = np.asarray(y, dtype=float)
+    known = np.flatnonzero(~np.isnan(values))
+    falling, n = -values[known], len(known)
+    levels = np.unique(falling)
+    own = (np.searchsorted(levels, falling) + 1).tolist()
+    reach = np.searchsorted(-(tolerance - levels), falling, side="right").tolist()  # values to which the tolerance may be added to reach this one
+    tree, back, size = [0] * (len(levels) + 1), [-1] * n, len(levels) + 1
+    best, end = 0, -1
+    for i in range(n):
+        at, first = reach[i], 0
+        while at:
+            if tree[at] > first:
+                first = tree[at]
+            at &= at - 1
+        length, early = divmod(first, n) if first else (0, 0)
+        if length:
+            back[i] = n - 1 - early
+        length += 1
+        if length > best:
+            best, end = length, i
+        here, at = length * n + n - 1 - i, own[i]
+        while at < size and tree[at] < here:
+            tree[at] = here
+            at += at & -at
     path = []
-    while at >= 0:
-        path.append(at)
-        at = back[at]
+    while end >= 0:
+        path.append(int(known[end]))
+        end = back[end]
     return path[::-1]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions import display, json_paths, text, transforms
-from assaylake.operators import cells, control, merging, projection, relations, scoring, windows
+from assaylake.operators import cells, control, json_trees, merging, projection, relations, scoring, windows
 from assaylake.plans.registry import query, table
 from assaylake.sources import fetch, markers, pages
 
@@ -270,3 +270,45 @@ def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     receipts = rows.where("kind < 2").withColumn("status", F.when(F.col("kind") == 0, "OK").otherwise("TERMINAL_FAILURE"))
     got = fetch.request_plan(rows.select("place", "url_sha256", "contract"), receipts, rows.where("kind = 2"), F.lit("2024-02-14 00:00:00").cast("timestamp"), 72, 50 << 20, 1 << 10)
     return got.select(F.col("place").alias("event_id"), "source")
+
+
+def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested text for each order, its names in no order."""
+    line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"), F.when(F.col("l_quantity") < 10, F.array(F.lit("small"))).otherwise(F.array()).alias("tags"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    head = F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_custkey").alias("cust"), F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")).alias("rank")).alias("key"))
+    body = F.struct(head.alias("order"), F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType)).alias("lines"))
+    return orders.select("o_orderkey", "o_custkey", "o_orderstatus", "lines", F.to_json(body, {"ignoreNullFields": "false", "pretty": "true"}).alias("text"))
+
+
+ORDER_TEXTS = """
+l AS (SELECT l_orderkey, string_agg('{"flag":"' || l_returnflag || '","n":' || l_linenumber || {NOTE} || ',"part":' || l_partkey || ',"tags":[' || CASE WHEN l_quantity < 10 THEN '"small"' ELSE '' END || ']}', ',' ORDER BY l_linenumber, l_partkey, l_returnflag, l_quantity < 10) AS lines FROM lineitem GROUP BY l_orderkey),
+t AS (SELECT o_orderkey, o_custkey, o_orderstatus, '"lines":[' || coalesce(lines, '') || '],"order":{"key":{"cust":' || o_custkey || ',"rank":' || CASE WHEN o_orderstatus = 'P' THEN '"' || o_orderpriority || '"' ELSE 'null' END || '},"status":"' || o_orderstatus || '"}' AS body
+  FROM orders LEFT JOIN l ON l_orderkey = o_orderkey)
+"""
+
+
+@query("WITH " + ORDER_TEXTS.replace("{NOTE}", "''") + "SELECT CAST(o_orderkey AS VARCHAR) AS record_key, '{' || body || '}' AS json FROM t")
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return json_trees.rebuilt(json_trees.leaves(order_texts(spark, sf_dir), "o_orderkey", "text"))
+
+
+NOTE = """CASE WHEN l_returnflag = 'R' THEN ',"note":{"late":true}' ELSE '' END"""
+
+
+@query("WITH " + ORDER_TEXTS.replace("{NOTE}", NOTE) + """
+SELECT CAST(o_orderkey AS VARCHAR) AS record_key, CASE WHEN o_custkey % 10 <> 0 THEN '{' || CASE WHEN o_orderstatus = 'P' THEN '"audit":{"by":[null,{"user":' || o_custkey || '}]},' ELSE '' END || body || '}' END AS json,
+  CASE WHEN o_custkey % 10 = 0 THEN 'scalar_parent /order/status' ELSE '' END AS defects
+FROM t
+""")
+def json_set_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late lines get a note, open orders a list that is not there yet; some orders are asked for what cannot be."""
+    texts = order_texts(spark, sf_dir)
+    edit = lambda pointer, value: (F.col("key").cast("string").alias("record_key"), pointer.alias("pointer"), value.alias("value"))
+    keyed = texts.withColumn("key", F.col("o_orderkey"))
+    late = keyed.select("key", F.posexplode("lines").alias("place", "line")).where("line.flag = 'R'").select(*edit(F.concat(F.lit("/lines/"), "place", F.lit("/note")), F.lit('{"late": true}')))
+    opened = keyed.where("o_orderstatus = 'P'").select(*edit(F.lit("/audit/by/1/user"), F.col("o_custkey").cast("string")))
+    wrong = keyed.where("o_custkey % 10 = 0").select(*edit(F.lit("/order/status/x"), F.lit("1")))
+    found = json_trees.set_pointers(texts, "o_orderkey", "text", late.unionByName(opened).unionByName(wrong))
+    return found.withColumn("defects", F.array_join("defects", ","))
