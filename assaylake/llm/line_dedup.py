@@ -256,8 +256,9 @@ class LineIndex:
         places = self.places[name]
         return self.spark.read.schema(self.schemas[name]).parquet(*places) if places else self.spark.createDataFrame([], self.schemas[name])
 
-    def _commit(self, added: DataFrame | None = None, **tables: DataFrame) -> None:
-        """Writes tables in place of the old ones, and `added` to the postings."""
+    def _commit(self, added: DataFrame | None = None, bits: int | None = None, **tables: DataFrame) -> None:
+        """Writes tables in place of the old ones, and `added` to the postings; until the last write is done this object stays as it was."""
+        bits = self.bits if bits is None else bits
         now, at = dict(self.places), self.generation + 1
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(self._at(at, name))  # what is there was never committed
@@ -266,9 +267,9 @@ class LineIndex:
             added.write.mode("overwrite").parquet(self._at(at, "postings"))
             now["postings"] = [*now["postings"], self._at(at, "postings")]
         id_type = self.schemas["postings"].rpartition(" ")[2]
-        row = (self.bits, self.min_chars, id_type, *(now[k] for k in self.schemas))
+        row = (bits, self.min_chars, id_type, *(now[k] for k in self.schemas))
         self.spark.createDataFrame([row], "bits int, min_chars int, id_type string, " + ", ".join(f"{k} array<string>" for k in self.schemas)).coalesce(1).write.mode("overwrite").parquet(self._at(at, "commit"))
-        self.generation, self.places = at, now
+        self.generation, self.places, self.bits = at, now, bits
 
     def _maybe(self, keys: DataFrame) -> DataFrame:
         """Distinct (hi, lo) keys with `maybe`: whether their shard's filter may hold them.
@@ -289,12 +290,12 @@ class LineIndex:
         filters = self.table("filters").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).groupBy("shard", "part")
         return own.cogroup(filters).applyInPandas(look, "hi long, lo long, maybe boolean")
 
-    def _filters(self, counts: DataFrame, new: DataFrame) -> DataFrame:
-        """The filters of all counted keys, of which `new` are not in the filters yet."""
+    def _filters(self, counts: DataFrame, new: DataFrame) -> tuple[int, DataFrame]:
+        """The bits of shards and the filters of all counted keys, of which `new` are not in the filters yet."""
         n = counts.count()
         if n > 4 * SHARD_KEYS << self.bits or not self.places["filters"]:
-            self.bits = max(self.bits, shard_bits(n))
-            return build_filters(counts, self.bits)
+            bits = max(self.bits, shard_bits(n))
+            return bits, build_filters(counts, bits)
 
         def grow(filters: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             if not len(own):
@@ -314,7 +315,7 @@ class LineIndex:
         grown = written(self.table("filters").groupBy("shard").cogroup(fresh).applyInPandas(grow, self.schemas["filters"]))
         full = grown.where("filter IS NULL").select(F.col("shard").alias("full"))
         again = counts.join(F.broadcast(full), shard_of(self.bits) == F.col("full"), "left_semi")  # as many rows as there are shards at most
-        return grown.where("filter IS NOT NULL").unionByName(build_filters(again, self.bits, SHARD_KEYS // 2))
+        return self.bits, grown.where("filter IS NOT NULL").unionByName(build_filters(again, self.bits, SHARD_KEYS // 2))
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Adds documents; an id that is there already gets the new keys besides its old ones, and nothing twice."""
@@ -326,7 +327,8 @@ class LineIndex:
         old = self.table("counts")
         counts = written(old.join(added, ["hi", "lo"], "full").select("hi", "lo", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last", "newest").alias("last")))
         unseen = added.select("hi", "lo").join(old, ["hi", "lo"], "left_anti")
-        self._commit(added=fresh, counts=counts, filters=self._filters(counts, unseen))
+        bits, filters = self._filters(counts, unseen)
+        self._commit(added=fresh, bits=bits, counts=counts, filters=filters)
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> None:
         """Takes documents out; counts of their keys are taken anew from the postings that stay."""

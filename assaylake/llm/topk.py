@@ -100,10 +100,11 @@ def merge(best: list[tuple[int, int]], scores: np.ndarray, ids: np.ndarray, own:
     scores, ids = scores[good], ids[good]
     if len(scores) > 4 * k:  # repeated ids may stand among the first k
         distinct, where = np.unique(ids, return_inverse=True)
-        top = np.full(len(distinct), np.iinfo(np.int64).min)
-        np.maximum.at(top, where, scores.astype(np.int64))
-        first = np.lexsort((distinct, -top))[:k]
-        scores, ids = top[first], distinct[first]
+        rising, top = np.argsort(scores, kind="stable"), np.empty(len(distinct), dtype=np.int64)
+        top[where[rising]] = rising  # an id's last entry has its best score
+        rank = np.unique(scores[top], return_inverse=True)[1]
+        first = np.lexsort((distinct, -rank))[:k]
+        scores, ids = scores[top[first]], distinct[first]
     found: dict[int, int] = {}
     for s, i in [*best, *zip([-int(x) for x in scores.tolist()], ids.tolist(), strict=True)]:
         found[i] = min(s, found.get(i, s))

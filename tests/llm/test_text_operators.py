@@ -521,6 +521,22 @@ def held(index):
     return sorted(map(tuple, index.table("counts").select("hi", "lo", "n_docs", "last").collect()))
 
 
+def test_line_index_after_a_failed_commit(spark, tmp_path, monkeypatch):
+    """A write that fails leaves the open index as it was: what is inserted again counts once."""
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 4)
+    say = lambda a, b: spark.createDataFrame([(i, "\n".join(f"a line of document {i} with number {k}" for k in range(8))) for i in range(a, b)], "doc_id long, text string")
+    index = line_dedup.LineIndex(spark, str(tmp_path / "i"), min_chars=20)
+    index.insert(say(0, 1))
+    real = spark.createDataFrame
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", lambda self, *a, **b: (_ for _ in ()).throw(OSError("no room")) if "bits int" in str(a[1:]) else real(*a, **b))
+        with pytest.raises(OSError):
+            index.insert(say(1, 60))  # many keys: more shards
+    index.insert(say(0, 1))
+    counts = index.table("counts").collect()
+    assert len(counts) == 8 and {r["n_docs"] for r in counts} == {1} and index.table("postings").count() == 8
+
+
 def test_line_index_is_durable(spark, tmp_path):
     docs = shared_lines(30)
     table = lambda part: spark.createDataFrame(part, "doc_id long, text string")

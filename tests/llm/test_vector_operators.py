@@ -70,6 +70,19 @@ def test_large_components(spark, monkeypatch, limit):
     assert [(r["vec_id"], r["score"]) for r in got] == [(i, max(~most, min(most, -s))) for s, i in want]
 
 
+@pytest.mark.parametrize("n", [60, 300])
+def test_large_components_in_a_full_block(spark, n):
+    """More candidates at once than are kept: their scores are no longs."""
+    rows = spark.createDataFrame([(i, [1e200 * (i % 7 - 3), 1e199 * (i % 11), 1.0]) for i in range(n)], "vec_id long, embedding array<double>").coalesce(1)
+    got = [(r["query_id"], r["rank"], r["vec_id"]) for r in topk.top_k(rows).orderBy("query_id", "rank").collect()]
+    grid = {r["vec_id"]: [int(c) * 256 for c in r["embedding"]] for r in rows.collect()}
+    want = []
+    for q in range(0, n, 50):
+        best = sorted((-sum(a * b for a, b in zip(grid[q], v)), i) for i, v in grid.items() if i != q)[:5]
+        want += [(q, k + 1, i) for k, (_, i) in enumerate(best)]
+    assert got == want
+
+
 def grouped(ids, x, labels, limit):
     u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
     near = (u @ u.T >= limit) & (labels[:, None] == labels[None, :])
