@@ -201,12 +201,16 @@ def tick_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("l_suppkey", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"), F.round("residual", 2).alias("residual"))
 
 
-FACTS = ["12 MPa", "12; 14 MPa", "3 and 4 d", "1 to 2", "1.5 and none", "7, 8 respectively", "", "a 1 b 2"]
-
-
-@query("SELECT * FROM (VALUES ('12 MPa', false), ('12; 14 MPa', true), ('3 and 4 d', true), ('1 to 2', false), ('1.5 and none', false), ('7, 8 respectively', true), ('', false), ('a 1 b 2', false)) AS t(fact, multiple)")
+@query(r"""
+WITH f AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) || CASE WHEN l_discount < 0.03 THEN ' and ' WHEN l_discount < 0.06 THEN '; ' ELSE ' MPa, ' END || CASE WHEN l_tax < 0.04 THEN CAST(l_partkey AS VARCHAR) ELSE l_returnflag END || CASE WHEN l_shipdate < TIMESTAMP '1995-01-01' THEN ' respectively' ELSE ' h' END AS fact FROM lineitem)
+SELECT l_orderkey, l_linenumber, fact, len(regexp_extract_all(fact, '[0-9]+')) > 1 AND regexp_matches(fact, ';|\band\b|\brespectively\b') AS multiple FROM f
+""")
 def multi_value_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in FACTS], "fact string").select("fact", text.multiple_values(F.col("fact")).alias("multiple"))
+    join = F.when(F.col("l_discount") < 0.03, " and ").when(F.col("l_discount") < 0.06, "; ").otherwise(" MPa, ")
+    second = F.when(F.col("l_tax") < 0.04, F.col("l_partkey").cast("string")).otherwise(F.col("l_returnflag"))
+    fact = F.concat(F.col("l_quantity").cast("long"), join, second, F.when(F.col("l_shipdate") < "1995-01-01", " respectively").otherwise(" h"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", fact.alias("fact"))
+    return rows.withColumn("multiple", text.multiple_values(F.col("fact")))
 
 
 @query("SELECT doc_id, CASE WHEN toxic = 1 THEN 'blocked' WHEN quality = 1 THEN 'formal' WHEN quality = 0 THEN 'candidate' ELSE 'unknown' END AS source_code FROM labels")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +11,15 @@ LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, a temporary folder for a session of one machine, and an error on a cluster."""
+    """spark.checkpoint.dir; where it is unset, a folder in the warehouse for a session of one machine (deleted at its end), and an error on a cluster."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or LOCAL.get(context.applicationId)
     if not named:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        named = LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="assaylake-")
+        named = LOCAL[context.applicationId] = f"{spark.conf.get('spark.sql.warehouse.dir')}/_{context.applicationId}"
+        where = context._jvm.org.apache.hadoop.fs.Path(named)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(where)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
