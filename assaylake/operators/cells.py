@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,61 +30,83 @@ def one_table(captions: DataFrame, cells: DataFrame, caption_pattern: str, known
     return fit.select("document", "table_id", F.when(n == 1, "SELECTED").otherwise("AMBIGUOUS").alias("status"))
 
 
-def normal(text: object) -> str:
-    return " ".join(str(text or "").casefold().split())
-
-
-def anchor_cells(rows: list[dict], ids: list[str], label: str) -> list[str] | None:
-    """Cells of one table that an anchor means: all its ids if they exist, else the label as one cell, as a run in a row, as fragments down
-    the table, or at last as part of a cell. Of several, the nearest to the place that the first id names, then the first in reading order."""
-    by_id = {r["id"]: r for r in rows}
-    if ids and all(i in by_id for i in ids):
-        return ids
-    wanted = normal(label)
-    if not wanted:
-        return None
-    order = sorted(rows, key=lambda r: (r["row"], r["column"]))
-    texts = [normal(r["text"]) for r in order]
-    runs: list[list[dict]] = [[r] for r, t in zip(order, texts, strict=True) if t == wanted]
-    held = [by_id[i] for i in ids if i in by_id]
-    if len(held) > 1 and normal(" ".join(str(r["text"]) for r in held)) == wanted:
-        runs.append(held)
-    for start in range(len(order)):
-        whole, run = "", []
-        for r, t in zip(order[start:], texts[start:], strict=True):  # neighbours in one row
-            if r["row"] != order[start]["row"] or len(whole) > len(wanted):
-                break
-            whole, run = f"{whole} {t}".strip(), [*run, r]
-            if whole == wanted and len(run) > 1:
-                runs.append(run)
-        rest, run = wanted, []
-        for r, t in zip(order[start:], texts[start:], strict=True):  # fragments with other cells between them
-            if t and (rest == t or rest.startswith(t + " ")):
-                run, rest = [*run, r], rest[len(t) :].lstrip()
-                if not rest:
-                    if len({x["row"] for x in run}) > 1:
-                        runs.append(run)
-                    break
-            elif not run:
-                break
-    runs = runs or [[r] for r, t in zip(order, texts, strict=True) if wanted in t]
-    if not runs:
-        return None
-    place = next(((int(p[1]), int(p[2])) for p in (i.split(":") for i in ids) if len(p) == 3 and p[1].isdigit() and p[2].isdigit()), None)
-    away = lambda r: abs(r["row"] - place[0]) + abs(r["column"] - place[1]) if place else 0
-    return [r["id"] for r in min(runs, key=lambda run: (away(run[0]), run[0]["row"], run[0]["column"]))]
+def cell_runs(cells: DataFrame, line: list[str], text: Column, what: Column, between: str) -> DataFrame:
+    """(line, run, line): the index of each line of cells: its cells from the left with the offsets lo to hi of their text, and the line's whole text.
 
+    Empty cells take no room. A piece of the line is a run of whole cells if it begins at a lo and ends at a hi.
+    """
+    said = cells.select(*line, "column", text.alias("_t"), what.alias("what")).withColumn("_n", F.length("_t") + F.when(F.col("_t") != "", len(between)).otherwise(0))
+    order = Window.partitionBy(*line).orderBy("column").rowsBetween(Window.unboundedPreceding, 0)
+    placed = said.withColumn("_end", F.sum("_n").over(order).cast("int"))
+    cell = F.struct("column", (F.col("_end") - F.col("_n")).cast("int").alias("lo"), (F.col("_end") - F.col("_n") + F.length("_t")).cast("int").alias("hi"), "what", F.col("_t").alias("t"))
+    got = placed.groupBy(*line).agg(F.sort_array(F.collect_list(cell)).alias("run"))
+    return got.withColumn("line", F.array_join(F.filter(F.transform("run", lambda c: c["t"]), lambda t: t != ""), between))
 
-def resolve_anchors(cells: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(table_id, anchor, ids, status) for anchors (table_id, anchor, ids array, label): one table at a time, as the rules look at its whole grid."""
 
-    def run(key: tuple, table: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        rows = table.to_dict("records")
-        found = [anchor_cells(rows, list(i) if i is not None else [], label or "") for i, label in zip(asked["ids"], asked["label"], strict=True)]
-        return pd.DataFrame({"table_id": key[0], "anchor": asked["anchor"], "ids": found, "status": ["RESOLVED" if f else "NOT_FOUND" for f in found]})
+#: How an id names its table, row and column.
+CELL_ID = r"^[^:]*:\d+:\d+$"
+
+
+def normal_text(text: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"(?U)\s+", " ")))
+
 
-    kinds = anchors.schema["table_id"].dataType.simpleString(), anchors.schema["anchor"].dataType.simpleString()
-    return cells.groupBy("table_id").cogroup(anchors.groupBy("table_id")).applyInPandas(run, f"table_id {kinds[0]}, anchor {kinds[1]}, ids array<string>, status string")
+def resolve_anchors(cells: DataFrame, anchors: DataFrame) -> DataFrame:
+    """(table_id, anchor, ids, status) for anchors (table_id, anchor, ids array, label) on cells (table_id, id, row, column, text).
+
+    An anchor whose ids all exist means those. Otherwise its label is looked for: the ids that exist, if together they say it; one cell; whole cells of a row; cells
+    of several rows that say it one after the other with others between them. The nearest to the place that the first well-formed id names wins, then the first in
+    reading order. Only where nothing says the label, cells that contain it count. Candidates come from an index by a cell's first word, by
+    equi-join on the table and the label's first word, and are then verified; only labels found nowhere meet their table's cells.
+    """
+    own = cells.select("table_id", "id", "row", "column", normal_text(F.col("text")).alias("t"))
+    place = lambda i: F.regexp_extract_all(F.element_at(F.filter("ids", lambda x: x.rlike(CELL_ID)), 1), F.lit(r":(\d+)"), F.lit(1))[i].cast("int")
+    asked = anchors.select("table_id", "anchor", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"), normal_text(F.col("label")).alias("wanted"))
+    asked = asked.withColumns({"_row": F.when(F.exists("ids", lambda x: x.rlike(CELL_ID)), place(0)), "_column": F.when(F.exists("ids", lambda x: x.rlike(CELL_ID)), place(1)), "head": F.substring_index("wanted", " ", 1)})
+    keys = ["table_id", "anchor"]
+    named = asked.select(*keys, "wanted", F.posexplode("ids").alias("n", "id")).join(own, ["table_id", "id"])
+    have = named.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "id", "t", "row", "column"))), lambda e: F.struct(e["id"], e["t"], e["row"], e["column"])).alias("have"))
+    met = asked.join(have, keys, "left").withColumn("all", (F.size("ids") > 0) & F.coalesce(F.size("have") == F.size("ids"), F.lit(False)))
+    given = met.where("all").select(*keys, F.col("ids").alias("found"))
+    open_ = met.where(~F.col("all") & (F.col("wanted") != ""))
+    run = lambda ids, row, column: F.struct(row.cast("int").alias("row"), column.cast("int").alias("column"), ids.alias("ids"))
+    together = open_.where((F.size("have") > 1) & (F.array_join(F.transform("have", lambda e: e["t"]), " ") == F.col("wanted")))
+    told = together.select(*keys, "_row", "_column", run(F.transform("have", lambda e: e["id"]), F.col("have")[0]["row"], F.col("have")[0]["column"]).alias("r"))
+    starts = own.where("t != ''").withColumn("head", F.substring_index("t", " ", 1))
+    begun = open_.select(*keys, "_row", "_column", "wanted", "head").join(starts, ["table_id", "head"]).where("t = wanted OR startswith(wanted, concat(t, ' '))")
+    whole = begun.where("t = wanted").select(*keys, "_row", "_column", run(F.array("id"), F.col("row"), F.col("column")).alias("r"))
+    part = begun.where("t != wanted")
+    lines = cell_runs(own, ["table_id", "row"], F.col("t"), F.col("id"), " ")
+    beside = part.join(lines, ["table_id", "row"]).withColumn("_c", F.filter("run", lambda c: c["column"] == F.col("column"))[0])
+    to = F.col("_c.lo") + F.length("wanted")
+    beside = beside.where((F.substr(F.col("line"), F.col("_c.lo") + 1, F.length("wanted")) == F.col("wanted")) & F.exists("run", lambda c: (c["hi"] == to) & (c["t"] != "")))
+    in_row = beside.select(*keys, "_row", "_column", run(F.transform(F.filter("run", lambda c: (c["lo"] >= F.col("_c.lo")) & (c["hi"] <= to) & (c["t"] != "")), lambda c: c["what"]), F.col("row"), F.col("column")).alias("r"))
+    grid = own.where("t != ''").groupBy("table_id").agg(F.sort_array(F.collect_list(F.struct("row", "column", "id", "t"))).alias("grid"))
+
+    def next_cell(s: Column, c: Column) -> Column:
+        fits = (s["rest"] == c["t"]) | F.startswith(s["rest"], F.concat(c["t"], F.lit(" ")))
+        return F.when((s["rest"] != "") & fits, F.struct(F.ltrim(F.substr(s["rest"], F.length(c["t"]) + 1)).alias("rest"), F.concat(s["cells"], F.array(F.struct(c["row"], c["id"]))).alias("cells"))).otherwise(s)
+
+    later = F.filter("grid", lambda c: (c["row"] > F.col("row")) | ((c["row"] == F.col("row")) & (c["column"] >= F.col("column"))))
+    nothing = F.struct(F.col("wanted").alias("rest"), F.array().cast(f"array<struct<row:{own.schema['row'].dataType.simpleString()},id:{own.schema['id'].dataType.simpleString()}>>").alias("cells"))
+    chained = part.join(grid, "table_id").withColumn("s", F.aggregate(later, nothing, next_cell)).where((F.col("s.rest") == "") & (F.size(F.array_distinct(F.transform("s.cells", lambda c: c["row"]))) > 1))
+    down = chained.select(*keys, "_row", "_column", run(F.transform("s.cells", lambda c: c["id"]), F.col("row"), F.col("column")).alias("r"))
+    said = told.unionByName(whole).unionByName(in_row).unionByName(down)
+    silent = open_.select(*keys, "_row", "_column", "wanted").join(said.select(*keys).distinct(), keys, "left_anti").join(own, "table_id").where("contains(t, wanted)")
+    said = said.unionByName(silent.select(*keys, "_row", "_column", run(F.array("id"), F.col("row"), F.col("column")).alias("r")))
+    away = F.coalesce(F.abs(F.col("r.row") - F.col("_row")) + F.abs(F.col("r.column") - F.col("_column")), F.lit(0))
+    best = said.groupBy(*keys).agg(F.min(F.struct(away.alias("away"), "r")).alias("b")).select(*keys, F.col("b.r.ids").alias("found"))
+    got = anchors.select(*keys).join(given.unionByName(best), keys, "left")
+    return got.select(*keys, F.col("found").alias("ids"), F.when(F.col("found").isNotNull(), "RESOLVED").otherwise("NOT_FOUND").alias("status"))
+
+
+def reading_places(blocks: DataFrame) -> DataFrame:
+    """`blocks` (document, page, x0, y0, x1) with their place: by page (0 if none), then what begins left of the middle of the page's boxes, then down."""
+    page = Window.partitionBy("document", F.coalesce("page", F.lit(0)))
+    middle = (F.min("x0").over(page) + F.max("x1").over(page)) / 2
+    right = F.coalesce(F.coalesce("x0", F.lit(0.0)) >= middle, F.lit(False))
+    placed = blocks.withColumn("_right", right)
+    return placed.withColumn("place", F.row_number().over(Window.partitionBy("document").orderBy(F.coalesce("page", F.lit(0)), "_right", F.coalesce("y0", F.lit(0.0)), "block"))).drop("_right")
 
 
 def reading_order(blocks: DataFrame, document: str = "document") -> DataFrame:

@@ -35,11 +35,14 @@ BLOCKS = [("d", "a", 1, 0.0, 10.0, 100.0, 20.0, "The strength was 45"), ("d", "b
 
 def test_quotes_are_located_in_tiers(spark):
     blocks = spark.createDataFrame(BLOCKS, "document string, block string, page int, x0 double, y0 double, x1 double, y1 double, text string")
-    refs = [("in", "a", "strength was 45", None), ("across", "zz", "was 45 MPa after", None), ("token", "zz", "was 45 MPa after", "MPa after"), ("pieces", "zz", "sentence that goes on over the next block", None), ("words", "zz", None, "45 MPa"), ("near", "e", "45 MPa", "MPa"), ("none", "zz", "not there", "nowhere"), ("cell", "x1", None, None)]
+    refs = [("in", "a", "strength was 45", None), ("across", "zz", "was 45 MPa after", None), ("token", "zz", "was 45 MPa after", "MPa after"), ("pieces", "zz", "sentence that goes on over the next block", None), ("words", "zz", None, "45 MPa"), ("near", "e", "45 MPa", "MPa"), ("none", "zz", "not there", "nowhere"), ("cell", "x1", None, None), ("list", "T:1:0", None, "1, 2, 3"), ("short", "T:1:1", None, "2, 3"), ("not", "T:1:0", None, "1, 2, 4"), ("lost", "T:9:9", "Flow mm", None), ("twice", "T:8:8", None, "Flow"), ("next", "zz", None, "curing a"), ("odd", "zz", "a\\Eb", None)]
     rows = spark.createDataFrame([("d", *r) for r in refs], "document string, ref string, cited string, quote string, token string")
-    cells = spark.createDataFrame([("d", "x1", 7, 0.0, 0.0, 1.0, 1.0)], "document string, cell string, page int, x0 double, y0 double, x1 double, y1 double")
-    got = {r["ref"]: (r["tier"], r["block"], r["page"]) for r in evidence.locate(rows, blocks, cells).collect()}
-    assert got == {"in": ("block", "a", 1), "across": ("document", "a", 1), "token": ("document", "b", 1), "pieces": ("pieces", "c", 2), "words": ("words", "w", 3), "near": ("document", "b", 1), "none": (None, None, None), "cell": ("cell", "x1", 7)}
+    grid = [("x", 0, 0, "x1", "5"), ("T", 1, 0, "T:1:0", "1,"), ("T", 1, 1, "T:1:1", "2,"), ("T", 1, 2, "T:1:2", "3"), ("T", 2, 0, "T:2:0", "Flow"), ("T", 2, 1, "T:2:1", "mm"), ("T", 7, 7, "T:7:7", "Flow")]
+    cells = spark.createDataFrame([("d", t, r, c, i, 7, 0.0, 0.0, 1.0, 1.0, text) for t, r, c, i, text in grid], "document string, table_id string, row int, column int, cell string, page int, x0 double, y0 double, x1 double, y1 double, text string")
+    found = evidence.locate(rows, blocks, cells).collect()
+    got = {r["ref"]: (r["tier"], r["block"], r["page"]) for r in found}
+    assert len(found) == len(rows.collect()) and {r["ref"]: r["blocks"] for r in found if r["tier"] in ("cells", "label", "words")} == {"list": ["T:1:0", "T:1:1", "T:1:2"], "short": ["T:1:1", "T:1:2"], "lost": ["T:2:0", "T:2:1"], "twice": ["T:7:7"], "words": ["w"], "next": ["b", "c"]}
+    assert got == {"in": ("block", "a", 1), "across": ("document", "a", 1), "token": ("document", "b", 1), "pieces": ("pieces", "c", 2), "words": ("words", "w", 3), "near": ("document", "b", 1), "none": (None, None, None), "cell": ("cell", "x1", 7), "list": ("cells", "T:1:0", 7), "short": ("cells", "T:1:1", 7), "not": ("cell", "T:1:0", 7), "lost": ("label", "T:2:0", 7), "twice": ("label", "T:7:7", 7), "next": ("words", "b", 1), "odd": (None, None, None)}
 
 
 def test_only_sound_fields_are_shown(spark):
