@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaylake.plans.storage import written
+
 
 def property_cells(cells: DataFrame, wanted: DataFrame) -> DataFrame:
     """(request, table_id, row, column, text, n_hits): the cell of a specimen and a property, whichever of them heads rows or columns.
@@ -57,7 +59,8 @@ def resolve_anchors(cells: DataFrame, anchors: DataFrame) -> DataFrame:
     An anchor whose ids all exist means those. Otherwise its label is looked for: the ids that exist, if together they say it; one cell; whole cells of a row; cells
     of several rows that say it one after the other with others between them. The nearest to the place that the first well-formed id names wins, then the first in
     reading order. Only where nothing says the label, cells that contain it count. Candidates come from an index by a cell's first word, by
-    equi-join on the table and the label's first word, and are then verified; only labels found nowhere meet their table's cells.
+    equi-join on the table and the label's first word, and are then verified; only labels found nowhere meet their table's cells. Candidates are written as tables while
+    the frame is built, as several rules read them.
     """
     own = cells.select("table_id", "id", "row", "column", normal_text(F.col("text")).alias("t"))
     place = lambda i: F.regexp_extract_all(F.element_at(F.filter("ids", lambda x: x.rlike(CELL_ID)), 1), F.lit(r":(\d+)"), F.lit(1))[i].cast("int")
@@ -66,14 +69,14 @@ def resolve_anchors(cells: DataFrame, anchors: DataFrame) -> DataFrame:
     keys = ["table_id", "anchor"]
     named = asked.select(*keys, "wanted", F.posexplode("ids").alias("n", "id")).join(own, ["table_id", "id"])
     have = named.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "id", "t", "row", "column"))), lambda e: F.struct(e["id"], e["t"], e["row"], e["column"])).alias("have"))
-    met = asked.join(have, keys, "left").withColumn("all", (F.size("ids") > 0) & F.coalesce(F.size("have") == F.size("ids"), F.lit(False)))
+    met = written(asked.join(have, keys, "left").withColumn("all", (F.size("ids") > 0) & F.coalesce(F.size("have") == F.size("ids"), F.lit(False))))
     given = met.where("all").select(*keys, F.col("ids").alias("found"))
     open_ = met.where(~F.col("all") & (F.col("wanted") != ""))
     run = lambda ids, row, column: F.struct(row.cast("int").alias("row"), column.cast("int").alias("column"), ids.alias("ids"))
     together = open_.where((F.size("have") > 1) & (F.array_join(F.transform("have", lambda e: e["t"]), " ") == F.col("wanted")))
     told = together.select(*keys, "_row", "_column", run(F.transform("have", lambda e: e["id"]), F.col("have")[0]["row"], F.col("have")[0]["column"]).alias("r"))
     starts = own.where("t != ''").withColumn("head", F.substring_index("t", " ", 1))
-    begun = open_.select(*keys, "_row", "_column", "wanted", "head").join(starts, ["table_id", "head"]).where("t = wanted OR startswith(wanted, concat(t, ' '))")
+    begun = written(open_.select(*keys, "_row", "_column", "wanted", "head").join(starts, ["table_id", "head"]).where("t = wanted OR startswith(wanted, concat(t, ' '))"))
     whole = begun.where("t = wanted").select(*keys, "_row", "_column", run(F.array("id"), F.col("row"), F.col("column")).alias("r"))
     part = begun.where("t != wanted")
     lines = cell_runs(own, ["table_id", "row"], F.col("t"), F.col("id"), " ")
@@ -91,7 +94,7 @@ def resolve_anchors(cells: DataFrame, anchors: DataFrame) -> DataFrame:
     nothing = F.struct(F.col("wanted").alias("rest"), F.array().cast(f"array<struct<row:{own.schema['row'].dataType.simpleString()},id:{own.schema['id'].dataType.simpleString()}>>").alias("cells"))
     chained = part.join(grid, "table_id").withColumn("s", F.aggregate(later, nothing, next_cell)).where((F.col("s.rest") == "") & (F.size(F.array_distinct(F.transform("s.cells", lambda c: c["row"]))) > 1))
     down = chained.select(*keys, "_row", "_column", run(F.transform("s.cells", lambda c: c["id"]), F.col("row"), F.col("column")).alias("r"))
-    said = told.unionByName(whole).unionByName(in_row).unionByName(down)
+    said = written(told.unionByName(whole).unionByName(in_row).unionByName(down))
     silent = open_.select(*keys, "_row", "_column", "wanted").join(said.select(*keys).distinct(), keys, "left_anti").join(own, "table_id").where("contains(t, wanted)")
     said = said.unionByName(silent.select(*keys, "_row", "_column", run(F.array("id"), F.col("row"), F.col("column")).alias("r")))
     away = F.coalesce(F.abs(F.col("r.row") - F.col("_row")) + F.abs(F.col("r.column") - F.col("_column")), F.lit(0))

@@ -364,3 +364,81 @@ def crash_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     journal = rows.where("k > 0").select("member", F.explode(points).alias("point"), F.when(F.col("k") == 6, "old").otherwise(F.col("content")).alias("content"), F.when(F.col("k") == 7, "v0").otherwise("v1").alias("config"), "sha256")
     files = rows.where("k >= 2 AND k != 5").select("member", "sha256")
     return control.after_crash(rows.select("member", "content"), journal, files, "v1").select("member", "point", "action")
+
+
+@query("""
+WITH l AS (SELECT l_suppkey AS document, l_linenumber AS page, l_orderkey * 10 + l_linenumber AS block, round(l_quantity * 7, 3) AS x0, round(l_discount * 3000, 3) AS y0, l_returnflag, l_linestatus, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 10 + l_linenumber, l_partkey, l_extendedprice) AS n FROM lineitem),
+r AS (SELECT document, page, x0, y0 FROM l WHERE n % 40 = 1),
+f AS (SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.document = l.document AND r.page = l.page AND l.x0 >= r.x0 - 2 AND l.y0 >= r.y0 - 2 AND l.x0 + 6 <= r.x0 + 92 AND l.y0 + 4 <= r.y0 + 62)),
+s AS (SELECT *, last_value(CASE WHEN l_returnflag = 'R' THEN true WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN false END IGNORE NULLS) OVER (PARTITION BY document ORDER BY n ROWS UNBOUNDED PRECEDING) AS o FROM f)
+SELECT document, block, n FROM s WHERE o OR l_returnflag = 'A'
+""")
+def reading_scope_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as small boxes on a supplier's pages; every fortieth is also the corner of a table."""
+    from pyspark.sql import Window
+
+    from assaylake.operators import facts
+
+    block = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(Window.partitionBy("l_suppkey").orderBy(block, "l_partkey", "l_extendedprice")))
+    x, y = F.round(F.col("l_quantity") * 7, 3), F.round(F.col("l_discount") * 3000, 3)
+    blocks = rows.select(F.col("l_suppkey").alias("document"), F.col("l_linenumber").alias("page"), block.alias("block"), x.alias("x0"), y.alias("y0"), (x + 6).alias("x1"), (y + 4).alias("y1"), "l_returnflag", "l_linestatus", "n")
+    regions = blocks.where("n % 40 = 1").select("document", "page", "x0", "y0", (F.col("x0") + 90).alias("x1"), (F.col("y0") + 60).alias("y1"))
+    flag = F.col("l_returnflag")
+    return facts.reading_scope(blocks, regions, ["n"], flag == "R", (flag == "N") & (F.col("l_linestatus") == "O"), flag == "A").select("document", "block", "n")
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_size AS s, round(100 - p_size - CASE WHEN p_partkey % 7 = 0 THEN 3 ELSE 0 END, 0)::INT AS rest, p_partkey % 3 AS shape FROM part),
+r AS (
+  SELECT k, 'aggregate' AS shape, unnest([{'role': 'material', 'snippet': 'FA-' || k, 'w0': 0, 'w1': 0}, {'role': 'crystalline', 'snippet': s || '.0', 'w0': 2, 'w1': 2}, {'role': 'amorphous', 'snippet': rest || '.0', 'w0': 6, 'w1': 6}]) AS c, CAST(s + rest AS DOUBLE) AS total, CASE WHEN s + rest = 100 THEN 'CANDIDATE' ELSE 'INCONSISTENT' END AS status FROM p WHERE shape = 0
+  UNION ALL SELECT k, 'direct', unnest([{'role': 'material', 'snippet': 'Slag S' || k, 'w0': 0, 'w1': 1}, {'role': 'value1', 'snippet': s || '.5', 'w0': 3, 'w1': 3}, {'role': 'phase1', 'snippet': 'quartz', 'w0': 5, 'w1': 5}, {'role': 'value2', 'snippet': '7', 'w0': 7, 'w1': 7}, {'role': 'phase2', 'snippet': 'mullite', 'w0': 9, 'w1': 9}]), NULL, 'CANDIDATE' FROM p WHERE shape = 1
+  UNION ALL SELECT k, 'single_amorphous', unnest([{'role': 'material', 'snippet': 'GBS' || k, 'w0': 3, 'w1': 3}, {'role': 'qualifier', 'snippet': 'about', 'w0': 5, 'w1': 5}, {'role': 'value', 'snippet': CAST(s AS VARCHAR), 'w0': 6, 'w1': 6}]), NULL, 'CANDIDATE' FROM p WHERE shape = 2
+)
+SELECT k AS document, 1 AS page, shape, 1 AS fact, c.role AS role, c.snippet AS snippet, 20.0 * (c.w0 + 1) AS x0, 10.0 AS y0, 20.0 * (c.w1 + 1) + 15 AS x1, 18.0 AS y1, total, status FROM r
+""")
+def phase_fact_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each part: a word, a sentence about its phases in one of three shapes, and more words; a box for each word."""
+    from assaylake.operators import facts
+
+    k, s = F.col("p_partkey"), F.col("p_size")
+    rest = F.lit(100) - s - F.when(k % 7 == 0, 3).otherwise(0)
+    said = F.when(k % 3 == 0, F.concat(F.lit("FA-"), k, F.lit(" contained "), s, F.lit(".0 % crystalline and "), rest, F.lit(".0 wt.% amorphous phases.")))
+    said = said.when(k % 3 == 1, F.concat(F.lit("Slag S"), k, F.lit(" contained "), s, F.lit(".5 wt.% quartz and 7 % mullite in all"))).otherwise(F.concat(F.lit("Amorphous content of GBS"), k, F.lit(" was about "), s, F.lit("% there")))
+    words = table(spark, sf_dir, "part").select(k.alias("document"), F.lit(1).alias("page"), F.posexplode(F.split(F.concat(F.lit("then "), said, F.lit(" as 12 % of them said")), " ")).alias("place", "text"))
+    x = 20.0 * F.col("place")
+    found = facts.phase_facts(words.withColumns({"x0": x, "y0": F.lit(10.0), "x1": x + 15, "y1": F.lit(18.0)}))
+    return found.select("document", "page", "shape", "fact", "role", "snippet", "x0", "y0", "x1", "y1", "total", "status")
+
+
+@query("""
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS r FROM lineitem),
+a AS (SELECT l_orderkey AS k, 'list' AS kind, CAST(r AS VARCHAR) AS n, 'cells' AS tier, 't' || l_orderkey || ':' || r || ':1' AS block, 't' || l_orderkey || ':' || r || ':1|t' || l_orderkey || ':' || r || ':2' AS blocks FROM l WHERE l_returnflag <> 'A'),
+b AS (SELECT l_orderkey, 'one', CAST(r AS VARCHAR), 'cell', 't' || l_orderkey || ':' || r || ':0', 't' || l_orderkey || ':' || r || ':0' FROM l WHERE l_returnflag = 'A'),
+c AS (SELECT l_orderkey, 'lost', '0', 'label', 't' || l_orderkey || ':' || max(r) || ':3', 't' || l_orderkey || ':' || max(r) || ':3|t' || l_orderkey || ':' || max(r) || ':4' FROM l GROUP BY l_orderkey),
+d AS (SELECT o_orderkey, 'none', '0', NULL, NULL, NULL FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM l))
+SELECT CAST(k AS VARCHAR) AS document, kind || n AS ref, tier, block, blocks FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c UNION ALL SELECT * FROM d)
+""")
+def evidence_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tables with a row a line: tokens printed over two cells, cited cells, cells that are lost but named by their label, and labels that nothing says."""
+    from pyspark.sql import Window
+
+    from assaylake.plans.storage import written
+
+    key, r = F.col("l_orderkey"), F.col("r")
+    rows = table(spark, sf_dir, "lineitem").withColumn("r", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")))
+    text = F.array(F.col("l_returnflag"), F.concat(F.col("l_partkey"), F.lit(",")), F.col("l_suppkey").cast("string"), F.lit("Ship mode"), F.lit("by rail"))
+    name = lambda c: F.concat(F.lit("t"), key, F.lit(":"), r, F.lit(":"), c)
+    grid = rows.select(key, r, F.posexplode(text).alias("c", "text"))
+    cells = grid.select(key.alias("document"), F.concat(F.lit("t"), key).alias("table_id"), r.alias("row"), F.col("c").alias("column"), name(F.col("c")).alias("cell"), F.lit(1).alias("page"), *[F.lit(0.0).alias(c) for c in ("x0", "y0", "x1", "y1")], "text")
+    none = F.lit(None).cast("string")
+    ref = lambda kind, n, cited, quote, token: (key.alias("document"), F.concat(F.lit(kind), n).alias("ref"), cited.alias("cited"), quote.alias("quote"), token.alias("token"))
+    listed = rows.where("l_returnflag != 'A'").select(*ref("list", r, name(F.lit(1)), none, F.concat(F.col("l_partkey"), F.lit(", "), F.col("l_suppkey"))))
+    one = rows.where("l_returnflag = 'A'").select(*ref("one", r, name(F.lit(0)), none, none))
+    orders = rows.select(key).distinct()
+    away = lambda c: F.concat(F.lit("t"), key, F.lit(f":99:{c}"))
+    lost = orders.select(*ref("lost", F.lit("0"), away(3), F.lit("ship  MODE by rail"), none))
+    nothing = orders.select(*ref("none", F.lit("0"), away(0), F.lit("by sea"), none))
+    blocks = orders.select(key.alias("document"), F.lit("b").alias("block"), F.lit(1).alias("page"), *[F.lit(None).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")], F.lit("no such words").alias("text"))
+    found = evidence.locate(written(listed.unionByName(one).unionByName(lost).unionByName(nothing)), blocks, written(cells))
+    return found.select("document", "ref", "tier", "block", F.array_join("blocks", "|").alias("blocks"))
