@@ -1,19 +1,16 @@
 """Review: two layers of records paired with each other, and what may be shown.
 
-Pairing works within a record (a mix, a paper), whose items are few; the picks are sequential by
-definition, since an item that is taken is gone for the next. Records meet by cogroup, never by pairs.
+Pairing goes by tiers of keys within a record (a mix, a paper): each tier is one equi-join of what the tiers before it have left free, with counts
+that tell what is unique. Nothing is paired row by row.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaylake.functions.text import fold
+from assaylake.functions.text import coded_composition, fold
+from assaylake.plans.storage import written
 
 #: Names of one meaning.
 LABELS = {"na2sio3percent": "na2sio3", "watertobinder": "wb", "waterbinder": "wb", "silicatemodulus": "ms", "h2o2masspercent": "h2o2", "spcmasspercent": "spc", "x2otosio2": "x2osio2", "h2otox2o": "h2ox2o"}
@@ -50,132 +47,127 @@ def pair_materials(left: DataFrame, right: DataFrame, record: str, left_id: str,
     return pairs.unionByName(rest.select(record, F.lit(None).cast(left.schema[left_id].dataType).alias("left_id"), "right_id"))
 
 
-def equal_values(a: str | None, b: str | None) -> bool:
-    """Numbers within 1e-9, else equal texts; an unknown value equals only another one."""
-    if a is None or b is None:
-        return a is None and b is None
-    try:
-        return math.isclose(float(a), float(b), rel_tol=0.0, abs_tol=1e-9)
-    except ValueError:
-        return a.strip() == b.strip()
-
-
-Item = tuple[str, str | None, str | None]  # label key, value, unit key
-
-
-def pair_items(left: Iterable[Item], right: Iterable[Item]) -> list[tuple[int, int | None, str | None]]:
-    """(place, place on the right or none, error) for each left item in order: by label, then value, then unit; a taken item is gone."""
-    free = dict(enumerate(right))
-    out = []
-    for place, (label, value, unit) in enumerate(left):
-        called = [i for i, x in free.items() if x[0] == label]
-        equal = [i for i in called if equal_values(free[i][1], value)]
-        united = [i for i in equal if free[i][2] == unit]
-        hit, error = None, None
-        if len(equal) == 1 or len(united) == 1:
-            hit = equal[0] if len(equal) == 1 else united[0]
-        elif equal:
-            error = "AMBIGUOUS"
-        elif called and value is not None:
-            error = "CONFLICT"
-        elif len(called) == 1:
-            hit = called[0]
-        free.pop(hit, None)
-        out.append((place, hit, error))
-    return out
-
-
-def pair_parameters(left: DataFrame, right: DataFrame, record: str, order: str, label: str, value: str, unit: str) -> DataFrame:
-    """(record, left_order, right_order, error): parameters of one record paired; unpaired right ones have no left_order."""
-    keyed = lambda rows: rows.select(record, F.col(order).alias("o"), label_key(F.col(label)).alias("l"), F.col(value).cast("string").alias("v"), label_key(F.col(unit)).alias("u"))
-    kind = left.schema[order].dataType.simpleString()
-
-    def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = (x.sort_values("o", kind="stable") for x in (a, b))
-        items = lambda x: [(r.l, None if pd.isna(r.v) else r.v, r.u) for r in x.itertuples()]
-        got = pair_items(items(a), items(b))
-        taken = {hit for _, hit, _ in got}
-        rows = [(key[0], a["o"].iloc[i], None if hit is None else b["o"].iloc[hit], error) for i, hit, error in got]
-        rows += [(key[0], None, o, None) for i, o in enumerate(b["o"]) if i not in taken]
-        return pd.DataFrame(rows, columns=[record, "left_order", "right_order", "error"]).astype({"left_order": object, "right_order": object})
-
-    return keyed(left).groupBy(record).cogroup(keyed(right).groupBy(record)).applyInPandas(run, f"{record} {left.schema[record].dataType.simpleString()}, left_order {kind}, right_order {kind}, error string")
+def value_key(value: Column) -> Column:
+    """What makes two values equal: numbers to nine decimals, other texts as they are; null equals nothing."""
+    text = F.trim(value.cast("string"))
+    return F.coalesce(text.try_cast("decimal(38,9)").cast("string"), text)
 
 
-def composition_code(identity: str | None) -> tuple | None:
-    """Letters with their numbers of identities such as C70G30U0, of which C and G must be there; R is U, and U is 0 where it is left out."""
-    import re
+def paired_in_tiers(left: DataFrame, right: DataFrame, record: str, tiers: list[tuple[str, list[str], bool]]) -> tuple[DataFrame, DataFrame]:
+    """(record, left_id, right_id, tier) and (record, left_id, error): rows paired by one key after another, each by an equi-join on what is still free.
 
-    found = re.findall(r"([A-Za-z]+)([-+]?\d+(?:\.\d+)?)", (identity or "").strip())
-    if not found or "".join(a + n for a, n in found).lower() != re.sub(r"[^A-Za-z0-9.+-]", "", identity or "").lower():
-        return None
-    shares = {"U": 0.0} | {"U" if a.upper() == "R" else a.upper(): float(n) for a, n in found}
-    return tuple(sorted(shares.items())) if shares.keys() >= {"C", "G"} else None
+    left: record, left_id, keys; right: record, right_id, keys, with a row for each key a right row can be known by. In a tier (name, keys, alarm) a right row that alone has its keys
+    goes to the first left row with the same; several are an AMBIGUOUS error where the tier gives alarm, and that left row is then out. Rows with a null in a key take no part in a tier.
+    """
+    pairs, errors = None, None
+    for name, keys, alarm in tiers:
+        by = [record, *keys]
+        known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        free_left, free_right = left.where(known), right.where(known)
+        if pairs is not None:
+            free_left, free_right = free_left.join(pairs, [record, "left_id"], "left_anti"), free_right.join(pairs, [record, "right_id"], "left_anti")
+        if errors is not None:
+            free_left = free_left.join(errors, [record, "left_id"], "left_anti")
+        only = free_right.groupBy(*by).agg(F.count_distinct("right_id").alias("n"), F.min("right_id").alias("right_id"))
+        met = free_left.join(only, by).withColumn("turn", F.row_number().over(Window.partitionBy(*by).orderBy("left_id")))
+        first = Window.partitionBy(record, "right_id").orderBy("left_id")
+        got = met.where("n = 1 AND turn = 1").withColumn("again", F.row_number().over(first)).where("again = 1").select(record, "left_id", "right_id", F.lit(name).alias("tier"))
+        pairs = written(got if pairs is None else pairs.unionByName(got))
+        if alarm:
+            bad = met.where("n > 1").select(record, "left_id", F.lit(f"AMBIGUOUS_{name}").alias("error")).distinct()
+            errors = written(bad if errors is None else errors.unionByName(bad))
+    return pairs, errors if errors is not None else pairs.select(record, "left_id", F.col("tier").alias("error")).limit(0)
 
 
-def match_mixes(left: list[dict], right: list[dict]) -> list[tuple[int | None, int | None, str | None, str | None]]:
-    """(left place, right place, tier, error) of two lists of mixes.
+def pair_parameters(left: DataFrame, right: DataFrame, record: str, order: str, label: str, value: str, unit: str) -> DataFrame:
+    """(record, left_order, right_order, error): parameters of one record paired by label, value and unit, then by label and value, then by a label alone where the left value is unknown.
 
-    A mix has anchor (table, row) or none, key, identity, items and bare (whether it has no observation). Tiers: a table's
-    row, the one mix of the same key, the mix whose key begins with the other's and that agrees on most parameters. Left mixes
-    that only repeat the composition of a matched one are left out; unmatched right ones come last.
+    An unpaired left one is AMBIGUOUS beside several free right ones with its value, and a CONFLICT beside free ones with other values; unpaired right ones have no left_order.
+    """
+    unknown = "?"
+    keyed = lambda rows, i: rows.select(record, F.col(order).alias(i), label_key(F.col(label)).alias("l"), F.coalesce(value_key(F.col(value)), F.lit(unknown)).alias("v"), label_key(F.col(unit)).alias("u"))
+    a, b = keyed(left, "left_id"), keyed(right, "right_id")
+    a = a.withColumn("bare", F.when(F.col("v") == unknown, F.lit(True)))
+    pairs, _ = paired_in_tiers(a, b.withColumn("bare", F.lit(True)), record, [("UNIT", ["l", "v", "u"], False), ("VALUE", ["l", "v"], False), ("LABEL", ["l", "bare"], False)])
+    rest = b.join(pairs, [record, "right_id"], "left_anti")
+    same = rest.groupBy(record, "l", "v").agg(F.count(F.lit(1)).alias("equal"))
+    called = rest.groupBy(record, "l").agg(F.count(F.lit(1)).alias("called"))
+    alone = a.join(pairs, [record, "left_id"], "left_anti").join(same, [record, "l", "v"], "left").join(called, [record, "l"], "left")
+    error = F.when(F.col("equal") > 0, "AMBIGUOUS").when((F.col("called") > 0) & F.col("bare").isNull(), "CONFLICT")
+    none = lambda c: F.lit(None).cast(left.schema[order].dataType).alias(c)
+    out = pairs.select(record, F.col("left_id").alias("left_order"), F.col("right_id").alias("right_order"), F.lit(None).cast("string").alias("error"))
+    return out.unionByName(alone.select(record, F.col("left_id").alias("left_order"), none("right_order"), error.alias("error"))).unionByName(rest.select(record, none("left_order"), F.col("right_id").alias("right_order"), F.lit(None).cast("string").alias("error")))
+
+
+def pair_performance(left: DataFrame, right: DataFrame, record: str, order: str) -> DataFrame:
+    """(record, left_order, right_order, tier, error): measured results of two layers by name, value and unit, in their context of age, specimen and method first.
+
+    Both sides: record, order, name, value, unit, age, specimen, method; right ones may carry original_value and original_unit, by which they are known as well. Where one context fits several,
+    or none does and several values fit, the left row is AMBIGUOUS; unpaired right ones have no left_order. An empty context equals an empty context.
     """
-    free = dict(enumerate(right))
-    hits: dict[int, tuple[int, str]] = {}
-    errors: dict[int, str] = {}
-
-    def take(i: int, able: list[int], tier: str, alarm: bool) -> None:
-        if len(able) == 1:
-            hits[i] = (able[0], tier)
-            del free[able[0]]
-        elif able and alarm:
-            errors[i] = f"AMBIGUOUS_{tier}"
-
-    def agreed(a: dict, b: dict) -> int:
-        score = 0
-        for label, value, unit in a["items"]:
-            called = [x for x in b["items"] if x[0] == label]
-            if len(called) > 1:
-                united = [x for x in called if x[2] == unit]
-                called = united if len(united) == 1 else [x for x in united or called if equal_values(x[1], value)]
-            score += len(called) == 1 and equal_values(called[0][1], value)
-        return score
-
-    for i, a in enumerate(left):
-        if a["anchor"]:
-            take(i, [j for j, b in free.items() if b["anchor"] == a["anchor"]], "ANCHOR", True)
-    for i, a in enumerate(left):
-        if i not in hits and i not in errors:
-            take(i, [j for j, b in free.items() if b["key"] == a["key"]], "IDENTITY", False)
-    for i, a in enumerate(left):
-        if i not in hits and i not in errors and a["key"]:
-            near = {j: agreed(a, b) for j, b in free.items() if b["key"] and (a["key"].startswith(b["key"]) or b["key"].startswith(a["key"]))}
-            best = max(near.values(), default=0)
-            take(i, [j for j, n in near.items() if n == best] if best else [], "OVERLAP", True)
-    known = {c for i in hits if (c := composition_code(left[i]["identity"]))}
-    out: list[tuple[int | None, int | None, str | None, str | None]] = []
-    for i, a in enumerate(left):
-        if i in hits or i in errors or not (a["bare"] and composition_code(a["identity"]) in known):
-            out.append((i, *hits.get(i, (None, None)), errors.get(i)))
-    return out + [(None, j, None, None) for j in free]
+    said = lambda c: F.coalesce(value_key(F.col(c)), F.lit("?")) if c == "age" else label_key(F.col(c))
+    context = [said(c).alias(c) for c in ("age", "specimen", "method")]
+    keyed = lambda rows, i, value, unit: rows.select(record, F.col(order).alias(i), label_key(F.col("name")).alias("name"), value_key(F.col(value)).alias("v"), label_key(F.col(unit)).alias("u"), *context)
+    own = keyed(right, "right_id", "value", "unit")
+    known = own.unionByName(keyed(right.where("original_value IS NOT NULL"), "right_id", "original_value", "original_unit")) if "original_value" in right.columns else own
+    scalar = ["name", "v", "u"]
+    a = keyed(left, "left_id", "value", "unit")
+    pairs, errors = paired_in_tiers(a, known, record, [("CONTEXT", [*scalar, "age", "specimen", "method"], True), ("SCALAR", scalar, True)])
+    rest = own.select(record, "right_id").join(pairs, [record, "right_id"], "left_anti")
+    alone = a.select(record, "left_id").join(pairs, [record, "left_id"], "left_anti").join(errors, [record, "left_id"], "left")
+    none = lambda c: F.lit(None).cast(left.schema[order].dataType if c.endswith("order") else "string").alias(c)
+    out = pairs.select(record, F.col("left_id").alias("left_order"), F.col("right_id").alias("right_order"), "tier", none("error"))
+    return out.unionByName(alone.select(record, F.col("left_id").alias("left_order"), none("right_order"), none("tier"), "error")).unionByName(rest.select(record, none("left_order"), F.col("right_id").alias("right_order"), none("tier"), none("error")))
+
+
+def shares_key(identity: Column) -> Column:
+    """The composition that an identity such as C70G30U0 spells, without parts of nothing; null for others."""
+    parts = F.filter(F.map_entries(coded_composition(F.trim(identity))), lambda e: e["value"] > 0)
+    return F.to_json(F.array_sort(parts))
+
+
+def overlaps(left: DataFrame, right: DataFrame, record: str) -> DataFrame:
+    """(record, left_id, right_id, score): mixes of which one's key begins with the other's, by the number of parameters on which they agree.
+
+    Keys meet by an equi-join on their beginnings. Of several right parameters of a label those of the same unit count, if there are any; an agreement is one equal value among them.
+    """
+    ends = lambda rows, i: rows.where("key != ''").select(record, i, "key", "items", F.explode(F.sequence(F.lit(1), F.length("key"))).alias("n")).select(record, i, "items", F.col("n") == F.length("key"), F.expr("left(key, n)").alias("start")).toDF(record, i, f"items_{i}", f"whole_{i}", "start")
+    met = ends(left, "left_id").join(ends(right, "right_id"), [record, "start"]).where("whole_left_id OR whole_right_id")
+    near = met.select(record, "left_id", "right_id", "items_left_id", "items_right_id").distinct()
+    asked = near.select(record, "left_id", "right_id", "items_right_id", F.posexplode("items_left_id").alias("place", "a"))
+    alike = F.filter("items_right_id", lambda b: b["label"] == F.col("a.label"))
+    united = F.filter(alike, lambda b: b["unit"] == F.col("a.unit"))
+    able = F.when((F.size(alike) > 1) & (F.size(united) > 0), united).otherwise(alike)
+    agrees = F.size(F.filter(able, lambda b: value_key(b["value"]).eqNullSafe(value_key(F.col("a.value"))))) == 1
+    return asked.groupBy(record, "left_id", "right_id").agg(F.count_if(agrees).alias("score")).where("score > 0")
 
 
 def pair_mixes(left: DataFrame, right: DataFrame, paper: str, mix: str) -> DataFrame:
-    """(paper, left_mix, right_mix, tier, error): mixes of one paper paired by `match_mixes`.
+    """(paper, left_mix, right_mix, tier, error): mixes of one paper in three tiers: the same row of a table, the same identity, and beginnings of identities with most parameters in common.
 
-    Both sides: paper, mix, identity, source_table, source_row, items (ITEM, of the mix's parameters), bare.
+    Both sides: paper, mix, identity, source_table, source_row, items (ITEM, of the mix's parameters), bare (whether it has no observation). A right mix that several left ones
+    want goes to the first. Left mixes that only repeat the composition of a paired one are left out; unpaired right ones have no left_mix.
     """
     items = F.transform(F.coalesce("items", F.array().cast(ITEM)), lambda x: F.struct(label_key(x.label).alias("label"), x.value.alias("value"), label_key(x.unit).alias("unit")))
-    keyed = lambda rows: rows.select(paper, F.col(mix).alias("mix"), "identity", label_key(F.col("identity")).alias("key"), F.nullif(label_key(F.col("source_table")), F.lit("")).alias("tab"), F.col("source_row").cast("long").alias("row"), items.alias("items"), F.coalesce("bare", F.lit(False)).alias("bare"))
-    kind = left.schema[mix].dataType.simpleString()
-
-    def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = (x.sort_values("mix", kind="stable") for x in (a, b))
-        listed = lambda x: [{"anchor": (r.tab, int(r.row)) if isinstance(r.tab, str) and not pd.isna(r.row) else None, "key": r.key, "identity": r.identity, "items": [(i["label"], i["value"], i["unit"]) for i in r.items], "bare": bool(r.bare)} for r in x.itertuples()]
-        rows = [(key[0], None if i is None else a["mix"].iloc[i], None if j is None else b["mix"].iloc[j], tier, error) for i, j, tier, error in match_mixes(listed(a), listed(b))]
-        return pd.DataFrame(rows, columns=[paper, "left_mix", "right_mix", "tier", "error"]).astype({"left_mix": object, "right_mix": object})
+    table = F.nullif(label_key(F.col("source_table")), F.lit(""))
+    keyed = lambda rows, i: written(rows.select(paper, F.col(mix).alias(i), label_key(F.col("identity")).alias("key"), table.alias("tab"), F.col("source_row").cast("long").alias("row"), items.alias("items"), F.coalesce("bare", F.lit(False)).alias("bare"), shares_key(F.col("identity")).alias("shares")))
+    a, b = keyed(left, "left_id"), keyed(right, "right_id")
+    pairs, errors = paired_in_tiers(a, b, paper, [("ANCHOR", ["tab", "row"], True), ("IDENTITY", ["key"], False)])
+    free = a.join(pairs, [paper, "left_id"], "left_anti").join(errors, [paper, "left_id"], "left_anti")
+    scored = overlaps(free, b.join(pairs, [paper, "right_id"], "left_anti"), paper)
+    best = scored.withColumn("top", F.max("score").over(Window.partitionBy(paper, "left_id"))).where("score = top")
+    counted = written(best.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(paper, "left_id"))))
+    turn = F.row_number().over(Window.partitionBy(paper, "right_id").orderBy("left_id"))
+    pairs = pairs.unionByName(counted.where("n = 1").withColumn("turn", turn).where("turn = 1").select(paper, "left_id", "right_id", F.lit("OVERLAP").alias("tier")))
+    errors = errors.unionByName(counted.where("n > 1").select(paper, "left_id", F.lit("AMBIGUOUS_OVERLAP").alias("error")).distinct())
+    known = a.join(pairs, [paper, "left_id"], "left_semi").where("shares IS NOT NULL").select(paper, "shares").distinct().withColumn("repeats", F.lit(True))
+    alone = a.join(pairs, [paper, "left_id"], "left_anti").join(errors, [paper, "left_id"], "left").join(known, [paper, "shares"], "left")
+    shown = alone.where("error IS NOT NULL OR NOT bare OR repeats IS NULL")
+    rest = b.join(pairs, [paper, "right_id"], "left_anti")
+    none = lambda c: F.lit(None).cast(left.schema[mix].dataType if c.endswith("mix") else "string").alias(c)
+    out = pairs.select(paper, F.col("left_id").alias("left_mix"), F.col("right_id").alias("right_mix"), "tier", none("error"))
+    return out.unionByName(shown.select(paper, F.col("left_id").alias("left_mix"), none("right_mix"), none("tier"), "error")).unionByName(rest.select(paper, none("left_mix"), F.col("right_id").alias("right_mix"), none("tier"), none("error")))
 
-    return keyed(left).groupBy(paper).cogroup(keyed(right).groupBy(paper)).applyInPandas(run, f"{paper} {left.schema[paper].dataType.simpleString()}, left_mix {kind}, right_mix {kind}, tier string, error string")
 
 
 def waits_for_repair(blocked: Column, status: Column, code: Column, status_label: Column, reason: Column) -> Column:

@@ -9,25 +9,44 @@ from assaylake.functions import transforms
 from assaylake.operators import control, evidence, merging, ranking, review, scoring
 
 
-def test_items_pair_by_value_then_unit():
+ITEM = "record int, place int, label string, value string, unit string"
+
+
+def test_items_pair_by_value_then_unit(spark):
     right = [("ms", "1.5", "a"), ("ms", "1.5", "b"), ("wb", "0.4", ""), ("al", None, ""), ("na", "2", "")]
     left = [("ms", "1.50", "b"), ("ms", "1.5", "x"), ("ms", "1.5", "x"), ("wb", "0.5", ""), ("al", "3", ""), ("na", None, ""), ("zz", "1", "")]
-    assert review.pair_items(left, right) == [(0, 1, None), (1, 0, None), (2, None, None), (3, None, "CONFLICT"), (4, None, "CONFLICT"), (5, 4, None), (6, None, None)]
-    assert review.pair_items([("ms", "1", "z")], [("ms", "1", "a"), ("ms", "1", "b")]) == [(0, None, "AMBIGUOUS")]
+    frame = lambda groups: spark.createDataFrame([(g, i, *x) for g, items in enumerate(groups) for i, x in enumerate(items)], ITEM)
+    got = review.pair_parameters(frame([left, [("ms", "1", "z")], []]), frame([right, [("ms", "1", "a"), ("ms", "1", "b")], [("t", "x y", "")]]), "record", "place", "label", "value", "unit")
+    rows = sorted(((r["record"], r["left_order"], r["right_order"], r["error"]) for r in got.collect()), key=str)
+    want = [(0, 0, 1, None), (0, 1, 0, None), (0, 2, None, None), (0, 3, None, "CONFLICT"), (0, 4, None, "CONFLICT"), (0, 5, 4, None), (0, 6, None, None), (0, None, 2, None), (0, None, 3, None), (1, 0, None, "AMBIGUOUS"), (1, None, 0, None), (1, None, 1, None), (2, None, 0, None)]
+    assert rows == sorted(want, key=str)
+
+
+MIX = "paper string, mix int, identity string, source_table string, source_row int, items array<struct<label:string,value:string,unit:string>>, bare boolean"
 
 
-def mix(identity, anchor=None, items=(), bare=False):
-    return {"identity": identity, "key": identity.lower(), "anchor": anchor, "items": list(items), "bare": bare}
+def mixes(spark, groups):
+    return spark.createDataFrame([(p, i, name, *anchor, items, bare) for p, own in groups.items() for i, (name, anchor, items, bare) in enumerate(own)], MIX)
 
 
-def test_mixes_pair_in_tiers():
+def test_mixes_pair_in_tiers(spark):
+    mix = lambda name, anchor=(None, None), items=(), bare=False: (name, anchor, list(items), bare)
     wb = lambda v: ("wb", v, "")
-    left = [mix("A1", ("t1", 3)), mix("C70G30U0"), mix("M10", items=[wb("0.4")]), mix("C70G30", bare=True), mix("Lone")]
-    right = [mix("zz", ("t1", 3)), mix("c70g30u0"), mix("M1", items=[wb("0.5")]), mix("M10-28", items=[wb("0.40")]), mix("Rest")]
-    assert review.match_mixes(left, right) == [(0, 0, "ANCHOR", None), (1, 1, "IDENTITY", None), (2, 3, "OVERLAP", None), (4, None, None, None), (None, 2, None, None), (None, 4, None, None)]
-    twice = review.match_mixes([mix("x", ("t", 1)), mix("ab", items=[wb("1")])], [mix("p", ("t", 1)), mix("q", ("t", 1)), mix("abc", items=[wb("1")]), mix("abd", items=[wb("1")])])
-    assert [r[3] for r in twice[:2]] == ["AMBIGUOUS_ANCHOR", "AMBIGUOUS_OVERLAP"]
-    assert review.composition_code("C70G30R5") == (("C", 70.0), ("G", 30.0), ("U", 5.0)) and review.composition_code("mix 3") is None
+    left = {"p": [mix("A1", ("t1", 3)), mix("C70G30U0"), mix("M10", items=[wb("0.4")]), mix("C70G30", bare=True), mix("Lone")], "q": [mix("x", ("t", 1)), mix("ab", items=[wb("1")])]}
+    right = {"p": [mix("zz", ("t1", 3)), mix("c70g30u0"), mix("M1", items=[wb("0.5")]), mix("M10-28", items=[wb("0.40")]), mix("Rest")], "q": [mix("p", ("t", 1)), mix("q", ("t", 1)), mix("abc", items=[wb("1")]), mix("abd", items=[wb("1")])]}
+    got = sorted(map(tuple, review.pair_mixes(mixes(spark, left), mixes(spark, right), "paper", "mix").collect()), key=str)
+    want = [("p", 0, 0, "ANCHOR", None), ("p", 1, 1, "IDENTITY", None), ("p", 2, 3, "OVERLAP", None), ("p", 4, None, None, None), ("p", None, 2, None, None), ("p", None, 4, None, None)]
+    want += [("q", 0, None, None, "AMBIGUOUS_ANCHOR"), ("q", 1, None, None, "AMBIGUOUS_OVERLAP")] + [("q", None, k, None, None) for k in range(4)]
+    assert got == sorted(want, key=str)
+
+
+def test_performance_pairs_in_context_first(spark):
+    kind = "record int, place int, name string, value string, unit string, age string, specimen string, method string"
+    left = [(1, 0, "Strength", "40", "MPa", "28", "paste", None), (1, 1, "strength", "40", "MPa", "7", None, None), (1, 2, "flow", "200", "mm", None, None, None), (1, 3, "flow", "210", "mm", "1", None, None), (1, 4, "set", "5", "h", None, None, None), (1, 5, "gone", "1", "", None, None, None)]
+    right = [(1, 0, "strength", "40.0", "MPa", "28", "Paste", "", None, None), (1, 1, "strength", "40", "MPa", "90", None, None, None, None), (1, 2, "flow", "200", "mm", None, "", None, None, None), (1, 3, "flow", "200", "mm", None, None, None, None, None), (1, 4, "Flow", "0.21", "m", None, None, None, "210", "mm"), (1, 5, "set", "5", "h", "1", None, None, None, None), (1, 6, "set", "5", "h", "2", None, None, None, None)]
+    got = review.pair_performance(spark.createDataFrame(left, kind), spark.createDataFrame(right, kind + ", original_value string, original_unit string"), "record", "place")
+    rows = {(r["left_order"], r["right_order"], r["tier"], r["error"]) for r in got.collect()}
+    assert rows == {(0, 0, "CONTEXT", None), (1, 1, "SCALAR", None), (2, None, None, "AMBIGUOUS_CONTEXT"), (3, 4, "SCALAR", None), (4, None, None, "AMBIGUOUS_SCALAR"), (5, None, None, None), (None, 2, None, None), (None, 3, None, None), (None, 5, None, None), (None, 6, None, None)}
 
 
 BLOCKS = [("d", "a", 1, 0.0, 10.0, 100.0, 20.0, "The strength was 45"), ("d", "b", 1, 0.0, 30.0, 100.0, 40.0, " MPa after curing."), ("d", "h", 1, 0.0, 0.0, 100.0, 5.0, "Header"), ("d", "c", 2, 0.0, 10.0, 100.0, 20.0, "A sentence that goes on over"), ("d", "n", 2, 0.0, 30.0, 100.0, 40.0, "Figure 3"), ("d", "e", 2, 0.0, 50.0, 100.0, 60.0, "the next block."), ("d", "w", 3, 0.0, 0.0, 1.0, 1.0, "see 45 MPa")]
