@@ -119,3 +119,48 @@ def marker_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ink.marked_values(marks, ink.axis_fits(ticks, ["user_id"], "pixel", "mark", log=True), ["user_id"], "y", "half", log=True)
     holds = (F.log10("low") <= F.log10(size)) & (F.log10("high") >= F.log10(size))
     return found.select("event_id", *[F.round(F.log10(c), 6).alias(f"log_{c}") for c in ("value", "low", "high")], "status", holds.alias("holds"))
+
+
+@query("""
+SELECT s_suppkey AS item, CASE WHEN s_suppkey % 4 < 2 THEN 'REJECT' ELSE 'PASS' END AS verdict, CASE s_suppkey % 4 WHEN 0 THEN 'source' WHEN 1 THEN 'pieces' END AS stage, CASE WHEN s_suppkey % 4 < 2 THEN 'CHANGED' END AS defect
+FROM supplier
+""")
+def replayed_strokes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strokes replayed from their pixels: in one of four pictures a pixel has moved since, in another the report of its pieces was changed."""
+    from assaylake.operators import pixels, replay
+
+    drawn = bent_lines(spark, sf_dir).select("image", "x", F.col("y").cast("long").alias("y"))
+    stages = [("components", lambda df: pixels.components(ink_columns(df))), ("pieces", ink.straight_split), ("slopes", lambda df: df.select("image", "piece", F.round("slope", 6).alias("slope")))]
+    claimed = replay.receipt(drawn, stages, "image").withColumn("sha256", F.when((F.col("item") % 4 == 1) & (F.col("stage") == "pieces"), F.lit("0")).otherwise(F.col("sha256")))
+    moved = drawn.withColumn("y", F.col("y") + F.when((F.col("image") % 4 == 0) & (F.col("x") == 3), 1).otherwise(0))
+    return replay.verify(moved, stages, "image", claimed)
+
+
+def ink_columns(lines: DataFrame) -> DataFrame:
+    """A line's pixels with those between its steps, so that it is one piece."""
+    from pyspark.sql import Window
+
+    last = F.coalesce(F.lag("y").over(Window.partitionBy("image").orderBy("x")), F.col("y"))
+    return lines.withColumn("_y", last).select("image", "x", F.explode(F.sequence(F.col("y"), F.when(F.col("_y") < F.col("y"), F.col("_y") + 1).when(F.col("_y") > F.col("y"), F.col("_y") - 1).otherwise(F.col("y")))).alias("y"))
+
+
+@query("""
+SELECT l_orderkey AS record, CASE WHEN r % 5 <> 4 THEN r END AS left_order, CASE WHEN r % 7 <> 6 THEN r END AS right_order,
+  CASE WHEN r % 5 <> 4 AND r % 7 <> 6 THEN CASE WHEN r % 3 = 0 THEN 'CONTEXT' ELSE 'SCALAR' END END AS tier
+FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS r FROM lineitem) WHERE r % 5 <> 4 OR r % 7 <> 6
+""")
+def performance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as measured results in two layers: a third agree in their context, a third by value alone, a third by the value before its conversion."""
+    from pyspark.sql import Window
+
+    from assaylake.operators import review
+
+    r = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("r", r).select(F.col("l_orderkey").alias("record"), "r", (F.col("l_quantity") * 100 + F.col("r")).alias("v"))
+    kind = F.col("r") % 3
+    left = rows.where("r % 5 != 4").select("record", "r", F.lit("Flexural strength").alias("name"), F.col("v").cast("string").alias("value"), F.lit("MPa").alias("unit"), F.lit("28").alias("age"), F.lit("paste").alias("specimen"), F.lit(None).cast("string").alias("method"))
+    right = rows.where("r % 7 != 6").select(
+        "record", "r", F.lit("flexural-strength").alias("name"), F.when(kind == 2, F.col("v") * 1000).otherwise(F.col("v")).cast("string").alias("value"), F.when(kind == 2, "kPa").otherwise("mpa").alias("unit"), F.when(kind == 0, "28.0").alias("age"), F.lit("Paste").alias("specimen"),
+        F.lit("").alias("method"), F.when(kind == 2, F.col("v").cast("string")).alias("original_value"), F.lit("MPa").alias("original_unit"),
+    )
+    return review.pair_performance(left, right, "record", "r").drop("error")
