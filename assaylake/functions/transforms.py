@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -87,27 +88,47 @@ def invalid_inputs(r: Column) -> Column:
     )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is computed a single time, however often it is read: a variable, which the optimizer does not write out again."""
+    return F.transform(F.array(value), use)[0]
+
+
 def receipt_defects(r: Column, actual: Column, actual_list: Column | None = None) -> Column:
     """Sorted names of what is wrong with a receipt (see RECEIPT) for the value or values that the record holds; empty for a sound one."""
+    values = actual_list if actual_list is not None else F.lit(None).cast("array<double>")
+    return once(F.struct(r.alias("r"), actual.alias("actual"), values.alias("values")), lambda x: checked_receipt(x["r"], x["actual"], x["values"]))
+
+
+def checked_receipt(r: Column, actual: Column, actual_list: Column) -> Column:
+    kind, i, o, there, back = r["kind"], r["inputs"], r["output"], r["forward"], r["reverse"]
+    many = kind == DURATIONS
+    parts = F.struct(
+        forward(r).alias("made"), backward(r).alias("again"), F.when(many, actual_list).otherwise(F.array(actual)).alias("held"), F.when(many, o["values"]).otherwise(F.array(o["value"])).alias("out"),
+        F.when(many, F.transform(i["steps"], lambda x: x.value)).when(kind == FRACTION, F.array(back["recorded"])).otherwise(F.array(i["value"])).alias("source"),
+        F.coalesce(kind.isin(*KINDS), F.lit(False)).alias("known"), F.coalesce(kind == COMPONENT, F.lit(False)).alias("single"), F.coalesce(kind.isin(COMPLEMENT, LINEAR), F.lit(False)).alias("told"),
+    )
+    early = F.when(~F.coalesce(r["formal"] & (r["formula"] != ""), F.lit(False)), "TRANSFORM_NOT_FORMAL_OR_FORMULA_MISSING").when(i.isNull() | o.isNull() | there.isNull() | back.isNull(), "TRANSFORM_RECEIPT_INCOMPLETE").otherwise(invalid_inputs(r))
+    full = once(F.struct(early.alias("early")), lambda e: F.when(e["early"].isNotNull(), F.array(e["early"])).otherwise(once(parts, lambda c: compared_receipt(r, c))))
+    return F.when(r.isNull(), F.array(F.lit("FORMAL_TRANSFORM_RECEIPT_MISSING"))).otherwise(full)
+
+
+def compared_receipt(r: Column, c: Column) -> Column:
+    """The defects of a complete receipt from its recomputed parts."""
     kind, i, o, there, back = r["kind"], r["inputs"], r["output"], r["forward"], r["reverse"]
-    many, single_part = kind == DURATIONS, kind == COMPONENT
-    held = F.when(many, actual_list if actual_list is not None else F.lit(None).cast("array<double>")).otherwise(F.array(actual))
-    out, source = F.when(many, o["values"]).otherwise(F.array(o["value"])), F.when(many, F.transform(i["steps"], lambda x: x.value)).when(kind == FRACTION, F.array(back["recorded"])).otherwise(F.array(i["value"]))
-    told, tolerance, back_tolerance = kind.isin(COMPLEMENT, LINEAR), there["tolerance"], back["tolerance"]
-    known, made, again = kind.isin(*KINDS), forward(r), backward(r)
+    tolerance, back_tolerance, known, single, told = there["tolerance"], back["tolerance"], c["known"], c["single"], c["told"]
     tokens = F.coalesce((back["computed_token"] == i["token"]) & (back["recorded_token"] == i["token"]), F.lit(False))
     recorded = F.when(there["recorded_list"].isNotNull(), same_lists(there["recorded_list"], F.coalesce(o["values"], F.array().cast("array<double>")), tolerance)).otherwise(there["recorded"].isNull() | same(there["recorded"], o["value"], tolerance))
+    back_differs = ~same(back["computed"], c["again"][0], back_tolerance)
     found = F.array(
-        F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit("UNKNOWN_TRANSFORM_KIND:"), F.coalesce(kind, F.lit("None")))),
-        F.when(known & ~same_lists(made, out, tolerance), "FORWARD_RECOMPUTE_FAILED"),
-        F.when(known & F.when(single_part, ~tokens).otherwise(~same_lists(again, source, back_tolerance)), "REVERSE_RECOMPUTE_FAILED"),
-        F.when(known & ~same_lists(held, out, tolerance), "TRANSFORM_OUTPUT_RECORD_DRIFT"),
-        F.when(F.when(F.coalesce(single_part, F.lit(False)), there["recorded"].isNull() | ~same(there["computed"], there["recorded"], tolerance)).otherwise(~recorded | (F.coalesce(told, F.lit(False)) & ~same(there["computed"], made[0], tolerance))), "FORWARD_RECEIPT_DRIFT"),
-        F.when((told & (~same(back["computed"], again[0], back_tolerance) | ~same(back["recorded"], source[0], back_tolerance))) | ((kind == FRACTION) & ~same(back["computed"], again[0], back_tolerance)), "REVERSE_RECEIPT_DRIFT"),
-        F.when(~F.coalesce(single_part, F.lit(False)) & back["recorded"].isNull() & back["recorded_list"].isNull(), "REVERSE_RECEIPT_MISSING"),
+        F.when(~known, F.concat(F.lit("UNKNOWN_TRANSFORM_KIND:"), F.coalesce(kind, F.lit("None")))),
+        F.when(known & ~same_lists(c["made"], c["out"], tolerance), "FORWARD_RECOMPUTE_FAILED"),
+        F.when(known & F.when(single, ~tokens).otherwise(~same_lists(c["again"], c["source"], back_tolerance)), "REVERSE_RECOMPUTE_FAILED"),
+        F.when(known & ~same_lists(c["held"], c["out"], tolerance), "TRANSFORM_OUTPUT_RECORD_DRIFT"),
+        F.when(F.when(single, there["recorded"].isNull() | ~same(there["computed"], there["recorded"], tolerance)).otherwise(~recorded | (told & ~same(there["computed"], c["made"][0], tolerance))), "FORWARD_RECEIPT_DRIFT"),
+        F.when((told & (back_differs | ~same(back["recorded"], c["source"][0], back_tolerance))) | ((kind == FRACTION) & back_differs), "REVERSE_RECEIPT_DRIFT"),
+        F.when(~single & back["recorded"].isNull() & back["recorded_list"].isNull(), "REVERSE_RECEIPT_MISSING"),
     )
-    early = F.when(~F.coalesce(r["formal"] & (r["formula"] != ""), F.lit(False)), "TRANSFORM_NOT_FORMAL_OR_FORMULA_MISSING").when(i.isNull() | o.isNull() | there.isNull() | back.isNull(), "TRANSFORM_RECEIPT_INCOMPLETE").otherwise(invalid_inputs(r))
-    return F.when(r.isNull(), F.array(F.lit("FORMAL_TRANSFORM_RECEIPT_MISSING"))).when(early.isNotNull(), F.array(early)).otherwise(F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))))
+    return F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
 
 
 def bar_value(top: Column, baseline: Column, axis_zero: Column, slope: Column, low: Column, high: Column, tick: Column, tolerance: float = 3.0) -> Column:

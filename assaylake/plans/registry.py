@@ -25,3 +25,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """`rows` in as many partitions as there are cores, where the table has fewer (a file of one row group): for work that is heavy for each row."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assaylake.functions import json_paths, text, transforms, units, urls
 from assaylake.operators import scoring
-from assaylake.plans.registry import query, table
+from assaylake.plans.registry import query, spread, table
 
 LETTERS = "regexp_replace(replace(lower(text), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g')"
 
@@ -131,7 +131,7 @@ def transform_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(back.alias("computed"), F.when(~many & ~lost, back).alias("recorded"), F.when(many & ~lost, doubles(v, 2 * v)).alias("recorded_list"), F.lit("a:b").alias("computed_token"), F.when(~lost, F.lit("a:b")).alias("recorded_token"), F.lit(1e-6).alias("tolerance")).alias("reverse"),
     )
     keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    rows = table(spark, sf_dir, "lineitem").select(*keys, kind.alias("kind"), receipt.cast(transforms.RECEIPT).alias("receipt"), F.when(~many, true + off(2)).alias("actual"), shifted(2).alias("actual_list"))
+    rows = spread(table(spark, sf_dir, "lineitem").select(*keys, "l_quantity")).select(*keys, kind.alias("kind"), receipt.cast(transforms.RECEIPT).alias("receipt"), F.when(~many, true + off(2)).alias("actual"), shifted(2).alias("actual_list"))
     found = transforms.receipt_defects(F.col("receipt"), F.col("actual"), F.col("actual_list"))
     return rows.select(*keys, "kind", F.array_join(found, ",").alias("defects"))
 
