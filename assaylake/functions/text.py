@@ -184,17 +184,16 @@ def is_component(header: Column) -> Column:
     return oxide_label(header).rlike(rf"^({oxide}(\+{oxide})*|LOI|Others?)$")
 
 
-#: "A and B had d50 of 12 and 15 um, respectively": two names, two values, one unit.
-RESPECTIVE = rf"\b([A-Za-z][\w-]*) and ([A-Za-z][\w-]*) (?:was|were|is|are|has|have|had|showed|with)\b[^.;]*?({NUMBER})\s*([A-Za-zµμ%/0-9]+)? and ({NUMBER})\s*([A-Za-zµμ%/0-9]+),? respectively"
+#: "A, B and C had d50 of 12, 15 and 18 um, respectively": names, values in the same order, one unit.
+NAME, JOINED, UNIT = r"[A-Za-z][\w-]*", r"(?:, and |, | and )", r"[A-Za-zµμ%/0-9]+"
+RESPECTIVE = rf"\b({NAME}(?:{JOINED}{NAME})+) (?:was|were|is|are|has|have|had|showed|with)\b[^.;]*?({NUMBER}(?: ?{UNIT})?(?:{JOINED}{NUMBER}(?: ?{UNIT})?)*{JOINED}{NUMBER}) ?({UNIT}),? respectively"
 
 
 def respective_pairs(text: Column) -> Column:
-    """array<struct(name, value, unit)> of a sentence that pairs two names with two values; empty for equal names, longer lists and other sentences."""
-    part = lambda n: F.regexp_extract(text, RESPECTIVE, n)
-    longer = text.rlike(rf",\s*[A-Za-z][\w-]*,? and [A-Za-z][\w-]* (?:was|were|is|are|has|have|had|showed|with)\b[^.;]*respectively")
-    good = text.rlike(RESPECTIVE) & ~longer & (part(1) != part(2))
-    one = lambda name, value: F.struct(part(name).alias("name"), part(value).cast("double").alias("value"), part(6).alias("unit"))
-    return F.when(good, F.array(one(1, 3), one(2, 5))).otherwise(F.array().cast("array<struct<name: string, value: double, unit: string>>"))
+    """array<struct(name, value, unit)> of the first sentence that pairs names with as many values; empty for repeated names, lists of unequal length and other sentences."""
+    names, values, unit = F.split(F.regexp_extract(text, RESPECTIVE, 1), JOINED), F.regexp_extract_all(F.regexp_extract(text, RESPECTIVE, 2), F.lit(rf"(?:^|(?<=[, ]))({NUMBER})"), F.lit(1)), F.regexp_extract(text, RESPECTIVE, 3)
+    good = text.rlike(RESPECTIVE) & (F.size(names) == F.size(values)) & (F.size(F.array_distinct(names)) == F.size(names))
+    return F.when(good, F.zip_with(names, values, lambda n, v: F.struct(n.alias("name"), v.cast("double").alias("value"), unit.alias("unit")))).otherwise(F.array().cast("array<struct<name: string, value: double, unit: string>>"))
 
 
 def phase_shares(text: Column, tolerance: float = 0.11) -> Column:

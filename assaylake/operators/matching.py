@@ -22,6 +22,20 @@ def either_key(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], v
     return out.select(*left.columns, F.coalesce(*found).alias(value), F.coalesce(*[F.when(v.isNotNull(), F.lit(lk)) for v, (lk, _) in zip(found, keys, strict=True)]).alias("matched_by"))
 
 
+def frozen_selection(selected: DataFrame, catalog: DataFrame, key: str, place: str = "place") -> DataFrame:
+    """(place, key, catalog's other columns, status): catalog rows of the selected keys in their frozen order, one row a place: FOUND, MISSING, or REPEATED where the key has a place before or several rows.
+
+    The order is the place that was frozen with the selection, never that of the catalog; a repeated key shows nothing of the catalog.
+    """
+    others = [c for c in catalog.columns if c != key]
+    one = catalog.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*others)).alias("_row"))
+    again = F.row_number().over(Window.partitionBy(key).orderBy(place)) > 1
+    met = selected.select(place, key).withColumn("_again", again).join(one, key, "left")
+    status = F.when(F.col("_n").isNull(), "MISSING").when(F.col("_again") | (F.col("_n") > 1), "REPEATED").otherwise("FOUND")
+    told = met.withColumn("status", status)
+    return told.select(place, key, *[F.when(F.col("status") == "FOUND", F.col(f"_row.{c}")).alias(c) for c in others], "status")
+
+
 def longest_prefix(paths: DataFrame, prefixes: DataFrame, path: str, prefix: str, separator: str = "/") -> DataFrame:
     """`paths` with the longest prefix, in whole steps, that `prefixes` holds: an equi-join on each path's own prefixes, not a range join."""
     parts = F.split(F.col(path), separator)

@@ -207,3 +207,22 @@ def same_rows(a: DataFrame, b: DataFrame, paths: dict[str, str] | None = None) -
         a, b = (x.withColumn(place, F.col(digest)) for x in (a, b))
     left, right = a.exceptAll(b).withColumn("side", F.lit("left")), b.exceptAll(a).withColumn("side", F.lit("right"))
     return left.unionByName(right).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+
+
+def accepted_merge(candidates: DataFrame, plans: DataFrame, acceptances: DataFrame, key: list[str], rank: Column) -> tuple[DataFrame, DataFrame]:
+    """(merged, rejected): candidates whose item was accepted for the plan that holds now, one for each key; all others with the reason.
+
+    candidates: item, candidate, the key's columns and more; plans: item, plan_sha256 (one a item); acceptances: item, plan_sha256, verdict. Reasons, first that holds: NO_PLAN, NO_ACCEPTANCE, PLAN_CHANGED
+    (accepted for another plan only), NOT_ACCEPTED (another verdict stands beside or instead), SUPERSEDED (another candidate of the key ranks before it; ties go to the smaller candidate).
+    """
+    told = acceptances.groupBy("item").agg(F.collect_set("plan_sha256").alias("_plans"), F.collect_set(F.struct("plan_sha256", "verdict")).alias("_said"))
+    met = candidates.join(plans.select("item", F.col("plan_sha256").alias("_plan")), "item", "left").join(told, "item", "left")
+    own = F.filter("_said", lambda x: x["plan_sha256"] == F.col("_plan"))
+    reason = (
+        F.when(F.col("_plan").isNull(), "NO_PLAN").when(F.col("_plans").isNull(), "NO_ACCEPTANCE").when(F.size(own) == 0, "PLAN_CHANGED")
+        .when(F.exists(own, lambda x: ~x["verdict"].eqNullSafe(F.lit("ACCEPTED"))), "NOT_ACCEPTED")
+    )
+    judged = met.withColumn("reason", reason)
+    first = Window.partitionBy(F.col("reason").isNull(), *key).orderBy(rank, "candidate")
+    judged = judged.withColumn("reason", F.when(F.col("reason").isNull() & (F.row_number().over(first) > 1), "SUPERSEDED").otherwise(F.col("reason")))
+    return judged.where("reason IS NULL").select(*candidates.columns), judged.where("reason IS NOT NULL").select("item", "candidate", *key, "reason")

@@ -137,6 +137,14 @@ def batch_invariants(members: DataFrame) -> DataFrame:
     return got.crossJoin(shared)  # one row each
 
 
+def mirror_defects(published: DataFrame, mirror: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, defect) of published rows whose mirror has other contents (HASH_DIFFERS) or none (NOT_MIRRORED), and of mirrored ones that are not published (NOT_PUBLISHED); contents are compared by hash."""
+    digest = lambda rows, name: rows.groupBy(key).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.sha2(F.col(content).cast("string").cast("binary"), 256))), ",").cast("binary"), 256).alias(name))
+    met = digest(published, "_a").join(digest(mirror, "_b"), key, "full")
+    defect = F.when(F.col("_b").isNull(), "NOT_MIRRORED").when(F.col("_a").isNull(), "NOT_PUBLISHED").when(F.col("_a") != F.col("_b"), "HASH_DIFFERS")
+    return met.select(key, defect.alias("defect")).where("defect IS NOT NULL")
+
+
 def promote(candidates: DataFrame, acceptances: DataFrame, bound: list[str]) -> DataFrame:
     """`candidates` with status FORMAL where an acceptance without defects has all the bound hashes, else CANDIDATE."""
     good = acceptances.where(F.coalesce(F.size("defects"), F.lit(0)) <= 0).where("verdict = 'ACCEPTED'").select(*bound).distinct().withColumn("_ok", F.lit(True))

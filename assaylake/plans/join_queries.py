@@ -206,3 +206,52 @@ def tolerance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     left, right = (rows.where(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in "FO")
     return matching.tolerance_pairs(left, right, ["o_custkey"], "o_totalprice", 5000.0, "o_orderkey", "o_orderkey")
+
+
+@query("""
+WITH s AS (SELECT row_number() OVER (ORDER BY -o_totalprice, o_orderkey) AS place, o_custkey % 1000 AS c_custkey FROM orders),
+c AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 9 <> 4),
+t AS (SELECT place, s.c_custkey, c_name, row_number() OVER (PARTITION BY s.c_custkey ORDER BY place) AS turn FROM s LEFT JOIN c ON c.c_custkey = s.c_custkey)
+SELECT place, c_custkey, CASE WHEN turn = 1 THEN c_name END AS c_name, CASE WHEN c_name IS NULL THEN 'MISSING' WHEN turn > 1 THEN 'REPEATED' ELSE 'FOUND' END AS status FROM t
+""")
+def frozen_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of orders, in the order of the orders' prices; every ninth customer is in no catalog."""
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey"))
+    selected = table(spark, sf_dir, "orders").select(place.alias("place"), (F.col("o_custkey") % 1000).alias("c_custkey"))
+    return matching.frozen_selection(selected, table(spark, sf_dir, "customer").where("c_custkey % 9 != 4").select("c_custkey", "c_name"), "c_custkey")
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS item, l_partkey * 10 + l_linenumber AS candidate, l_suppkey AS point, l_quantity AS q, row_number() OVER (PARTITION BY l_orderkey, l_suppkey, CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 0 END ORDER BY -l_quantity, l_partkey * 10 + l_linenumber) AS turn FROM lineitem),
+m AS (SELECT l.*, CASE item % 5 WHEN 1 THEN 'NO_PLAN' WHEN 2 THEN 'NO_ACCEPTANCE' WHEN 3 THEN 'PLAN_CHANGED' WHEN 4 THEN 'NOT_ACCEPTED' ELSE CASE WHEN turn > 1 THEN 'SUPERSEDED' END END AS reason FROM l)
+SELECT item, candidate, point, coalesce(reason, 'MERGED') AS outcome FROM m
+""")
+def marker_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as marks of an order's picture at a supplier's point: orders lack a plan, an acceptance, or have one for another plan or another verdict."""
+    from assaylake.operators import merging
+
+    marks = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("item"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("candidate"), F.col("l_suppkey").alias("point"), F.col("l_quantity").alias("q"))
+    items = marks.select("item").distinct()
+    plans = items.where("item % 5 != 1").select("item", F.sha2(F.concat(F.lit("plan"), "item").cast("binary"), 256).alias("plan_sha256"))
+    asked = items.where("item % 5 != 2").select("item", F.sha2(F.concat(F.when(F.col("item") % 5 == 3, "older").otherwise("plan"), "item").cast("binary"), 256).alias("plan_sha256"), F.when(F.col("item") % 5 == 4, "REJECTED").otherwise("ACCEPTED").alias("verdict"))
+    merged, rejected = merging.accepted_merge(marks, plans, asked, ["item", "point"], F.desc("q"))
+    return merged.select("item", "candidate", "point", F.lit("MERGED").alias("outcome")).unionByName(rejected.select("item", "candidate", "point", F.col("reason").alias("outcome")))
+
+
+@query("""
+WITH t AS (SELECT p_partkey AS k, p_size AS s, 2 + p_partkey % 3 AS n FROM part)
+SELECT k AS p_partkey, i AS place, 'M' || i AS name, CAST(s * i + 0.5 AS DOUBLE) AS value, 'MPa' AS unit FROM t, range(1, 5) AS r(i) WHERE i <= n AND k % 7 <> 0
+""")
+def respective_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of two to four names with their values; in every seventh a value is missing."""
+    from assaylake.functions import text
+
+    k, n = F.col("p_partkey"), (2 + F.col("p_partkey") % 3).cast("int")
+    names = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("M"), i.cast("string")))
+    values = F.transform(F.sequence(F.lit(1), n - F.when(k % 7 == 0, 1).otherwise(0)), lambda i: (F.col("p_size") * i + 0.5).cast("string"))
+    joined = lambda a: F.when(F.size(a) > 1, F.concat(F.array_join(F.slice(a, F.lit(1), F.size(a) - 1), ", "), F.lit(" and "), F.element_at(a, -1))).otherwise(a[0])
+    said = F.concat(F.lit("In 28 days "), joined(names), F.lit(" had strengths of "), joined(values), F.lit(" MPa, respectively."))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(text.respective_pairs(said)).alias("place", "p"))
+    return rows.select("p_partkey", (F.col("place") + 1).alias("place"), "p.*")

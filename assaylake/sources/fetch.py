@@ -71,8 +71,20 @@ def refused(url: str, hosts: tuple[str, ...]) -> str | None:
     return None if (parts.hostname or "").lower() in hosts else "HOST_NOT_ALLOWED"
 
 
-def fetch_one(url: str, transport: Transport, hosts: tuple[str, ...], timeout: float = 30.0, most_bytes: int = 50 << 20, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """Status, attempts and payload of one request: up to three attempts, waiting as WAITS or the server says."""
+def json_fault(body: bytes) -> str | None:
+    try:
+        json.loads(body)
+    except ValueError:
+        return "NOT_JSON"
+    return None
+
+
+def pdf_fault(body: bytes) -> str | None:
+    return None if body.startswith(b"%PDF-") else "NOT_A_PDF"
+
+
+def fetch_one(url: str, transport: Transport, hosts: tuple[str, ...], timeout: float = 30.0, most_bytes: int = 50 << 20, sleep: Callable[[float], None] = time.sleep, fault: Callable[[bytes], str | None] = json_fault) -> dict:
+    """Status, attempts and body of one request: up to three attempts, waiting as WAITS or the server says; `fault` names what is wrong with a body."""
     if why := refused(url, hosts):
         return {"status": "TERMINAL_FAILURE", "attempts": 0, "error": why}
     out: dict = {}
@@ -89,11 +101,9 @@ def fetch_one(url: str, transport: Transport, hosts: tuple[str, ...], timeout: f
         if code == 200:
             if len(body) > most_bytes:
                 return out | {"status": "TERMINAL_FAILURE", "error": "TOO_LARGE"}
-            try:
-                json.loads(body)
-            except ValueError:
-                return out | {"status": "TERMINAL_FAILURE", "error": "NOT_JSON"}
-            return out | {"status": "OK", "payload": body.decode("utf-8"), "payload_sha256": hashlib.sha256(body).hexdigest()}
+            if wrong := fault(body):
+                return out | {"status": "TERMINAL_FAILURE", "error": wrong}
+            return out | {"status": "OK", "payload": body.decode("utf-8") if fault is json_fault else body, "payload_sha256": hashlib.sha256(body).hexdigest()}
         out |= {"status": "TRANSPORT_FAILURE" if code in RETRIED else "TERMINAL_FAILURE", "error": f"HTTP_{code}"}
         if code not in RETRIED:
             return out
@@ -114,6 +124,20 @@ def fetch_pages(requests: DataFrame, transport: Transport, hosts: tuple[str, ...
     return requests.select("url", "contract").distinct().repartition(at_once).mapInPandas(run, RECEIPT)
 
 
+def fetch_documents(requests: DataFrame, transport: Transport, hosts: tuple[str, ...], at_once: int = 2, most_bytes: int = 100 << 20, **options) -> DataFrame:
+    """(url, status, error, attempts, bytes, sha256, content) of PDF documents, each URL once: allowed hosts only, up to three attempts, a size cap, and the mark of a PDF; a document's name is its hash."""
+    names = ("url", "status", "error", "attempts", "bytes", "sha256", "content")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for url in batch["url"]:  # one document at a time: they are large
+                got = fetch_one(url, transport, hosts, most_bytes=most_bytes, fault=pdf_fault, **options)
+                row = (url, got.get("status"), got.get("error"), got.get("attempts"), got.get("bytes"), got.get("payload_sha256"), got.get("payload"))
+                yield pd.DataFrame([row], columns=names).astype(object).where(lambda x: x.notna(), None)
+
+    return requests.select("url").distinct().repartition(at_once).mapInPandas(run, "url string, status string, error string, attempts int, bytes long, sha256 string, content binary")
+
+
 def request_plan(requests: DataFrame, receipts: DataFrame, seeds: DataFrame, now: Column, max_requests: int, max_bytes: int, bytes_each: int) -> DataFrame:
     """`requests` (place, url_sha256, contract) with source: CACHE, REPLAYED_FAILURE, SEED, NETWORK or OVER_BUDGET.
 
