@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -179,7 +180,7 @@ def boxes_holding(tokens: DataFrame, boxes: DataFrame, page: str = "page", cell:
 
 #: Bytes of quotes that are broadcast as one automaton; beyond, grams of both sides meet in an equi-join.
 MAX_QUOTE_BYTES = 32 << 20
-GRAM = 24
+GRAM, STEP = 24, 16
 
 
 def located_quotes(quotes: DataFrame, blocks: DataFrame, quote_id: str, quote: str, block_id: str, text: str) -> DataFrame:
@@ -224,15 +225,47 @@ def _by_automaton(q: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def _by_grams(q: DataFrame, b: DataFrame) -> DataFrame:
-    head = q.withColumn("gram", F.substr(F.col("pq"), F.lit(1), F.lit(GRAM)))
-    found = None
-    for row in head.select(F.length("gram").alias("n")).distinct().collect():  # GRAM numbers at most
-        part = b.select("b", F.explode(_grams(F.col("pb"), row["n"])).alias("gram")).join(head.where(F.length("gram") == row["n"]), "gram").select("b", "q", "quote", "pq")
-        found = part if found is None else found.unionByName(part)
+    """Quotes of GRAM + STEP - 1 characters or more meet texts by sampled grams, shorter ones by the grams of their own length; what meets is verified on the whole texts."""
+    long_ = F.length("pq") >= GRAM + STEP - 1
+    met = sampled_grams(q.where(long_).select(F.col("q").alias("id"), F.substr("pq", F.lit(1), F.lit(GRAM + STEP - 1)).alias("text")), "q").join(sampled_grams(b.select(F.col("b").alias("id"), F.col("pb").alias("text")), "b"), "gram").select("b", "q").distinct()
+    found = met.join(q, "q")
+    short = q.where(~long_).withColumn("gram", F.substr(F.col("pq"), F.lit(1), F.lit(GRAM)))
+    for row in short.select(F.length("gram").alias("n")).distinct().collect():  # GRAM numbers at most
+        part = b.select("b", F.explode(_grams(F.col("pb"), row["n"])).alias("gram")).join(short.where(F.length("gram") == row["n"]), "gram").select("b", "q", "quote", "pq")
+        found = found.select("b", "q", "quote", "pq").unionByName(part)
     met = found.join(b, "b")
     return met.withColumns({"at": F.instr(F.col("text"), F.col("quote")).cast("long"), "loose": F.instr(F.col("pb"), F.col("pq")).cast("long")}).where("loose > 0")
 
 
+def sampled_grams(texts: DataFrame, name: str) -> DataFrame:
+    """(name, gram): of every STEP grams of GRAM characters in a row the one with the smallest hash, as its hash, once a text.
+
+    Two texts that share GRAM + STEP - 1 characters share all the grams of one such row and with them its smallest, so a quote needs one gram to meet every text that holds it, and a text gives about
+    two grams for STEP + 1 characters in place of all.
+    """
+    rows = texts.select(F.col("id").alias(name), F.encode("text", "UTF-32").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [winnowed(np.frombuffer(t or b"", dtype=">u4")) for t in batch.column("text").to_pylist()]
+            at = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+            yield pa.RecordBatch.from_arrays([batch.column(name).take(pa.array(at)), pa.array(np.concatenate([*hashes, np.zeros(0, np.int64)]))], names=[name, "gram"])
+
+    return rows.mapInArrow(run, f"{name} {rows.schema[name].dataType.simpleString()}, gram long")
+
+
+def winnowed(codes: np.ndarray) -> np.ndarray:
+    """Distinct smallest hashes of every STEP neighbouring grams; none for a text with fewer grams."""
+    n = len(codes) - GRAM + 1
+    if n < STEP:
+        return np.zeros(0, dtype=np.int64)
+    h = np.zeros(n, dtype=np.uint64)
+    for k in range(GRAM):
+        h = h * np.uint64(0x100000001B3) + codes[k : k + n]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return np.unique(np.lib.stride_tricks.sliding_window_view(h, STEP).min(axis=1)).view(np.int64)
+
+
 def _grams(text: Column, n: int) -> Column:
     """Distinct pieces of n characters."""
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substr(text, i, F.lit(n))))

@@ -34,3 +34,22 @@ def test_lists_of_values(spark):
 def test_frozen_orders(spark):
     got = matching.frozen_selection(spark.createDataFrame([(1, "c"), (2, "a"), (3, "c"), (4, "x"), (5, "d")], "place int, k string"), spark.createDataFrame([("a", 1), ("c", 3), ("d", 4), ("d", 5)], "k string, v int"), "k").orderBy("place").collect()
     assert [(r["k"], r["v"], r["status"]) for r in got] == [("c", 3, "FOUND"), ("a", 1, "FOUND"), ("c", None, "REPEATED"), ("x", None, "MISSING"), ("d", None, "REPEATED")]
+
+
+def test_sampled_grams_meet_every_text(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    say = lambda n: "".join(rng.choice("ab é日-") for _ in range(n))
+    texts = [say(rng.randint(0, 400)) for _ in range(40)] + ["ab" * 300, "", None]
+    quotes = []
+    for t in [t for t in texts if t and len(t) > 100] * 3:
+        a, n = rng.randint(0, len(t) - 60), rng.randint(1, 120)
+        quotes.append(t[a : a + n])
+    quotes += [say(60), "ab" * 40, " - ", None]
+    q = spark.createDataFrame(list(enumerate(quotes)), "q int, t string")
+    b = spark.createDataFrame(list(enumerate(texts)), "b int, t string")
+    rows = lambda: sorted(map(tuple, matching.located_quotes(q, b, "q", "t", "b", "t").collect()))
+    want = rows()
+    monkeypatch.setattr(matching, "MAX_QUOTE_BYTES", 0)
+    assert rows() == want and len(want) > len(quotes) // 2
