@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Events of a fault's life.
 FAULT_EVENTS = ("OBSERVED", "REOPENED", "RESOLVED", "VERIFIED", "EXERCISED")
@@ -58,14 +60,38 @@ LEASE_OUT = ("status", "owner", "attempts", "refused", "hits")
 
 
 def lease_states(events: DataFrame, key: str, event: str, at: str, owner: str, tie: str, lease: float = 60.0, max_attempts: int = 3) -> DataFrame:
-    """(key, status, owner, attempts, refused, hits) after all events: a fold in time order, one key at a time."""
+    """(key, status, owner, attempts, refused, hits) after all events: a fold in time order.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([at, tie], kind="stable")
-        s = fold_leases(zip(pdf[event], pdf[at].astype(float), pdf[owner].astype(str), strict=True), lease, max_attempts)
-        return pd.DataFrame([{key: pdf[key].iloc[0]} | {f: s[f] for f in LEASE_OUT}])
-
-    return events.groupBy(key).applyInPandas(run, f"{key} {events.schema[key].dataType.simpleString()}, status string, owner string, attempts long, refused long, hits long")
+    Events are dealt by key and sorted in each partition, so a task folds them as they stream by and holds one state, however long a key's history is.
+    """
+    rows = events.select(F.col(key).alias("key"), F.col(event).alias("event"), F.col(at).cast("double").alias("at"), F.col(owner).cast("string").alias("owner"), F.col(tie).alias("tie"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state = None, None
+        done: list[tuple] = []
+
+        def told() -> pa.RecordBatch:
+            keys, *cells = zip(*done, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys, kind), *[pa.array(c, t) for c, t in zip(cells, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)]], names=["key", *LEASE_OUT])
+
+        for batch in batches:
+            for k, *said in zip(*[batch.column(c).to_pylist() for c in ("key", "event", "at", "owner")], strict=True):
+                if state is None or k != now:
+                    if state is not None:
+                        done.append((now, *[state[f] for f in LEASE_OUT]))
+                    now, state = k, dict(START)
+                state = lease_step(state, said[0], said[1], str(said[2]), lease, max_attempts)
+            if len(done) > 10_000:
+                yield told()
+                done.clear()
+        if state is not None:
+            done.append((now, *[state[f] for f in LEASE_OUT]))
+        if done:
+            yield told()
+
+    kind = to_arrow_type(rows.schema["key"].dataType)
+    folded = rows.repartition("key").sortWithinPartitions("key", "at", "tie").mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, status string, owner string, attempts long, refused long, hits long")
+    return folded.withColumnRenamed("key", key)
 
 
 #: What a journal says before a probe is sent.
