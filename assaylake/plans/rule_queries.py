@@ -121,3 +121,106 @@ def pie_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of low tax and discount as colour votes: a supplier's picture, an angle for each line number, a series for each return flag."""
     votes = table(spark, sf_dir, "lineitem").where("l_tax < 0.01 AND l_discount < 0.03").select(F.col("l_suppkey").alias("image"), F.col("l_linenumber").alias("angle"), F.col("l_returnflag").alias("series"))
     return pixels.pie_share(votes, "image", "angle", "series")
+
+
+PIXELS = "WITH p AS (SELECT DISTINCT l_suppkey AS image, l_partkey % 40 AS x, CAST(l_quantity AS BIGINT) AS y FROM lineitem WHERE l_returnflag = 'R'), r AS (SELECT *, y - row_number() OVER (PARTITION BY image, x ORDER BY y) AS run FROM p)"
+
+
+def column_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as pixels of a supplier's picture, one a place: red where the line was returned, else black or nearly red."""
+    red = F.col("l_returnflag") == "R"
+    px = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("image"), (F.col("l_partkey") % 40).alias("x"), F.col("l_quantity").cast("long").alias("y"), F.when(red, 205).when(F.col("l_returnflag") == "A", 150).otherwise(0).alias("r"))
+    return px.groupBy("image", "x", "y").agg(F.max("r").alias("r")).withColumns({"g": F.lit(3), "b": F.lit(0)})
+
+
+@query(PIXELS + "SELECT image, x, quantile_cont(y, 0.5) AS y FROM (SELECT *, min(run) OVER (PARTITION BY image, x) AS first FROM r) WHERE run = first GROUP BY image, x")
+def first_run_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels.trace_first_run(column_pixels(spark, sf_dir), (200, 0, 0), 10.0)
+
+
+@query(PIXELS + "SELECT image, x, CASE WHEN count(DISTINCT run) = 1 THEN quantile_cont(y, 0.5) END AS y, min(y) AS y_min, max(y) AS y_max, CASE WHEN count(DISTINCT run) = 1 THEN 'READ' ELSE 'AMBIGUOUS' END AS status FROM r GROUP BY image, x")
+def unambiguous_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pixels.trace_unambiguous(column_pixels(spark, sf_dir), (200, 0, 0), 10.0)
+
+
+@query("""
+WITH p AS (SELECT l_orderkey AS figure, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS panel, ['curve', 'psd', 'xrd', 'ftir', 'bar', 'scatter', 'pie'][1 + l_partkey % 7] AS kind, l_returnflag = 'R' AS v, l_quantity * 10 AS x0, l_discount * 1000 AS y0 FROM lineitem)
+SELECT figure, panel, CASE WHEN EXISTS (SELECT 1 FROM p q WHERE q.figure = p.figure AND q.panel <> p.panel AND q.x0 < p.x0 + 40 AND q.x0 + 40 > p.x0 AND q.y0 < p.y0 + 30 AND q.y0 + 30 > p.y0) THEN 'manual'
+  WHEN v AND kind IN ('curve', 'psd') THEN 'vector' WHEN kind IN ('curve', 'psd', 'xrd', 'ftir') THEN 'raster' WHEN kind = 'bar' THEN 'bars' WHEN kind = 'scatter' THEN 'markers' ELSE 'manual' END AS backend FROM p
+""")
+def chart_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as figures with a panel for each line."""
+    from pyspark.sql import Window
+
+    kind = F.element_at(F.array(*map(F.lit, ("curve", "psd", "xrd", "ftir", "bar", "scatter", "pie"))), (F.col("l_partkey") % 7 + 1).cast("int"))
+    x, y = F.col("l_quantity") * 10, F.col("l_discount") * 1000
+    panel = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    panels = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("figure"), panel.alias("panel"), kind.alias("kind"), (F.col("l_returnflag") == "R").alias("has_vectors"), x.alias("x0"), y.alias("y0"), (x + 40).alias("x1"), (y + 30).alias("y1"))
+    return cells.chart_backend(panels).select("figure", "panel", "backend")
+
+
+@query("""
+SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'object' WHEN 1 THEN 'array' WHEN 2 THEN 'string' WHEN 3 THEN 'number' WHEN 4 THEN 'boolean' WHEN 5 THEN 'null' END AS kind FROM events
+""")
+def json_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of every kind from events: their properties, a list, a name, a number, a truth, nothing, and a broken text."""
+    from assaylake.functions import json_paths
+
+    said = F.array(F.col("props"), F.concat(F.lit("["), "event_id", F.lit("]")), F.to_json(F.array("event_type")), F.col("value").cast("string"), (F.col("value") > 1).cast("string"), F.lit("null"), F.concat(F.lit("{"), "event_type"))
+    one = F.element_at(said, (F.col("event_id") % 7 + 1).cast("int"))
+    plain = F.when(F.col("event_id") % 7 == 2, F.regexp_replace(one, r"^\[|\]$", "")).otherwise(one)
+    return table(spark, sf_dir, "events").select("event_id", json_paths.value_kind(plain).alias("kind"))
+
+
+def crossref_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search page for each customer with an item for each order; every fifth page has no items, and every seventh is cut off."""
+    k, year = F.col("o_orderkey"), F.year("o_orderdate")
+    date = lambda y, *more: F.struct(F.array(F.array(y, *map(F.lit, more))).alias("date-parts"))
+    pdf = F.when(k % 2 == 0, F.struct(F.concat(F.lit("https://h.org/"), k, F.lit(".pdf")).alias("URL"), F.lit("application/pdf").alias("content-type"))).otherwise(F.struct(F.lit("https://h.org/x").alias("URL"), F.lit("text/html").alias("content-type")))
+    cc = F.struct(F.lit("https://creativecommons.org/licenses/by/4.0/").alias("URL"), F.lit("vor").alias("content-version"), date(F.when(k % 3 == 1, 2999).otherwise(2020), 2).alias("start"))
+    closed = F.struct(F.lit("https://h.org/terms").alias("URL"), F.lit("vor").alias("content-version"), date(F.lit(2000)).alias("start"))
+    item = F.struct(
+        F.concat(F.lit("10.1234/X"), k).alias("DOI"), F.array("o_orderpriority").alias("title"), F.array(F.struct(F.lit("A").alias("given"), F.concat(F.lit("B"), "o_custkey").alias("family"))).alias("author"), date(year, 5).alias("issued"),
+        F.when(F.col("o_orderstatus") == "P", date(year + 1)).alias("published-print"), F.array(pdf).alias("link"), F.array(F.when(k % 3 == 2, closed).otherwise(cc)).alias("license"), F.concat(F.lit("https://h.org/"), k).alias("URL"),
+    )
+    pages = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.struct(F.collect_list(item).alias("items")).alias("message"))).alias("payload"))
+    return pages.withColumn("payload", F.when(F.col("o_custkey") % 5 == 0, '{"message": {"total": 0}}').when(F.col("o_custkey") % 7 == 0, F.expr("left(payload, 40)")).otherwise(F.col("payload")))
+
+
+@query("""
+SELECT o_custkey, '10.1234/x' || o_orderkey AS doi, o_orderpriority AS title, 'A B' || o_custkey AS author, CAST(year(o_orderdate) + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS INTEGER) AS year, 'https://h.org/' || o_orderkey AS landing_url,
+  CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'https://h.org/' || o_orderkey || '.pdf' END AS fulltext_url, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'OPEN_FULLTEXT_CANDIDATE' ELSE 'UNRESOLVED' END AS access_status
+FROM orders WHERE o_custkey % 5 <> 0 AND o_custkey % 7 <> 0
+""")
+def crossref_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assaylake.sources import discovery
+
+    good, _ = discovery.split_envelopes(crossref_pages(spark, sf_dir), "payload", discovery.CROSSREF, "message.items")
+    found = discovery.crossref(good, F.lit("2024-01-01").cast("date"))
+    return found.select("o_custkey", "doi", "title", F.get("authors", 0).alias("author"), "year", "landing_url", "fulltext_url", "access_status")
+
+
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 5 = 0 OR o_custkey % 7 = 0")
+def rejected_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assaylake.sources import discovery
+
+    return discovery.split_envelopes(crossref_pages(spark, sf_dir), "payload", discovery.CROSSREF, "message.items")[1].select("o_custkey")
+
+
+@query("""
+SELECT o_custkey, '10.1234/z' || o_orderkey AS doi, 'W' || o_orderkey AS openalex_id, CAST(year(o_orderdate) AS INTEGER) AS year, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 = 0 THEN 'https://a.org/' || o_orderkey WHEN o_orderkey % 5 = 0 THEN 'https://b.org/' || o_orderkey END AS fulltext_url,
+  CASE WHEN o_orderkey % 6 = 0 OR o_orderkey % 5 = 0 THEN 'OPEN_FULLTEXT_CANDIDATE' ELSE 'UNRESOLVED' END AS access_status FROM orders
+""")
+def openalex_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works with two locations: the first is open for even orders and has a document for every third, the second is open with one for every fifth."""
+    from assaylake.sources import discovery
+
+    k = F.col("o_orderkey")
+    place = lambda host, open_, has: F.struct(open_.alias("is_oa"), F.when(has, F.concat(F.lit(f"https://{host}.org/"), k)).alias("pdf_url"), F.concat(F.lit(f"https://{host}.org/"), k, F.lit("/view")).alias("landing_page_url"))
+    work = F.struct(
+        F.concat(F.lit("W"), k).alias("id"), F.concat(F.lit("https://doi.org/10.1234/Z"), k).alias("doi"), F.col("o_orderpriority").alias("title"), F.year("o_orderdate").alias("publication_year"),
+        F.array(F.struct(F.struct(F.concat(F.lit("N"), "o_custkey").alias("display_name")).alias("author"))).alias("authorships"), F.array(place("a", k % 2 == 0, k % 3 == 0), place("b", F.lit(True), k % 5 == 0)).alias("locations"),
+    )
+    pages = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(work).alias("results"))).alias("payload"))
+    found = discovery.openalex(discovery.split_envelopes(pages, "payload", discovery.OPENALEX, "results")[0])
+    return found.select("o_custkey", "doi", "openalex_id", "year", "fulltext_url", "access_status")
