@@ -224,3 +224,64 @@ def openalex_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(work).alias("results"))).alias("payload"))
     found = discovery.openalex(discovery.split_envelopes(pages, "payload", discovery.OPENALEX, "results")[0])
     return found.select("o_custkey", "doi", "openalex_id", "year", "fulltext_url", "access_status")
+
+
+@query("""
+WITH s AS (SELECT p_partkey, lower(p_name) || CASE p_size % 4 WHEN 0 THEN ' paste' WHEN 1 THEN ' mortar bars' ELSE '' END || CASE WHEN p_partkey % 3 = 0 THEN ', Concrete' ELSE ' pastel' END AS t FROM part),
+n AS (SELECT p_partkey, regexp_matches(t, '\\bpaste\\b') AS a, regexp_matches(t, '\\bmortar\\b') AS b, regexp_matches(lower(t), '\\bconcrete\\b') AS c FROM s)
+SELECT p_partkey, CASE WHEN a::INT + b::INT + c::INT = 1 THEN CASE WHEN a THEN 'paste' WHEN b THEN 'mortar' ELSE 'concrete' END END AS specimen FROM n
+""")
+def specimen_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names with words for one kind of specimen, for two, or for none."""
+    first = F.when(F.col("p_size") % 4 == 0, " paste").when(F.col("p_size") % 4 == 1, " mortar bars").otherwise("")
+    said = F.concat("p_name", first, F.when(F.col("p_partkey") % 3 == 0, ", Concrete").otherwise(" pastel"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.specimen_type(said).alias("specimen"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag <> 'R', l_linenumber, l_partkey) AS k FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, max(l_returnflag) OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey) AS l_returnflag FROM lineitem)) WHERE k = 1")
+def stable_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The returned line of an order, else its first; a line's key is its number and part."""
+    from assaylake.operators import ranking
+
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max("l_returnflag").alias("flag")).withColumn("key", F.struct("l_linenumber", "l_partkey"))
+    return ranking.labelled_first(rows, "l_orderkey", F.col("flag") == "R", "key").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("""
+WITH h AS (SELECT l_orderkey AS g, l_linenumber AS page, CASE l_returnflag WHEN 'R' THEN 'methods' WHEN 'A' THEN 'results' END AS t FROM lineitem),
+a AS (SELECT g, min(page) AS a FROM h WHERE t = 'methods' GROUP BY g), b AS (SELECT h.g, a, min(page) AS b FROM h JOIN a ON h.g = a.g WHERE t = 'results' AND page >= a GROUP BY h.g, a)
+SELECT g AS l_orderkey, CAST(unnest(range(a, b + 1)) AS INTEGER) AS page FROM b WHERE b - a < 3
+""")
+def page_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as headings of an order's pages: from the first returned one to the next accepted one, three pages at most."""
+    from assaylake.operators import ranking
+
+    title = F.when(F.col("l_returnflag") == "R", "Methods").when(F.col("l_returnflag") == "A", "Results").otherwise("other")
+    headings = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("page"), title.alias("title"))
+    return ranking.page_span(headings, "l_orderkey", "page", F.col("title"), "methods", "results", most=3)
+
+
+@query("""
+WITH c AS (SELECT l_orderkey AS t, count(DISTINCT l_partkey % 5) AS n FROM lineitem WHERE l_partkey % 5 < 3 GROUP BY l_orderkey),
+f AS (SELECT o_custkey AS document, o_orderkey AS table_id FROM orders JOIN c ON t = o_orderkey WHERE n >= 2 AND o_orderpriority LIKE '1%')
+SELECT document, table_id, CASE WHEN count(*) OVER (PARTITION BY document) = 1 THEN 'SELECTED' ELSE 'AMBIGUOUS' END AS status FROM f
+""")
+def selected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tables of a customer whose caption is urgent and that hold two known labels among their parts."""
+    captions = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("document"), F.col("o_orderkey").alias("table_id"), F.concat(F.lit("Table of "), "o_orderpriority").alias("caption"))
+    grid = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("table_id"), F.concat(F.lit("L"), F.col("l_partkey") % 5).alias("text"))
+    return cells.one_table(captions, grid, "(?i)^table of 1", spark.createDataFrame([("L0",), ("L1",), ("L2",)], "label string"), least=2)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, coalesce(l_returnflag = 'R', false) OR l_linenumber % 4 = 1 OR l_partkey % 5 = 2 OR l_suppkey % 6 = 3 AS waits FROM lineitem
+""")
+def repair_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as fields that are blocked, in a state of repair, under its code, or whose reason says so."""
+    from assaylake.operators import review
+
+    status = F.when(F.col("l_linenumber") % 4 == 1, review.REPAIR_STATES[0]).otherwise("reported")
+    code = F.when(F.col("l_partkey") % 5 == 2, review.REPAIR_CODES[1]).otherwise("OK")
+    reason = F.when(F.col("l_suppkey") % 6 == 3, F.concat(F.lit("x "), F.lit(review.REPAIR_WORD)))
+    waits = review.waits_for_repair(F.when(F.col("l_returnflag") != "A", F.col("l_returnflag") == "R"), status, code, F.lit(None).cast("string"), reason)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", waits.alias("waits"))
