@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from assaylake.llm import entries, pii
+from assaylake.llm import entries, near_copies, pii
 from assaylake.llm._common import written
 from assaylake.llm.simhash import shingle_hashes
 
@@ -87,3 +87,19 @@ def test_oracles(spark, name):
     want = db.sql(entries.oracle_sql()[name])
     got = entries.queries()[name](spark, SF).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_recall_at_the_threshold():
+    """Pairs of random sets at a similarity of exactly 0.8, beyond the sizes that meet exactly, are within the radii."""
+    import numpy as np
+
+    near, far = near_copies.radii(0.8)
+    rng = np.random.default_rng(0)
+    missed = 0
+    for part in (8, 30):
+        for k in range(800):
+            h = rng.integers(0, 2**64, 10 * part, dtype=np.uint64)
+            a, b = (h[: 9 * part], h[part:]) if k % 2 else (h[: 8 * part], h)  # eight of ten shared, in sets of one size or one within the other
+            bits = [(x ^ y).bit_count() for x, y in zip(near_copies.words_of(np.unique(a)), near_copies.words_of(np.unique(b)))]
+            missed += bits[0] > near or sum(bits) > far
+    assert missed <= 8
