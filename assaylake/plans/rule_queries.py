@@ -285,3 +285,35 @@ def repair_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
     reason = F.when(F.col("l_suppkey") % 6 == 3, F.concat(F.lit("x "), F.lit(review.REPAIR_WORD)))
     waits = review.waits_for_repair(F.when(F.col("l_returnflag") != "A", F.col("l_returnflag") == "R"), status, code, F.lit(None).cast("string"), reason)
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", waits.alias("waits"))
+
+
+@query("""
+WITH s AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'H₂O₂ ' || p_size || '%' WHEN 1 THEN 'SPC powder' WHEN 2 THEN 'h2o2 and spc' WHEN 3 THEN 'h2o2x' ELSE p_name END AS t FROM part),
+n AS (SELECT p_partkey, lower(translate(t, '₀₁₂₃₄₅₆₇₈₉', '0123456789')) AS t FROM s), m AS (SELECT p_partkey, regexp_matches(t, '(^|[^a-z0-9_])h2o2([^a-z0-9_]|$)') AS a, regexp_matches(t, '(^|[^a-z0-9_])spc([^a-z0-9_]|$)') AS b FROM n)
+SELECT p_partkey, CASE WHEN a AND NOT b THEN 'h2o2' WHEN b AND NOT a THEN 'spc' ELSE 'foaming_agent' END AS agent FROM m
+""")
+def foaming_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey") % 5
+    said = F.when(k == 0, F.concat(F.lit("H₂O₂ "), "p_size", F.lit("%"))).when(k == 1, "SPC powder").when(k == 2, "h2o2 and spc").when(k == 3, "h2o2x").otherwise(F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.foaming_agent(said).alias("agent"))
+
+
+@query("SELECT p_partkey, 'A paste; N' || p_size || '; B' || CASE WHEN p_partkey % 3 = 0 THEN '; extra A' ELSE '' END AS shown FROM part")
+def replaced_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of segments with terms of which one begins another, and with segments that come twice."""
+    from assaylake.functions import display
+
+    said = F.concat(F.lit("alpha paste; N"), "p_size", F.lit(";alphabet ; alpha paste"), F.when(F.col("p_partkey") % 3 == 0, "; extra alpha").otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", display.replace_terms(said, {"alpha": "A", "alphabet": "B"}).alias("shown"))
+
+
+@query("""
+WITH m AS (SELECT l_suppkey AS page, l_orderkey * 10 + l_linenumber AS marker, l_quantity AS x, l_discount * 100 AS y, l_linenumber AS dx, l_partkey % 11 AS dy FROM lineitem)
+SELECT page, marker, x, round(y, 3) AS y, count(*) OVER (PARTITION BY dx, dy) AS n FROM m
+""")
+def copied_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as marks of two points; marks of one shape are copies wherever they stand."""
+    x, y = F.col("l_quantity").cast("double"), (F.col("l_discount") * 100).cast("double")
+    point = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    marks = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("marker"), F.array(point(x + F.col("l_linenumber"), y + F.col("l_partkey") % 11), point(x, y)).alias("points"))
+    return pixels.translated_copies(marks).select("page", "marker", "x", F.round("y", 3).alias("y"), "n")
