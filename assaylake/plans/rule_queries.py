@@ -317,3 +317,15 @@ def copied_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     point = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
     marks = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("marker"), F.array(point(x + F.col("l_linenumber"), y + F.col("l_partkey") % 11), point(x, y)).alias("points"))
     return pixels.translated_copies(marks).select("page", "marker", "x", F.round("y", 3).alias("y"), "n")
+
+
+@query(r"""
+WITH h AS (SELECT p_partkey, ['Si O₂', 'Al2 O3', 'LOI a', 'Fe2O3 + Ca O', 'Others', 'Mix ' || p_size, 'K₂O', 'loi'][1 + p_partkey % 8] AS h FROM part),
+l AS (SELECT p_partkey, translate(regexp_replace(h, '\s+', '', 'g'), '₀₁₂₃₄₅₆₇₈₉', '0123456789') AS plain FROM h),
+o AS (SELECT p_partkey, CASE WHEN regexp_matches(plain, '^LOI[a-z*†‡]$') THEN 'LOI' ELSE plain END AS label FROM l)
+SELECT p_partkey, label, regexp_matches(label, '^([A-Z][a-z]?[0-9]*O[0-9]*(\+[A-Z][a-z]?[0-9]*O[0-9]*)*|LOI|Others?)$') AS is_component FROM o
+""")
+def oxide_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(F.lit("Si O₂"), F.lit("Al2 O3"), F.lit("LOI a"), F.lit("Fe2O3 + Ca O"), F.lit("Others"), F.concat(F.lit("Mix "), "p_size"), F.lit("K₂O"), F.lit("loi"))
+    header = F.element_at(names, (F.col("p_partkey") % 8 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.oxide_label(header).alias("label"), text.is_component(header).alias("is_component"))
