@@ -75,6 +75,12 @@ def test_display(spark):
     assert tuple(row) == ("2 h", "90 s", "1.5 d", None, "0.0", "1234568", "0.5", "steam, 60 °C, 1 h", "FA; A")
 
 
+def test_long_durations_have_six_digits(spark):
+    said = {128345400: "128345000 s", 129000600: "129001000 s", 1002600: "1002600 s", 999999: "999999 s", 3600 * 1234567: "1234567 h"}
+    got = spark.createDataFrame([(float(s),) for s in said], "s double").select("s", display.duration(F.col("s"))).collect()
+    assert {int(r[0]): r[1] for r in got} == said
+
+
 def test_ticks(spark):
     cases = {"good": [(0.0, 1.0), (10.0, 10.0), (20.0, 100.0)], "few": [(0.0, 1.0), (1.0, 2.0)], "pixel": [(0.0, 1.0), (0.0, 2.0), (1.0, 3.0)], "zero": [(0.0, 0.0), (1.0, 2.0), (2.0, 3.0)], "turn": [(0.0, 1.0), (1.0, 3.0), (2.0, 2.0)], "off": [(0.0, 1.0), (15.0, 10.0), (20.0, 100.0)]}
     rows = spark.createDataFrame(list(cases.items()), "name string, ticks array<struct<px: double, value: double>>")
