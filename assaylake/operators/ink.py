@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.operators.pixels import components, nearest_colour
+from assaylake.plans.storage import unsent
 
 NEXT = ((1, 0), (-1, 0), (0, 1), (0, -1))
 
@@ -42,7 +43,7 @@ def islands(rows: DataFrame, at: str, group: list[str], *breaks: Column) -> Data
 def axis_lines(ink: DataFrame, share: float = 0.5) -> DataFrame:
     """(image, x0, x1, y0, y1): upright lines, as thick as they are, over at least a share of the image's inked height."""
     height = ink.groupBy("image").agg((F.max("y") - F.min("y") + 1).alias("_h"))
-    tall = ink_runs(ink, "y", "image", "x").join(height, "image").where(F.col("end") - F.col("start") + 1 >= share * F.col("_h"))
+    tall = ink_runs(ink, "y", "image", "x").join(unsent(height), "image").where(F.col("end") - F.col("start") + 1 >= share * F.col("_h"))
     column = tall.groupBy("image", "x").agg(F.max_by(F.struct("start", "end"), F.struct(F.col("end") - F.col("start"), -F.col("start"))).alias("r"))
     return islands(column, "x", ["image"]).groupBy("image", "island").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("r.start").alias("y0"), F.max("r.end").alias("y1")).drop("island")
 
@@ -56,7 +57,7 @@ def axis_ticks(ink: DataFrame, share: float = 0.5, reach: int = 12, least: int =
     """
     edge = F.col("x0") if side < 0 else F.col("x1")
     lines = axis_lines(ink, share).withColumn("axis_x", edge)
-    near = ink.select("image", "x", "y").dropna().distinct().join(lines, "image").withColumn("_d", (F.col("x") - edge) * side)
+    near = ink.select("image", "x", "y").dropna().distinct().join(unsent(lines), "image").withColumn("_d", (F.col("x") - edge) * side)
     beside = near.where(F.col("_d").between(1, reach) & F.col("y").between(F.col("y0"), F.col("y1")))
     joined = beside.withColumn("_n", F.row_number().over(Window.partitionBy("image", "axis_x", "y").orderBy("_d"))).where("_n = _d")
     stubs = joined.groupBy("image", "axis_x", "y").agg(F.count(F.lit(1)).alias("length")).where("length >= 2")
@@ -64,11 +65,11 @@ def axis_ticks(ink: DataFrame, share: float = 0.5, reach: int = 12, least: int =
     ticks = islands(stubs, "y", keys).groupBy(*keys, "island").agg(F.avg("y").alias("y"), F.max("length").alias("length")).drop("island")
     levels = ticks.select(*keys, F.col("length").alias("level")).distinct()  # `reach` of them at most
     order = Window.partitionBy(*keys, "level").orderBy("y")
-    tried = ticks.join(levels, keys).where("length >= level").withColumn("_step", F.col("y") - F.lag("y").over(order))
+    tried = ticks.join(unsent(levels), keys).where("length >= level").withColumn("_step", F.col("y") - F.lag("y").over(order))
     sets = tried.groupBy(*keys, "level").agg(F.count(F.lit(1)).alias("n"), (F.max("_step") - F.min("_step")).alias("_uneven")).where(F.col("n") >= least)
     fit = sets.where(F.col("_uneven") <= 2 * tolerance) if even else sets
     best = fit.groupBy("image").agg(F.max_by(F.struct("axis_x", "level"), F.struct("n", -F.col("axis_x") * -side, "level")).alias("b")).select("image", "b.*")
-    return tried.join(best, ["image", "axis_x", "level"]).select("image", "axis_x", F.row_number().over(Window.partitionBy("image").orderBy("y")).alias("place"), "y", "length")
+    return tried.join(unsent(best), ["image", "axis_x", "level"]).select("image", "axis_x", F.row_number().over(Window.partitionBy("image").orderBy("y")).alias("place"), "y", "length")
 
 
 def axis_fits(ticks: DataFrame, group: list[str], pixel: str, value: str, log: bool = False) -> DataFrame:

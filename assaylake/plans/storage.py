@@ -48,3 +48,8 @@ def cut(df: DataFrame) -> DataFrame:
     """`df` behind a reliable checkpoint."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def unsent(df: DataFrame) -> DataFrame:
+    """`df` as a side of joins that is shuffled and never broadcast: the planner takes exploded rows to be as few as the rows of the file they come from."""
+    return df.hint("merge")

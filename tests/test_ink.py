@@ -124,3 +124,8 @@ def test_marked_values(spark, log):
     assert got[99]["status"] == "TOO_FEW_TICKS" and got[99]["value"] is None
     bad = spark.createDataFrame([("a", 0.0, 1.0), ("a", 10.0, 2.0), ("a", 20.0, 90.0)], "panel string, pixel double, value double")
     assert {r["status"] for r in ink.marked_values(marks.where("panel = 'a'"), ink.axis_fits(bad, ["panel"], "pixel", "value"), ["panel"], "y", "half").collect()} == {"AXIS_NOT_STRAIGHT"}
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    plan = ink.axis_ticks(spark.range(2).selectExpr("id AS image", "explode(sequence(1, 40)) AS y").selectExpr("image", "20 AS x", "y"))._jdf.queryExecution().toString()
+    assert "Broadcast" not in plan.split("== Physical Plan ==")[1]
