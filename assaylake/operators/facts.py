@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.functions.text import NUMBER
+from assaylake.plans.storage import unsent
 
 BUCKET = 64
 PERCENT = r"\s*(?:wt\.?\s*)?%"
@@ -71,7 +72,7 @@ def boxed(spans: DataFrame, placed: DataFrame) -> DataFrame:
     buckets = lambda: F.explode(F.sequence(F.floor(F.col("lo") / BUCKET), F.floor((F.col("hi") - 1) / BUCKET))).alias("_b")
     keys = spans.columns
     w = placed.select("document", "page", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), "x0", "y0", "x1", "y1", buckets())
-    met = spans.select(*keys, buckets()).join(w, ["document", "page", "_b"]).where("_lo < hi AND _hi > lo")
+    met = spans.select(*keys, buckets()).join(unsent(w), ["document", "page", "_b"]).where("_lo < hi AND _hi > lo")
     return met.groupBy(*keys).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))  # a word that two buckets hold counts twice, to no effect
 
 

@@ -68,3 +68,9 @@ def test_table_text_is_out_of_scope(spark):
             if on or not anywhere or b[7] == "Table 1":
                 want.add((d, b[2]))
     assert got == want and 0 < len(got) < len(blocks)
+
+
+def test_words_are_not_broadcast(spark):
+    words = spark.range(2).selectExpr("id AS document", "1 AS page", "posexplode(array('Slag', 'contained', '5.5', '%', 'quartz', 'and', '7', '%', 'mullite')) AS (place, text)").selectExpr("*", "0D AS x0", "0D AS y0", "1D AS x1", "1D AS y1")
+    plan = facts.phase_facts(words)._jdf.queryExecution().toString()
+    assert "Broadcast" not in plan.split("== Physical Plan ==")[1]
