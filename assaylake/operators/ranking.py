@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaylake.plans.storage import cut
+from assaylake.plans.storage import cut, written
 
 
 def ranked(rows: DataFrame, order: list[Column | str], k: int | None = None, group: list[str] | None = None, name: str = "rank") -> DataFrame:
@@ -132,3 +132,15 @@ def page_span(headings: DataFrame, group: str, page_: str, title: str, first: st
     ends = headings.where(F.lower(title) == last).join(start, group).where(F.col(page_) >= F.col("_a")).groupBy(group).agg(F.min(page_).alias("_b"))
     span = start.join(ends, group).where(F.col("_b") - F.col("_a") < most)
     return span.select(group, F.explode(F.sequence("_a", "_b")).alias(page_))
+
+
+def numbered(rows: DataFrame, place: str, *order: Column) -> DataFrame:
+    """`rows` with their place (from 1) in one order of all: dealt to ranges of the order, counted by range, and numbered within each.
+
+    The dealt rows are written while the frame is built, as the ranges must stay. Rows that the order holds equal are of one range, so it should tell rows apart.
+    """
+    dealt = written(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # one row a range
+    within = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    return within.join(F.broadcast(starts), "_p").withColumn(place, F.col("_start") + F.col("_r")).drop("_p", "_start", "_r")

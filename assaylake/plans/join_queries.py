@@ -216,10 +216,10 @@ SELECT place, c_custkey, CASE WHEN turn = 1 THEN c_name END AS c_name, CASE WHEN
 """)
 def frozen_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of orders, in the order of the orders' prices; every ninth customer is in no catalog."""
-    from pyspark.sql import Window
+    from assaylake.operators import ranking
 
-    place = F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey"))
-    selected = table(spark, sf_dir, "orders").select(place.alias("place"), (F.col("o_custkey") % 1000).alias("c_custkey"))
+    priced = table(spark, sf_dir, "orders").select("o_totalprice", "o_orderkey", (F.col("o_custkey") % 1000).alias("c_custkey"))
+    selected = ranking.numbered(priced, "place", F.desc("o_totalprice"), F.col("o_orderkey")).select("place", "c_custkey")
     return matching.frozen_selection(selected, table(spark, sf_dir, "customer").where("c_custkey % 9 != 4").select("c_custkey", "c_name"), "c_custkey")
 
 

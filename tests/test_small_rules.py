@@ -36,6 +36,18 @@ def test_frozen_orders(spark):
     assert [(r["k"], r["v"], r["status"]) for r in got] == [("c", 3, "FOUND"), ("a", 1, "FOUND"), ("c", None, "REPEATED"), ("x", None, "MISSING"), ("d", None, "REPEATED")]
 
 
+def test_numbers_of_one_order_come_from_ranges(spark):
+    from assaylake.operators import ranking
+    from assaylake.plans import catalogue
+
+    rows = spark.createDataFrame([(float(i % 7) if i % 11 else None, i) for i in range(500)], "v double, k int").repartition(5)
+    got = ranking.numbered(rows, "place", F.desc("v"), F.col("k")).collect()
+    told = sorted(got, key=lambda r: (r["v"] is None, -(r["v"] or 0), r["k"]))
+    assert [r["place"] for r in told] == list(range(1, 501)) and ranking.numbered(rows.limit(0), "place", F.col("k")).isEmpty()
+    plan = catalogue.QUERIES["frozen_order"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(o_totalprice" not in plan  # no window over all orders at once
+
+
 def test_sampled_grams_meet_every_text(spark, monkeypatch):
     import random
 
