@@ -70,30 +70,33 @@ def leaves(rows: DataFrame, key: str, text: str) -> DataFrame:
     return opened(start.where("v IS NOT NULL"))
 
 
-def nodes(found: DataFrame) -> DataFrame:
-    """record_key, path, kind, json: one row for each node of the trees; kind is null for leaves."""
-    at = F.explode(F.sequence(F.lit(0), F.size("path"))).alias("j")
-    last = F.col("j") == F.size("path")
-    each = found.select("record_key", "path", "kinds", "json", at).select("record_key", F.expr("slice(path, 1, j)").alias("path"), F.when(~last, F.expr("substring(kinds, j + 1, 1)")).alias("kind"), F.when(last, F.col("json")).alias("json"))
-    return each.groupBy("record_key", "path").agg(F.max("kind").alias("kind"), F.max("json").alias("json"))
-
-
 def fold(tree: DataFrame) -> DataFrame:
-    """record_key, json: the texts of trees given as `nodes`."""
+    """record_key, json: the texts of trees given as one row for each node (record_key, path, kind, json); kind is null for leaves."""
     depth = tree.agg(F.coalesce(F.max(F.size("path")), F.lit(0)).alias("n")).first()["n"]
     now = tree.repartition("record_key")
     for d in range(depth, 0, -1):
         deep = F.size("path") == d
-        kid = F.struct(F.element_at("path", -1).alias("token"), F.element_at("path", -1).try_cast("int").alias("place"), "json")
         group = F.when(deep, F.slice("path", 1, d - 1)).otherwise(F.col("path")).alias("path")
-        met = now.groupBy("record_key", group).agg(F.max(F.when(~deep, F.col("kind"))).alias("kind"), F.max(F.when(~deep, F.col("json"))).alias("json"), F.collect_list(F.when(deep, kid)).alias("kids"))
-        in_order = F.when(F.col("kind") == "a", F.sort_array(F.transform("kids", lambda m: F.struct(m["place"], F.lit("").alias("token"), m["json"])))).otherwise(F.sort_array(F.transform("kids", lambda m: F.struct(F.lit(0).alias("place"), m["token"], m["json"]))))
-        now = met.withColumn("kids", in_order).withColumn("json", F.when(F.size("kids") == 0, F.col("json")).when(F.col("kind") == "a", list_text("kids")).otherwise(object_text("kids"))).drop("kids")
+        met = now.groupBy("record_key", group).agg(F.max(F.when(~deep, F.col("kind"))).alias("kind"), F.max(F.when(~deep, F.col("json"))).alias("json"), F.collect_list(F.when(deep, kid())).alias("kids"))
+        now = met.withColumn("kids", in_order()).withColumn("json", folded()).drop("kids")
         if d % LEVELS == 1 and d > 1:
             now = written(now).repartition("record_key")
     return now.select("record_key", "json")
 
 
+def kid() -> Column:
+    return F.struct(F.element_at("path", -1).alias("token"), F.element_at("path", -1).try_cast("int").alias("place"), "json")
+
+
+def in_order() -> Column:
+    return F.when(F.col("kind") == "a", F.sort_array(F.transform("kids", lambda m: F.struct(m["place"], F.lit("").alias("token"), m["json"])))).otherwise(F.sort_array(F.transform("kids", lambda m: F.struct(F.lit(0).alias("place"), m["token"], m["json"]))))
+
+
+def folded() -> Column:
+    """A node's text: its own where it has no members."""
+    return F.when(F.size("kids") == 0, F.col("json")).when(F.col("kind") == "a", list_text("kids")).otherwise(object_text("kids"))
+
+
 def object_text(kids: str) -> Column:
     def member(m: Column) -> Column:
         name = F.to_json(F.array(m["token"]))  # ["name"]
@@ -109,7 +112,17 @@ def list_text(kids: str) -> Column:
 
 def rebuilt(found: DataFrame) -> DataFrame:
     """record_key, json: the canonical texts of records given as `leaves`, exactly."""
-    return fold(nodes(found))
+    depth = found.agg(F.coalesce(F.max(F.size("path")), F.lit(0)).alias("n")).first()["n"]
+    now = found.repartition("record_key").groupBy("record_key", "path").agg(F.max("kinds").alias("kinds"), F.max("json").alias("json"))
+    for d in range(depth, 0, -1):
+        deep = F.size("path") == d
+        group = F.when(deep, F.slice("path", 1, d - 1)).otherwise(F.col("path")).alias("path")
+        met = now.groupBy("record_key", group).agg(F.max(F.when(~deep, F.col("kinds"))).alias("kinds"), F.max(F.when(deep, F.col("kinds"))).alias("below"), F.max(F.when(~deep, F.col("json"))).alias("json"), F.collect_list(F.when(deep, kid())).alias("kids"))
+        met = met.withColumn("kind", F.substring("below", d, 1))  # a container's kind is told by what lies in it
+        now = met.select("record_key", "path", F.coalesce(F.substring("below", 1, d - 1), "kinds").alias("kinds"), "kind", "json", in_order().alias("kids")).withColumn("json", folded()).drop("kind", "kids")
+        if d % LEVELS == 1 and d > 1:
+            now = written(now).repartition("record_key")
+    return now.select("record_key", "json")
 
 
 def nested_claims(rows: DataFrame, key: str, text: str, collection: str) -> DataFrame:

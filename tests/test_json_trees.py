@@ -99,3 +99,10 @@ def test_set_pointers(spark):
 def test_defects(spark, text, pointer, reason):
     edit = spark.createDataFrame([("1", pointer, "2")], "record_key string, pointer string, value string")
     assert json_trees.set_pointers(spark.createDataFrame([(1, text)], "k int, t string"), "k", "t", edit).first()["defects"] == [reason]
+
+
+def test_leaves_fold_without_rows_for_their_nodes(spark):
+    rows = [("r", ["a", "1", "b"], "oao", "2"), ("r", ["a", "0"], "oa", "1"), ("r", ["c"], "o", "{}"), ("r", ["c"], "o", "{}"), ("s", [], "", "null")]
+    got = json_trees.rebuilt(spark.createDataFrame(rows, "record_key string, path array<string>, kinds string, json string"))
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    assert {r["record_key"]: r["json"] for r in got.collect()} == {"r": '{"a":[1,{"b":2}],"c":{}}', "s": "null"}
