@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaylake.plans.storage import written
-
 
 def property_cells(cells: DataFrame, wanted: DataFrame) -> DataFrame:
     """(request, table_id, row, column, text, n_hits): the cell of a specimen and a property, whichever of them heads rows or columns.
@@ -32,19 +30,6 @@ def one_table(captions: DataFrame, cells: DataFrame, caption_pattern: str, known
     return fit.select("document", "table_id", F.when(n == 1, "SELECTED").otherwise("AMBIGUOUS").alias("status"))
 
 
-def cell_runs(cells: DataFrame, line: list[str], text: Column, what: Column, between: str) -> DataFrame:
-    """(line, run, line): the index of each line of cells: its cells from the left with the offsets lo to hi of their text, and the line's whole text.
-
-    Empty cells take no room. A piece of the line is a run of whole cells if it begins at a lo and ends at a hi.
-    """
-    said = cells.select(*line, "column", text.alias("_t"), what.alias("what")).withColumn("_n", F.length("_t") + F.when(F.col("_t") != "", len(between)).otherwise(0))
-    order = Window.partitionBy(*line).orderBy("column").rowsBetween(Window.unboundedPreceding, 0)
-    placed = said.withColumn("_end", F.sum("_n").over(order).cast("int"))
-    cell = F.struct("column", (F.col("_end") - F.col("_n")).cast("int").alias("lo"), (F.col("_end") - F.col("_n") + F.length("_t")).cast("int").alias("hi"), "what", F.col("_t").alias("t"))
-    got = placed.groupBy(*line).agg(F.sort_array(F.collect_list(cell)).alias("run"))
-    return got.withColumn("line", F.array_join(F.filter(F.transform("run", lambda c: c["t"]), lambda t: t != ""), between))
-
-
 #: How an id names its table, row and column.
 CELL_ID = r"^[^:]*:\d+:\d+$"
 
@@ -54,53 +39,57 @@ def normal_text(text: Column) -> Column:
 
 
 def resolve_anchors(cells: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(table_id, anchor, ids, status) for anchors (table_id, anchor, ids array, label) on cells (table_id, id, row, column, text).
+    """(table_id, anchor, ids, status) for anchors (table_id, anchor, ids array, label) on cells (table_id, id, row, column, text): see `anchored`.
+
+    A table's cells are one row, which its anchors meet in one equi-join; all rules are functions of that row.
+    """
+    cell = F.struct("row", "column", F.col("id").cast("string").alias("id"), normal_text(F.col("text")).alias("t"))
+    grids = cells.groupBy("table_id").agg(F.sort_array(F.collect_list(cell)).alias("grid"))
+    asked = anchors.select("table_id", "anchor", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"), normal_text(F.col("label")).alias("wanted"))
+    got = anchored(asked.join(grids, "table_id", "left"))
+    return got.select("table_id", "anchor", F.col("found").alias("ids"), F.when(F.col("found").isNotNull(), "RESOLVED").otherwise("NOT_FOUND").alias("status"))
+
+
+def anchored(rows: DataFrame) -> DataFrame:
+    """`rows` (ids, wanted: a normal text, grid: row, column, id, normal text t of their table's cells in reading order) with `found`, the ids that are meant, or null.
 
     An anchor whose ids all exist means those. Otherwise its label is looked for: the ids that exist, if together they say it; one cell; whole cells of a row; cells
     of several rows that say it one after the other with others between them. The nearest to the place that the first well-formed id names wins, then the first in
-    reading order. Only where nothing says the label, cells that contain it count. Candidates come from an index by a cell's first word, by
-    equi-join on the table and the label's first word, and are then verified; only labels found nowhere meet their table's cells. Candidates are written as tables while
-    the frame is built, as several rules read them.
+    reading order. Only where nothing says the label, cells that contain it count. A label without words is said by nothing.
     """
-    own = cells.select("table_id", "id", "row", "column", normal_text(F.col("text")).alias("t"))
-    place = lambda i: F.regexp_extract_all(F.element_at(F.filter("ids", lambda x: x.rlike(CELL_ID)), 1), F.lit(r":(\d+)"), F.lit(1))[i].cast("int")
-    asked = anchors.select("table_id", "anchor", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"), normal_text(F.col("label")).alias("wanted"))
-    asked = asked.withColumns({"_row": F.when(F.exists("ids", lambda x: x.rlike(CELL_ID)), place(0)), "_column": F.when(F.exists("ids", lambda x: x.rlike(CELL_ID)), place(1)), "head": F.substring_index("wanted", " ", 1)})
-    keys = ["table_id", "anchor"]
-    named = asked.select(*keys, "wanted", F.posexplode("ids").alias("n", "id")).join(own, ["table_id", "id"])
-    have = named.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "id", "t", "row", "column"))), lambda e: F.struct(e["id"], e["t"], e["row"], e["column"])).alias("have"))
-    met = written(asked.join(have, keys, "left").withColumn("all", (F.size("ids") > 0) & F.coalesce(F.size("have") == F.size("ids"), F.lit(False))))
-    given = met.where("all").select(*keys, F.col("ids").alias("found"))
-    open_ = met.where(~F.col("all") & (F.col("wanted") != ""))
+    grid, wanted, columns = F.coalesce("grid", F.array().cast(rows.schema["grid"].dataType)), F.col("wanted"), rows.columns
+    place = lambda i: F.get(F.regexp_extract_all(F.get(F.filter("ids", lambda x: x.rlike(CELL_ID)), F.lit(0)), F.lit(r":(\d+)"), F.lit(1)), F.lit(i)).cast("int")
     run = lambda ids, row, column: F.struct(row.cast("int").alias("row"), column.cast("int").alias("column"), ids.alias("ids"))
-    together = open_.where((F.size("have") > 1) & (F.array_join(F.transform("have", lambda e: e["t"]), " ") == F.col("wanted")))
-    told = together.select(*keys, "_row", "_column", run(F.transform("have", lambda e: e["id"]), F.col("have")[0]["row"], F.col("have")[0]["column"]).alias("r"))
-    starts = own.where("t != ''").withColumn("head", F.substring_index("t", " ", 1))
-    begun = written(open_.select(*keys, "_row", "_column", "wanted", "head").join(starts, ["table_id", "head"]).where("t = wanted OR startswith(wanted, concat(t, ' '))"))
-    whole = begun.where("t = wanted").select(*keys, "_row", "_column", run(F.array("id"), F.col("row"), F.col("column")).alias("r"))
-    part = begun.where("t != wanted")
-    lines = cell_runs(own, ["table_id", "row"], F.col("t"), F.col("id"), " ")
-    beside = part.join(lines, ["table_id", "row"]).withColumn("_c", F.filter("run", lambda c: c["column"] == F.col("column"))[0])
-    to = F.col("_c.lo") + F.length("wanted")
-    beside = beside.where((F.substr(F.col("line"), F.col("_c.lo") + 1, F.length("wanted")) == F.col("wanted")) & F.exists("run", lambda c: (c["hi"] == to) & (c["t"] != "")))
-    in_row = beside.select(*keys, "_row", "_column", run(F.transform(F.filter("run", lambda c: (c["lo"] >= F.col("_c.lo")) & (c["hi"] <= to) & (c["t"] != "")), lambda c: c["what"]), F.col("row"), F.col("column")).alias("r"))
-    grid = own.where("t != ''").groupBy("table_id").agg(F.sort_array(F.collect_list(F.struct("row", "column", "id", "t"))).alias("grid"))
-
-    def next_cell(s: Column, c: Column) -> Column:
-        fits = (s["rest"] == c["t"]) | F.startswith(s["rest"], F.concat(c["t"], F.lit(" ")))
-        return F.when((s["rest"] != "") & fits, F.struct(F.ltrim(F.substr(s["rest"], F.length(c["t"]) + 1)).alias("rest"), F.concat(s["cells"], F.array(F.struct(c["row"], c["id"]))).alias("cells"))).otherwise(s)
-
-    later = F.filter("grid", lambda c: (c["row"] > F.col("row")) | ((c["row"] == F.col("row")) & (c["column"] >= F.col("column"))))
-    nothing = F.struct(F.col("wanted").alias("rest"), F.array().cast(f"array<struct<row:{own.schema['row'].dataType.simpleString()},id:{own.schema['id'].dataType.simpleString()}>>").alias("cells"))
-    chained = part.join(grid, "table_id").withColumn("s", F.aggregate(later, nothing, next_cell)).where((F.col("s.rest") == "") & (F.size(F.array_distinct(F.transform("s.cells", lambda c: c["row"]))) > 1))
-    down = chained.select(*keys, "_row", "_column", run(F.transform("s.cells", lambda c: c["id"]), F.col("row"), F.col("column")).alias("r"))
-    said = written(told.unionByName(whole).unionByName(in_row).unionByName(down))
-    silent = open_.select(*keys, "_row", "_column", "wanted").join(said.select(*keys).distinct(), keys, "left_anti").join(own, "table_id").where("contains(t, wanted)")
-    said = said.unionByName(silent.select(*keys, "_row", "_column", run(F.array("id"), F.col("row"), F.col("column")).alias("r")))
-    away = F.coalesce(F.abs(F.col("r.row") - F.col("_row")) + F.abs(F.col("r.column") - F.col("_column")), F.lit(0))
-    best = said.groupBy(*keys).agg(F.min(F.struct(away.alias("away"), "r")).alias("b")).select(*keys, F.col("b.r.ids").alias("found"))
-    got = anchors.select(*keys).join(given.unionByName(best), keys, "left")
-    return got.select(*keys, F.col("found").alias("ids"), F.when(F.col("found").isNotNull(), "RESOLVED").otherwise("NOT_FOUND").alias("status"))
+    alone = lambda c: run(F.array(c["id"]), c["row"], c["column"])
+    rows = rows.withColumns({"_grid": grid, "_row": place(0), "_column": place(1)}).withColumn("_have", F.flatten(F.transform("ids", lambda i: F.filter("_grid", lambda c: c["id"] == i))))
+    rows = rows.withColumn("_all", (F.size("ids") > 0) & (F.size("_have") == F.size("ids"))).withColumn("_open", ~F.col("_all") & (wanted != ""))
+    rows = rows.withColumn("_begun", F.when(F.col("_open"), F.filter("_grid", lambda c: (c["t"] != "") & ((c["t"] == wanted) | F.startswith(wanted, F.concat(c["t"], F.lit(" ")))))))
+    nothing = F.struct(wanted.alias("rest"), F.array().cast("array<string>").alias("ids"), F.array().cast(f"array<{rows.schema['grid'].dataType.elementType['row'].dataType.simpleString()}>").alias("rows"), F.lit(False).alias("lost"))
+
+    def read(s: Column, c: Column, otherwise: Column) -> Column:
+        rest = F.when(s["rest"] == c["t"], "").when(F.startswith(s["rest"], F.concat(c["t"], F.lit(" "))), F.substr(s["rest"], F.length(c["t"]) + 2))
+        return F.when((s["rest"] != "") & ~s["lost"] & rest.isNotNull(), F.struct(F.coalesce(rest, F.lit("")).alias("rest"), F.concat(s["ids"], F.array(c["id"])).alias("ids"), F.concat(s["rows"], F.array(c["row"])).alias("rows"), s["lost"].alias("lost"))).otherwise(otherwise)
+
+    def in_row(p: Column) -> Column:
+        line = F.filter("_grid", lambda c: (c["row"] == p["row"]) & (c["column"] >= p["column"]) & (c["t"] != ""))
+        lost = lambda s: F.when(s["rest"] == "", s).otherwise(F.struct(s["rest"].alias("rest"), s["ids"].alias("ids"), s["rows"].alias("rows"), F.lit(True).alias("lost")))
+        return F.aggregate(line, nothing, lambda s, c: read(s, c, lost(s)))
+
+    def further(p: Column) -> Column:
+        later = F.filter("_grid", lambda c: ((c["row"] > p["row"]) | ((c["row"] == p["row"]) & (c["column"] >= p["column"]))) & (c["t"] != ""))
+        return F.aggregate(later, nothing, lambda s, c: read(s, c, s))
+
+    part = F.filter("_begun", lambda c: c["t"] != wanted)
+    rows = rows.withColumns({"_in_row": F.transform(part, lambda p: F.struct(p.alias("p"), in_row(p).alias("s"))), "_further": F.transform(part, lambda p: F.struct(p.alias("p"), further(p).alias("s")))})
+    whole = lambda found, rule: F.transform(F.filter(found, lambda x: (x["s"]["rest"] == "") & rule(x["s"])), lambda x: run(x["s"]["ids"], x["p"]["row"], x["p"]["column"]))
+    first = F.get("_have", F.lit(0))
+    together = F.filter(F.array(run(F.transform("_have", lambda c: c["id"]), first["row"], first["column"])), lambda r: (F.size("_have") > 1) & (F.array_join(F.transform("_have", lambda c: c["t"]), " ") == wanted))
+    said = F.concat(together, F.transform(F.filter("_begun", lambda c: c["t"] == wanted), alone), whole("_in_row", lambda s: F.lit(True)), whole("_further", lambda s: F.size(F.array_distinct(s["rows"])) > 1))
+    rows = rows.withColumn("_said", F.when(F.col("_open"), said))
+    said = F.when(F.size("_said") > 0, F.col("_said")).when(F.col("_open"), F.transform(F.filter("_grid", lambda c: F.contains(c["t"], wanted)), alone))
+    away = lambda r: F.coalesce(F.abs(r["row"] - F.col("_row")) + F.abs(r["column"] - F.col("_column")), F.lit(0))
+    best = F.array_min(F.transform(said, lambda r: F.struct(away(r).alias("away"), r.alias("r"))))["r"]["ids"]
+    return rows.select(*columns, F.when(F.col("_all"), F.col("ids")).otherwise(best).alias("found"))
 
 
 def reading_places(blocks: DataFrame) -> DataFrame:

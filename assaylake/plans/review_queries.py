@@ -426,7 +426,8 @@ def evidence_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assaylake.plans.storage import written
 
     key, r = F.col("l_orderkey"), F.col("r")
-    rows = table(spark, sf_dir, "lineitem").withColumn("r", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")))
+    numbered = table(spark, sf_dir, "lineitem").withColumn("r", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")))
+    rows = written(numbered.select("l_orderkey", "r", "l_partkey", "l_suppkey", "l_returnflag"))
     text = F.array(F.col("l_returnflag"), F.concat(F.col("l_partkey"), F.lit(",")), F.col("l_suppkey").cast("string"), F.lit("Ship mode"), F.lit("by rail"))
     name = lambda c: F.concat(F.lit("t"), key, F.lit(":"), r, F.lit(":"), c)
     grid = rows.select(key, r, F.posexplode(text).alias("c", "text"))
@@ -435,10 +436,10 @@ def evidence_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = lambda kind, n, cited, quote, token: (key.alias("document"), F.concat(F.lit(kind), n).alias("ref"), cited.alias("cited"), quote.alias("quote"), token.alias("token"))
     listed = rows.where("l_returnflag != 'A'").select(*ref("list", r, name(F.lit(1)), none, F.concat(F.col("l_partkey"), F.lit(", "), F.col("l_suppkey"))))
     one = rows.where("l_returnflag = 'A'").select(*ref("one", r, name(F.lit(0)), none, none))
-    orders = rows.select(key).distinct()
+    orders = rows.where("r = 1").select(key)
     away = lambda c: F.concat(F.lit("t"), key, F.lit(f":99:{c}"))
     lost = orders.select(*ref("lost", F.lit("0"), away(3), F.lit("ship  MODE by rail"), none))
     nothing = orders.select(*ref("none", F.lit("0"), away(0), F.lit("by sea"), none))
     blocks = orders.select(key.alias("document"), F.lit("b").alias("block"), F.lit(1).alias("page"), *[F.lit(None).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")], F.lit("no such words").alias("text"))
-    found = evidence.locate(written(listed.unionByName(one).unionByName(lost).unionByName(nothing)), blocks, written(cells))
+    found = evidence.locate(listed.unionByName(one).unionByName(lost).unionByName(nothing), blocks, cells)
     return found.select("document", "ref", "tier", "block", F.array_join("blocks", "|").alias("blocks"))

@@ -64,6 +64,15 @@ def test_quotes_are_located_in_tiers(spark):
     assert got == {"in": ("block", "a", 1), "across": ("document", "a", 1), "token": ("document", "b", 1), "pieces": ("pieces", "c", 2), "words": ("words", "w", 3), "near": ("document", "b", 1), "none": (None, None, None), "cell": ("cell", "x1", 7), "list": ("cells", "T:1:0", 7), "short": ("cells", "T:1:1", 7), "not": ("cell", "T:1:0", 7), "lost": ("label", "T:2:0", 7), "twice": ("label", "T:7:7", 7), "next": ("words", "b", 1), "odd": (None, None, None)}
 
 
+def test_cells_are_shuffled_once(spark):
+    rows = spark.createDataFrame([("d", str(i), f"T:{i}:0", None, None, "", "") for i in range(3)], "document string, ref string, cited string, quote string, token string, q string, k string")
+    cells = spark.createDataFrame([("d", "T", 1, 0, "T:1:0", 7, 0.0, 0.0, 1.0, 1.0, "a"), ("d", "U", 1, 0, "T:2:0", 7, 0.0, 0.0, 1.0, 1.0, "b")], "document string, table_id string, row int, column int, cell string, page int, x0 double, y0 double, x1 double, y1 double, text string")
+    met = evidence.in_cells(rows, cells)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4, plan  # references to cells with odd ids and to tables, those cells, and all cells by table
+    assert {r["ref"]: r["tier"] for r in met.collect()} == {"0": None, "1": "cell", "2": "cell"}
+
+
 def test_only_sound_fields_are_shown(spark):
     fields = spark.createDataFrame([("m", "mats", "reported", "1", "e1", False), ("m", "mats", "system_note", "x", None, False), ("n", "mixes", "reported", "2", "e2", False), ("n", "mixes", "evidence_blocked", None, None, True), ("q", "quarantined", "reported", "3", "e3", True)], "card string, card_group string, status string, value string, evidence_key string, repair boolean")
     shown, defects = review.public_fields(fields, spark.createDataFrame([("e1",)], "evidence_key string"))
