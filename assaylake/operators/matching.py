@@ -54,11 +54,12 @@ def _nearest_of_key(targets: DataFrame, anchors: DataFrame, scope: str, target:
     asked = targets.where(F.col(scope).isNotNull() & F.col(key).isNotNull()).select(scope, F.col(key).alias("_k"), place().alias("_at"), F.col(target).alias("_t"), F.lit(True).alias("_asked"))
     rows = asked.unionByName(own.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
     order = Window.partitionBy(scope, "_k").orderBy("_at", "_asked")
+    turned = Window.partitionBy(scope, "_k").orderBy(F.col("_at").desc(), F.col("_asked").desc())
     held = F.when(~F.col("_asked") & F.col("_at").isNotNull(), F.struct("_at", "_a"))
     lost = F.when(~F.col("_asked") & F.col("_at").isNull(), F.struct("_at", "_a"))
     rows = rows.withColumns({
         "_b": F.last(held, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
-        "_f": F.first(held, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)),
+        "_f": F.last(held, ignorenulls=True).over(turned.rowsBetween(Window.unboundedPreceding, 0)),
         "_n": F.first(lost, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
     }).where("_asked")
     nearer = F.when(F.col("_b").isNull(), F.col("_f")).when(F.col("_f").isNull() | (F.col("_at") - F.col("_b._at") <= F.col("_f._at") - F.col("_at")), F.col("_b")).otherwise(F.col("_f"))
@@ -95,12 +96,14 @@ def nearest_anchor(targets: DataFrame, anchors: DataFrame, scope: str, target: s
 def nearest_before_and_after(left: DataFrame, right: DataFrame, scope: str, at: str, name: str, ties: tuple[str, ...] = ()) -> DataFrame:
     """`left` with the nearest right position of its scope; ties go to the smaller one.
 
-    Both sides are merged into one ordered scan (last seen before, first seen after), so the work is a sort, not a product.
+    Both sides are merged and scanned in order and backwards (last seen each time), so the work is two sorts, not a product: a frame that
+    begins at the row itself would be read anew to its end for each row.
     """
     marked = left.withColumn("_right", F.lit(None).cast(left.schema[at].dataType)).unionByName(right.select(scope, F.col(at), F.col(at).alias("_right")), allowMissingColumns=True)
     order = Window.partitionBy(scope).orderBy(at, F.col("_right").isNull(), *ties)
     back = F.last("_right", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_right", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    turned = Window.partitionBy(scope).orderBy(F.col(at).desc(), F.col("_right").isNull().desc(), *[F.col(c).desc() for c in ties])
+    ahead = F.last("_right", ignorenulls=True).over(turned.rowsBetween(Window.unboundedPreceding, 0))
     rows = marked.withColumns({"_b": back, "_f": ahead, "_is_right": F.col("_right").isNotNull()}).where("NOT _is_right")
     near = F.when(F.col("_b").isNull(), F.col("_f")).when(F.col("_f").isNull(), F.col("_b")).when(F.col(at) - F.col("_b") <= F.col("_f") - F.col(at), F.col("_b")).otherwise(F.col("_f"))
     return rows.withColumn(name, near).drop("_right", "_b", "_f", "_is_right")

@@ -200,6 +200,16 @@ def test_scores_and_gates(spark):
     assert out.select("variant_key").distinct().count() == 2
 
 
+def test_nearest_column_reads_no_frame_to_its_end_for_each_row(spark):
+    left, right = [("s", float(i), i) for i in range(40)] + [("t", 1.0, 40), ("u", None, 41)], [("s", 3.0), ("s", 10.0), ("s", 30.0), ("t", 5.0), ("v", 0.0)]
+    got = matching.nearest_before_and_after(spark.createDataFrame(left, "scope string, at double, id int"), spark.createDataFrame(right, "scope string, at double"), "scope", "at", "near", ("id",))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    want = {i: min((abs(at - v), v) for s, v in right if s == scope)[1] if at is not None and any(s == scope for s, _ in right) else None for scope, at, i in left}
+    assert {r["id"]: r["near"] for r in got.collect()} == want
+    assert "unboundedfollowing" not in plan.lower()
+
+
+
 @pytest.mark.parametrize("row", [("place",), None])
 def test_nearest_anchor_meets_no_pairs(spark, row):
     r = random.Random(3)
