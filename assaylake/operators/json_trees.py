@@ -14,6 +14,12 @@ record that only edits name begins empty. Rows that repeat a record key are one
 
 from __future__ import annotations
 
+import json
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,20 +76,6 @@ def leaves(rows: DataFrame, key: str, text: str) -> DataFrame:
     return opened(start.where("v IS NOT NULL"))
 
 
-def fold(tree: DataFrame) -> DataFrame:
-    """record_key, json: the texts of trees given as one row for each node (record_key, path, kind, json); kind is null for leaves."""
-    depth = tree.agg(F.coalesce(F.max(F.size("path")), F.lit(0)).alias("n")).first()["n"]
-    now = tree.repartition("record_key")
-    for d in range(depth, 0, -1):
-        deep = F.size("path") == d
-        group = F.when(deep, F.slice("path", 1, d - 1)).otherwise(F.col("path")).alias("path")
-        met = now.groupBy("record_key", group).agg(F.max(F.when(~deep, F.col("kind"))).alias("kind"), F.max(F.when(~deep, F.col("json"))).alias("json"), F.collect_list(F.when(deep, kid())).alias("kids"))
-        now = met.withColumn("kids", in_order()).withColumn("json", folded()).drop("kids")
-        if d % LEVELS == 1 and d > 1:
-            now = written(now).repartition("record_key")
-    return now.select("record_key", "json")
-
-
 def kid() -> Column:
     return F.struct(F.element_at("path", -1).alias("token"), F.element_at("path", -1).try_cast("int").alias("place"), "json")
 
@@ -149,44 +141,142 @@ def set_pointers(rows: DataFrame, key: str, text: str, edits: DataFrame) -> Data
     What a set value replaces is gone; missing parents are made, as an array where the next name of the first pointer through them is an index.
     json is null where a record has defects (reason and place, in order): not_a_pointer, broken_value, repeated_pointer (one place twice), scalar_parent (a
     pointer goes through a value, or through a null in an object), list_token (an array meets a name that is no index).
+    Texts and edits are grouped by record, one row each, and meet in one equi-join; a record is edited within its row.
     """
-    asked = written(edits.select(F.col("record_key").cast("string").alias("record_key"), "pointer", "value", tokens(F.col("pointer"), slash_is_whole=True).alias("path")))
-    is_pointer, parsed = F.col("pointer").startswith("/") | (F.col("pointer") == ""), F.try_parse_json("value")
-    named = asked.select("record_key").distinct()
-    source = rows.withColumn("_k", F.col(key).cast("string"))
-    calm = source.join(named, source["_k"] == named["record_key"], "left_anti").select(F.col("_k").alias("record_key"), canonical_text(F.col(text)).alias("json"), F.array().cast("array<string>").alias("defects"))
-    base = leaves(source.join(named, source["_k"] == named["record_key"], "left_semi"), "_k", text).withColumn("root", F.lit(NOWHERE))
-    values = opened(asked.where(F.coalesce(is_pointer & parsed.isNotNull(), F.lit(False))).select("record_key", "path", F.repeat(F.lit("?"), F.size("path")).alias("kinds"), F.size("path").alias("root"), parsed.alias("v")))
-    tree = written(merged(base.unionByName(values), asked))
-    defects = node_defects(tree).unionByName(asked.where(~F.coalesce(is_pointer, F.lit(False))).select("record_key", F.concat(F.lit("not_a_pointer "), F.coalesce("pointer", F.lit(""))).alias("defect")))
-    defects = defects.unionByName(asked.where(parsed.isNull()).select("record_key", F.concat(F.lit("broken_value "), "pointer").alias("defect")))
-    defects = defects.unionByName(asked.groupBy("record_key", "path").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("record_key", F.concat(F.lit("repeated_pointer "), pointer_of("path")).alias("defect")))
-    bad = defects.groupBy("record_key").agg(F.array_sort(F.collect_set("defect")).alias("defects"))
-    sound = fold(tree.join(bad, "record_key", "left_anti").select("record_key", "path", "kind", "json"))
-    return sound.withColumn("defects", F.array().cast("array<string>")).unionByName(bad.select("record_key", F.lit(None).cast("string").alias("json"), "defects")).unionByName(calm)
-
-
-def merged(found: DataFrame, asked: DataFrame) -> DataFrame:
-    """record_key, path, kind, json, through: the nodes that stay; `through` is the first pointer that passes a node, with its next name."""
-    size = F.size("path")
-    at = found.select("*", F.explode(F.sequence(F.lit(0), size)).alias("j"))
-    here, last = F.expr("slice(path, 1, j)"), F.col("j") == size
-    own = at.where("j >= root").groupBy("record_key", here.alias("path"), "root").agg(F.max(F.when(~last, F.expr("substring(kinds, j + 1, 1)"))).alias("kind"), F.max(F.when(last, F.col("json"))).alias("json"))
-    above = own.where(F.col("root") < F.size("path")).select("record_key", "path", "root", F.explode(F.sequence(F.col("root") + 1, F.size("path"))).alias("n")).select("record_key", "path", "root", F.expr("slice(path, 1, n)").alias("above"))
-    gone = above.join(asked.select("record_key", F.col("path").alias("above")).distinct(), ["record_key", "above"]).select("record_key", "path", "root").distinct()
-    stays = own.join(gone, ["record_key", "path", "root"], "left_anti").select("record_key", "path", "kind", "json", F.lit(None).cast("struct<root:int,pointer:string,next:string>").alias("through"))
-    passing = at.where("j < root").select("record_key", here.alias("path"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("json"), F.struct("root", F.expr("array_join(slice(path, 1, root), '/')").alias("pointer"), F.expr("path[j]").alias("next")).alias("through"))
-    met = stays.unionByName(passing).groupBy("record_key", "path").agg(F.max("kind").alias("kind"), F.max("json").alias("json"), F.min("through").alias("through"))
-    made = F.when(F.col("json") == "{}", "o").when(F.col("json") == "[]", "a").when(F.col("through.next").rlike(PLACE), "a").otherwise("o")
-    kind = F.coalesce("kind", F.when(F.col("through").isNotNull(), made))
-    return met.select("record_key", "path", kind.alias("kind"), "json", "through")
-
-
-def node_defects(tree: DataFrame) -> DataFrame:
-    """record_key, defect of nodes that pointers cannot pass or reach."""
-    parents = tree.select("record_key", F.col("path").alias("parent"), F.col("kind").alias("parent_kind"))
-    met = tree.withColumn("parent", F.when(F.size("path") > 0, F.expr("slice(path, 1, size(path) - 1)"))).join(parents, ["record_key", "parent"], "left")
-    in_list = F.coalesce(F.col("parent_kind") == "a", F.lit(False))
-    passable = F.col("json").isNull() | F.col("json").isin("{}", "[]") | ((F.col("json") == "null") & in_list)
-    reason = F.when(F.col("through").isNotNull() & ~passable, "scalar_parent ").when(in_list & ~F.element_at("path", -1).rlike(PLACE), "list_token ")
-    return met.where(reason.isNotNull()).select("record_key", F.concat(reason, pointer_of("path")).alias("defect"))
+    asked = edits.select(F.col("record_key").cast("string").alias("record_key"), F.struct("pointer", tokens(F.col("pointer"), slash_is_whole=True).alias("path"), canonical_text(F.col("value")).alias("value")).alias("edit"))
+    source = rows.select(F.col(key).cast("string").alias("_k"), F.struct(canonical_text(F.col(text)).alias("json")).alias("text"))
+    texts = source.groupBy("_k").agg(F.collect_list("text").alias("texts"))
+    edited = asked.groupBy("record_key").agg(F.collect_list("edit").alias("edits"))
+    met = texts.join(edited, texts["_k"] == edited["record_key"], "full").select(F.coalesce("_k", "record_key").alias("record_key"), "texts", "edits")
+    return met.mapInArrow(edit_batches, "record_key string, json string, defects array<string>")
+
+
+def edit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("record_key", pa.string()), ("json", pa.string()), ("defects", pa.list_(pa.string()))])
+    for batch in batches:
+        out: list[tuple[str | None, str | None, list[str]]] = []
+        for key, texts, edits in zip(*[batch.column(c).to_pylist() for c in ("record_key", "texts", "edits")], strict=True):
+            given = [t["json"] for t in texts or []]
+            if edits is None:
+                out += [(key, t, []) for t in given]
+            else:
+                out.append((key, *edited_text(max((t for t in given if t is not None), default=None), [(e["pointer"], None if e["path"] is None else tuple(e["path"]), e["value"]) for e in edits])))
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+class Number(str):
+    """A number as it is printed."""
+
+
+def parsed(text: str) -> object:
+    return json.loads(text, parse_int=Number, parse_float=Number, strict=False)
+
+
+#: What a canonical text escapes.
+ESCAPES = {i: f"\\u{i:04X}" for i in range(32)} | {ord(c): f"\\{e}" for c, e in zip('"\\\b\f\n\r\t', '"\\bfnrt', strict=True)}
+
+
+def quoted(text: str) -> str:
+    return f'"{text.translate(ESCAPES)}"'
+
+
+def leaf_text(v: object) -> str:
+    if isinstance(v, Number):
+        return v
+    return quoted(v) if isinstance(v, str) else {None: "null", True: "true", False: "false"}[v] if v is None or isinstance(v, bool) else "{}" if isinstance(v, dict) else "[]"
+
+
+class Node:
+    """A place of a record: `through` is the first pointer that passes it (names, pointer, next name)."""
+
+    __slots__ = ("kids", "kind", "text", "through")
+
+    def __init__(self) -> None:
+        self.kind: str | None = None
+        self.text: str | None = None
+        self.through: tuple[int, str, str] | None = None
+        self.kids: dict[str, Node] = {}
+
+    def at(self, path: tuple[str, ...]) -> Node:
+        node = self
+        for name in path:
+            node = node.kids.setdefault(name, Node())
+        return node
+
+
+def edited_text(text: str | None, edits: list[tuple[str | None, tuple[str, ...] | None, str | None]]) -> tuple[str | None, list[str]]:
+    """A record's canonical text (or none) after edits (pointer, its names, canonical value), and its defects: see `set_pointers`."""
+    root, count = Node(), Counter(path for _, path, _ in edits if path is not None)
+    defects = {f"repeated_pointer {pointer_text(path)}" for path, n in count.items() if n > 1}
+    defects |= {f"broken_value {pointer}" for pointer, _, value in edits if value is None and pointer is not None}
+    sound = []
+    for pointer, path, value in edits:
+        if pointer is None or (pointer != "" and not pointer.startswith("/")):
+            defects.add(f"not_a_pointer {pointer or ''}")
+        elif value is not None:
+            sound.append((path, value))
+    trees = [((), -1, text)] if text is not None else []
+    for path, start, given in trees + [(path, len(path), value) for path, value in sound]:
+        grow(root, path, start, parsed(given), count)
+    for path, _ in sound:
+        for j, name in enumerate(path):
+            node, passing = root.at(path[:j]), (len(path), "/".join(path), name)
+            node.through = passing if node.through is None else min(node.through, passing)
+    nodes = walk(root)
+    defects |= {d for parent, node, path in nodes if (d := defect(parent, node, path))}
+    return (None, sorted(defects)) if defects else (folded_text(nodes), [])
+
+
+def grow(root: Node, path: tuple[str, ...], start: int, value: object, pointers: Counter) -> None:
+    """Puts a value's nodes in their places, but for those that a pointer of more than `start` names replaces."""
+    todo = [(path, value)]
+    while todo:
+        path, v = todo.pop()
+        if len(path) > start and path in pointers:
+            continue
+        node = root.at(path)
+        if isinstance(v, (dict, list)) and v:
+            node.kind = max(node.kind or "", "o" if isinstance(v, dict) else "a")
+            todo += [((*path, k), x) for k, x in (v.items() if isinstance(v, dict) else ((str(i), x) for i, x in enumerate(v)))]
+        else:
+            node.text = max(node.text or "", leaf_text(v))
+
+
+def walk(root: Node) -> list[tuple[Node | None, Node, tuple[str, ...]]]:
+    """(parent, node, path), parents first; containers that pointers make are given their kind."""
+    found: list[tuple[Node | None, Node, tuple[str, ...]]] = [(None, root, ())]
+    for _, node, path in found:
+        if node.kind is None and node.through is not None:
+            node.kind = {"{}": "o", "[]": "a"}.get(node.text or "") or ("a" if is_place(node.through[2]) else "o")
+        found += [(node, kid, (*path, name)) for name, kid in node.kids.items()]
+    return found
+
+
+def is_place(name: str) -> bool:
+    return re.fullmatch(PLACE, name) is not None
+
+
+def defect(parent: Node | None, node: Node, path: tuple[str, ...]) -> str | None:
+    """Why pointers cannot pass or reach a node."""
+    in_list = parent is not None and parent.kind == "a"
+    if node.through is not None and not (node.text in (None, "{}", "[]") or (node.text == "null" and in_list)):
+        return f"scalar_parent {pointer_text(path)}"
+    return f"list_token {pointer_text(path)}" if in_list and not is_place(path[-1]) else None
+
+
+def pointer_text(path: tuple[str, ...]) -> str:
+    return "".join("/" + name.replace("~", "~0").replace("/", "~1") for name in path)
+
+
+def folded_text(nodes: list[tuple[Node | None, Node, tuple[str, ...]]]) -> str:
+    """The text of a record's root: its nodes folded from the last to the first."""
+    for _, node, _ in reversed(nodes):
+        if node.kids and node.kind == "a":
+            parts, before = [], NOWHERE
+            for place, kid in sorted(((int(name), kid) for name, kid in node.kids.items()), key=lambda e: e[0]):
+                parts += ["null"] * (place - before - 1) + [kid.text]
+                before = place
+            node.text = f"[{','.join(parts)}]"
+        elif node.kids:
+            node.text = "{" + ",".join(f"{quoted(name)}:{node.kids[name].text}" for name in sorted(node.kids)) + "}"
+    return nodes[0][1].text

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assaylake.functions import display, json_paths, text, transforms
 from assaylake.operators import cells, control, json_trees, merging, projection, relations, scoring, windows
 from assaylake.plans.registry import query, table
+from assaylake.plans.storage import written
 from assaylake.sources import fetch, markers, pages
 
 
@@ -304,7 +305,7 @@ FROM t
 """)
 def json_set_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late lines get a note, open orders a list that is not there yet; some orders are asked for what cannot be."""
-    texts = order_texts(spark, sf_dir)
+    texts = written(order_texts(spark, sf_dir))
     edit = lambda pointer, value: (F.col("key").cast("string").alias("record_key"), pointer.alias("pointer"), value.alias("value"))
     keyed = texts.withColumn("key", F.col("o_orderkey"))
     late = keyed.select("key", F.posexplode("lines").alias("place", "line")).where("line.flag = 'R'").select(*edit(F.concat(F.lit("/lines/"), "place", F.lit("/note")), F.lit('{"late": true}')))

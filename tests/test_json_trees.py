@@ -106,3 +106,14 @@ def test_leaves_fold_without_rows_for_their_nodes(spark):
     got = json_trees.rebuilt(spark.createDataFrame(rows, "record_key string, path array<string>, kinds string, json string"))
     assert "Generate" not in got._jdf.queryExecution().toString()
     assert {r["record_key"]: r["json"] for r in got.collect()} == {"r": '{"a":[1,{"b":2}],"c":{}}', "s": "null"}
+
+
+def test_records_are_edited_without_rows_for_their_nodes(spark):
+    text = r'{"z": [1.50, 1e3, -0.0, 12345678901234567890123], "é\"\\": "\u0001\u001f\n\t/\u007f\ud83d\ude00", "b": [true, null, {}, []]}'
+    rows = spark.createDataFrame([(1, text), (2, text), (3, None), (4, "{oops")], "k int, t string")
+    edits = spark.createDataFrame([("1", "/a", "2.50"), ("4", "/x", "1"), ("5", "", "[]")], "record_key string, pointer string, value string")
+    met = json_trees.set_pointers(rows, "k", "t", edits)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    got = {r["record_key"]: r["json"] for r in met.collect()}
+    assert got["1"].replace('"a":2.5,', "") == got["2"] and {k: got[k] for k in "345"} == {"3": None, "4": '{"x":1}', "5": "[]"}
+    assert plan.count("Exchange") == 2 and "Generate" not in plan, plan
