@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,11 +125,11 @@ def weight_grid(candidates: DataFrame, weights: list[int], k: int, score: str, b
     """(weight, n_good, mean_score, viable, chosen): the k best under each weight of the bonus.
 
     A weight is viable if its picks have `hosts` hosts and a mean score at most `max_drop` below that of the first weight; the
-    choice among the viable goes by goods, score, weight. The weights are a short list exploded beside each row; each weight's top k is a ranked limit.
+    choice among the viable goes by goods, score, weight. The weights are a short list; each weight's top k is a limit of its own, for which a task
+    holds k rows and sorts nothing.
     """
-    graded = candidates.withColumn("weight", F.explode(F.array(*map(F.lit, weights)))).withColumn("_s", F.col(score) + F.col("weight") * F.col(bonus))
-    order = Window.partitionBy("weight").orderBy(F.desc("_s"), item)
-    best = graded.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k)
+    graded = [candidates.withColumn("weight", F.lit(w)).withColumn("_s", F.col(score) + F.col("weight") * F.col(bonus)) for w in dict.fromkeys(weights)]
+    best = functools.reduce(DataFrame.unionByName, [g.orderBy(F.desc("_s"), item).limit(k) for g in graded])
     got = best.groupBy("weight").agg(F.sum(good).alias("n_good"), F.avg(score).alias("mean_score"), (F.count_distinct(host) if host else F.lit(0)).alias("_hosts"))
     base = F.max(F.when(F.col("weight") == weights[0], F.col("mean_score"))).over(Window.partitionBy())  # one row a weight
     viable = (F.col("_hosts") >= hosts) & ((base - F.col("mean_score") <= max_drop) if max_drop is not None else F.lit(True))

@@ -65,3 +65,10 @@ def test_sampled_grams_meet_every_text(spark, monkeypatch):
     want = rows()
     monkeypatch.setattr(matching, "MAX_QUOTE_BYTES", 0)
     assert rows() == want and len(want) > len(quotes) // 2
+
+
+def test_best_of_each_weight_sorts_no_table(spark):
+    from assaylake.plans import catalogue
+
+    plan = catalogue.QUERIES["weight_tuning"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 7 and "WindowGroupLimit" not in plan and "explode" not in plan
