@@ -191,9 +191,18 @@ RESPECTIVE = rf"\b({NAME}(?:{JOINED}{NAME})+) (?:was|were|is|are|has|have|had|sh
 
 def respective_pairs(text: Column) -> Column:
     """array<struct(name, value, unit)> of the first sentence that pairs names with as many values; empty for repeated names, lists of unequal length and other sentences."""
-    names, values, unit = F.split(F.regexp_extract(text, RESPECTIVE, 1), JOINED), F.regexp_extract_all(F.regexp_extract(text, RESPECTIVE, 2), F.lit(rf"(?:^|(?<=[, ]))({NUMBER})"), F.lit(1)), F.regexp_extract(text, RESPECTIVE, 3)
-    good = text.rlike(RESPECTIVE) & (F.size(names) == F.size(values)) & (F.size(F.array_distinct(names)) == F.size(names))
-    return F.when(good, F.zip_with(names, values, lambda n, v: F.struct(n.alias("name"), v.cast("double").alias("value"), unit.alias("unit")))).otherwise(F.array().cast("array<struct<name: string, value: double, unit: string>>"))
+
+    def parts(t: Column) -> Column:
+        names, values = F.split(F.regexp_extract(t, RESPECTIVE, 1), JOINED), F.regexp_extract_all(F.regexp_extract(t, RESPECTIVE, 2), F.lit(rf"(?:^|(?<=[, ]))({NUMBER})"), F.lit(1))
+        return F.struct(t.rlike(RESPECTIVE).alias("said"), names.alias("names"), values.alias("values"), F.regexp_extract(t, RESPECTIVE, 3).alias("unit"))
+
+    def paired(p: Column) -> Column:
+        good = p["said"] & (F.size(p["names"]) == F.size(p["values"])) & (F.size(F.array_distinct(p["names"])) == F.size(p["names"]))
+        pairs = F.zip_with(p["names"], p["values"], lambda n, v: F.struct(n.alias("name"), v.cast("double").alias("value"), p["unit"].alias("unit")))
+        return F.when(good, pairs).otherwise(F.array().cast("array<struct<name: string, value: double, unit: string>>"))
+
+    # lists of one: a lambda's variable is computed once, however often it is named
+    return F.get(F.transform(F.transform(F.array(text), parts), paired), F.lit(0))
 
 
 def phase_shares(text: Column, tolerance: float = 0.11) -> Column:

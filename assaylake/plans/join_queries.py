@@ -253,5 +253,6 @@ def respective_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = F.transform(F.sequence(F.lit(1), n - F.when(k % 7 == 0, 1).otherwise(0)), lambda i: (F.col("p_size") * i + 0.5).cast("string"))
     joined = lambda a: F.when(F.size(a) > 1, F.concat(F.array_join(F.slice(a, F.lit(1), F.size(a) - 1), ", "), F.lit(" and "), F.element_at(a, -1))).otherwise(a[0])
     said = F.concat(F.lit("In 28 days "), joined(names), F.lit(" had strengths of "), joined(values), F.lit(" MPa, respectively."))
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(text.respective_pairs(said)).alias("place", "p"))
+    texts = table(spark, sf_dir, "part").select("p_partkey", said.alias("said")).repartition(4 * spark.sparkContext.defaultParallelism)  # few bytes, much work
+    rows = texts.select("p_partkey", F.posexplode(text.respective_pairs(F.col("said"))).alias("place", "p"))
     return rows.select("p_partkey", (F.col("place") + 1).alias("place"), "p.*")

@@ -72,3 +72,11 @@ def test_best_of_each_weight_sorts_no_table(spark):
 
     plan = catalogue.QUERIES["weight_tuning"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("TakeOrderedAndProject") == 7 and "WindowGroupLimit" not in plan and "explode" not in plan
+
+
+def test_sentences_are_matched_once_and_by_many_tasks(spark):
+    from assaylake.plans import catalogue
+
+    got = catalogue.QUERIES["respective_values"](spark, "/root/testdata/sf0.001")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan and plan.count("regexp_extract(") == 3 and plan.count("regexp_extract_all(") == 1
