@@ -95,22 +95,24 @@ def resolve_formulations(points: DataFrame, assignments: DataFrame, mixes: DataF
     An x needs exactly one assignment whose spans exist and hold its tokens, one of which is the number; then the one live mix of its only specimen.
     """
     xs = points.select("figure", "x").distinct()
-    said = assignments.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("figure", "x")))
-    asked = said.select("figure", "x", F.explode_outer("span_ids").alias("span_id")).join(spans, "span_id", "left").groupBy("figure", "x").agg(F.count_if(F.col("text").isNull()).alias("_lost"), F.concat_ws("\n", F.collect_list("text")).alias("_text"))
+    said = assignments.groupBy("figure", "x").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("test_id", "reference_id", "specimens", "span_ids", "tokens")).alias("_a")).select("figure", "x", "_n", "_a.*")
+    asked = said.select("figure", "x", F.explode_outer("span_ids").alias("span_id"))
+    asked = asked.join(spans, "span_id", "left").groupBy("figure", "x").agg(F.count_if(F.col("text").isNull()).alias("_lost"), F.concat_ws("\n", F.collect_list("text")).alias("_text"))
     met = xs.join(said, ["figure", "x"], "left").join(asked, ["figure", "x"], "left")
     printed = F.exists("tokens", lambda t: F.regexp_replace(t, r"^[ ,;()%*]+|[ ,;()%*.]+$", "").try_cast("double") == F.col("x"))
     proven = (F.col("_lost") == 0) & F.forall("tokens", lambda t: F.contains(F.col("_text"), t))
     known = (F.size("specimens") > 0) & F.forall("specimens", lambda s: s.isin(*SPECIMENS))
-    live = lambda name: mixes.groupBy(F.col("test_id").alias(f"_{name}"), F.col("specimen").alias(f"_{name}_s")).agg(F.count_distinct("mix").alias(f"_{name}_n"), F.min("mix").alias(f"_{name}_mix"))
+    early = first_reason((F.col("_n").isNull(), "NO_ASSIGNMENT"), (F.col("_n") > 1, "AMBIGUOUS_AXIS_VALUE"), (~F.coalesce(known, F.lit(False)), "SPECIMEN_UNRESOLVED"), (~F.coalesce(proven, F.lit(False)), "SOURCE_SPAN_MISSING"), (~F.coalesce(printed, F.lit(False)), "AXIS_VALUE_NOT_PRINTED"))
     only = F.when(F.size("specimens") == 1, F.get("specimens", F.lit(0)))
-    met = met.withColumn("_only", only)
-    met = met.join(live("own"), (F.col("test_id") == F.col("_own")) & (F.col("_only") == F.col("_own_s")), "left").join(live("ref"), (F.col("reference_id") == F.col("_ref")) & (F.col("_only") == F.col("_ref_s")), "left")
-    status = first_reason(
-        (F.col("_n").isNull(), "NO_ASSIGNMENT"), (F.col("_n") > 1, "AMBIGUOUS_AXIS_VALUE"), (~F.coalesce(known, F.lit(False)), "SPECIMEN_UNRESOLVED"), (~F.coalesce(proven, F.lit(False)), "SOURCE_SPAN_MISSING"), (~F.coalesce(printed, F.lit(False)), "AXIS_VALUE_NOT_PRINTED"),
-        (F.coalesce("_own_n", F.lit(0)) != 1, "OBSERVATION_UNBOUND"), (F.col("reference_id").isNotNull() & (F.coalesce("_ref_n", F.lit(0)) != 1), "REFERENCE_UNBOUND"),
-    )
-    one = met.withColumn("_r", F.row_number().over(Window.partitionBy("figure", "x").orderBy("test_id"))).where("_r = 1")
-    return one.select("figure", "x", "test_id", F.when(F.col("_own_n") == 1, F.col("_own_mix")).alias("mix"), F.when(F.col("_ref_n") == 1, F.col("_ref_mix")).alias("reference"), F.coalesce(status, F.lit("RESOLVED")).alias("status"))
+    met = met.select("figure", "x", "test_id", "reference_id", only.alias("_only"), early.alias("_early"))
+    live = mixes.groupBy("test_id", "specimen").agg(F.count_distinct("mix").alias("_live"), F.min("mix").alias("_mix"), F.max(F.lit(0)).cast("long").alias("_spare"))
+    for name, test in (("own", "test_id"), ("ref", "reference_id")):
+        # Rows without a test or specimen meet nothing; a spare key of their own keeps them from gathering in one task.
+        spare = F.when(F.col(test).isNull() | F.col("_only").isNull(), F.xxhash64("figure", "x")).otherwise(F.lit(0).cast("long"))
+        there = live.select(F.col("test_id").alias("_t"), F.col("specimen").alias("_s"), F.col("_spare").alias("_k"), F.col("_live").alias(f"_{name}_n"), F.col("_mix").alias(f"_{name}_mix"))
+        met = met.withColumn("_spare", spare).join(there, (F.col(test) == F.col("_t")) & (F.col("_only") == F.col("_s")) & (F.col("_spare") == F.col("_k")), "left").drop("_t", "_s", "_k", "_spare")
+    status = F.coalesce("_early", first_reason((F.coalesce("_own_n", F.lit(0)) != 1, "OBSERVATION_UNBOUND"), (F.col("reference_id").isNotNull() & (F.coalesce("_ref_n", F.lit(0)) != 1), "REFERENCE_UNBOUND")), F.lit("RESOLVED"))
+    return met.select("figure", "x", "test_id", F.when(F.col("_own_n") == 1, F.col("_own_mix")).alias("mix"), F.when(F.col("_ref_n") == 1, F.col("_ref_mix")).alias("reference"), status.alias("status"))
 
 
 def project_routes(stages: DataFrame, mixes: DataFrame) -> tuple[DataFrame, DataFrame]:

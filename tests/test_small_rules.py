@@ -1,5 +1,7 @@
 """Mirrors, downloads, lists of values and frozen orders on literal cases."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from assaylake.functions import text
@@ -80,3 +82,16 @@ def test_sentences_are_matched_once_and_by_many_tasks(spark):
     got = catalogue.QUERIES["respective_values"](spark, "/root/testdata/sf0.001")
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" in plan and plan.count("regexp_extract(") == 3 and plan.count("regexp_extract_all(") == 1
+
+
+def test_unbound_formulations_do_not_gather_in_one_task(spark):
+    from assaylake.operators import assembly
+
+    points = spark.createDataFrame([("f", 1.0), ("f", 2.0), ("g", 1.0)], "figure string, x double")
+    said = [("f", 1.0, "t", None, ["paste"], ["s"], ["(1%)"]), ("f", 2.0, "u", "r", ["paste"], ["s"], ["2"]), ("f", 2.0, None, "r", ["paste"], ["s"], ["2"])]
+    assignments = spark.createDataFrame(said, "figure string, x double, test_id string, reference_id string, specimens array<string>, span_ids array<string>, tokens array<string>")
+    mixes = spark.createDataFrame([("m", "t", "paste"), ("n", "r", "paste"), ("o", None, "paste")], "mix string, test_id string, specimen string")
+    got = assembly.resolve_formulations(points, assignments, mixes, spark.createDataFrame([("s", "had (1%) or 2")], "span_id string, text string"))
+    assert {(r["figure"], r["x"]): (r["test_id"], r["mix"], r["reference"], r["status"]) for r in got.collect()} == {("f", 1.0): ("t", "m", None, "RESOLVED"), ("f", 2.0): (None, None, "n", "AMBIGUOUS_AXIS_VALUE"), ("g", 1.0): (None, None, None, "NO_ASSIGNMENT")}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all(re.search(rf"Join \[{test}#\d+, _only#\d+, _spare#\d+L\]", plan) for test in ("test_id", "reference_id"))
