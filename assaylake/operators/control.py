@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from assaylake.plans.storage import unsent
+
 #: Events of a fault's life.
 FAULT_EVENTS = ("OBSERVED", "REOPENED", "RESOLVED", "VERIFIED", "EXERCISED")
 
@@ -124,13 +126,14 @@ def controller_states(runs: DataFrame, steps: DataFrame, now: DataFrame) -> Data
     """
     order = F.array(*map(F.lit, ARM_STEPS))
     again = now.select("run", "step", F.col("artifact_sha256").alias("_now"))
-    told = steps.withColumn("_at", F.array_position(order, F.col("step"))).join(again, ["run", "step"], "left")
+    told = steps.withColumn("_at", F.array_position(order, F.col("step"))).join(unsent(again), ["run", "step"], "left")
+    # Numbers only (a step is its place), which are folded in place; a text or a struct would be sorted by run in each task of the scan.
     got = told.groupBy("run").agg(
-        F.max("_at").alias("_last"), F.count_distinct("step").alias("_n"), F.count_if(F.col("_at") == 0).alias("_unknown"), F.min(F.when(F.col("_now").isNotNull() & (F.col("_now") != F.col("artifact_sha256")), F.struct("_at", "step")))["step"].alias("_drift")
+        F.max("_at").alias("_last"), F.bit_count(F.bit_or(F.when(F.col("_at") > 0, F.expr("shiftleft(1L, CAST(_at AS INT))")))).alias("_n"), F.count_if(F.col("_at") == 0).alias("_unknown"), F.min(F.when(F.col("_now") != F.col("artifact_sha256"), F.col("_at"))).alias("_drift")
     )
     met = runs.join(got, "run", "left")
     last = F.coalesce(F.col("_last"), F.lit(0))
-    error = F.when(F.coalesce(F.col("_unknown"), F.lit(0)) > 0, "UNKNOWN_STEP").when(F.col("_n") != F.col("_last"), "MISSING_STEP").when(F.col("_drift").isNotNull(), F.concat(F.lit("REPLAY_DIFFERS:"), F.col("_drift")))
+    error = F.when(F.coalesce(F.col("_unknown"), F.lit(0)) > 0, "UNKNOWN_STEP").when(F.col("_n") != F.col("_last"), "MISSING_STEP").when(F.col("_drift").isNotNull(), F.concat(F.lit("REPLAY_DIFFERS:"), F.get(order, F.col("_drift").cast("int") - 1)))
     return met.select(*runs.columns, F.when(error.isNull(), F.get(order, last.cast("int"))).alias("next_step"), error.alias("error"))
 
 

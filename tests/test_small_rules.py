@@ -95,3 +95,17 @@ def test_unbound_formulations_do_not_gather_in_one_task(spark):
     assert {(r["figure"], r["x"]): (r["test_id"], r["mix"], r["reference"], r["status"]) for r in got.collect()} == {("f", 1.0): ("t", "m", None, "RESOLVED"), ("f", 2.0): (None, None, "n", "AMBIGUOUS_AXIS_VALUE"), ("g", 1.0): (None, None, None, "NO_ASSIGNMENT")}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert all(re.search(rf"Join \[{test}#\d+, _only#\d+, _spare#\d+L\]", plan) for test in ("test_id", "reference_id"))
+
+
+def test_controller_steps_are_folded_without_sorting_by_run(spark):
+    from assaylake.operators import control
+
+    runs = spark.createDataFrame([(k,) for k in range(6)], "run int")
+    s = control.ARM_STEPS
+    held = [(1, s[0], "a"), (2, s[0], "a"), (2, s[2], "c"), (3, s[0], "a"), (3, "what", "w"), (4, s[0], "a"), (4, s[1], "b"), (4, s[1], "b2"), (5, s[0], None)]
+    steps = spark.createDataFrame(held, "run int, step string, artifact_sha256 string")
+    now = spark.createDataFrame([(k, t, "b" if t == s[1] else a) for k, t, a in held], "run int, step string, artifact_sha256 string")
+    got = control.controller_states(runs, steps, now)
+    assert {r["run"]: (r["next_step"], r["error"]) for r in got.collect()} == {0: (s[0], None), 1: (s[1], None), 2: (None, "MISSING_STEP"), 3: (None, "UNKNOWN_STEP"), 4: (None, f"REPLAY_DIFFERS:{s[1]}"), 5: (s[1], None)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "bit_or" in plan
