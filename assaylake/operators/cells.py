@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaylake.plans.storage import dealt
 
 def property_cells(cells: DataFrame, wanted: DataFrame) -> DataFrame:
     """(request, table_id, row, column, text, n_hits): the cell of a specimen and a property, whichever of them heads rows or columns.
@@ -24,7 +25,7 @@ def property_cells(cells: DataFrame, wanted: DataFrame) -> DataFrame:
 def one_table(captions: DataFrame, cells: DataFrame, caption_pattern: str, known: DataFrame, least: int = 2) -> DataFrame:
     """(document, table_id, status): tables whose caption matches and that hold enough known labels; SELECTED for the only one of a document, else AMBIGUOUS."""
     labels = known.select(F.col("label").alias("text")).distinct()
-    counts = cells.join(labels, "text", "left_semi").groupBy("table_id").agg(F.count_distinct("text").alias("_n"))
+    counts = dealt(cells.join(labels, "text", "left_semi"), "table_id").groupBy("table_id").agg(F.count_distinct("text").alias("_n"))
     fit = captions.where(F.col("caption").rlike(caption_pattern)).join(counts.where(F.col("_n") >= least), "table_id")
     n = F.count(F.lit(1)).over(Window.partitionBy("document"))
     return fit.select("document", "table_id", F.when(n == 1, "SELECTED").otherwise("AMBIGUOUS").alias("status"))

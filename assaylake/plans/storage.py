@@ -53,3 +53,9 @@ def cut(df: DataFrame) -> DataFrame:
 def unsent(df: DataFrame) -> DataFrame:
     """`df` as a side of joins that is shuffled and never broadcast: the planner takes exploded rows to be as few as the rows of the file they come from."""
     return df.hint("merge")
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` by its keys in as many partitions as shuffles have, 16 a core at least, which are not merged: adaptive merging goes by compressed bytes, and a few MB of narrow rows are millions of rows in a task."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * spark.sparkContext.defaultParallelism), *keys)

@@ -109,3 +109,13 @@ def test_controller_steps_are_folded_without_sorting_by_run(spark):
     assert {r["run"]: (r["next_step"], r["error"]) for r in got.collect()} == {0: (s[0], None), 1: (s[1], None), 2: (None, "MISSING_STEP"), 3: (None, "UNKNOWN_STEP"), 4: (None, f"REPLAY_DIFFERS:{s[1]}"), 5: (s[1], None)}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "bit_or" in plan
+
+
+def test_cells_of_tables_are_dealt_by_number(spark):
+    from assaylake.operators import cells
+
+    captions = spark.createDataFrame([("d", 1, "Table 1"), ("d", 2, "Table 1"), ("e", 3, "Table 1"), ("f", 4, "Figure"), ("g", 5, "Table 1")], "document string, table_id int, caption string")
+    grid = spark.createDataFrame([(t, c) for t in (1, 2, 3, 4) for c in ("a", "b", "b")] + [(5, "a"), (5, "a"), (5, "z")], "table_id int, text string")
+    got = cells.one_table(captions, grid, "Table", spark.createDataFrame([("a",), ("b",), ("c",)], "label string"))
+    assert {(r["document"], r["table_id"], r["status"]) for r in got.collect()} == {("d", 1, "AMBIGUOUS"), ("d", 2, "AMBIGUOUS"), ("e", 3, "SELECTED")}
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
