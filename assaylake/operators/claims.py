@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.json_paths import escape_token
+from assaylake.plans.storage import dealt
 
 FIELDS = "collection string, record_key string, field_path string, value string, value_type string"
 
@@ -101,9 +102,11 @@ def component_assessment(plan: DataFrame, values: DataFrame) -> DataFrame:
     plan: record, component, item; values: record, component, item, validated. Captured items that nobody planned make a component UNPLANNED.
     """
     keys = ["record", "component", "item"]
-    wanted = plan.select(*keys).distinct().withColumn("_p", F.lit(True))
-    held = values.groupBy(*keys).agg(F.bool_or(F.coalesce("validated", F.lit(False))).alias("_v"))
-    met = wanted.join(held, keys, "full")
+    # Both sides are one union, which is dealt once; a key with a null meets no other side's, as in a join.
+    side = lambda n: F.when(F.greatest(*[F.col(k).isNull() for k in keys]), n).otherwise(0).alias("_side")
+    wanted = plan.select(*keys, side(1), F.lit(True).alias("_p"), F.lit(None).cast("boolean").alias("_v"))
+    held = values.select(*keys, side(2), F.lit(None).cast("boolean").alias("_p"), F.coalesce("validated", F.lit(False)).alias("_v"))
+    met = dealt(wanted.unionByName(held), "record", "component").groupBy(*keys, "_side").agg(F.bool_or("_p").alias("_p"), F.bool_or("_v").alias("_v"))
     got = met.groupBy("record", "component").agg(F.count_if("_p").alias("n_planned"), F.count_if(F.col("_v").isNotNull() & F.col("_p")).alias("n_captured"), F.count_if(F.col("_v") & F.col("_p")).alias("n_validated"), F.count_if(F.col("_p").isNull()).alias("_more"))
     n, seen, sound = F.col("n_planned"), F.col("n_captured"), F.col("n_validated")
     assessment = F.when((n == 0) | (F.col("_more") > 0), UNPLANNED).when(seen == 0, ABSENT).when(sound == n, VALIDATED).when(sound > 0, PARTIAL).otherwise(CAPTURED)

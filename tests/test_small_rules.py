@@ -119,3 +119,15 @@ def test_cells_of_tables_are_dealt_by_number(spark):
     got = cells.one_table(captions, grid, "Table", spark.createDataFrame([("a",), ("b",), ("c",)], "label string"))
     assert {(r["document"], r["table_id"], r["status"]) for r in got.collect()} == {("d", 1, "AMBIGUOUS"), ("d", 2, "AMBIGUOUS"), ("e", 3, "SELECTED")}
     assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_and_values_of_components_meet_in_one_shuffle(spark):
+    from assaylake.operators import claims
+
+    plan = spark.createDataFrame([(1, "a", 1), (1, "a", 1), (1, "a", 2), (1, "b", 1), (2, "a", None), (3, "a", 1)], "record int, component string, item int")
+    values = spark.createDataFrame([(1, "a", 1, False), (1, "a", 1, True), (1, "a", 2, None), (2, "a", None, True), (3, "a", 1, True), (4, "a", 1, True)], "record int, component string, item int, validated boolean")
+    got = claims.component_assessment(plan, values)
+    want = {(1, "a", 2, 2, 1, claims.PARTIAL), (1, "b", 1, 0, 0, claims.ABSENT), (2, "a", 1, 0, 0, claims.UNPLANNED), (3, "a", 1, 1, 1, claims.VALIDATED), (4, "a", 0, 0, 0, claims.UNPLANNED)}
+    assert {tuple(r) for r in got.collect()} == want
+    told = got._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in told and told.count("Exchange hashpartitioning") == 1
