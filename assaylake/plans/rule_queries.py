@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assaylake.functions import text
 from assaylake.operators import cells, claims, control, merging, pixels
 from assaylake.plans.registry import query, table
+from assaylake.plans.storage import dealt
 
 
 @query("""
@@ -243,8 +244,11 @@ def stable_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The returned line of an order, else its first; a line's key is its number and part."""
     from assaylake.operators import ranking
 
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max("l_returnflag").alias("flag")).withColumn("key", F.struct("l_linenumber", "l_partkey"))
-    return ranking.labelled_first(rows, "l_orderkey", F.col("flag") == "R", "key").select("l_orderkey", "l_linenumber", "l_partkey")
+    flag = F.col("l_returnflag")
+    rank = F.when(flag > "R", 2).when(flag == "R", 1).when(flag.isNotNull(), 0)  # a number is folded in place; a text would be sorted
+    rows = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", rank.alias("rank")), "l_orderkey")
+    rows = rows.groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max("rank").alias("rank")).withColumn("key", F.struct("l_linenumber", "l_partkey"))
+    return ranking.labelled_first(rows, "l_orderkey", F.col("rank") == 1, "key").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("""

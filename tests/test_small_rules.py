@@ -131,3 +131,10 @@ def test_plan_and_values_of_components_meet_in_one_shuffle(spark):
     assert {tuple(r) for r in got.collect()} == want
     told = got._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in told and told.count("Exchange hashpartitioning") == 1
+
+
+def test_stable_anchors_shuffle_once_and_sort_no_text(spark):
+    from assaylake.plans import catalogue
+
+    plan = catalogue.QUERIES["stable_anchors"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
