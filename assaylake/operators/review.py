@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.functions.text import coded_composition, fold
-from assaylake.plans.storage import written
+from assaylake.plans.storage import unsent, written
 
 #: Names of one meaning.
 LABELS = {"na2sio3percent": "na2sio3", "watertobinder": "wb", "waterbinder": "wb", "silicatemodulus": "ms", "h2o2masspercent": "h2o2", "spcmasspercent": "spc", "x2otosio2": "x2osio2", "h2otox2o": "h2ox2o"}
@@ -65,18 +65,24 @@ def paired_in_tiers(left: DataFrame, right: DataFrame, record: str, tiers: list[
         known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
         free_left, free_right = left.where(known), right.where(known)
         if pairs is not None:
-            free_left, free_right = free_left.join(pairs, [record, "left_id"], "left_anti"), free_right.join(pairs, [record, "right_id"], "left_anti")
+            free_left, free_right = free_left.join(unsent(pairs), [record, "left_id"], "left_anti"), free_right.join(unsent(pairs), [record, "right_id"], "left_anti")
         if errors is not None:
-            free_left = free_left.join(errors, [record, "left_id"], "left_anti")
+            free_left = free_left.join(unsent(errors), [record, "left_id"], "left_anti")
         only = free_right.groupBy(*by).agg(F.count_distinct("right_id").alias("n"), F.min("right_id").alias("right_id"))
-        met = free_left.join(only, by).withColumn("turn", F.row_number().over(Window.partitionBy(*by).orderBy("left_id")))
-        first = Window.partitionBy(record, "right_id").orderBy("left_id")
-        got = met.where("n = 1 AND turn = 1").withColumn("again", F.row_number().over(first)).where("again = 1").select(record, "left_id", "right_id", F.lit(name).alias("tier"))
-        pairs = written(got if pairs is None else pairs.unionByName(got))
+        met = free_left.join(unsent(only), by).withColumn("turn", F.row_number().over(Window.partitionBy(*by).orderBy("left_id")))
+        # Pairs and errors of a tier are one table, so that its join runs once. Ids take few bytes in a file; by those the planner would broadcast millions of them.
+        several = F.col("n") > 1
+        told = met.where((several & F.lit(alarm)) | ((F.col("n") == 1) & (F.col("turn") == 1)))
+        told = told.select(record, "left_id", F.when(~several, F.col("right_id")).alias("right_id"), F.when(several, F.lit(f"AMBIGUOUS_{name}")).alias("error"))
+        first = Window.partitionBy(record, "right_id", F.when(F.col("error").isNotNull(), F.col("left_id"))).orderBy("left_id")
+        told = written(told.withColumn("again", F.row_number().over(first)).where("again = 1").drop("again"))
+        got = told.where("error IS NULL").select(record, "left_id", "right_id", F.lit(name).alias("tier"))
+        pairs = got if pairs is None else pairs.unionByName(got)
         if alarm:
-            bad = met.where("n > 1").select(record, "left_id", F.lit(f"AMBIGUOUS_{name}").alias("error")).distinct()
-            errors = written(bad if errors is None else errors.unionByName(bad))
-    return pairs, errors if errors is not None else pairs.select(record, "left_id", F.col("tier").alias("error")).limit(0)
+            bad = told.where("error IS NOT NULL").select(record, "left_id", "error")
+            errors = bad if errors is None else errors.unionByName(bad)
+    errors = errors if errors is not None else pairs.select(record, "left_id", F.col("tier").alias("error")).limit(0)
+    return unsent(pairs), unsent(errors)
 
 
 def pair_parameters(left: DataFrame, right: DataFrame, record: str, order: str, label: str, value: str, unit: str) -> DataFrame:
@@ -107,11 +113,14 @@ def pair_performance(left: DataFrame, right: DataFrame, record: str, order: str)
     """
     said = lambda c: F.coalesce(value_key(F.col(c)), F.lit("?")) if c == "age" else label_key(F.col(c))
     context = [said(c).alias(c) for c in ("age", "specimen", "method")]
-    keyed = lambda rows, i, value, unit: rows.select(record, F.col(order).alias(i), label_key(F.col("name")).alias("name"), value_key(F.col(value)).alias("v"), label_key(F.col(unit)).alias("u"), *context)
-    own = keyed(right, "right_id", "value", "unit")
-    known = own.unionByName(keyed(right.where("original_value IS NOT NULL"), "right_id", "original_value", "original_unit")) if "original_value" in right.columns else own
+    keyed = lambda rows, i: rows.select(record, F.col(order).alias(i), label_key(F.col("name")).alias("name"), value_key(F.col("_w.value")).alias("v"), label_key(F.col("_w.unit")).alias("u"), *context, F.col("_w.own").alias("own"))
+    way = lambda value, unit, own: F.struct(F.col(value).cast("string").alias("value"), F.col(unit).alias("unit"), F.lit(own).alias("own"))
+    ways = F.array(way("value", "unit", True), way("original_value", "original_unit", False)) if "original_value" in right.columns else F.array(way("value", "unit", True))
     scalar = ["name", "v", "u"]
-    a = keyed(left, "left_id", "value", "unit")
+    # The keys of both sides are made once: each tier reads them twice.
+    a = written(keyed(left.withColumn("_w", way("value", "unit", True)), "left_id").drop("own"))
+    known = written(keyed(right.withColumn("_w", F.explode(ways)).where("_w.own OR _w.value IS NOT NULL"), "right_id"))
+    own = known.where("own")
     pairs, errors = paired_in_tiers(a, known, record, [("CONTEXT", [*scalar, "age", "specimen", "method"], True), ("SCALAR", scalar, True)])
     rest = own.select(record, "right_id").join(pairs, [record, "right_id"], "left_anti")
     alone = a.select(record, "left_id").join(pairs, [record, "left_id"], "left_anti").join(errors, [record, "left_id"], "left")

@@ -138,3 +138,17 @@ def test_stable_anchors_shuffle_once_and_sort_no_text(spark):
 
     plan = catalogue.QUERIES["stable_anchors"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_tiers_of_pairs_run_once_and_are_not_broadcast(spark, monkeypatch):
+    from assaylake.operators import review
+
+    calls, write = [], review.written
+    monkeypatch.setattr(review, "written", lambda df: (calls.append(1), write(df))[1])
+    side = lambda rows: spark.createDataFrame(rows, "record int, left_id int, a string, b string")
+    left, right = side([(1, 1, "x", "p"), (1, 2, "x", "q"), (1, 3, "y", "p"), (1, 4, None, "z"), (1, 5, "w", "v")]), side([(1, 1, "x", "p"), (1, 2, "y", "r"), (1, 3, "y", "s"), (1, 4, "u", "z"), (1, 5, "w", "v"), (1, 5, "w", "v")]).withColumnRenamed("left_id", "right_id")
+    pairs, errors = review.paired_in_tiers(left, right, "record", [("BOTH", ["a", "b"], True), ("ONE", ["a"], True), ("LAST", ["b"], False)])
+    plan = left.join(pairs, ["record", "left_id"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in pairs.collect()} == {(1, 1, 1, "BOTH"), (1, 5, 5, "BOTH"), (1, 4, 4, "LAST")}
+    assert [tuple(r) for r in errors.collect()] == [(1, 3, "AMBIGUOUS_ONE")]
+    assert len(calls) == 3 and "Broadcast" not in plan
