@@ -27,22 +27,25 @@ def flatten_json(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(record_key, field_path, value): all leaves of JSON texts; empty containers are leaves as they are.
 
     Level by level: the objects and arrays of a level are opened, the others wait, until nothing is left to open; a level ends
-    in a written table, so the plan does not grow with the depth.
+    in a written table of its leaves and of what is in its containers, so each text is parsed once and the plan does not grow with the depth.
     """
+    from assaylake.plans.registry import spread
     from assaylake.plans.storage import written
 
     now = rows.select(F.col(key).cast("string").alias("record_key"), F.lit("").alias("field_path"), F.col(text).alias("value"))
+    kind = F.when(F.col("value").rlike(r"^\s*[{\[]"), F.schema_of_variant(F.try_parse_json("value")))  # no other text is a container
+    is_map = F.col("_k").startswith("OBJECT") & (F.size(F.json_object_keys("value")) > 0)
+    is_list = F.col("_k").startswith("ARRAY") & (F.json_array_length("value") > 0)
+    item = lambda t, value, leaf: F.struct(t.cast("string").alias("t"), value.alias("value"), F.lit(leaf).alias("leaf"))
+    within = F.when(is_map, F.transform(F.map_entries(F.from_json("value", "map<string,string>")), lambda e: item(e["key"], e["value"], False)))
+    within = within.when(is_list, F.transform(F.from_json("value", "array<string>"), lambda v, i: item(i, v, False))).otherwise(F.array(item(F.lit(None), F.col("value"), True)))
+    path = F.when(F.col("_i.leaf"), F.col("field_path")).otherwise(F.concat("field_path", F.lit("/"), escape_token(F.col("_i.t"))))
     out = None
     while True:
-        kind = F.schema_of_variant(F.try_parse_json("value"))
-        opened = now.withColumn("_k", kind)
-        is_map = F.col("_k").startswith("OBJECT") & (F.size(F.json_object_keys("value")) > 0)
-        is_list = F.col("_k").startswith("ARRAY") & (F.json_array_length("value") > 0)
-        leaves = opened.where(~F.coalesce(is_map | is_list, F.lit(False))).drop("_k")
-        maps = opened.where(is_map).select("record_key", "field_path", F.explode(F.from_json("value", "map<string,string>")).alias("_t", "value"))
-        lists = opened.where(is_list).select("record_key", "field_path", F.posexplode(F.from_json("value", "array<string>")).alias("_t", "value")).withColumn("_t", F.col("_t").cast("string"))
+        told = written(spread(now).withColumn("_k", kind).select("record_key", "field_path", F.explode(within).alias("_i")).select("record_key", path.alias("field_path"), "_i.value", "_i.leaf"))
+        leaves = told.where("leaf").drop("leaf")
         out = leaves if out is None else out.unionByName(leaves)
-        now = written(maps.unionByName(lists).select("record_key", F.concat("field_path", F.lit("/"), escape_token(F.col("_t"))).alias("field_path"), "value"))
+        now = told.where("NOT leaf").drop("leaf")
         if now.isEmpty():
             return out
 

@@ -152,3 +152,13 @@ def test_tiers_of_pairs_run_once_and_are_not_broadcast(spark, monkeypatch):
     assert {tuple(r) for r in pairs.collect()} == {(1, 1, 1, "BOTH"), (1, 5, 5, "BOTH"), (1, 4, 4, "LAST")}
     assert [tuple(r) for r in errors.collect()] == [(1, 3, "AMBIGUOUS_ONE")]
     assert len(calls) == 3 and "Broadcast" not in plan
+
+
+def test_json_leaves_are_parsed_once_while_levels_are_written(spark):
+    from assaylake.operators import claims
+
+    rows = spark.createDataFrame([(1, '{"a": [1, {"b": null}, []], "c/d": "{x"}'), (2, " [ ]"), (3, None), (4, '{"a": }'), (5, "[[true]]")], "k int, t string")
+    got = claims.flatten_json(rows, "k", "t")
+    want = {("1", "/a/0", "1"), ("1", "/a/1/b", None), ("1", "/a/2", "[]"), ("1", "/c~1d", "{x"), ("2", "", " [ ]"), ("3", "", None), ("4", "", '{"a": }'), ("5", "/0/0", "true")}
+    assert "json" not in got._jdf.queryExecution().executedPlan().toString().lower()
+    assert {tuple(r) for r in got.collect()} == want
