@@ -43,8 +43,8 @@ from assaylake.llm._common import quoted, raw_text, slices, written
 #: Words and bigrams whose counts are broadcast at most (16 bytes each).
 FREQUENT = 1 << 20
 #: Bytes of text of a slice and of a bucket's share, and hashes that a task holds before it hands their counts on.
-SLICE_TEXT, BUCKET_TEXT, HELD = 32 << 20, 16 << 20, 1 << 21
-#: Bytes of text that are scored at once; twice as many are counted at once.
+SLICE_TEXT, BUCKET_TEXT, HELD = 16 << 20, 16 << 20, 1 << 20
+#: Bytes of text that are counted or scored at once.
 WORKED = 4 << 20
 #: In place of the context: of a text's first word, and of a unigram's count.
 START, UNIGRAM = 1, 0
@@ -132,6 +132,12 @@ def keys_of(before: np.ndarray | int, own: np.ndarray | int) -> np.ndarray:
 FIRST = keys_of(UNIGRAM, np.array([START]))[0]
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting: without counts np.unique fills a hash table, which takes many times the time and memory of the array."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 @dataclass(frozen=True)
 class Texts:
     """Several texts: their numbers of words, and the hashes of all bigrams and of all words."""
@@ -150,7 +156,7 @@ class Texts:
         return Texts(sizes, keys_of(before, own), keys_of(UNIGRAM, own))
 
     def asked(self) -> np.ndarray:
-        return np.unique(np.concatenate((self.pairs, self.words, np.repeat(FIRST, int((self.sizes > 0).any())))))
+        return distinct(np.concatenate((self.pairs, self.words, np.repeat(FIRST, int((self.sizes > 0).any())))))
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -158,7 +164,7 @@ def packed(x: np.ndarray) -> bytes:
     return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes(), 1)
 
 
-def unpacked(raw: bytes, kind: type) -> np.ndarray:
+def unpacked(raw: bytes | pa.Buffer, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
 
@@ -167,7 +173,7 @@ def packed_keys(keys: np.ndarray) -> bytes:
     return packed(np.diff(keys, prepend=np.uint64(0)))
 
 
-def unpacked_keys(raw: bytes) -> np.ndarray:
+def unpacked_keys(raw: bytes | pa.Buffer) -> np.ndarray:
     return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
 
 
@@ -183,11 +189,12 @@ def by_bucket(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
 
 def summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """(keys, t, b) of sorted distinct keys from several such."""
-    keys, *counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    first, *counts = zip(*parts, strict=True)
+    keys = np.concatenate(first)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], *(np.add.reduceat(c[order], first) if len(first) else c for c in counts)
+    return keys[first], *(np.add.reduceat(np.concatenate(c)[order], first) if len(first) else np.concatenate(c) for c in counts)  # one column at a time
 
 
 def tallied(marked: DataFrame, bits: int) -> DataFrame:
@@ -202,7 +209,7 @@ def tallied(marked: DataFrame, bits: int) -> DataFrame:
             rows = [(k, packed_keys(keys[x]), packed(t[x]), packed(b[x])) for k, x in by_bucket(keys, bits)]
             return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "keys", "t", "b"])
 
-        for batch in slices(batches, "text", 2 * WORKED):
+        for batch in slices(batches, "text", WORKED):
             texts = Texts.of(batch.column("text").to_pylist())
             target = np.array(batch.column("target").to_pylist(), dtype=bool)
             some = texts.sizes > 0
@@ -299,6 +306,27 @@ def places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, keys[at] == wanted
 
 
+def with_heads(heads: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Places of the asked (sorted, distinct) among sorted heads that may repeat; the work grows with the asked and not with all heads."""
+    first = np.searchsorted(heads, asked)
+    n = np.searchsorted(heads, asked, "right") - first
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def laid(rows: pa.StructArray | None) -> tuple[np.ndarray, ...]:
+    """(keys, t, b) of a slice's answers, sorted. A bucket answers once and buckets share no key, so the answers are unpacked one behind the other, each into its place."""
+    n = np.zeros(0, np.int64) if rows is None else rows.field("n").to_numpy()
+    out = np.empty(n.sum(), np.uint64), np.empty(n.sum(), np.int64), np.empty(n.sum(), np.int64)
+    at = 0
+    for i in np.argsort(rows.field("bucket").to_numpy()).tolist() if len(n) else ():
+        to = at + int(n[i])
+        out[0][at:to] = unpacked_keys(rows.field("keys")[i].as_buffer())
+        for counts, name in zip(out[1:], ("t", "b"), strict=True):
+            counts[at:to] = unpacked(rows.field(name)[i].as_buffer(), np.int64)
+        at = to
+    return out
+
+
 def vocabulary(rows: DataFrame, size: int) -> dict[bytes, int]:
     """The `size` most frequent words by rank. Levels of frequency tell which words can be among them, so at most SLACK * size words go to the driver."""
 
@@ -393,7 +421,7 @@ def score_all(docs: DataFrame, model: Counts, id_col: str, text_col: str) -> Dat
     kind = rows.schema["id"].dataType
     marked = mark(rows, model.targets, "id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("slice"), F.lit(False).alias("opens"))
     opening = spark.range(n).select(F.lit(None).cast(kind).alias("id"), F.lit(None).cast("binary").alias("text"), F.col("id").alias("slice"), F.lit(True).alias("opens"), F.lit(False).alias("target"))
-    # Both uses below have the same columns, so that the texts are shuffled once.
+    # Both uses below have the same columns, so that the texts are shuffled once (with another number of partitions the join shuffles them again).
     dealt = marked.unionByName(opening).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slice")
     shared = spark.sparkContext.broadcast(frequent(model.table))
     bits, singles, weight, alpha = model.bits, model.singles, model.weight, model.alpha
@@ -407,8 +435,8 @@ def score_all(docs: DataFrame, model: Counts, id_col: str, text_col: str) -> Dat
 
         def told(name: int) -> Iterator[pa.RecordBatch]:
             if own:
-                for bucket, x in by_bucket(keys := np.unique(np.concatenate(own)), bits):
-                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "slice": pa.array([name], pa.int64()), "keys": pa.array([packed_keys(np.unique(keys[x] >> short))], pa.binary())})
+                for bucket, x in by_bucket(keys := distinct(np.concatenate(own)), bits):
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "slice": pa.array([name], pa.int64()), "keys": pa.array([packed_keys(distinct(keys[x] >> short))], pa.binary())})
                 own.clear()
 
         name = None
@@ -422,12 +450,12 @@ def score_all(docs: DataFrame, model: Counts, id_col: str, text_col: str) -> Dat
                 wanted = Texts.of(batch.column("text").slice(a, b - a).to_pylist()).asked()
                 own.append(wanted[~places(shared.value[0], wanted)[1]])
                 if len(own) >= 16:
-                    own[:] = [np.unique(np.concatenate(own))]
+                    own[:] = [distinct(np.concatenate(own))]
         if name is not None:
             yield from told(name)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(slice, keys, t, b) of a bucket's keys with the asked heads; the bucket's own row comes first."""
+        """(slice, bucket, n, keys, t, b) of a bucket's keys with the asked heads; the bucket's own row comes first."""
         known = heads = None
         for row in keyed(batches, "bucket", "slice", "keys", "t", "b"):
             if row is None:
@@ -437,15 +465,15 @@ def score_all(docs: DataFrame, model: Counts, id_col: str, text_col: str) -> Dat
                     known = (unpacked_keys(row[2]), unpacked(row[3], np.int64), unpacked(row[4], np.int64))
                     heads = known[0] >> short
             elif known is not None:
-                hit = places(unpacked_keys(row[2]), heads)[1]
-                if hit.any():
-                    yield pa.RecordBatch.from_pydict({"slice": pa.array([row[1]], pa.int64()), "keys": pa.array([packed_keys(known[0][hit])], pa.binary()), "t": pa.array([packed(known[1][hit])], pa.binary()), "b": pa.array([packed(known[2][hit])], pa.binary())})
+                hit = with_heads(heads, unpacked_keys(row[2]))
+                if len(hit):
+                    yield pa.RecordBatch.from_pydict({"slice": pa.array([row[1]], pa.int64()), "bucket": pa.array([row[0]], pa.int32()), "n": pa.array([len(hit)], pa.int64()), "keys": pa.array([packed_keys(known[0][hit])], pa.binary()), "t": pa.array([packed(known[1][hit])], pa.binary()), "b": pa.array([packed(known[2][hit])], pa.binary())})
 
     nothing = F.lit(None).cast("binary")
     asked = dealt.sortWithinPartitions("slice").mapInArrow(ask, "bucket int, slice long, keys binary")
     met = model.table.select("bucket", F.lit(None).cast("long").alias("slice"), "keys", "t", "b").unionByName(asked.select("bucket", "slice", "keys", nothing.alias("t"), nothing.alias("b")))
-    answers = met.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice")).mapInArrow(answer, "slice long, keys binary, t binary, b binary")
-    told = answers.groupBy(F.col("slice").alias("asker")).agg(F.collect_list(F.struct("keys", "t", "b")).alias("told"))
+    answers = met.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("slice")).mapInArrow(answer, "slice long, bucket int, n long, keys binary, t binary, b binary")
+    told = answers.groupBy(F.col("slice").alias("asker")).agg(F.collect_list(F.struct("bucket", "n", "keys", "t", "b")).alias("told"))
     names = [id_col, "n_tokens", "target_loss", "background_loss", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,17 +482,18 @@ def score_all(docs: DataFrame, model: Counts, id_col: str, text_col: str) -> Dat
         def counts(keys: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Both models' counts of keys."""
             t, b = (np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)) if singles else (flags.astype(np.int64), np.ones(len(keys), np.int64))
+            order = np.argsort(keys)  # a search in order stays near the last place
             for own in (shared.value, known):
-                at, hit = places(own[0], keys)
-                t[hit], b[hit] = own[1][at[hit]], own[2][at[hit]]
+                at, hit = places(own[0], keys[order])
+                t[order[hit]], b[order[hit]] = own[1][at[hit]], own[2][at[hit]]
             return t, b
 
         for batch in slices(batches, "text", WORKED):
             opens = np.flatnonzero(batch.column("opens").to_numpy(zero_copy_only=False)).tolist()
             for a, b in zip([-1, *opens], [*opens, batch.num_rows], strict=True):
                 if a >= 0:  # the first row of a slice
-                    parts = [(unpacked_keys(x["keys"]), unpacked(x["t"], np.int64), unpacked(x["b"], np.int64)) for x in batch.column("told")[a].as_py() or ()]
-                    known = summed(parts) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+                    known = None  # before the next slice's is made
+                    known = laid(batch.column("told")[a].values)
                 part = batch.slice(a + 1, b - a - 1)
                 if not part.num_rows:
                     continue
