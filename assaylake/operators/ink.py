@@ -18,6 +18,8 @@ from assaylake.operators.pixels import components, nearest_colour
 from assaylake.plans.storage import unsent
 
 NEXT = ((1, 0), (-1, 0), (0, 1), (0, -1))
+#: Pieces of a line whose residuals are computed at once.
+CUTS = 1 << 16
 
 
 def ink_runs(ink: DataFrame, along: str, *keys: str) -> DataFrame:
@@ -194,14 +196,17 @@ def straight_pieces(x: np.ndarray, y: np.ndarray, penalty: float) -> list[tuple[
     u, v = x - x0, y - y0
     s = [np.concatenate(([0.0], np.cumsum(c))) for c in (u, v, u * u, u * v, v * v)]
     best, back = np.zeros(n + 1), np.zeros(n + 1, dtype=np.int64)
-    for j in range(1, n + 1):
-        m = j - np.arange(j)
-        su, sv, suu, suv, svv = (c[j] - c[:j] for c in s)
+    step = max(1, CUTS // max(n, 1))
+    for a in range(1, n + 1, step):  # the residuals of all pieces that end in a block of columns at once
+        ends = np.arange(a, min(a + step, n + 1))
+        m = np.maximum(ends[:, None] - np.arange(ends[-1]), 1)
+        su, sv, suu, suv, svv = (c[ends][:, None] - c[: ends[-1]] for c in s)
         du, cross = suu - su * su / m, suv - su * sv / m
-        left = svv - sv * sv / m - np.divide(cross * cross, du, out=np.zeros(j), where=du > 1e-9)
-        total = best[:j] + np.maximum(left, 0) + penalty
-        back[j] = int(np.argmin(np.round(total, 9)))
-        best[j] = total[back[j]]
+        left = np.maximum(svv - sv * sv / m - np.divide(cross * cross, du, out=np.zeros(du.shape), where=du > 1e-9), 0)
+        for j, row in zip(ends.tolist(), left, strict=True):
+            total = best[:j] + row[:j] + penalty
+            back[j] = int(np.round(total, 9).argmin())
+            best[j] = total[back[j]]
     out, j = [], n
     while j:
         i = int(back[j])

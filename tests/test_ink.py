@@ -129,3 +129,21 @@ def test_marked_values(spark, log):
 def test_exploded_rows_are_not_broadcast(spark):
     plan = ink.axis_ticks(spark.range(2).selectExpr("id AS image", "explode(sequence(1, 40)) AS y").selectExpr("image", "20 AS x", "y"))._jdf.queryExecution().toString()
     assert "Broadcast" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_cuts_do_not_depend_on_blocks(monkeypatch):
+    """Residuals are computed for blocks of columns; the cuts have the least cost of all, whatever the block."""
+    r = np.random.default_rng(1)
+    for n in (0, 1, 2, 3, 7, 9):
+        x, y = np.arange(n, dtype=float), np.round(r.normal(0, 4, n).cumsum())
+        found = []
+        for cuts in (1, 20, 1 << 16):
+            monkeypatch.setattr(ink, "CUTS", cuts)
+            found.append(ink.straight_pieces(x, y, 2.0))
+        assert found[0] == found[1] == found[2]
+
+        def cost(edges):
+            return sum(2 + (np.square(y[a:b] - np.polyval(np.polyfit(x[a:b], y[a:b], 1), x[a:b])).sum() if b - a > 1 else 0) for a, b in itertools.pairwise(edges))
+
+        ways = [(0, *inner, n) for k in range(n) for inner in itertools.combinations(range(1, n), k)]
+        assert not n or abs(cost((*[p[0] for p in found[0]], n)) - min(map(cost, ways))) < 1e-6
