@@ -1,8 +1,8 @@
 """Nested JSON texts as rows of leaves, and back: records are opened, edited by pointers and folded up again.
 
-A text is opened level by level in one narrow pass; a row holds one leaf, its path and the kinds of the containers
-above it. Trees are folded bottom-up: all rows of a record meet in one exchange, and every level is an aggregate on that
-same partitioning. Pointers set values by rows as well: what lies below a set value falls away by an equi-join on
+A text is opened in one narrow pass; a row holds one leaf, its path and the kinds of the containers above it. Leaves are
+folded bottom-up: all rows of a record meet in one exchange, lie one after the other there, and are folded level by level
+in Arrow batches of whole records. Pointers set values by rows as well: what lies below a set value falls away by an equi-join on
 path prefixes, missing parents come from the path itself, and a pointer that cannot be followed is a defect of its record.
 
 Texts are canonical: names sorted, no white space, numbers as the variant type prints them.
@@ -14,21 +14,27 @@ record that only edits name begins empty. Rows that repeat a record key are one
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.json_paths import unescape_token
-from assaylake.plans.storage import written
+from assaylake.plans.storage import dealt
 
-#: Levels opened or folded before a plan ends in a written table.
-LEVELS = 8
 NOWHERE = -1
+NO_PLACE = 1 << 40
+#: Names of paths in an Arrow batch of leaves, and leaves that are folded at once; a text or record goes beyond them as a whole.
+NAMES, LEAVES = 1 << 15, 1 << 16
+#: What Spark casts to an int.
+INDEX = re.compile(r"[\x00-\x20\x7f]*([+-]?[0-9]+)[\x00-\x20\x7f]*")
 
 
 def canonical_text(text: Column) -> Column:
@@ -41,80 +47,176 @@ def tokens(pointer: Column, slash_is_whole: bool = False) -> Column:
     return F.when(pointer.isin("", "/") if slash_is_whole else pointer == "", F.array().cast("array<string>")).otherwise(F.transform(parts, unescape_token))
 
 
-def members(v: Column) -> Column:
-    """(token, kind, v) of a container's members; null or empty for everything else."""
-    of_map = F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("token"), F.lit("o").alias("kind"), e["value"].alias("v")))
-    of_list = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: F.struct(i.cast("string").alias("token"), F.lit("a").alias("kind"), x.alias("v")))
-    return F.coalesce(of_map, of_list)
-
-
-def opened(rows: DataFrame) -> DataFrame:
-    """`rows` with a variant `v`, its `path` and `kinds`: one row for each leaf, with its text `json` in place of v."""
-    others = [c for c in rows.columns if c not in ("v", "path", "kinds")]
-    rows = rows.withColumn("json", F.lit(None).cast("string"))
-    while True:
-        for _ in range(LEVELS):
-            inner, v = F.col("m").isNotNull(), F.col("v")
-            rows = rows.select(*others, "path", "kinds", "v", "json", F.explode_outer(members(v)).alias("m"))
-            rows = rows.select(
-                *others, F.when(inner, F.concat("path", F.array("m.token"))).otherwise(F.col("path")).alias("path"), F.when(inner, F.concat("kinds", "m.kind")).otherwise(F.col("kinds")).alias("kinds"),
-                F.when(inner, F.col("m.v")).alias("v"), F.when(~inner & v.isNotNull(), F.to_json("v")).otherwise(F.col("json")).alias("json"),
-            )
-        rows = written(rows.select(*others, "path", "kinds", F.coalesce("json", F.to_json("v")).alias("json")))
-        if rows.where(is_open("json")).isEmpty():
-            return rows
-        rows = rows.withColumn("v", F.when(is_open("json"), F.try_parse_json("json"))).withColumn("json", F.when(F.col("v").isNull(), F.col("json")))
-
-
-def is_open(json: str) -> Column:
-    return F.substr(json, F.lit(1), F.lit(1)).isin("{", "[") & ~F.col(json).isin("{}", "[]")
-
-
 def leaves(rows: DataFrame, key: str, text: str) -> DataFrame:
     """record_key, path, kinds (`o` or `a` for each container above), json: the leaves of all texts."""
-    start = rows.select(F.col(key).cast("string").alias("record_key"), F.array().cast("array<string>").alias("path"), F.lit("").alias("kinds"), F.try_parse_json(text).alias("v"))
-    return opened(start.where("v IS NOT NULL"))
-
-
-def kid() -> Column:
-    return F.struct(F.element_at("path", -1).alias("token"), F.element_at("path", -1).try_cast("int").alias("place"), "json")
-
-
-def in_order() -> Column:
-    return F.when(F.col("kind") == "a", F.sort_array(F.transform("kids", lambda m: F.struct(m["place"], F.lit("").alias("token"), m["json"])))).otherwise(F.sort_array(F.transform("kids", lambda m: F.struct(F.lit(0).alias("place"), m["token"], m["json"]))))
-
-
-def folded() -> Column:
-    """A node's text: its own where it has no members."""
-    return F.when(F.size("kids") == 0, F.col("json")).when(F.col("kind") == "a", list_text("kids")).otherwise(object_text("kids"))
-
-
-def object_text(kids: str) -> Column:
-    def member(m: Column) -> Column:
-        name = F.to_json(F.array(m["token"]))  # ["name"]
-        return F.concat(F.substr(name, F.lit(2), F.length(name) - 2), F.lit(":"), m["json"])
-
-    return F.concat(F.lit("{"), F.array_join(F.transform(kids, member), ","), F.lit("}"))
-
-
-def list_text(kids: str) -> Column:
-    before = lambda i: F.coalesce(F.get(F.col(kids), i - 1)["place"], F.lit(NOWHERE))
-    return F.concat(F.lit("["), F.array_join(F.transform(kids, lambda m, i: F.concat(F.repeat(F.lit("null,"), m["place"] - before(i) - 1), m["json"])), ","), F.lit("]"))
+    texts = rows.select(F.col(key).cast("string").alias("record_key"), canonical_text(F.col(text)).alias("text"))
+    return texts.where("text IS NOT NULL").mapInArrow(leaf_batches, "record_key string, path array<string>, kinds string, json string")
+
+
+def leaf_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    gc.disable()  # parsed texts have no cycles, and there are as many small containers as leaves
+    try:
+        for batch in batches:
+            keys, texts = batch.column("record_key"), batch.column("text").to_pylist()
+            at, ends, names, kinds, values = [], [0], [], [], []
+            for i, text in enumerate(texts):
+                before = len(values)
+                add_leaves(parsed(text), names, ends, kinds, values)
+                at += [i] * (len(values) - before)
+                if len(names) > NAMES or i == len(texts) - 1:
+                    paths = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(names, pa.string()))
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int32())), paths, pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["record_key", "path", "kinds", "json"])
+                    at, ends, names, kinds, values = [], [0], [], [], []
+    finally:
+        gc.enable()
+
+
+def add_leaves(value: object, names: list[str], ends: list[int], kinds: list[str], values: list[str]) -> None:
+    """Adds the leaves of a value: the names of their paths, where these end, their kinds and texts."""
+    todo = [([], "", value)] if isinstance(value, (dict, list)) and value else []
+    if not todo:
+        ends.append(len(names))
+        kinds.append("")
+        values.append(leaf_text(value))
+    while todo:
+        path, above, v = todo.pop()
+        kind = above + ("o" if isinstance(v, dict) else "a")
+        for name, x in v.items() if isinstance(v, dict) else zip(map(str, range(len(v))), v):
+            if isinstance(x, (dict, list)) and x:
+                todo.append(([*path, name], kind, x))
+            else:
+                names += path
+                names.append(name)
+                ends.append(len(names))
+                kinds.append(kind)
+                values.append(leaf_text(x))
 
 
 def rebuilt(found: DataFrame) -> DataFrame:
     """record_key, json: the canonical texts of records given as `leaves`, exactly."""
-    depth = found.agg(F.coalesce(F.max(F.size("path")), F.lit(0)).alias("n")).first()["n"]
-    now = found.repartition("record_key").groupBy("record_key", "path").agg(F.max("kinds").alias("kinds"), F.max("json").alias("json"))
-    for d in range(depth, 0, -1):
-        deep = F.size("path") == d
-        group = F.when(deep, F.slice("path", 1, d - 1)).otherwise(F.col("path")).alias("path")
-        met = now.groupBy("record_key", group).agg(F.max(F.when(~deep, F.col("kinds"))).alias("kinds"), F.max(F.when(deep, F.col("kinds"))).alias("below"), F.max(F.when(~deep, F.col("json"))).alias("json"), F.collect_list(F.when(deep, kid())).alias("kids"))
-        met = met.withColumn("kind", F.substring("below", d, 1))  # a container's kind is told by what lies in it
-        now = met.select("record_key", "path", F.coalesce(F.substring("below", 1, d - 1), "kinds").alias("kinds"), "kind", "json", in_order().alias("kids")).withColumn("json", folded()).drop("kind", "kids")
-        if d % LEVELS == 1 and d > 1:
-            now = written(now).repartition("record_key")
-    return now.select("record_key", "json")
+    by_record = dealt(found.select("record_key", "path", "kinds", "json"), "record_key").sortWithinPartitions("record_key")
+    return by_record.mapInArrow(record_batches, "record_key string, json string")
+
+
+def record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of records whose leaves lie one after the other; a record that a batch may not end waits for the next one."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if sum(b.num_rows for b in waiting) + batch.num_rows > LEAVES:
+            last = np.flatnonzero(np.diff(codes_of(batch.column("record_key"))))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut or (waiting and waiting[-1].column("record_key")[-1].as_py() != batch.column("record_key")[0].as_py()):
+                yield folded([*waiting, batch.slice(0, cut)])
+                waiting, batch = [], batch.slice(cut)
+        waiting.append(batch)
+    if waiting:
+        yield folded(waiting)
+
+
+def codes_of(column: pa.Array) -> np.ndarray:
+    return column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+
+def folded(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Whole records, their leaves one after the other, folded level by level for all of them at once; leaves without a path give a row of their own."""
+    key, path, kinds, json_ = [pa.concat_arrays([b.column(c) for b in batches]) for c in ("record_key", "path", "kinds", "json")]
+    codes = codes_of(key)
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1])
+    record = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(codes))))
+    depth = pc.fill_null(pc.list_value_length(path), NOWHERE).to_numpy(zero_copy_only=False)
+    at = np.concatenate([[0], np.cumsum(np.maximum(depth, 0))])[:-1]
+    token, names = ranked(path.flatten())
+    # Down: nodes of a level are numbered by parent and name.
+    node, levels = record.copy(), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for k in range(1, int(depth.max()) + 1):
+        deep = np.flatnonzero(depth >= k)
+        pairs, node[deep] = np.unique(node[deep] * len(names) + token[at[deep] + k - 1], return_inverse=True)
+        levels.append((pairs // len(names), pairs % len(names)))
+    # Up: each level's texts from its own leaves and from the level below it.
+    begin, place = pa.array([*(f"{'null' if n is None else quoted(n)}:" for n in names), ""], pa.string()), np.array([*map(place_of, names), 0], np.int64)
+    texts, below, words = None, None, []
+    for k in range(len(levels) - 1, -1, -1):
+        rows = np.flatnonzero(depth == k)
+        n = len(starts) if k == 0 else len(levels[k][0])
+        own_text, own_kinds = (largest(column.take(pa.array(rows)), node[rows], n) for column in (json_, kinds))
+        some = np.bincount(node[rows], minlength=n) > 0
+        if texts is not None:
+            parent, name = levels[k + 1]
+            heads = np.flatnonzero(np.diff(parent, prepend=NOWHERE))  # members lie by parent
+            holders, told = parent[heads], np.maximum.reduceat(below, heads)
+            listed = np.zeros(n, bool)
+            listed[holders] = np.array([w[k : k + 1] == "a" for w in words] + [False])[told]  # a container's kind is told by what lies in it
+            made = joined(texts, parent, name, listed, begin, place, n)
+            is_holder = np.isin(np.arange(n), holders)
+            own_text = pc.if_else(pa.array(is_holder), made, own_text)
+            above = np.full(n, NOWHERE)
+            above[holders] = told
+            inherited = pa.array([w[:k] for w in words] + [None], pa.string()).take(pa.array(np.where(above < 0, len(words), above)))
+            own_kinds, some = pc.coalesce(inherited, own_kinds), some | is_holder
+        texts = own_text
+        below, words = ranked(own_kinds)
+        below = np.where(np.array([w is None for w in words], bool)[below], NOWHERE, below) if len(words) else below
+    keep, pathless = pa.array(np.flatnonzero(some)), np.flatnonzero(depth == NOWHERE)
+    heads = key.take(pa.array(starts))
+    out_key, out_text = heads.take(keep), texts.take(keep)
+    if len(pathless):
+        lone, its = np.unique(record[pathless], return_inverse=True)
+        out_key = pa.concat_arrays([out_key, heads.take(pa.array(lone))])
+        out_text = pa.concat_arrays([out_text, largest(json_.take(pa.array(pathless)), its, len(lone))])
+    return pa.RecordBatch.from_arrays([out_key, out_text], names=["record_key", "json"])
+
+
+def ranked(texts: pa.Array) -> tuple[np.ndarray, list[str | None]]:
+    """Each text's place among the different ones in order (none first), and these."""
+    found = texts.dictionary_encode(null_encoding="encode")
+    order = pc.array_sort_indices(found.dictionary, null_placement="at_start")
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    return rank[found.indices.to_numpy(zero_copy_only=False)], found.dictionary.take(order).to_pylist()
+
+
+def largest(texts: pa.Array, group: np.ndarray, n: int) -> pa.Array:
+    """The largest text of each of n groups, or null."""
+    if len(np.unique(group)) < len(group):
+        rows = pa.table({"group": group, "text": texts})
+        order = pc.sort_indices(rows, [("group", "ascending"), ("text", "ascending")], null_placement="at_start").to_numpy()
+        order = order[np.append(np.diff(group[order]) != 0, True)]
+        texts, group = texts.take(pa.array(order)), group[order]
+    source = np.full(n, NOWHERE)
+    source[group] = np.arange(len(group))
+    return texts.take(pa.array(source, mask=source < 0))
+
+
+def joined(texts: pa.Array, parent: np.ndarray, name: np.ndarray, listed: np.ndarray, begin: pa.Array, place: np.ndarray, n: int) -> pa.Array:
+    """The text of each of n containers (`listed`: arrays) from its members, which lie by parent and name; a member without a text, or in an array without a place, is left out."""
+    in_list = listed[parent]
+    kept = texts.is_valid().to_numpy(zero_copy_only=False) & ~(in_list & (place[name] == NO_PLACE))
+    order = np.flatnonzero(kept)
+    if in_list.any():
+        spot = np.where(in_list, place[name], name)[order]
+        order = order[np.lexsort((spot, parent[order]))]
+        p, spot = parent[order], np.where(in_list, place[name], name)[order]
+        if ((np.diff(p) == 0) & (np.diff(spot) == 0)).any():  # 1 and 01
+            order = order[pc.sort_indices(pa.table({"p": p, "s": spot, "t": texts.take(pa.array(order))}), [("p", "ascending"), ("s", "ascending"), ("t", "ascending")]).to_numpy()]
+    p, inside, spot = parent[order], in_list[order], place[name[order]]
+    prefix = begin.take(pa.array(np.where(inside, len(begin) - 1, name[order])))
+    gap = np.where(inside, spot - np.where(np.diff(p, prepend=NOWHERE) == 0, np.roll(spot, 1), NOWHERE) - 1, 0)
+    if (gap > 0).any():
+        prefix = pc.if_else(pa.array(gap > 0), pc.binary_repeat("null,", pa.array(np.maximum(gap, 0))), prefix)
+    pieces = pc.binary_join_element_wise(prefix, texts.take(pa.array(order)), "")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(p, minlength=n))])
+    inner = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces), ",")
+    marks = [pa.array([o, a], pa.string()).take(pa.array(listed.astype(np.int64))) for o, a in ("{[", "}]")]
+    return pc.binary_join_element_wise(marks[0], inner, marks[1], "")
+
+
+def place_of(name: str | None) -> int:
+    """A name as Spark casts it to an int, or NO_PLACE."""
+    found = INDEX.fullmatch(name or "")
+    place = int(found[1]) if found else NO_PLACE
+    return place if -(1 << 31) <= place < 1 << 31 else NO_PLACE
 
 
 def nested_claims(rows: DataFrame, key: str, text: str, collection: str) -> DataFrame:
@@ -168,16 +270,20 @@ class Number(str):
     """A number as it is printed."""
 
 
+DECODER = json.JSONDecoder(parse_int=Number, parse_float=Number, strict=False)
+
+
 def parsed(text: str) -> object:
-    return json.loads(text, parse_int=Number, parse_float=Number, strict=False)
+    return DECODER.decode(text)
 
 
 #: What a canonical text escapes.
 ESCAPES = {i: f"\\u{i:04X}" for i in range(32)} | {ord(c): f"\\{e}" for c, e in zip('"\\\b\f\n\r\t', '"\\bfnrt', strict=True)}
+ESCAPED = re.compile(r'[\x00-\x1f"\\]')
 
 
 def quoted(text: str) -> str:
-    return f'"{text.translate(ESCAPES)}"'
+    return f'"{text.translate(ESCAPES)}"' if ESCAPED.search(text) else f'"{text}"'
 
 
 def leaf_text(v: object) -> str:

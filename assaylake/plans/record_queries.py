@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assaylake.functions import display, json_paths, text, transforms
 from assaylake.operators import cells, control, json_trees, merging, projection, relations, scoring, windows
 from assaylake.plans.registry import query, table
-from assaylake.plans.storage import written
+from assaylake.plans.storage import dealt, written
 from assaylake.sources import fetch, markers, pages
 
 
@@ -276,8 +276,8 @@ def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested text for each order, its names in no order."""
     line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"), F.when(F.col("l_quantity") < 10, F.array(F.lit("small"))).otherwise(F.array()).alias("tags"))
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
-    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    lines = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", line.alias("line")), "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), "o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     head = F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_custkey").alias("cust"), F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")).alias("rank")).alias("key"))
     body = F.struct(head.alias("order"), F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType)).alias("lines"))
     return orders.select("o_orderkey", "o_custkey", "o_orderstatus", "lines", F.to_json(body, {"ignoreNullFields": "false", "pretty": "true"}).alias("text"))

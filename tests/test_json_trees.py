@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from assaylake.operators import json_trees
@@ -117,3 +118,26 @@ def test_records_are_edited_without_rows_for_their_nodes(spark):
     got = {r["record_key"]: r["json"] for r in met.collect()}
     assert got["1"].replace('"a":2.5,', "") == got["2"] and {k: got[k] for k in "345"} == {"3": None, "4": '{"x":1}', "5": "[]"}
     assert plan.count("Exchange") == 2 and "Generate" not in plan, plan
+
+
+def test_leaves_are_folded_in_one_pass(spark):
+    """No table is written, no job runs and no level has its own aggregate; gaps, odd names, records over several batches and conflicts fold as before."""
+    rows = spark.createDataFrame([(i, json.dumps({"a": [{"b": i}] * 3})) for i in range(4)], "k int, t string")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    plan = json_trees.rebuilt(json_trees.leaves(rows, "k", "t"))._jdf.queryExecution().toString()
+    assert len(tracker.getJobIdsForGroup()) == before and "Aggregate" not in plan, plan
+    odd = [("g", ["2"], "a", '"x"'), ("g", ["0"], "a", "1"), ("c", ["a"], "o", "1"), ("c", ["a", "b"], "oo", "2"), ("c", ["a", "b"], "oo", "3"), ("n", [], "", "{}"), ("n", None, None, "7"), (None, ["1"], "o", "0"), ("w", ["x"], "a", "1"), ("w", ["+1"], "a", "1"), ("q", ['"\n'], "o", "1")]
+    found = spark.createDataFrame(odd, "record_key string, path array<string>, kinds string, json string")
+    want = [(None, '{"1":0}'), ("c", '{"a":{"b":3}}'), ("g", '[1,null,"x"]'), ("n", "7"), ("n", "{}"), ("q", '{"\\"\\n":1}'), ("w", "[null,1]")]
+    assert sorted(map(tuple, json_trees.rebuilt(found).collect()), key=str) == sorted(want, key=str)
+
+
+def test_records_go_on_over_batches(monkeypatch):
+    rng = random.Random(3)
+    texts = [text_of(made(rng)) for _ in range(200)]
+    made_ = next(json_trees.leaf_batches([pa.RecordBatch.from_arrays([pa.array(map(str, range(200))), pa.array(texts)], names=["record_key", "text"])]))
+    monkeypatch.setattr(json_trees, "LEAVES", 3)
+    for n in (1, 2, 7, 1000):
+        out = json_trees.record_batches(made_.slice(i, n) for i in range(0, made_.num_rows, n))
+        assert [t for b in out for t in b.column("json").to_pylist()] == texts
