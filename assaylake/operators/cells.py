@@ -62,9 +62,10 @@ def anchored(rows: DataFrame) -> DataFrame:
     place = lambda i: F.get(F.regexp_extract_all(F.get(F.filter("ids", lambda x: x.rlike(CELL_ID)), F.lit(0)), F.lit(r":(\d+)"), F.lit(1)), F.lit(i)).cast("int")
     run = lambda ids, row, column: F.struct(row.cast("int").alias("row"), column.cast("int").alias("column"), ids.alias("ids"))
     alone = lambda c: run(F.array(c["id"]), c["row"], c["column"])
-    rows = rows.withColumns({"_grid": grid, "_row": place(0), "_column": place(1)}).withColumn("_have", F.flatten(F.transform("ids", lambda i: F.filter("_grid", lambda c: c["id"] == i))))
+    rows = rows.withColumns({"_grid": grid, "_at": F.struct(place(0).alias("row"), place(1).alias("column"))}).withColumn("_have", F.flatten(F.transform("ids", lambda i: F.filter("_grid", lambda c: c["id"] == i))))
     rows = rows.withColumn("_all", (F.size("ids") > 0) & (F.size("_have") == F.size("ids"))).withColumn("_open", ~F.col("_all") & (wanted != ""))
-    rows = rows.withColumn("_begun", F.when(F.col("_open"), F.filter("_grid", lambda c: (c["t"] != "") & ((c["t"] == wanted) | F.startswith(wanted, F.concat(c["t"], F.lit(" ")))))))
+    rows = rows.withColumn("_parts", F.when(F.col("_open"), F.filter("_grid", lambda c: (c["t"] != "") & F.contains(wanted, c["t"]))))  # all that a label over several rows can be read from
+    rows = rows.withColumn("_begun", F.filter("_parts", lambda c: (c["t"] == wanted) | F.startswith(wanted, F.concat(c["t"], F.lit(" ")))))
     nothing = F.struct(wanted.alias("rest"), F.array().cast("array<string>").alias("ids"), F.array().cast(f"array<{rows.schema['grid'].dataType.elementType['row'].dataType.simpleString()}>").alias("rows"), F.lit(False).alias("lost"))
 
     def read(s: Column, c: Column, otherwise: Column) -> Column:
@@ -77,18 +78,19 @@ def anchored(rows: DataFrame) -> DataFrame:
         return F.aggregate(line, nothing, lambda s, c: read(s, c, lost(s)))
 
     def further(p: Column) -> Column:
-        later = F.filter("_grid", lambda c: ((c["row"] > p["row"]) | ((c["row"] == p["row"]) & (c["column"] >= p["column"]))) & (c["t"] != ""))
+        later = F.filter("_parts", lambda c: (c["row"] > p["row"]) | ((c["row"] == p["row"]) & (c["column"] >= p["column"])))
         return F.aggregate(later, nothing, lambda s, c: read(s, c, s))
 
     part = F.filter("_begun", lambda c: c["t"] != wanted)
-    rows = rows.withColumns({"_in_row": F.transform(part, lambda p: F.struct(p.alias("p"), in_row(p).alias("s"))), "_further": F.transform(part, lambda p: F.struct(p.alias("p"), further(p).alias("s")))})
+    rows = rows.withColumn("_in_row", F.transform(part, lambda p: F.struct(p.alias("p"), in_row(p).alias("s"))))
+    rows = rows.withColumn("_further", F.transform(F.filter("_in_row", lambda x: x["s"]["rest"] != ""), lambda x: F.struct(x["p"].alias("p"), further(x["p"]).alias("s"))))  # what its row says whole would be read from the same cells
     whole = lambda found, rule: F.transform(F.filter(found, lambda x: (x["s"]["rest"] == "") & rule(x["s"])), lambda x: run(x["s"]["ids"], x["p"]["row"], x["p"]["column"]))
     first = F.get("_have", F.lit(0))
     together = F.filter(F.array(run(F.transform("_have", lambda c: c["id"]), first["row"], first["column"])), lambda r: (F.size("_have") > 1) & (F.array_join(F.transform("_have", lambda c: c["t"]), " ") == wanted))
     said = F.concat(together, F.transform(F.filter("_begun", lambda c: c["t"] == wanted), alone), whole("_in_row", lambda s: F.lit(True)), whole("_further", lambda s: F.size(F.array_distinct(s["rows"])) > 1))
     rows = rows.withColumn("_said", F.when(F.col("_open"), said))
     said = F.when(F.size("_said") > 0, F.col("_said")).when(F.col("_open"), F.transform(F.filter("_grid", lambda c: F.contains(c["t"], wanted)), alone))
-    away = lambda r: F.coalesce(F.abs(r["row"] - F.col("_row")) + F.abs(r["column"] - F.col("_column")), F.lit(0))
+    away = lambda r: F.coalesce(F.abs(r["row"] - F.col("_at")["row"]) + F.abs(r["column"] - F.col("_at")["column"]), F.lit(0))
     best = F.array_min(F.transform(said, lambda r: F.struct(away(r).alias("away"), r.alias("r"))))["r"]["ids"]
     return rows.select(*columns, F.when(F.col("_all"), F.col("ids")).otherwise(best).alias("found"))
 

@@ -73,6 +73,19 @@ def test_cells_are_shuffled_once(spark):
     assert {r["ref"]: r["tier"] for r in met.collect()} == {"0": None, "1": "cell", "2": "cell"}
 
 
+def test_only_lost_cells_take_their_table_along(spark):
+    """A cited cell and its row are found by their places, not by a search of the table; labels are read over rows only where no row says them."""
+    kind = "document string, ref string, cited string, quote string, token string, q string, k string"
+    asked = [("list", "T:1:0", None, "1, 2", "1,2"), ("not", "T:1:0", None, "1, 3", "1,3"), ("row", "T:9:9", "flow mm", None, ""), ("rows", "T:2:9", "flow gone", None, ""), ("none", "T:9:9", "by sea", None, ""), ("odd", "x1", None, None, ""), ("uncited", None, "flow", None, "")]
+    rows = spark.createDataFrame([("d", r, c, q, t, "", k) for r, c, q, t, k in asked], kind)
+    grid = [("T", 2, 0, "T:2:0", "Flow"), ("T", 2, 1, "T:2:1", "mm"), ("T", 3, 0, "T:3:0", "x"), ("T", 3, 1, "T:3:1", "gone"), ("T", 1, 1, "T:1:1", "2"), ("T", 1, 0, "T:1:0", "1,"), ("U", 1, 0, "x1", "5")]
+    cells = spark.createDataFrame([("d", t, r, c, i, 7, 0.0, 0.0, 1.0, 1.0, text) for t, r, c, i, text in grid], "document string, table_id string, row int, column int, cell string, page int, x0 double, y0 double, x1 double, y1 double, text string")
+    met = evidence.in_cells(rows, cells)
+    assert "array_position(grid" in met._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["ref"]: (r["tier"], [b["block"] for b in r["found"] or []]) for r in met.collect()}
+    assert got == {"list": ("cells", ["T:1:0", "T:1:1"]), "not": ("cell", ["T:1:0"]), "row": ("label", ["T:2:0", "T:2:1"]), "rows": ("label", ["T:2:0", "T:3:1"]), "none": (None, []), "odd": ("cell", ["x1"]), "uncited": (None, [])}
+
+
 def test_only_sound_fields_are_shown(spark):
     fields = spark.createDataFrame([("m", "mats", "reported", "1", "e1", False), ("m", "mats", "system_note", "x", None, False), ("n", "mixes", "reported", "2", "e2", False), ("n", "mixes", "evidence_blocked", None, None, True), ("q", "quarantined", "reported", "3", "e3", True)], "card string, card_group string, status string, value string, evidence_key string, repair boolean")
     shown, defects = review.public_fields(fields, spark.createDataFrame([("e1",)], "evidence_key string"))
